@@ -1,0 +1,235 @@
+"""Award data made by Spark from the order tables: nested frames, XML files, zips, index pages.
+
+Test support. Everything is derived from whole tables, so its size follows theirs.
+"""
+
+from __future__ import annotations
+
+import io
+import zipfile
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from contractlake.functions.keys import award_key
+from contractlake.operators.rejects import apply_types
+from contractlake.plans.tables import TYPES, contract_projection, vendor_table
+from contractlake.session import scratch_dir
+from contractlake.sinks.tables import write_contract, write_vendor
+from contractlake.sources.awards import ROW_TAG, award_records, complete_records
+
+ROOT_TAG = 'ns1:awards xmlns:ns1="urn:awards"'
+AWARD_DIR = "A-AWARD.xml"
+SITE = "https://index.example.org"
+ARCHIVE_SITE = "https://archive.example.org/"
+PAGE_LINKS = 5000
+
+_made: dict[tuple[str, str, str], str] = {}
+
+
+def once(spark: SparkSession, sf_dir: str, kind: str, make: Callable[[str], object]) -> str:
+    """Folder of this kind for this application and data, made at the first call."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _made:
+        path = scratch_dir(spark, kind)
+        make(path)
+        _made[key] = path
+    return _made[key]
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def award_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One nested award per order, every leaf text, and the ``year`` it was signed in."""
+    orders = table(spark, sf_dir, "orders")
+    customer = table(spark, sf_dir, "customer")
+    order_key = F.col("o_orderkey").cast("string")
+    award_id = F.struct(
+        order_key.alias("ns1:PIID"),
+        F.lpad((F.col("o_orderkey") % 25).cast("string"), 4, "0").alias("ns1:agencyID"),
+        F.lit("0").alias("ns1:modNumber"),
+        F.lit("00").alias("ns1:transactionNumber"),
+    )
+    vehicle = F.struct(
+        F.lit("IDV").alias("ns1:PIID"),
+        F.lit("9700").alias("ns1:agencyID"),
+        F.lit("0").alias("ns1:modNumber"),
+    )
+    site = F.struct(
+        F.struct(F.col("c_nationkey").cast("string").alias("ns1:countryCode")).alias(
+            "ns1:vendorLocation"
+        ),
+        F.struct(F.lpad(F.col("o_custkey").cast("string"), 9, "0").alias("ns1:DUNSNumber")).alias(
+            "ns1:vendorDUNSInformation"
+        ),
+    )
+    return orders.join(customer, orders["o_custkey"] == customer["c_custkey"]).select(
+        F.struct(
+            award_id.alias("ns1:awardContractID"),
+            F.when(F.col("o_orderkey") % 3 == 0, vehicle).alias("ns1:referencedIDVID"),
+        ).alias("ns1:awardID"),
+        F.struct(
+            F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("ns1:signedDate")
+        ).alias("ns1:relevantContractDates"),
+        F.struct(F.col("o_totalprice").cast("string").alias("ns1:obligatedAmount")).alias(
+            "ns1:dollarValues"
+        ),
+        F.struct(
+            F.col("o_orderstatus").alias("ns1:productOrServiceCode"),
+            F.split("o_orderpriority", "-").alias("ns1:tag"),
+        ).alias("ns1:contractData"),
+        F.struct(
+            F.struct(
+                F.col("c_name").alias("ns1:vendorName"),
+                F.col("o_orderpriority").alias("ns1:vendorAlternateName"),
+            ).alias("ns1:vendorHeader"),
+            site.alias("ns1:vendorSiteDetails"),
+        ).alias("ns1:vendor"),
+        F.year("o_orderdate").alias("year"),
+    )
+
+
+def with_duns(awards: DataFrame, duns: Column) -> DataFrame:
+    """Awards with another DUNS number."""
+    vendor = F.col("`ns1:vendor`")
+    site = vendor["ns1:vendorSiteDetails"]
+    return awards.withColumn(
+        "ns1:vendor",
+        vendor.withField(
+            "`ns1:vendorSiteDetails`",
+            site.withField(
+                "`ns1:vendorDUNSInformation`", F.struct(duns.alias("ns1:DUNSNumber"))
+            ),
+        ),
+    )
+
+
+def write_xml(awards: DataFrame, path: str, file: Column | None = None) -> None:
+    """Awards as XML with attributes, ``<path>/year=YYYY/file=<file>/``; appends."""
+    award_id = F.col("`ns1:awardID`")
+    contract_id = award_id["ns1:awardContractID"]
+    agency = F.struct(contract_id["ns1:agencyID"].alias("_VALUE"), F.lit("N").alias("_name"))
+    marked = awards.withColumns(
+        {
+            "ns1:awardID": award_id.withField(
+                "`ns1:awardContractID`", contract_id.withField("`ns1:agencyID`", agency)
+            ),
+            "_version": F.lit("1.4"),
+            "file": F.lit(AWARD_DIR) if file is None else file,
+        }
+    )
+    (
+        marked.write.mode("append")
+        .partitionBy("year", "file")
+        .format("xml")
+        .option("rowTag", ROW_TAG)
+        .option("rootTag", ROOT_TAG)
+        .option("validateName", "false")
+        .save(path)
+    )
+
+
+def award_xml(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with all awards as XML, one folder per year."""
+    return once(spark, sf_dir, "xml", lambda path: write_xml(award_frame(spark, sf_dir), path))
+
+
+def all_award_files(folder: str) -> str:
+    return f"{folder}/year=*/*AWARD.xml"
+
+
+def keyed_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return award_key(award_frame(spark, sf_dir))
+
+
+def lake(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with the contract and vendor tables of all years."""
+
+    def make(path: str) -> None:
+        awards = keyed_awards(spark, sf_dir)
+        write_contract(apply_types(contract_projection(awards), TYPES), path)
+        write_vendor(vendor_table(awards, per=("year",)), path)
+
+    return once(spark, sf_dir, "lake", make)
+
+
+def contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{lake(spark, sf_dir)}/contract")
+
+
+def vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{lake(spark, sf_dir)}/vendor")
+
+
+def _zip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One archive per batch of ``(member, text)``; members of one name are joined."""
+    partition = TaskContext.get().partitionId()
+    for number, batch in enumerate(batches):
+        content = io.BytesIO()
+        with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as archive:
+            for member, texts in batch.groupby("member", sort=False)["text"]:
+                archive.writestr(member, "".join(texts))
+        yield pd.DataFrame({"path": [f"{partition}-{number}.zip"], "content": [content.getvalue()]})
+
+
+def award_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zip archives ``(path, content)`` of the award XML, many records per member."""
+    pieces = award_records(spark, all_award_files(award_xml(spark, sf_dir)))
+    records = complete_records(pieces).select(
+        F.concat(F.pmod(F.xxhash64("value"), F.lit(8)), F.lit("-AWARD.xml")).alias("member"),
+        F.concat("value", F.lit("\n")).alias("text"),
+    )
+    return records.mapInPandas(_zip, "path string, content binary")
+
+
+def document_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zip archives with one member per document, named by its id."""
+    documents = table(spark, sf_dir, "documents").select(
+        F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("member"), "text"
+    )
+    return documents.mapInPandas(_zip, "path string, content binary")
+
+
+def index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored pages ``(url, html)`` of three-level indexes: region, nation, one zip per supplier.
+
+    There is one index per block of ``PAGE_LINKS`` supplier keys. Keys are unique, so no page
+    lists more links than that, however many suppliers there are.
+    """
+    nation = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    block = F.floor(F.col("s_suppkey") / PAGE_LINKS)
+    site = F.concat(F.lit(f"{SITE}/b"), block.cast("string"), F.lit("/"))
+    rows = table(spark, sf_dir, "supplier").withColumn("root", site)
+    rows = rows.join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+
+    def anchor(href: Column, label: Column) -> Column:
+        return F.concat(F.lit('<li><a href="'), href, F.lit('">'), label, F.lit("</a></li>"))
+
+    def pages(url: Column, link: Column) -> DataFrame:
+        links = rows.select(url.alias("url"), link.alias("link")).distinct()
+        body = F.array_join(F.sort_array(F.collect_list("link")), "\n")
+        html = F.concat(
+            F.lit('<html><body><a href="../">up</a><ul>'), body, F.lit("</ul></body></html>")
+        )
+        return links.groupBy("url").agg(html.alias("html"))
+
+    region = F.concat(F.lit("r"), F.col("r_regionkey").cast("string"), F.lit(".html"))
+    country = F.concat(F.lit("n"), F.col("n_nationkey").cast("string"), F.lit(".html"))
+    archive = F.concat(F.lit("../zips/"), F.replace("s_name", F.lit("#"), F.lit("-")), F.lit(".v1.zip"))
+    return (
+        pages(F.col("root"), anchor(region, F.col("r_name")))
+        .unionByName(pages(F.concat("root", region), anchor(country, F.col("n_name"))))
+        .unionByName(pages(F.concat("root", country), anchor(archive, F.col("s_name"))))
+    )
+
+
+def index_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    block = F.floor(F.col("s_suppkey") / PAGE_LINKS).cast("string")
+    url = F.concat(F.lit(f"{SITE}/b"), block, F.lit("/")).alias("url")
+    return table(spark, sf_dir, "supplier").select(url).distinct()
