@@ -73,14 +73,14 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*[plain(field) for field in df.schema.fields])
 
 
-def check(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under its function name, with its SQL where SQL can say it."""
+def check(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its function name (or ``name``), with its SQL where SQL can say it."""
 
     def register(query: Query) -> Query:
-        name = query.__name__
-        QUERIES[name] = lambda spark, sf_dir: portable(query(spark, sf_dir))
+        key = name or query.__name__
+        QUERIES[key] = lambda spark, sf_dir: portable(query(spark, sf_dir))
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[key] = sql
         return query
 
     return register

@@ -7,12 +7,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks.registry import CONTRACT_COLUMNS, check, with_award
 from contractlake import fixtures
 from contractlake.functions.keys import award_key
+from contractlake.operators.flatten import column, leaf_paths, local_name
 from contractlake.operators.rejects import apply_types
 from contractlake.plans.index import archive_names, pending_archives, plan_downloads, walk_index
 from contractlake.plans.jobs import landing_manifest
 from contractlake.plans.tables import TYPES, contract_projection
 from contractlake.session import scratch_dir
-from contractlake.sources.archives import archive_rejects, expand_archives
+from contractlake.sources.archives import (
+    expand_archives,
+    expand_large_archives,
+    whole_archives,
+)
 from contractlake.sources.awards import (
     CORRUPT,
     ROW_TAG,
@@ -61,7 +66,7 @@ def xml_scan_splittable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check(CONTRACT_SQL)
 def xml_scan_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files above the median-like limit go the splittable way, the others the plain way."""
+    """Files above the mean size go the splittable way, the others the plain way."""
     path, schema = _xml(spark, sf_dir), _schema(spark, sf_dir)
     limit = spark.read.format("binaryFile").load(path).agg(F.avg("length")).first()[0]
     return _contracts(read_awards(spark, path, schema, "by_size", max_file_bytes=int(limit)))
@@ -120,8 +125,6 @@ def xml_infer_leading_zeros(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def xml_schema_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schema found by the distributed pass, and how many records fill each leaf of it."""
-    from contractlake.operators.flatten import column, leaf_paths, local_name
-
     pieces = award_records(spark, _xml(spark, sf_dir))
     schema = discover_schema(pieces)
     awards = parse_records(pieces, schema)
@@ -164,6 +167,15 @@ def zip_expand_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _contracts(parse_records(rows.select("value"), _schema(spark, sf_dir)))
 
 
+@check(CONTRACT_SQL)
+def zip_expand_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from zip files read in place, their members dealt out to the tasks."""
+    folder = fixtures.archive_files(spark, sf_dir)
+    rows = expand_large_archives(spark, f"{folder}/*.zip", separator=f"</{ROW_TAG}>")
+    rows = whole_archives(rows).select("value")
+    return _contracts(parse_records(rows, _schema(spark, sf_dir)))
+
+
 @check("SELECT doc_id || '.txt' AS member, md5(text) AS content FROM documents")
 def zip_expand_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = expand_archives(fixtures.document_archives(spark, sf_dir))

@@ -11,7 +11,7 @@ from contractlake.operators.dedupe import dedupe_vendors
 from contractlake.operators.flatten import array_child, flatten
 from contractlake.operators.rejects import apply_types, cast_rules, split_rejects
 from contractlake.operators.width import truncate_bytes
-from contractlake.plans.jobs import run_year
+from contractlake.plans.jobs import run_years
 from contractlake.plans.questions import join_contract_vendor, latest_vendors
 from contractlake.plans.tables import TYPES, contract_projection, vendor_projection, vendor_table
 from contractlake.session import scratch_dir
@@ -54,7 +54,7 @@ def flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_types(flat, {"obligatedAmount": "double"})
 
 
-@check(CONTRACT_SQL)
+@check(CONTRACT_SQL, name="contract_projection")
 def contract_projection_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_types(contract_projection(fixtures.keyed_awards(spark, sf_dir)), TYPES)
 
@@ -63,7 +63,8 @@ def contract_projection_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_award(
         """SELECT name AS "vendorName", alt_name AS "vendorAlternateName", country AS "countryCode",
         duns AS "DUNSNumber", signed AS "signedDate" FROM award"""
-    )
+    ),
+    name="vendor_projection",
 )
 def vendor_projection_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vendor_projection(fixtures.award_frame(spark, sf_dir))
@@ -263,17 +264,17 @@ def bucketed_tables(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
     def make(path: str) -> None:
         contract, vendor = (f(spark, sf_dir) for f in (fixtures.contract, fixtures.vendor))
-        write_bucketed(contract, vendor, path, names_for(path))
+        write_bucketed(contract, vendor, path, names_for(path), more_keys=("year",))
 
     return names_for(fixtures.once(spark, sf_dir, "bucketed", make))
 
 
-@check(JOINED_SQL)
+@check(JOINED_SQL, name="join_bucketed")
 def join_bucketed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_bucketed(spark, bucketed_tables(spark, sf_dir), "year").select(*JOINED)
 
 
-@check(JOINED_SQL)
+@check(JOINED_SQL, name="join_contract_vendor")
 def join_contract_vendor_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract, vendor = (f(spark, sf_dir) for f in (fixtures.contract, fixtures.vendor))
     return join_contract_vendor(contract, vendor, "year").select(*JOINED)
@@ -318,7 +319,7 @@ def _dictionary_sql() -> str:
     return with_award(" UNION ALL ".join(rows))
 
 
-@check(_dictionary_sql())
+@check(_dictionary_sql(), name="data_dictionary")
 def data_dictionary_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = data_dictionary(fixtures.contract(spark, sf_dir), "contract")
     return entries.select("column", "type", "filled", "longest")
@@ -348,8 +349,8 @@ def loaded_years(spark: SparkSession, sf_dir: str) -> str:
     years = fixtures.table(spark, sf_dir, "orders").select(F.year("o_orderdate")).distinct()
 
     def make(path: str) -> None:
-        for (year,) in years.collect():
-            run_year(spark, f"{folder}/year={year}", path, year, schema, widths={"vendorName": 16})
+        sources = {year: f"{folder}/year={year}" for (year,) in years.collect()}
+        run_years(spark, sources, path, schema=schema, widths={"vendorName": 16})
 
     return fixtures.once(spark, sf_dir, "years", make)
 

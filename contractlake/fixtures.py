@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from contractlake.functions.keys import award_key
 from contractlake.operators.rejects import apply_types
 from contractlake.plans.tables import TYPES, contract_projection, vendor_table
-from contractlake.session import scratch_dir
+from contractlake.session import qualified, scratch_dir
 from contractlake.sinks.tables import write_contract, write_vendor
+from contractlake.sources.archives import shared_store
 from contractlake.sources.awards import ROW_TAG, award_records, complete_records
 
 ROOT_TAG = 'ns1:awards xmlns:ns1="urn:awards"'
@@ -122,6 +123,9 @@ def write_xml(awards: DataFrame, path: str, file: Column | None = None) -> None:
             "file": F.lit(AWARD_DIR) if file is None else file,
         }
     )
+    tasks = awards.sparkSession.sparkContext.defaultParallelism
+    if marked.rdd.getNumPartitions() < tasks:  # a small table is one split
+        marked = marked.repartition(tasks)
     (
         marked.write.mode("append")
         .partitionBy("year", "file")
@@ -186,6 +190,27 @@ def award_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.mapInPandas(_zip, "path string, content binary")
 
 
+def archive_files(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with the award archives as zip files, each written by the task that made it."""
+
+    def make(path: str) -> None:
+        folder = qualified(spark, path)
+
+        def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            store, name = shared_store(folder)
+            store.create_dir(name, recursive=True)
+            for batch in batches:
+                for file, content in zip(batch["path"], batch["content"]):
+                    with store.open_output_stream(f"{name}/{file}") as out:
+                        out.write(content)
+                yield batch[["path"]]
+
+        saved = award_archives(spark, sf_dir).mapInPandas(save, "path string")
+        saved.write.format("noop").mode("overwrite").save()
+
+    return once(spark, sf_dir, "zips", make)
+
+
 def document_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zip archives with one member per document, named by its id."""
     documents = table(spark, sf_dir, "documents").select(

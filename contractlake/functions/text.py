@@ -17,24 +17,23 @@ CHARACTER_REFERENCES = {
 }
 
 
-def truncate_utf8(text: Column, width: int) -> Column:
-    """Longest prefix of ``text`` of at most ``width`` bytes that ends between two characters.
+def truncate_utf8(name: str, width: int) -> Column:
+    """Longest prefix of the named column of at most ``width`` bytes that ends between characters.
 
     Only the first ``width + 1`` characters are encoded, so the cost does not grow with the text.
+    A byte from 80 to BF goes on with the character before it.
     """
     if width < 4:
         raise ValueError("a width below 4 bytes cannot hold every character")
-    data = F.encode(F.substring(text, 1, width + 1), "UTF-8")
-
-    def inside_character(position: int) -> Column:
-        byte = F.hex(F.substring(data, position, 1))
-        return (byte >= "80") & (byte <= "BF")
-
-    cut = F.lit(width - 3)
-    for back in (2, 1, 0):
-        cut = F.when(~inside_character(width - back + 1), F.lit(width - back)).otherwise(cut)
-    short = F.decode(F.substring(data, F.lit(1), cut), "UTF-8")
-    return F.when(F.octet_length(text) <= width, text).otherwise(short)
+    text = "`" + name.replace("`", "``") + "`"
+    data = f"encode(substring({text}, 1, {width + 1}), 'UTF-8')"
+    cases = " ".join(
+        f"WHEN hex(substring({data}, {cut + 1}, 1)) NOT BETWEEN '80' AND 'BF' "
+        f"THEN decode(substring({data}, 1, {cut}), 'UTF-8')"
+        for cut in (width, width - 1, width - 2)
+    )
+    last = f"decode(substring({data}, 1, {width - 3}), 'UTF-8')"
+    return F.expr(f"CASE WHEN octet_length({text}) <= {width} THEN {text} {cases} ELSE {last} END")
 
 
 def link_label(text: Column) -> Column:

@@ -46,8 +46,12 @@ def split_rejects(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame
     return df.where(~any_broken), df.where(any_broken).withColumn("reasons", reasons)
 
 
-def check_rejects(rejects: DataFrame, max_errors: int = MAX_ERRORS) -> None:
-    """Raise when ``max_errors`` rows or more are rejected; reads no further than that."""
+def check_rejects(rejects: DataFrame, max_errors: int = MAX_ERRORS) -> int:
+    """Number of rejects; raises when ``max_errors`` rows or more are rejected.
+
+    Each task stops at the limit, so a load that is bad throughout is not counted through.
+    """
     found = rejects.select(F.lit(1)).limit(max_errors).count()
     if found >= max_errors:
         raise LoadError(f"{max_errors} rows or more were rejected")
+    return found

@@ -26,7 +26,7 @@ def truncate_bytes(
 ) -> DataFrame:
     """Cut text columns to their width in bytes, at a character boundary."""
     cut = column_widths(df, widths, default)
-    return df.withColumns({n: truncate_utf8(F.col(n), w) for n, w in cut.items()}) if cut else df
+    return df.withColumns({n: truncate_utf8(n, w) for n, w in cut.items()}) if cut else df
 
 
 def apply_widths(
@@ -39,8 +39,12 @@ def apply_widths(
 
     Metadata survives a filter and a Parquet round trip but no expression: apply it last.
     """
-    if truncate:
-        df = truncate_bytes(df, widths, default)
-    for name, width in column_widths(df, widths, default).items():
-        df = df.withMetadata(name, {**df.schema[name].metadata, "maxlength": width})
-    return df
+    found = column_widths(df, widths, default)
+    columns = []
+    for field in df.schema.fields:
+        value, width = F.col(f"`{field.name}`"), found.get(field.name)
+        if width is not None:
+            value = truncate_utf8(field.name, width) if truncate else value
+            value = value.alias(field.name, metadata={**field.metadata, "maxlength": width})
+        columns.append(value)
+    return df.select(*columns)

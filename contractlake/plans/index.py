@@ -55,10 +55,12 @@ def plan_downloads(
 ) -> DataFrame:
     """Archives to fetch: walk the stored index pages and leave out what has landed.
 
-    The links are extracted once and written to ``linked_path``; the levels then join that
-    narrow table instead of reading all HTML once per level.
+    The links are extracted once, one row per address even where a page was stored several
+    times, and written to ``linked_path``; the levels then join that narrow table instead of
+    reading all HTML once per level.
     """
-    page_links(pages, tidy=tidy).write.mode("error").parquet(linked_path)
+    linked = page_links(pages, tidy=tidy).groupBy("url").agg(F.max("links").alias("links"))
+    linked.write.mode("error").parquet(linked_path)
     linked = pages.sparkSession.read.parquet(linked_path)
     found = archive_names(walk_index(linked, roots, depth), archive_base)
     return pending_archives(found, done)

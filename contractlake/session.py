@@ -32,6 +32,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, so that Python code in a task opens the same place."""
+    fs, jvm_path = _hadoop_path(spark, path)
+    return fs.makeQualified(jvm_path).toString()
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder this job wrote itself (a staging copy, or the first half of a failed load)."""
     fs, jvm_path = _hadoop_path(spark, path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from contractlake.operators.skew import default_parts, hot_keys, key_counts, salt_left, salt_right
@@ -69,14 +71,17 @@ def write_bucketed(
     root: str,
     names: tuple[str, str] = ("contract_bucketed", "vendor_bucketed"),
     buckets: int | None = None,
+    more_keys: Sequence[str] = (),
 ) -> tuple[str, str]:
-    """Save both tables in the catalog, bucketed by key and ``salt``, so they join in place.
+    """Save both tables in the catalog, bucketed by their join keys and ``salt``.
 
-    A vendor with more than a bucket's share of the contracts has them spread over several
-    salts and its own row repeated for each; without that one bucket could hold a third of the
-    table. Both sides are shuffled into exactly the buckets first: one file per bucket.
+    Tables bucketed by exactly the join keys join in place. A vendor with more than a bucket's
+    share of the contracts has them spread over several salts and its own row repeated for
+    each; without that one bucket could hold a third of the table. Both sides are shuffled into
+    exactly the buckets first: one file per bucket.
     """
     buckets = buckets or default_parts(contract)
+    by = (KEY, *more_keys, "salt")
     hot = hot_keys(key_counts(contract, KEY), KEY, buckets)
     sides = (
         (salt_left(contract, hot, KEY, buckets), names[0], DATE),
@@ -84,9 +89,9 @@ def write_bucketed(
     )
     for df, name, sort in sides:
         (
-            df.repartition(buckets, KEY, "salt")
+            df.repartition(buckets, *by)
             .write.mode("error")
-            .bucketBy(buckets, KEY, "salt")
+            .bucketBy(buckets, *by)
             .sortBy(sort)
             .option("path", f"{root.rstrip('/')}/{name}")
             .saveAsTable(name)
@@ -95,9 +100,9 @@ def write_bucketed(
 
 
 def join_bucketed(spark: SparkSession, names: tuple[str, str], *more_keys: str) -> DataFrame:
-    """Contracts with their vendor from bucketed tables; neither side is shuffled."""
+    """Contracts with their vendor from tables bucketed by the same keys; no side is shuffled."""
     contract, vendor = (spark.table(name) for name in names)
-    return contract.join(vendor, [KEY, "salt", *more_keys], "left").drop("salt")
+    return contract.join(vendor, [KEY, *more_keys, "salt"], "left").drop("salt")
 
 
 def export_csv(df: DataFrame, path: str, array_sep: str = ",") -> None:

@@ -9,6 +9,7 @@ must be UTF-8.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from xml.parsers import expat
 
@@ -102,7 +103,7 @@ def award_records(
 
 def complete_records(pieces: DataFrame, row_tag: str = ROW_TAG) -> DataFrame:
     """Pieces of text to whole elements: from the start tag on, end tag put back."""
-    start = rf"(?s)<{row_tag}[\s>].*$"
+    start = rf"(?s)<{re.escape(row_tag)}[\s>].*$"
     return (
         pieces.withColumn("value", F.regexp_extract("value", start, 0))
         .where(F.col("value") != "")

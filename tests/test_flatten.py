@@ -1,0 +1,86 @@
+"""Flattening, prefixes, names, arrays."""
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from contractlake.operators.flatten import (
+    array_child,
+    column_or_null,
+    flatten,
+    leaf_paths,
+    local_name,
+    rename_paths,
+    select_paths,
+)
+
+SCHEMA = "`n:a` struct<`n:b`:string,`n:c`:struct<`n.d`:string>>, `n:vendor` struct<`n:e`:int>, \
+`n:vendorX` struct<`n:f`:int>, `n:tags` array<string>"
+ROWS = [(("b1", ("d1",)), (1,), (2,), ["x", "y"]), (("b2", None), None, (3,), None)]
+
+
+@pytest.fixture(scope="module")
+def nested(spark):
+    return spark.createDataFrame(ROWS, SCHEMA)
+
+
+def test_one_column_per_leaf_and_same_rows(nested):
+    flat = flatten(nested)
+    assert flat.columns == ["b", "n.d", "e", "f", "tags"]
+    assert len(flat.columns) == len(leaf_paths(nested.schema))
+    assert flat.count() == nested.count()
+    assert flat.first() == ("b1", "d1", 1, 2, ["x", "y"])
+
+
+def test_segment_names_with_dots_and_colons(nested):
+    assert flatten(nested, include=[("n:a", "n:c", "n.d")]).first() == ("d1",)
+
+
+def test_prefix_is_a_whole_segment(nested):
+    paths = leaf_paths(nested.schema)
+    assert select_paths(paths, include=["n:vendor"]) == [("n:vendor", "n:e")]
+    assert ("n:vendorX", "n:f") in select_paths(paths, exclude=["n:vendor"])
+
+
+def test_carry_adds_at_the_end_and_absent_paths_are_null(nested):
+    flat = flatten(nested, include=["n:a"], carry=["n:vendor.n:e", "n:gone.n:g"])
+    assert flat.columns == ["b", "n.d", "e", "g"]
+    assert flat.first() == ("b1", "d1", 1, None)
+    assert flat.schema["g"].dataType == T.StringType()
+
+
+def test_rename_takes_the_name_as_given():
+    paths = [("n:a", "n:b"), ("n:x", "n:b")]
+    assert rename_paths(paths, {"n:x.n:b": "other"}) == {paths[0]: "b", paths[1]: "other"}
+    assert local_name("a.n:b") == "b" and local_name("a.b") == "b"
+
+
+def test_name_collision_names_both_paths_whatever_the_case():
+    with pytest.raises(ValueError, match="n:a.n:B and n:x.n:b"):
+        rename_paths([("n:a", "n:B"), ("n:x", "n:b")])
+
+
+def test_array_policies(spark, nested):
+    assert flatten(nested, include=["n:tags"], arrays="join").collect() == [("x,y",), (None,)]
+    assert "tags" not in flatten(nested, arrays="child").columns
+    deep = spark.createDataFrame([([(1, "a")],)], "t array<struct<k:int,v:string>>")
+    assert flatten(deep, arrays="join").first() == ('[{"k":1,"v":"a"}]',)
+    with pytest.raises(ValueError):
+        flatten(nested, arrays="drop")
+
+
+def test_array_child_rows(spark, nested):
+    child = array_child(nested, "n:tags", {"key": "n:a.n:b"})
+    assert child.collect() == [("b1", 0, "x"), ("b1", 1, "y")]
+    outer = array_child(nested, "n:tags", {"key": "n:a.n:b"}, outer=True)
+    assert ("b2", None, None) in [tuple(r) for r in outer.collect()]
+    deep = spark.createDataFrame([("k", [(1, "a"), (2, "b")])], "key string, t array<struct<`n:k`:int,v:string>>")
+    assert array_child(deep, "t", {"key": "key"}).collect() == [("k", 0, 1, "a"), ("k", 1, 2, "b")]
+
+
+def test_flatten_is_one_projection(nested):
+    plan = flatten(nested)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Project") <= 1
+
+
+def test_column_or_null(nested):
+    assert nested.select(column_or_null(nested.schema, "n:a.n:zz").alias("z")).first() == (None,)
