@@ -22,7 +22,7 @@ def _write_years(df: DataFrame, root: str, table: str, year: int | str | None) -
         df.write.mode("error").partitionBy("year").parquet(path)
     else:
         path = year_path(root, table, year)
-        df.drop("year").write.mode("error").parquet(path)
+        df.write.mode("error").parquet(path)
     return path
 
 
@@ -40,6 +40,7 @@ def write_contract(
     ``layout="ranged"`` shuffles into date ranges first, so that whole files can be skipped;
     a date with very many rows is divided by a hash of the rows.
     """
+    df = df if year is None else df.drop("year")
     order = [name for name in ("year", date) if name in df.columns]
     if layout == "ranged":
         row = F.xxhash64(*[F.col(f"`{name}`") for name in df.columns], F.spark_partition_id())
@@ -56,6 +57,7 @@ def write_vendor(
     df: DataFrame, root: str, year: int | str | None = None, key: str = KEY
 ) -> str:
     """Write ``<root>/vendor/year=YYYY``, fail if it exists, return the path; sorted by key."""
+    df = df if year is None else df.drop("year")
     order = ["year", key] if year is None else [key]
     return _write_years(df.sortWithinPartitions(*order), root, "vendor", year)
 
@@ -109,11 +111,14 @@ def export_csv(df: DataFrame, path: str, array_sep: str = ",") -> None:
     """Gzip CSV with a header; arrays become joined text, null and empty text stay apart."""
     arrays = [f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
     flat = df.withColumns({name: F.array_join(name, array_sep) for name in arrays}) if arrays else df
-    flat.write.mode("error").options(**CSV_OPTIONS).option("compression", "gzip").csv(path)
+    writer = flat.write.mode("error").options(**CSV_OPTIONS).option("emptyValue", '""')
+    writer.option("compression", "gzip").csv(path)
 
 
 def read_csv_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.options(**CSV_OPTIONS).option("multiLine", "true").schema(schema).csv(path)
+    """The exported rows; line breaks inside text make a file one split, as gzip does anyway."""
+    reader = spark.read.options(**CSV_OPTIONS).option("emptyValue", "").option("multiLine", "true")
+    return reader.schema(schema).csv(path)
 
 
 # How the CSV files are written and read back.
@@ -122,7 +127,6 @@ CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',
     "nullValue": "",
-    "emptyValue": '""',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",

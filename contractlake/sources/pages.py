@@ -6,11 +6,11 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from contractlake.functions.text import decode_references, join_url, link_label
 
-LINKS = "array<struct<href:string,text:string>>"
+LINK = T.StructType([T.StructField("href", T.StringType()), T.StructField("text", T.StringType())])
 
 # Patterns of tidy markup.
 UNSHOWN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
@@ -52,7 +52,7 @@ class _LinkParser(HTMLParser):
             link[1] += data
 
 
-@F.pandas_udf(LINKS)
+@F.pandas_udf(T.ArrayType(LINK))
 def _parsed_anchors(pages: pd.Series) -> pd.Series:
     def links(html: str | None) -> list[dict]:
         parser = _LinkParser()

@@ -1,0 +1,127 @@
+"""Anchors, labels, addresses, the index walk and what is left to fetch."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from contractlake.functions.text import archive_stem, join_url, link_label
+from contractlake.plans.index import archive_names, pending_archives, plan_downloads, walk_index
+from contractlake.sources.pages import extract_links, labelled, page_links, resolve_links
+
+TIDY = """<html><!-- <a href="no">NO</a> --><script>var a='<a href="no">NO</a>';</script>
+<A class="c" HREF='one.html'><img src="X.GIF"> 2004 </A><a name="top">TOP</a>
+<a href=two.html>parent</a><a href="q?a=1&amp;b=2">A &amp; B</a><a data-href="z">FY05-V1.4</a>
+<abbr>NOT</abbr><a href="">EMPTY</a></html>"""
+
+EXPECTED = [
+    ("one.html", "2004"),
+    (None, "TOP"),
+    ("two.html", None),
+    ("q?a=1&b=2", "A"),
+    (None, "FY05-V1.4"),
+    ("", "EMPTY"),
+]
+
+
+@pytest.mark.parametrize("tidy", [True, False])
+def test_anchors(spark, tidy):
+    pages = spark.createDataFrame([("u", TIDY), ("v", None), ("w", "none")], "url string, html string")
+    found = extract_links(pages, tidy=tidy).collect()
+    assert [(r.href, r.label) for r in found] == EXPECTED
+    assert {r.url for r in found} == {"u"}
+    assert labelled(extract_links(pages, tidy=tidy)).count() == 5
+
+
+def test_untidy_markup_needs_the_parser(spark):
+    html = '<a href="a" title="x>y">A1<a href="b">B2</a></a><a href="c">&Eacute;&#65;3'
+    pages = spark.createDataFrame([("u", html)], "url string, html string")
+    found = extract_links(pages, tidy=False).collect()
+    assert [(r.href, r.label) for r in found] == [("a", "A1B2"), ("b", "B2"), ("c", "A3")]
+
+
+def test_links_without_parsing_stay_in_the_jvm(spark):
+    pages = spark.createDataFrame([("u", TIDY)], "url string, html string")
+    plan = extract_links(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_label_and_stem(spark):
+    def one(expr):
+        return spark.range(1).select(expr).first()[0]
+
+    assert one(link_label(F.lit("Parent"))) == "P"
+    assert one(link_label(F.lit("up one level"))) is None
+    assert one(archive_stem(F.lit("../z/FY05-V1.4-x.zip"))) == "FY05-V1.4-x"
+    assert one(archive_stem(F.lit("plain"))) == "plain"
+
+
+@pytest.mark.parametrize(
+    "base, href, target",
+    [
+        ("http://h/d", "x.html", "http://h/d/x.html"),
+        ("http://h/d/", "x.html", "http://h/d/x.html"),
+        ("http://h/d", "/x", "/x"),
+        ("http://h/d", "ftp://o/x", "ftp://o/x"),
+    ],
+)
+def test_join_url(spark, base, href, target):
+    assert spark.range(1).select(join_url(F.lit(base), F.lit(href))).first()[0] == target
+
+
+def test_resolve_drops_links_without_address(spark):
+    links = spark.createDataFrame([(None, "A"), ("../../z/a.zip", "B")], "href string, label string")
+    assert [r.target for r in resolve_links(links, "http://h", archives=True).collect()] == ["http://h/z/a.zip"]
+
+
+def page(url, *links):
+    return (url, "".join(f'<a href="{href}">{label}</a>' for href, label in links))
+
+
+PAGES = [
+    page("http://i/", ("y1", "2004"), ("y2", "2005"), ("skip", "parent"), ("y1", "2004")),
+    page("http://i/y1", ("a1", "9700"), ("a2", "NASA")),
+    page("http://i/y1", ("a1", "9700"), ("a2", "NASA")),  # stored twice
+    page("http://i/y2", ("a1", "9700"), ("http://i/", "ROOT")),
+    page("http://i/a1", ("../z/FY-V1.4-x.zip", "X"), ("../z/FY-V1.4-y.zip", "Y")),
+    page("http://i/a2", ("../z/n.zip", "N"), ("../o/n.zip", "N"), ("../z/no.zip", "none")),
+    page("http://i/skip", ("a1", "Z")),
+]
+
+
+@pytest.fixture()
+def pages(spark):
+    return spark.createDataFrame(PAGES, "url string, html string")
+
+
+def test_walk(spark, pages):
+    roots = spark.createDataFrame([("http://i/",)], "url string")
+    found = {(r.folder, r.href) for r in walk_index(page_links(pages), roots).collect()}
+    x, y = "../z/FY-V1.4-x.zip", "../z/FY-V1.4-y.zip"
+    assert found == {
+        ("2004", x), ("2004", y), ("2004", "../z/n.zip"), ("2004", "../o/n.zip"),
+        ("2005", x), ("2005", y), ("2005", "y1"), ("2005", "y2"),
+    }
+    one = walk_index(page_links(pages), roots, depth=1)
+    assert {(r.folder, r.href) for r in one.collect()} == {("2004", "y1"), ("2005", "y2")}
+    with pytest.raises(ValueError):
+        walk_index(page_links(pages), roots, depth=0)
+
+
+def test_plan_downloads(spark, folder, pages):
+    roots = spark.createDataFrame([("http://i/",)], "url string")
+    done = spark.createDataFrame([("2004/FY-V1.4-x",), ("2005/y1",)], "destination string")
+    pending = plan_downloads(pages, roots, done, "http://d/", f"{folder}/links")
+    assert {tuple(r) for r in pending.select("destination", "target").collect()} == {
+        ("2004/FY-V1.4-y", "http://d/z/FY-V1.4-y.zip"),
+        ("2004/n", "http://d/o/n.zip"),
+        ("2005/FY-V1.4-x", "http://d/z/FY-V1.4-x.zip"),
+        ("2005/FY-V1.4-y", "http://d/z/FY-V1.4-y.zip"),
+        ("2005/y2", "http://d/y2"),
+    }
+
+
+def test_pending_once_per_key(spark):
+    links = spark.createDataFrame([("2004", "b/a.zip"), ("2004", "a/a.zip")], "folder string, href string")
+    named = archive_names(links, "http://d")
+    none_done = spark.createDataFrame([], "destination string")
+    assert pending_archives(named, none_done).collect() == [("2004/a", "http://d/a/a.zip")]
+    assert pending_archives(named, named).count() == 0
