@@ -116,9 +116,19 @@ def export_csv(df: DataFrame, path: str, array_sep: str = ",") -> None:
 
 
 def read_csv_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The exported rows; line breaks inside text make a file one split, as gzip does anyway."""
-    reader = spark.read.options(**CSV_OPTIONS).option("emptyValue", "").option("multiLine", "true")
-    return reader.schema(schema).csv(path)
+    """The exported rows; line breaks inside text make a file one split, as gzip does anyway.
+
+    The reader would take empty text for null: it hands it out as a NUL character, which no XML
+    text can hold, and that is turned back.
+    """
+    reader = spark.read.options(**CSV_OPTIONS).option("emptyValue", "\0").option("multiLine", "true")
+    text = {
+        f.name: F.when(F.col(f"`{f.name}`") == "\0", "").otherwise(F.col(f"`{f.name}`"))
+        for f in schema.fields
+        if isinstance(f.dataType, T.StringType)
+    }
+    rows = reader.schema(schema).csv(path)
+    return rows.withColumns(text) if text else rows
 
 
 # How the CSV files are written and read back.
