@@ -13,11 +13,7 @@ from contractlake.plans.index import archive_names, pending_archives, plan_downl
 from contractlake.plans.jobs import landing_manifest
 from contractlake.plans.tables import TYPES, contract_projection
 from contractlake.session import scratch_dir
-from contractlake.sources.archives import (
-    expand_archives,
-    expand_large_archives,
-    whole_archives,
-)
+from contractlake.sources.archives import expand_archives, expand_large_archives
 from contractlake.sources.awards import (
     CORRUPT,
     ROW_TAG,
@@ -172,8 +168,7 @@ def zip_expand_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from zip files read in place, their members dealt out to the tasks."""
     folder = fixtures.archive_files(spark, sf_dir)
     rows = expand_large_archives(spark, f"{folder}/*.zip", separator=f"</{ROW_TAG}>")
-    rows = whole_archives(rows).select("value")
-    return _contracts(parse_records(rows, _schema(spark, sf_dir)))
+    return _contracts(parse_records(rows.select("value"), _schema(spark, sf_dir)))
 
 
 @check("SELECT doc_id || '.txt' AS member, md5(text) AS content FROM documents")

@@ -302,19 +302,30 @@ def sink_csv_free_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dictionary_sql() -> str:
-    text = {"PIID": "piid", "agencyID": "agency", "modNumber": "'0'", "DUNSNumber": "duns",
-            "unique_award_id": "award_id", "referencedID": "vehicle",
-            "productOrServiceCode": "product", "tag": "tag"}
-    other = {"signedDate": ("timestamp_ntz", "signed_at"), "obligatedAmount": ("decimal(18,2)", "amount"),
-             "year": ("int", "year")}
+    contract_id, vendor = "ns1:awardID.ns1:awardContractID.", "ns1:vendor.ns1:vendorSiteDetails."
+    text = {
+        "PIID": (contract_id + "ns1:PIID", "piid"),
+        "agencyID": (contract_id + "ns1:agencyID", "agency"),
+        "modNumber": (contract_id + "ns1:modNumber", "'0'"),
+        "DUNSNumber": (vendor + "ns1:vendorDUNSInformation.ns1:DUNSNumber", "duns"),
+        "unique_award_id": ("ns1:unique_award_id", "award_id"),
+        "referencedID": ("ns1:referencedID", "vehicle"),
+        "productOrServiceCode": ("ns1:contractData.ns1:productOrServiceCode", "product"),
+        "tag": ("ns1:contractData.ns1:tag", "tag"),
+    }
+    other = {
+        "signedDate": ("ns1:relevantContractDates.ns1:signedDate", "timestamp_ntz", "signed_at"),
+        "obligatedAmount": ("ns1:dollarValues.ns1:obligatedAmount", "decimal(18,2)", "amount"),
+        "year": ("year", "int", "year"),
+    }
     rows = [
-        f"SELECT '{name}' AS \"column\", 'string' AS type, count({value}) AS filled, "
-        f"max(strlen({value}))::bigint AS longest FROM award"
-        for name, value in text.items()
+        f"SELECT '{path}' AS path, '{name}' AS \"column\", 'string' AS type, "
+        f"count({value}) AS filled, max(strlen({value}))::bigint AS longest FROM award"
+        for name, (path, value) in text.items()
     ]
     rows += [
-        f"SELECT '{name}', '{dtype}', count({value}), NULL::bigint FROM award"
-        for name, (dtype, value) in other.items()
+        f"SELECT '{path}', '{name}', '{dtype}', count({value}), 0::bigint FROM award"
+        for name, (path, dtype, value) in other.items()
     ]
     return with_award(" UNION ALL ".join(rows))
 
@@ -322,7 +333,8 @@ def _dictionary_sql() -> str:
 @check(_dictionary_sql(), name="data_dictionary")
 def data_dictionary_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = data_dictionary(fixtures.contract(spark, sf_dir), "contract")
-    return entries.select("column", "type", "filled", "longest")
+    longest = F.coalesce("longest", F.lit(0)).alias("longest")
+    return entries.select("path", "column", "type", "filled", longest)
 
 
 @check(

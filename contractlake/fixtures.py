@@ -47,6 +47,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def award_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested award per order, every leaf text, and the ``year`` it was signed in."""
     orders = table(spark, sf_dir, "orders")
+    tasks = spark.sparkContext.defaultParallelism
+    if orders.rdd.getNumPartitions() * 4 <= tasks:  # a small table is one split
+        orders = orders.repartition(tasks)
     customer = table(spark, sf_dir, "customer")
     order_key = F.col("o_orderkey").cast("string")
     award_id = F.struct(
@@ -123,9 +126,6 @@ def write_xml(awards: DataFrame, path: str, file: Column | None = None) -> None:
             "file": F.lit(AWARD_DIR) if file is None else file,
         }
     )
-    tasks = awards.sparkSession.sparkContext.defaultParallelism
-    if marked.rdd.getNumPartitions() < tasks:  # a small table is one split
-        marked = marked.repartition(tasks)
     (
         marked.write.mode("append")
         .partitionBy("year", "file")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from contractlake.functions.keys import blank_to_null
+from contractlake.operators.flatten import as_before, column, named
 
 
 def dedupe_vendors(
@@ -25,17 +26,25 @@ def dedupe_vendors(
     """
     keys = [key] if isinstance(key, str) else list(key)
     for name in keys:
+        value = named(name)
         if dict(df.dtypes)[name] == "string":
-            df = df.withColumn(name, blank_to_null(F.col(name)))
-    df = df.dropna(subset=keys)
+            value = blank_to_null(value)
+            df = df.withColumn(name, as_before(value, df.schema[name]))
+        df = df.where(named(name).isNotNull())
     order = [name for name in latest_by if name in df.columns and name not in keys]
     rest = [name for name in df.columns if name not in keys and name not in order]
     shown = [n for n in df.columns if keep_order_columns or n not in order]
     if mode == "any":
-        return df.dropDuplicates(keys).select(*shown)
+        return df.dropDuplicates(keys).select(*map(named, shown))
     if mode != "latest":
         raise ValueError(f"unknown mode {mode!r}")
     if not order + rest:
-        return df.select(*keys).distinct()
-    best = df.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("_row"))
-    return best.select(*[F.col(n) if n in keys else F.col(f"_row.`{n}`").alias(n) for n in shown])
+        return df.select(*map(named, keys)).distinct()
+    row = F.struct(*map(named, order + rest))
+    best = df.groupBy(*map(named, keys)).agg(F.max(row).alias("_row"))
+    return best.select(
+        *[
+            as_before(named(n) if n in keys else column(("_row", n)), df.schema[n])
+            for n in shown
+        ]
+    )

@@ -19,6 +19,16 @@ def column(path: str | Path) -> Column:
     return F.col(".".join("`" + part.replace("`", "``") + "`" for part in as_path(path)))
 
 
+def named(name: str) -> Column:
+    """Top-level column of exactly this name."""
+    return column((name,))
+
+
+def as_before(value: Column, field: T.StructField) -> Column:
+    """A new value for a column that keeps its name and metadata, which expressions lose."""
+    return value.alias(field.name, metadata=field.metadata)
+
+
 def type_at(schema: T.StructType, path: str | Path) -> T.DataType | None:
     """Type at a nested path, None when the path is absent."""
     here: T.DataType = schema
@@ -108,7 +118,7 @@ def flatten(
     ``carry`` adds leaves (keys) after the selected ones; a carried path that is absent becomes
     a null text column. ``arrays``: ``keep`` leaves repeated elements as arrays, ``join`` makes
     text of them (JSON when the elements are nested), ``child`` leaves them out, to be read
-    with :func:`array_child`.
+    with :func:`array_child`. The path a column came from is kept in its metadata.
     """
     if arrays not in ("keep", "join", "child"):
         raise ValueError(f"unknown array policy {arrays!r}")
@@ -122,7 +132,7 @@ def flatten(
             if arrays == "child":
                 continue
             value = _joined_array(value, dtype, array_sep)
-        columns.append(value.alias(name))
+        columns.append(value.alias(name, metadata={"path": ".".join(path)}))
     return df.select(*columns)
 
 

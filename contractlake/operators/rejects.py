@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from contractlake.operators.flatten import as_before, named
+
 # Fixed value: a load fails when this many rows are rejected.
 MAX_ERRORS = 50
 
@@ -17,7 +19,7 @@ class LoadError(RuntimeError):
 def cast_rules(types: Mapping[str, str], columns: list[str]) -> dict[str, Column]:
     """One rule per typed column: the text is there but is no value of the type."""
     return {
-        f"{name} is not {dtype}": F.col(name).isNotNull() & F.col(name).try_cast(dtype).isNull()
+        f"{name} is not {dtype}": named(name).isNotNull() & named(name).try_cast(dtype).isNull()
         for name, dtype in types.items()
         if name in columns
     }
@@ -25,7 +27,11 @@ def cast_rules(types: Mapping[str, str], columns: list[str]) -> dict[str, Column
 
 def apply_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast the named columns; use after :func:`cast_rules` took the impossible ones out."""
-    casts = {n: F.col(n).try_cast(dtype) for n, dtype in types.items() if n in df.columns}
+    casts = {
+        n: as_before(named(n).try_cast(dtype), df.schema[n])
+        for n, dtype in types.items()
+        if n in df.columns
+    }
     return df.withColumns(casts) if casts else df
 
 

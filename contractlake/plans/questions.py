@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from contractlake.operators.dedupe import dedupe_vendors
+from contractlake.operators.flatten import named
 from contractlake.operators.skew import spread_join
 
 KEY = "DUNSNumber"
@@ -36,7 +37,7 @@ def union_years(frames: Sequence[DataFrame], types: Mapping[str, str] | None = N
     target |= {n: t for n, t in declared.items() if n in seen}
     result: DataFrame | None = None
     for frame in frames:
-        casts = {n: F.col(n).cast(t) for n, t in target.items() if n in frame.columns}
+        casts = {n: named(n).cast(t) for n, t in target.items() if n in frame.columns}
         frame = frame.withColumns(casts) if casts else frame
         result = frame if result is None else result.unionByName(frame, allowMissingColumns=True)
     if result is None:

@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from contractlake.functions.keys import AWARD_ID, DUNS, blank_to_null
 from contractlake.operators.dedupe import dedupe_vendors
-from contractlake.operators.flatten import as_path, flatten, leaf_paths, local_name
+from contractlake.operators.flatten import (
+    as_before,
+    as_path,
+    flatten,
+    leaf_paths,
+    local_name,
+    named,
+)
 from contractlake.operators.rejects import apply_types
 from contractlake.sources.awards import CORRUPT
 
@@ -41,7 +48,7 @@ def contract_projection(
         arrays=arrays,
     )
     duns = (rename or {}).get(DUNS, local_name(DUNS))
-    return flat.withColumn(duns, blank_to_null(F.col(duns)))
+    return flat.withColumn(duns, as_before(blank_to_null(named(duns)), flat.schema[duns]))
 
 
 def vendor_projection(

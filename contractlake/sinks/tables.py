@@ -17,6 +17,8 @@ def year_path(root: str, table: str, year: int | str) -> str:
 
 
 def _write_years(df: DataFrame, root: str, table: str, year: int | str | None) -> str:
+    if year is not None and "year" in map(str.lower, df.columns):
+        raise ValueError("rename the column 'year': the folder gives the table a column of that name")
     if year is None:
         path = f"{root.rstrip('/')}/{table}"
         df.write.mode("error").partitionBy("year").parquet(path)
@@ -40,7 +42,6 @@ def write_contract(
     ``layout="ranged"`` shuffles into date ranges first, so that whole files can be skipped;
     a date with very many rows is divided by a hash of the rows.
     """
-    df = df if year is None else df.drop("year")
     order = [name for name in ("year", date) if name in df.columns]
     if layout == "ranged":
         row = F.xxhash64(*[F.col(f"`{name}`") for name in df.columns], F.spark_partition_id())
@@ -57,7 +58,6 @@ def write_vendor(
     df: DataFrame, root: str, year: int | str | None = None, key: str = KEY
 ) -> str:
     """Write ``<root>/vendor/year=YYYY``, fail if it exists, return the path; sorted by key."""
-    df = df if year is None else df.drop("year")
     order = ["year", key] if year is None else [key]
     return _write_years(df.sortWithinPartitions(*order), root, "vendor", year)
 
@@ -144,7 +144,7 @@ CSV_OPTIONS = {
 
 
 def data_dictionary(df: DataFrame, table: str) -> DataFrame:
-    """One row per column: type, noted width, filled rows and the longest value in bytes.
+    """One row per column: source path, type, noted width, filled rows, longest value in bytes.
 
     One pass with partial aggregates; the longest value tells which columns need a width.
     """
@@ -158,6 +158,7 @@ def data_dictionary(df: DataFrame, table: str) -> DataFrame:
     entries = [
         F.struct(
             F.lit(table).alias("table"),
+            F.lit(field.metadata.get("path", field.name)).alias("path"),
             F.lit(field.name).alias("column"),
             F.lit(field.dataType.simpleString()).alias("type"),
             F.lit(field.metadata.get("maxlength")).cast("long").alias("maxlength"),

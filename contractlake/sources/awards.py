@@ -103,12 +103,9 @@ def award_records(
 
 def complete_records(pieces: DataFrame, row_tag: str = ROW_TAG) -> DataFrame:
     """Pieces of text to whole elements: from the start tag on, end tag put back."""
-    start = rf"(?s)<{re.escape(row_tag)}[\s>].*$"
-    return (
-        pieces.withColumn("value", F.regexp_extract("value", start, 0))
-        .where(F.col("value") != "")
-        .withColumn("value", F.concat("value", F.lit(f"</{row_tag}>")))
-    )
+    start = rf"<{re.escape(row_tag)}[\s>]"
+    whole = F.concat(F.regexp_extract("value", f"(?s){start}.*$", 0), F.lit(f"</{row_tag}>"))
+    return pieces.where(F.col("value").rlike(start)).withColumn("value", whole)
 
 
 def parse_records(

@@ -43,6 +43,8 @@ def test_year_load(spark, folder):
     assert schema["obligatedAmount"].dataType.simpleString() == "decimal(18,2)"
     assert schema["signedDate"].dataType.simpleString() == "timestamp_ntz"
     assert (schema["text"].metadata["maxlength"], schema["PIID"].metadata["maxlength"]) == (21, 256)
+    assert schema["DUNSNumber"].metadata["path"] == DUNS
+    assert spark.read.parquet(paths.vendor).schema["DUNSNumber"].metadata["path"] == DUNS
     vendors = spark.read.parquet(paths.vendor).collect()
     assert {r.DUNSNumber: r.vendorName for r in vendors} == {"000000009": "V2", "012345678": "V4"}
     rejects = spark.read.parquet(paths.rejects).collect()

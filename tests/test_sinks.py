@@ -50,12 +50,12 @@ def test_contract_round_trip(spark, folder, contract, layout):
     write_contract(contract, folder, layout=layout)
     back = read_table(spark, folder, "contract")
     assert rows(back) == rows(contract)
-    write_contract(contract.where("year = 2001"), folder, "2009", layout)
+    write_contract(contract.where("year = 2001").drop("year"), folder, "2009", layout)
     assert read_table(spark, folder, "contract").where("year = 2009").count() == 667
 
 
 def test_rows_of_a_file_are_sorted_by_date(spark, folder, contract):
-    path = write_contract(contract, folder, 2000)
+    path = write_contract(contract.drop("year"), folder, 2000)
     dates = (
         spark.read.parquet(path)
         .groupBy(F.input_file_name())
@@ -78,6 +78,7 @@ def test_ranged_layout_divides_a_date_with_very_many_rows(spark, folder, contrac
 
 
 def test_existing_table_is_left_alone(spark, folder, contract, vendor):
+    contract, vendor = contract.drop("year"), vendor.drop("year")
     path = write_contract(contract, folder, 2000)
     write_vendor(vendor, folder, 2000)
     before = rows(spark.read.parquet(path))
@@ -86,8 +87,10 @@ def test_existing_table_is_left_alone(spark, folder, contract, vendor):
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         write_vendor(vendor, folder, 2000)
     assert rows(spark.read.parquet(path)) == before
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="layout"):
         write_contract(contract, folder, 2001, "heap")
+    with pytest.raises(ValueError, match="rename the column 'year'"):
+        write_contract(contract.withColumn("Year", F.lit(1)), folder, 2001)
 
 
 def test_year_and_date_filters_reach_the_scan(spark, folder, contract):
@@ -119,7 +122,7 @@ def test_bucketed_join_has_no_exchange_and_no_hot_bucket(spark, folder, contract
 
 
 def test_csv_round_trip_with_awkward_text(spark, folder):
-    data = [(1, 'a "b", c'), (2, "line\nbreak"), (3, None), (4, ""), (5, " é€ "), (6, "\\")]
+    data = [(1, 'a "b", c'), (2, "line\nbreak"), (3, None), (4, ""), (5, " é€ "), (6, "\\"), (7, "a\r\nb\rc")]
     df = spark.createDataFrame(data, "n int, t string").withColumn("d", F.expr("timestamp_ntz'2004-05-06 07:08:09.123456'"))
     export_csv(df, f"{folder}/c")
     files = spark.read.format("binaryFile").load(f"{folder}/c/*.csv.gz")
@@ -135,8 +138,8 @@ def test_csv_joins_arrays(spark, folder):
 
 def test_data_dictionary(spark):
     df = spark.createDataFrame([("aé", 1), (None, 2)], "t string, n int")
-    df = df.withMetadata("t", {"maxlength": 7})
+    df = df.withMetadata("t", {"maxlength": 7, "path": "a:b.a:t"})
     assert data_dictionary(df, "x").collect() == [
-        ("x", "t", "string", 7, 1, 3),
-        ("x", "n", "int", None, 2, None),
+        ("x", "a:b.a:t", "t", "string", 7, 1, 3),
+        ("x", "n", "n", "int", None, 2, None),
     ]
