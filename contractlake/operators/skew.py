@@ -7,31 +7,37 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def default_parts(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+# Keys a sketch keeps track of at most; a key with a thousandth of all rows is not missed.
+MAX_TRACKED = 10_000
 
 
-def key_counts(df: DataFrame, key: str) -> DataFrame:
-    """Rows per non-null key, combined on the map side."""
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+def default_parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(counts: DataFrame, key: str, parts: int) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
     """Keys with more than one part's fair share of the rows, and over how many parts to spread them.
 
-    More than ``1/parts`` of all rows can be true of fewer than ``parts`` keys, which bounds this
-    frame (and so its broadcast) whatever the data.
+    A frequent-items sketch finds them in one pass over the key column: each task sends a sketch
+    of fixed size, not its keys. At most ``parts`` keys come out, which bounds this frame (and
+    its broadcast) whatever the data. The counts are estimates, which is enough: they decide
+    how rows are spread, never what a join returns.
     """
-    total = counts.agg(F.sum("_rows")).scalar()
-    return counts.where(F.col("_rows") * parts > total).select(
-        F.col(key), F.ceil(F.col("_rows") * parts / total).cast("int").alias("_salts")
+    tracked = min(8 * max(parts, 16), MAX_TRACKED)
+    sketch = F.expr(f"approx_top_k(`{key}`, {min(parts, tracked)}, {tracked})")
+    found = df.where(F.col(key).isNotNull()).agg(sketch.alias("_top"), F.count(key).alias("_total"))
+    share = F.col("count") * parts / F.col("_total")
+    return (
+        found.select("_total", F.inline("_top"))
+        .where(share > 1)
+        .select(F.col("item").alias(key), F.least(F.ceil(share), F.lit(parts)).cast("int").alias("_salts"))
     )
 
 
 def _salt(columns: Sequence[str], salts: Column) -> Column:
     # Content and partition, not a random number: a re-run task gives every row the same salt.
     row = F.xxhash64(*[F.col(f"`{name}`") for name in columns], F.spark_partition_id())
-    return F.pmod(row, salts).cast("int")
+    return F.when(salts == 1, F.lit(0)).otherwise(F.pmod(row, salts).cast("int"))
 
 
 def salt_left(left: DataFrame, hot: DataFrame, key: str, parts: int) -> DataFrame:
@@ -56,7 +62,6 @@ def spread_join(
     more_keys: Sequence[str] = (),
     how: str = "left",
     parts: int | None = None,
-    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Left or inner equi-join in which no reducer gets more than its share of one key.
 
@@ -68,7 +73,7 @@ def spread_join(
     if how == "inner":
         left = left.where(F.col(key).isNotNull())
     parts = parts or default_parts(left)
-    hot = hot_keys(key_counts(left, key) if counts is None else counts, key, parts)
+    hot = hot_keys(left, key, parts)
     joined = salt_left(left, hot, key, parts).join(
         salt_right(right, hot, key), [key, *more_keys, "salt"], how
     )

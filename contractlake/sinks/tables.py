@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from contractlake.operators.skew import default_parts, hot_keys, key_counts, salt_left, salt_right
+from contractlake.operators.skew import default_parts, hot_keys, salt_left, salt_right
 
 KEY = "DUNSNumber"
 DATE = "signedDate"
@@ -84,7 +84,7 @@ def write_bucketed(
     """
     buckets = buckets or default_parts(contract)
     by = (KEY, *more_keys, "salt")
-    hot = hot_keys(key_counts(contract, KEY), KEY, buckets)
+    hot = hot_keys(contract, KEY, buckets)
     sides = (
         (salt_left(contract, hot, KEY, buckets), names[0], DATE),
         (salt_right(vendor, hot, KEY), names[1], KEY),

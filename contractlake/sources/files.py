@@ -32,7 +32,6 @@ def landing_keys(files: DataFrame, prefix: str, path_col: str = "path") -> DataF
     """
     prefix = prefix if not prefix or prefix.endswith("/") else prefix + "/"
     keyed = files.withColumn("landing_key", F.concat(F.lit(prefix), base_name(F.col(path_col))))
-    counts = keyed.groupBy("landing_key").agg(F.count(F.lit(1)).alias("_rows"))
-    shared = counts.where("_rows > 1").withColumnRenamed("_rows", "same_key")
-    joined = spread_join(keyed, shared, "landing_key", counts=counts)
+    counts = keyed.groupBy("landing_key").agg(F.count(F.lit(1)).alias("same_key"))
+    joined = spread_join(keyed, counts.where("same_key > 1"), "landing_key")
     return joined.withColumn("same_key", F.coalesce("same_key", F.lit(1)))
