@@ -11,7 +11,7 @@ from contractlake.operators.dedupe import dedupe_vendors
 from contractlake.operators.flatten import array_child, flatten
 from contractlake.operators.rejects import apply_types, cast_rules, split_rejects
 from contractlake.operators.width import truncate_bytes
-from contractlake.plans.jobs import run_years
+from contractlake.plans.jobs import run_year, run_years
 from contractlake.plans.questions import join_contract_vendor, latest_vendors
 from contractlake.plans.tables import TYPES, contract_projection, vendor_projection, vendor_table
 from contractlake.session import scratch_dir
@@ -376,3 +376,13 @@ def job_year_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def job_year_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As the vendor table, names cut to 16 bytes by the job's width map."""
     return read_table(spark, loaded_years(spark, sf_dir), "vendor")
+
+
+@check(CONTRACT_SQL)
+def job_archives_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One load straight from the zip files, which hold the awards of all years."""
+    folder = fixtures.archive_files(spark, sf_dir)
+    schema = fixtures.award_frame(spark, sf_dir).drop("year").schema
+    target = scratch_dir(spark, "from-archives")
+    load = run_year(spark, folder, target, "all", schema, mode="archives")
+    return spark.read.parquet(load.contract).withColumn("year", F.year("signedDate"))

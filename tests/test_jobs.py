@@ -1,5 +1,6 @@
 """The year job from XML folder to tables."""
 
+import zipfile
 from pathlib import Path
 
 import pytest
@@ -75,6 +76,22 @@ def test_file_mode_and_renames(spark, folder):
     assert spark.read.parquet(paths.rejects).count() == 0
 
 
+def test_year_from_archives(spark, folder):
+    Path(folder, "in").mkdir()
+    for name, members in {
+        "a.zip": {"x/A-AWARD.xml": award_xml("1") + award_xml("2"), "B-IDV.xml": award_xml("9")},
+        "[b].zip": {"[A]-AWARD.xml": "<r>" + award_xml("3") + "</r>"},
+    }.items():
+        with zipfile.ZipFile(Path(folder, "in", name), "w") as archive:
+            for member, text in members.items():
+                archive.writestr(member, text)
+    Path(folder, "in", "broken.zip").write_bytes(b"PK")
+    paths = run_year(spark, f"{folder}/in", f"{folder}/out", 2005, mode="archives")
+    assert {r.PIID for r in spark.read.parquet(paths.contract).collect()} == {"1", "2", "3"}
+    (reject,) = spark.read.parquet(paths.rejects).collect()
+    assert "broken.zip: " in reject.record
+
+
 def test_own_rules(spark, folder):
     src = src_with(folder, award_xml("1"), award_xml("2"))
     rules = {"amount too small": F.col("obligatedAmount").try_cast("double") < 2}
