@@ -9,7 +9,13 @@ from contractlake import fixtures
 from contractlake.functions.keys import award_key
 from contractlake.operators.flatten import column, leaf_paths, local_name
 from contractlake.operators.rejects import apply_types
-from contractlake.plans.index import archive_names, pending_archives, plan_downloads, walk_index
+from contractlake.plans.index import (
+    archive_names,
+    pending_archives,
+    plan_downloads,
+    store_links,
+    walk_index,
+)
 from contractlake.plans.jobs import landing_manifest
 from contractlake.plans.tables import TYPES, contract_projection
 from contractlake.session import scratch_dir
@@ -23,7 +29,7 @@ from contractlake.sources.awards import (
     read_awards,
 )
 from contractlake.sources.files import file_manifest, landing_keys, size_class
-from contractlake.sources.pages import extract_links, labelled, page_links, resolve_links
+from contractlake.sources.pages import extract_links, labelled, resolve_links
 from contractlake.streaming.landing import ingest_new_files
 
 # The year is no element of the award but the folder it lies in; here it comes from the date.
@@ -259,8 +265,8 @@ archive AS (
 
 @check(f"WITH {ARCHIVE} SELECT DISTINCT root, folder, href FROM archive")
 def index_three_level(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = page_links(fixtures.index_pages(spark, sf_dir))
-    return walk_index(pages, fixtures.index_roots(spark, sf_dir))
+    linked = store_links(fixtures.index_pages(spark, sf_dir), scratch_dir(spark, "links"))
+    return walk_index(linked, fixtures.index_roots(spark, sf_dir))
 
 
 @check(

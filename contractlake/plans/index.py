@@ -44,6 +44,17 @@ def pending_archives(candidates: DataFrame, done: DataFrame, key: str = "destina
     return once.join(done.select(key).distinct(), key, "left_anti")
 
 
+def store_links(pages: DataFrame, path: str, tidy: bool = True) -> DataFrame:
+    """Links of all pages, one row per address even where a page was stored several times.
+
+    Extracted once and written to ``path``: the levels of the walk then join this narrow table
+    instead of reading all HTML once per level.
+    """
+    linked = page_links(pages, tidy=tidy).groupBy("url").agg(F.max("links").alias("links"))
+    linked.write.mode("error").parquet(path)
+    return pages.sparkSession.read.parquet(path)
+
+
 def plan_downloads(
     pages: DataFrame,
     roots: DataFrame,
@@ -55,12 +66,8 @@ def plan_downloads(
 ) -> DataFrame:
     """Archives to fetch: walk the stored index pages and leave out what has landed.
 
-    The links are extracted once, one row per address even where a page was stored several
-    times, and written to ``linked_path``; the levels then join that narrow table instead of
-    reading all HTML once per level.
+    ``linked_path`` is a new folder for the links of the pages (see :func:`store_links`).
     """
-    linked = page_links(pages, tidy=tidy).groupBy("url").agg(F.max("links").alias("links"))
-    linked.write.mode("error").parquet(linked_path)
-    linked = pages.sparkSession.read.parquet(linked_path)
+    linked = store_links(pages, linked_path, tidy)
     found = archive_names(walk_index(linked, roots, depth), archive_base)
     return pending_archives(found, done)

@@ -98,7 +98,7 @@ def award_records(
     spark: SparkSession, path: str | list[str], row_tag: str = ROW_TAG
 ) -> DataFrame:
     """Column ``value``: text up to each end tag, read in splits of any size."""
-    return spark.read.option("lineSep", f"</{row_tag}>").text(path)
+    return spark.read.option("lineSep", f"</{row_tag}>").text(path).select("value")
 
 
 def complete_records(pieces: DataFrame, row_tag: str = ROW_TAG) -> DataFrame:
