@@ -3,8 +3,7 @@
 Two ways to read the same rows. ``files`` uses the XML source: any well-formed XML, but one task
 per file, and a record that is not well-formed costs the rest of its file. ``records`` cuts the
 text at the end tag: large files are split between tasks and a bad record costs only itself, but
-the end tag must not occur inside CDATA, the row element must not be self-closing, and the text
-must be UTF-8.
+the end tag must not occur inside CDATA or comments, and the text must be UTF-8.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from collections.abc import Iterator
 from xml.parsers import expat
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from contractlake.operators.flatten import Path
 
@@ -102,10 +101,29 @@ def award_records(
 
 
 def complete_records(pieces: DataFrame, row_tag: str = ROW_TAG) -> DataFrame:
-    """Pieces of text to whole elements: from the start tag on, end tag put back."""
-    start = rf"<{re.escape(row_tag)}[\s>]"
-    whole = F.concat(F.regexp_extract("value", f"(?s){start}.*$", 0), F.lit(f"</{row_tag}>"))
-    return pieces.where(F.col("value").rlike(start)).withColumn("value", whole)
+    """Pieces of text to whole elements: from the start tag on, end tag put back.
+
+    Row elements without content (``<ns1:award/>``) have no end tag to cut at and come ahead of
+    the next one in its piece; they become records of their own.
+    """
+    tag = re.escape(row_tag)
+    empty = rf"<{tag}(?:\s[^<>]*)?/>"
+
+    def whole(text: Column) -> Column:
+        record = F.regexp_extract(text, rf"(?s)<{tag}[\s>].*$", 0)
+        return F.when(record != "", F.concat(record, F.lit(f"</{row_tag}>")))
+
+    value = F.col("value")
+    several = F.array_append(
+        F.regexp_extract_all(value, F.lit(empty), F.lit(0)), whole(F.regexp_replace(value, empty, ""))
+    )
+    records = F.when(value.rlike(empty), several).otherwise(F.array(whole(value)))
+    others = [F.col(name) for name in pieces.columns if name != "value"]
+    return (
+        pieces.where(value.rlike(rf"<{tag}[\s/>]"))
+        .select(*others, F.explode(records).alias("value"))
+        .where(value.isNotNull())
+    )
 
 
 def parse_records(

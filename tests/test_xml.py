@@ -129,6 +129,26 @@ def test_text_beside_child_elements_is_kept(spark, folder):
     assert found.asDict() == {"_VALUE": "own", "ns1:p": "1"}
 
 
+@pytest.mark.parametrize("mode", MODES)
+def test_records_without_content_cost_no_other_record(spark, folder, mode):
+    empty = ["<ns1:award/>", '<ns1:award version="1" />']
+    records = [award_xml("1"), *empty, award_xml("2"), award_xml("3"), *empty]
+    path = write_awards(f"{folder}/A-AWARD.xml", records)
+    awards = read_awards(spark, path, mode=mode)
+    piid = column("ns1:awardID.ns1:awardContractID.ns1:PIID")
+    found = sorted(str(r[0]) for r in awards.select(piid).collect())
+    assert found == ["1", "2", "3", "None", "None", "None", "None"]
+
+
+def test_end_tag_inside_cdata_shows_as_corrupt_when_read_as_records(spark, folder):
+    cdata = award_xml("2", extra="<ns1:n><![CDATA[x </ns1:award> y]]></ns1:n>")
+    path = write_awards(f"{folder}/A-AWARD.xml", [award_xml("1"), cdata, award_xml("3")])
+    assert read_awards(spark, path).where(F.col("`ns1:n`").isNotNull()).count() == 1
+    by_record = read_awards(spark, path, mode="records").cache()
+    assert by_record.count() == 3
+    assert by_record.where(F.col(CORRUPT).isNotNull()).count() == 1
+
+
 def test_no_file_raises(spark, folder):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_awards(spark, award_files(folder))
