@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from checks.registry import check, with_award, with_vendor
+from checks.registry import check, with_award
 from contractlake import fixtures
 from contractlake.plans import questions
 
@@ -51,7 +51,11 @@ def spend_by_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     return questions.spend_by_location(contract, vendor, more_keys=("year",))
 
 
-@check(with_award(f'SELECT duns AS "DUNSNumber", {SPEND} FROM award GROUP BY 1 ORDER BY spend DESC, 1 LIMIT 10'))
+@check(
+    with_award(
+        f'SELECT duns AS "DUNSNumber", {SPEND} FROM award GROUP BY 1 ORDER BY spend DESC, 1 LIMIT 10'
+    )
+)
 def top_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return questions.top_vendors(fixtures.contract(spark, sf_dir))
 

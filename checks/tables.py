@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.registry import CONTRACT_COLUMNS, VENDOR_COLUMNS, check, with_award, with_vendor
 from contractlake import fixtures
-from contractlake.functions.keys import award_key
 from contractlake.operators.dedupe import dedupe_vendors
 from contractlake.operators.flatten import array_child, flatten
 from contractlake.operators.rejects import apply_types, cast_rules, split_rejects

@@ -38,6 +38,11 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(jvm_path).toString()
 
 
+def sub_folders(spark: SparkSession, path: str) -> list[str]:
+    fs, jvm_path = _hadoop_path(spark, path)
+    return sorted(s.getPath().toString() for s in fs.listStatus(jvm_path) if s.isDirectory())
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder this job wrote itself (a staging copy, or the first half of a failed load)."""
     fs, jvm_path = _hadoop_path(spark, path)

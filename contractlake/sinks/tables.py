@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from contractlake.operators.skew import default_parts, hot_keys, salt_left, salt_right
+from contractlake.session import sub_folders
 
 KEY = "DUNSNumber"
 DATE = "signedDate"
@@ -63,8 +64,22 @@ def write_vendor(
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All years of a table; columns that only some years have are null in the others."""
-    return spark.read.option("mergeSchema", "true").parquet(f"{root.rstrip('/')}/{table}")
+    """All years of a table; columns that only some years have are null in the others.
+
+    The files of a year were written together, so one footer per year gives the whole schema;
+    merging the footers of all files would read every file once before the query starts.
+    Years that disagree about a type are for ``union_years``.
+    """
+    path = f"{root.rstrip('/')}/{table}"
+    fields: dict[str, T.StructField] = {}
+    for year in sub_folders(spark, path):
+        if "/year=" not in year:
+            continue
+        for field in spark.read.parquet(year).schema.fields:
+            known = fields.setdefault(field.name, field)
+            if known.dataType != field.dataType:
+                raise ValueError(f"{field.name!r} changes its type in {year}: use union_years")
+    return spark.read.schema(T.StructType(list(fields.values()))).parquet(path)
 
 
 def write_bucketed(

@@ -1,7 +1,7 @@
 """Flattening, prefixes, names, arrays."""
 
 import pytest
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import types as T
 
 from contractlake.operators.flatten import (
     array_child,
@@ -73,7 +73,8 @@ def test_array_child_rows(spark, nested):
     assert child.collect() == [("b1", 0, "x"), ("b1", 1, "y")]
     outer = array_child(nested, "n:tags", {"key": "n:a.n:b"}, outer=True)
     assert ("b2", None, None) in [tuple(r) for r in outer.collect()]
-    deep = spark.createDataFrame([("k", [(1, "a"), (2, "b")])], "key string, t array<struct<`n:k`:int,v:string>>")
+    schema = "key string, t array<struct<`n:k`:int,v:string>>"
+    deep = spark.createDataFrame([("k", [(1, "a"), (2, "b")])], schema)
     assert array_child(deep, "t", {"key": "key"}).collect() == [("k", 0, 1, "a"), ("k", 1, 2, "b")]
 
 

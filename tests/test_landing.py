@@ -57,7 +57,9 @@ def test_collisions_of_a_very_common_name(spark):
         F.concat(
             F.lit("d/"),
             F.col("id").cast("string"),
-            F.when(F.col("id") % 3 > 0, "/index.html").otherwise(F.concat(F.lit("/"), F.col("id").cast("string"))),
+            F.when(F.col("id") % 3 > 0, "/index.html").otherwise(
+                F.concat(F.lit("/"), F.col("id").cast("string"))
+            ),
         ).alias("path")
     )
     counted = landing_keys(paths, "").groupBy("same_key").agg(

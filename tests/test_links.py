@@ -69,7 +69,8 @@ def test_join_url(spark, base, href, target):
 
 def test_resolve_drops_links_without_address(spark):
     links = spark.createDataFrame([(None, "A"), ("../../z/a.zip", "B")], "href string, label string")
-    assert [r.target for r in resolve_links(links, "http://h", archives=True).collect()] == ["http://h/z/a.zip"]
+    resolved = resolve_links(links, "http://h", archives=True).collect()
+    assert [r.target for r in resolved] == ["http://h/z/a.zip"]
 
 
 def page(url, *links):

@@ -104,6 +104,14 @@ def test_year_and_date_filters_reach_the_scan(spark, folder, contract):
     assert year_path(folder, "contract", 2001).endswith("/contract/year=2001")
 
 
+def test_years_that_disagree_about_a_type(spark, folder):
+    dated = spark.createDataFrame([("a", 1)], "signedDate string, n int")
+    write_contract(dated, folder, 2000)
+    write_contract(dated.withColumn("n", F.lit("1")), folder, 2001)
+    with pytest.raises(ValueError, match="'n' changes its type .*year=2001"):
+        read_table(spark, folder, "contract")
+
+
 def test_bucketed_join_has_no_exchange_and_no_hot_bucket(spark, folder, contract, vendor):
     suffix = uuid.uuid4().hex
     names = (f"contract_{suffix}", f"vendor_{suffix}")
@@ -123,7 +131,8 @@ def test_bucketed_join_has_no_exchange_and_no_hot_bucket(spark, folder, contract
 
 def test_csv_round_trip_with_awkward_text(spark, folder):
     data = [(1, 'a "b", c'), (2, "line\nbreak"), (3, None), (4, ""), (5, " é€ "), (6, "\\"), (7, "a\r\nb\rc")]
-    df = spark.createDataFrame(data, "n int, t string").withColumn("d", F.expr("timestamp_ntz'2004-05-06 07:08:09.123456'"))
+    time = F.expr("timestamp_ntz'2004-05-06 07:08:09.123456'")
+    df = spark.createDataFrame(data, "n int, t string").withColumn("d", time)
     export_csv(df, f"{folder}/c")
     files = spark.read.format("binaryFile").load(f"{folder}/c/*.csv.gz")
     assert files.count() >= 1
@@ -133,7 +142,8 @@ def test_csv_round_trip_with_awkward_text(spark, folder):
 def test_csv_joins_arrays(spark, folder):
     df = spark.createDataFrame([(["a", "b"],)], "t array<string>")
     export_csv(df, f"{folder}/c")
-    assert read_csv_export(spark, f"{folder}/c", df.select(F.array_join("t", ",").alias("t")).schema).first() == ("a,b",)
+    schema = df.select(F.array_join("t", ",").alias("t")).schema
+    assert read_csv_export(spark, f"{folder}/c", schema).first() == ("a,b",)
 
 
 def test_data_dictionary(spark):
