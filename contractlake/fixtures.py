@@ -45,7 +45,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def award_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One nested award per order, every leaf text, and the ``year`` it was signed in."""
+    """One nested award per order, every leaf text, and the ``year`` it was signed in.
+
+    Where customers are too many to broadcast, adaptive execution splits the join's partition of
+    a customer with very many orders.
+    """
     orders = table(spark, sf_dir, "orders")
     tasks = spark.sparkContext.defaultParallelism
     if orders.rdd.getNumPartitions() * 4 <= tasks:  # a small table is one split
