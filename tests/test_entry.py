@@ -24,7 +24,7 @@ def oracle():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.registry.QUERIES))
 def test_query_equals_sql(spark, oracle, name):
     ours = entry.queries()[name](spark, SF_DIR)
     theirs = oracle.sql(entry.oracle_sql()[name])
