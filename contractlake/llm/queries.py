@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contractlake.llm.common import table, utf8, word_count
 from contractlake.llm.curriculum import mix_sources
+from contractlake.llm.host_rules import judge_documents
+from contractlake.llm.qda import fit_quality, score_documents
 from contractlake.llm.rendezvous import shard_slots
+from contractlake.llm.simhash import simhash_classes
 from contractlake.llm.url_filter import Rule, fit_urls, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +31,88 @@ def register(sql: str | None = None):
     return add
 
 
+def _sql_rates() -> str:
+    parts = []
+    for name in ("short", "repeats", "symbols", "dup_lines"):
+        mean = f"((sum({name}) OVER () + 0.5) / (sum(n) OVER () + 1))"
+        parts.append(f"{mean} AS {name}_mean")
+    return ", ".join(parts)
+
+
+def _sql_rate(name: str) -> str:
+    drawn = f"({name}_mean * (1 - {name}_mean))"
+    between = f"({name}_spread - (hosts - 1) * {drawn}) / documents"
+    strength = f"(CASE WHEN {between} > 0 THEN least(greatest({drawn} / ({between}) - 1, 1.0), 1e6) ELSE 1e6 END)"
+    return f"({name} + {name}_mean * {strength}) / (n + {strength})"
+
+
+_NAMES = ("short", "repeats", "symbols", "dup_lines")
+
+
+@register(
+    rf"""
+    WITH words AS (
+      SELECT *, {SQL_WORDS} AS w, string_split(coalesce(text, ''), chr(10)) AS lines,
+             row_number() OVER () AS row FROM documents
+    ), windows AS (
+      SELECT row, i, count(*) OVER (PARTITION BY row, a, b, c) AS times
+      FROM (SELECT row, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+            FROM (SELECT row, w, unnest(range(1, len(w) - 1)) AS i FROM words))
+    ), again AS (
+      SELECT row, count(DISTINCT place) AS n_repeat_words
+      FROM (SELECT row, unnest([i, i + 1, i + 2]) AS place FROM windows WHERE times > 1) GROUP BY row
+    ), features AS (
+      SELECT doc_id, source, len(w)::bigint AS n_words,
+        coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint AS word_chars,
+        len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]'))::bigint AS n_symbols,
+        len(list_filter(lines, lambda x: regexp_matches(x, '[^ 	-
+]')))::bigint AS n_lines,
+        len(list_filter(lines, lambda x: regexp_matches(x, '[^ 	-
+]')))::bigint
+          - len(list_distinct(list_filter(lines, lambda x: regexp_matches(x, '[^ 	-
+]'))))::bigint AS n_dup_lines,
+        coalesce(n_repeat_words, 0)::bigint AS n_repeat_words
+      FROM words LEFT JOIN again USING (row)
+    ), flags AS (
+      SELECT *, n_words < 50 AS short, 100 * n_repeat_words > 50 * n_words AS repeats,
+        100 * n_symbols > 10 * n_words AS symbols, 100 * n_dup_lines > 30 * n_lines AS dup_lines
+      FROM features
+    ), hosts AS (
+      SELECT source, count(*) AS n, {", ".join(f"count(*) FILTER ({x}) AS {x}" for x in _NAMES)}
+      FROM flags WHERE source IS NOT NULL GROUP BY source
+    ), means AS (
+      SELECT *, count(*) OVER () AS hosts, sum(n) OVER () AS documents, {_sql_rates()} FROM hosts
+    ), spreads AS (
+      SELECT *, {", ".join(f"sum(n * ({x} / n - {x}_mean) ** 2) OVER () AS {x}_spread" for x in _NAMES)} FROM means
+    ), verdicts AS (
+      SELECT source, greatest({", ".join(_sql_rate(x) for x in _NAMES)}) <= 0.5 AS host_kept FROM spreads
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+      short OR repeats AS base_failed, NOT (short OR repeats) AND coalesce(host_kept, true) AS kept,
+      source, host_kept
+    FROM flags LEFT JOIN verdicts USING (source)
+    """
+)
+def op1_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents by their own counts and their source's verdict."""
+    return judge_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", F.col("host").alias("source"), "host_kept",
+    )
+
+
+HELD_OUT = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+@register()
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a model fitted on the labels that are not held out."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~HELD_OUT)
+    scored = score_documents(documents, fit_quality(documents, labels))
+    return scored.select("doc_id", HELD_OUT.alias("held_out"), "score", "predicted")
+
+
 SHARDS = 40
 
 
@@ -172,3 +257,13 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), "size", "source_size", "target", taken.alias("taken"),
         F.round(first, 9).alias("first_position"),
     )
+
+
+SHINGLE = 3
+MAX_BITS = 3
+
+
+@register()
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the class that links of 3 bits or fewer reach."""
+    return simhash_classes(table(spark, sf_dir, "documents"), "doc_id", SHINGLE, MAX_BITS)
