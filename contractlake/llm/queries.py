@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contractlake.llm.common import table, utf8, word_count
 from contractlake.llm.curriculum import mix_sources
 from contractlake.llm.host_rules import judge_documents
+from contractlake.llm.packing import pack_documents
 from contractlake.llm.qda import fit_quality, score_documents
 from contractlake.llm.rendezvous import shard_slots
 from contractlake.llm.simhash import simhash_classes
@@ -267,3 +269,14 @@ MAX_BITS = 3
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and the class that links of 3 bits or fewer reach."""
     return simhash_classes(table(spark, sf_dir, "documents"), "doc_id", SHINGLE, MAX_BITS)
+
+
+# The vocabulary lies outside the repository, at the same path on every machine.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PATTERN = public_tokenizers.PATTERN
+
+
+@register()
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, cut into pieces of 1024 tokens at most, in as few sequences as best fit needs."""
+    return pack_documents(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN)
