@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from contractlake.llm.common import table, utf8, word_count
+from contractlake.llm.common import staged, table, utf8, word_count
 from contractlake.llm.curriculum import mix_sources
 from contractlake.llm.host_rules import judge_documents
 from contractlake.llm.packing import pack_documents
@@ -15,6 +15,8 @@ from contractlake.llm.qda import fit_quality, score_documents
 from contractlake.llm.rendezvous import shard_slots
 from contractlake.llm.simhash import simhash_classes
 from contractlake.llm.url_filter import Rule, fit_urls, judge_urls
+from contractlake.llm.warc import assemble, read_warc, write_warc
+from contractlake.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -280,3 +282,50 @@ PATTERN = public_tokenizers.PATTERN
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, cut into pieces of 1024 tokens at most, in as few sequences as best fit needs."""
     return pack_documents(table(spark, sf_dir, "documents"), VOCABULARY, PATTERN)
+
+
+@register(
+    """
+    WITH digests AS (
+      SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+    ), bits AS (
+      SELECT page_id, payload_bytes, max(page_id) OVER (PARTITION BY hex) AS owner,
+        list_reduce(list_transform(range(40), lambda i: lpad(bin(('0x' || substr(hex, i + 1, 1))::bigint), 4, '0')),
+                    lambda a, b: a || b) AS bits
+      FROM digests
+    )
+    SELECT page_id, payload_bytes,
+      list_reduce(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        list_reduce(list_transform(range(5), lambda j: substr(bits, 5 * i + j + 1, 1)::bigint), lambda a, b: 2 * a + b) + 1, 1)),
+        lambda a, b: a || b) AS payload_digest,
+      CASE WHEN owner = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN owner <> page_id THEN owner END AS refers_to,
+      true AS has_request
+    FROM bits
+    """
+)
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back, one row per capture."""
+    path = scratch_dir(spark, "warc")
+    captures = table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("key"), "url", F.col("html").alias("payload")
+    )
+    write_warc(captures, path)
+    key = F.regexp_extract(F.col("metadata.payload").cast("string"), r"capture-key: ([^\r]*)", 1)
+    found = assemble(read_warc(spark, path, payloads=False))
+    flat = staged(
+        found.withColumn("_key", key).select(
+            "capture_id", F.expr("try_cast(_key AS long)").alias("page_id"), "main.record_type",
+            "main.payload_digest", "main.payload_bytes", F.col("request").isNotNull().alias("has_request"),
+            F.col("original.record_id").alias("original"),
+        ),
+        "captures",
+    )
+    originals = flat.select(
+        F.col("capture_id").alias("original"), F.col("page_id").alias("refers_to"),
+        F.col("payload_bytes").alias("original_bytes"),
+    )
+    return flat.join(originals, "original", "left").select(
+        "page_id", F.coalesce("original_bytes", "payload_bytes").alias("payload_bytes"),
+        "payload_digest", "record_type", "refers_to", "has_request",
+    )
