@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contractlake.llm.common import staged, table, utf8, word_count
 from contractlake.llm.curriculum import mix_sources
+from contractlake.llm.ego_join import embedding_classes
 from contractlake.llm.host_rules import judge_documents
 from contractlake.llm.packing import pack_documents
 from contractlake.llm.qda import fit_quality, score_documents
@@ -329,3 +330,32 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", F.coalesce("original_bytes", "payload_bytes").alias("payload_bytes"),
         "payload_digest", "record_type", "refers_to", "has_request",
     )
+
+
+@register(
+    """
+    WITH RECURSIVE usable AS (
+      SELECT vec_id, label, embedding::double[] AS e FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), links AS (
+      SELECT a.vec_id AS u, b.vec_id AS v FROM usable a JOIN usable b
+        ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+       AND list_cosine_similarity(a.e, b.e) >= 0.98
+    ), reach AS (
+      SELECT vec_id AS u, vec_id AS v FROM embeddings
+      UNION
+      SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u
+    ), least AS (
+      SELECT u AS vec_id, min(v) AS component_id FROM reach GROUP BY u
+    ), counts AS (
+      SELECT u AS vec_id, count(*) AS n FROM links GROUP BY u
+    )
+    SELECT vec_id, coalesce(n, 0)::bigint AS n_links, component_id, vec_id = component_id AS kept
+    FROM least LEFT JOIN counts USING (vec_id)
+    """
+)
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with the number of its links at cosine 0.98 within its label, and its class."""
+    return embedding_classes(table(spark, sf_dir, "embeddings"))
