@@ -15,6 +15,7 @@ from contractlake.llm.packing import pack_documents
 from contractlake.llm.qda import fit_quality, score_documents
 from contractlake.llm.rendezvous import shard_slots
 from contractlake.llm.simhash import simhash_classes
+from contractlake.llm.suffix import remove_repeats
 from contractlake.llm.url_filter import Rule, fit_urls, judge_urls
 from contractlake.llm.warc import assemble, read_warc, write_warc
 from contractlake.session import scratch_dir
@@ -359,3 +360,13 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector with the number of its links at cosine 0.98 within its label, and its class."""
     return embedding_classes(table(spark, sf_dir, "embeddings"))
+
+
+@register()
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 200-byte strings that start anywhere else as well."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = remove_repeats(documents, "doc_id", length=200, first_stays=False)
+    return left.select(
+        "row.doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
