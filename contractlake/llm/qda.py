@@ -108,6 +108,12 @@ def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     yield {"quality": [0, 1], "products": [sums[c].ravel() for c in (0, 1)]}
 
 
+def held_out(key: str = "doc_id") -> Column:
+    """Rows whose labels are never fitted on: a quarter, by the key; none with a null key."""
+    quarter = F.crc32(F.col(key).cast("string").cast("binary")) % 4
+    return F.coalesce(quarter == 2, F.lit(False))
+
+
 def fit_quality(
     documents: DataFrame, labels: DataFrame, shrinkage: float = 0.05, key: str = "doc_id"
 ) -> QdaModel:

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from contractlake.llm.common import staged, table, utf8, word_count
 from contractlake.llm.curriculum import mix_sources
 from contractlake.llm.ego_join import embedding_classes
 from contractlake.llm.host_rules import judge_documents
 from contractlake.llm.packing import pack_documents
-from contractlake.llm.qda import fit_quality, score_documents
+from contractlake.llm.qda import fit_quality, held_out, score_documents
 from contractlake.llm.rendezvous import shard_slots
+from contractlake.llm.settings import MAX_BITS, MIX_WEIGHTS, PATTERN, SHINGLE, VOCABULARY
 from contractlake.llm.simhash import simhash_classes
 from contractlake.llm.suffix import remove_repeats
 from contractlake.llm.url_filter import Rule, fit_urls, judge_urls
@@ -107,16 +108,13 @@ def op1_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-HELD_OUT = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
-
-
 @register()
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored by a model fitted on the labels that are not held out."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").where(~HELD_OUT)
+    labels = table(spark, sf_dir, "labels").where(~held_out())
     scored = score_documents(documents, fit_quality(documents, labels))
-    return scored.select("doc_id", HELD_OUT.alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
 SHARDS = 40
@@ -207,9 +205,6 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), "page_id", URL_RULES, fit_urls(labelled_urls(spark)))
 
 
-MIX_WEIGHTS = (5, 2, 1)
-
-
 @register(
     f"""
     WITH sized AS (
@@ -265,21 +260,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-SHINGLE = 3
-MAX_BITS = 3
-
-
 @register()
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and the class that links of 3 bits or fewer reach."""
     return simhash_classes(table(spark, sf_dir, "documents"), "doc_id", SHINGLE, MAX_BITS)
 
 
-# The vocabulary lies outside the repository, at the same path on every machine.
-VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-PATTERN = public_tokenizers.PATTERN
-
-
 @register()
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, cut into pieces of 1024 tokens at most, in as few sequences as best fit needs."""
@@ -370,3 +356,9 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select(
         "row.doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
     )
+
+
+@register(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    return corpus_pipeline.run(spark, sf_dir)

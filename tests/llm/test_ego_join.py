@@ -1,0 +1,89 @@
+import math
+import random
+
+import numpy as np
+import pytest
+
+from contractlake.llm.ego_join import embedding_classes, near_blocks
+
+from plain_helpers import Groups
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def fine(v):
+    return v is not None and len(v) > 0 and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+
+def plain(rows, threshold):
+    """Per row: links, least key of its group, from all pairs."""
+    groups = Groups(range(len(rows)))
+    links = [0] * len(rows)
+    for i, (_, a, la) in enumerate(rows):
+        for j, (_, b, lb) in enumerate(rows[:i]):
+            if la is None or la != lb or not fine(a) or not fine(b) or len(a) != len(b):
+                continue
+            x, y = np.array(a, np.float64), np.array(b, np.float64)
+            x, y = x / np.abs(x).max(), y / np.abs(y).max()
+            if (x * y).sum() / (math.sqrt((x * x).sum()) * math.sqrt((y * y).sum())) >= threshold:
+                links[i] += 1
+                links[j] += 1
+                groups.link(i, j)
+    least = {}
+    for i, (key, _, _) in enumerate(rows):
+        root = groups.least(i)
+        least[root] = min([k for k in (least.get(root), key) if k is not None], default=None)
+    return sorted((str(r[0]), n, str(least[groups.least(i)])) for i, (r, n) in enumerate(zip(rows, links)))
+
+
+def vectors(seed, d=12, n=150):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        v = rng.normal(size=d)
+        label = int(rng.integers(3))
+        rows.append((v.astype(np.float32).tolist(), label))
+        for _ in range(int(rng.integers(4))):
+            near = v * rng.uniform(0.1, 9) + rng.normal(size=d) * rng.uniform(0, 0.3)
+            rows.append((near.astype(np.float32).tolist(), int(label if rng.random() < 0.9 else rng.integers(3))))
+    rows += [(rows[0][0], rows[0][1])] * 40
+    rows += [(None, 1), ([], 1), ([0.0] * d, 1), ([None] + [1.0] * (d - 1), 1), ([float("nan")] * d, 1)]
+    rows += [([float("inf")] + [1.0] * (d - 1), 1), ([1.0] * d, None), ([1.0] * d, 1), ([1.0] * 5, 1), ([2.0] * 5, 1)]
+    rows += [([1e-30] * d, 1), ([1e30] * d, 1), ([-0.0] + [1.0] * (d - 1), 1), ([0.0] + [1.0] * (d - 1), 1)]
+    random.Random(seed).shuffle(rows)
+    rows = [(i, v, label) for i, (v, label) in enumerate(rows)]
+    return rows + [(None, rows[3][1], rows[3][2]), (5, rows[9][1], rows[9][2])]
+
+
+@pytest.mark.parametrize("block_rows, fanout", [(512, 16), (7, 2)])
+def test_equals_all_pairs(spark, block_rows, fanout):
+    rows = vectors(block_rows)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    for name in ("key", "vec", "class", "id", "least", "copies", "links", "component", "h1"):
+        frame = frame.withColumn(name, frame["label"])
+    got = embedding_classes(frame, block_rows=block_rows, fanout=fanout).collect()
+    assert sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in got) == plain(rows, 0.98)
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got if r.vec_id is not None)
+
+
+def test_copies_are_one_row(spark):
+    frame = spark.range(4000).selectExpr(
+        "id AS vec_id", "if(id % 3 = 0, array(1f, 2f, 3f), array(cast(id AS float), 1f, cast(-id * id AS float))) AS embedding", "1 AS label"
+    )
+    got = embedding_classes(frame).where("component_id = 0").agg({"n_links": "min", "vec_id": "count"}).first()
+    assert got[0] >= 1333 and got[1] >= 1334
+
+
+def test_distant_intervals_are_skipped(spark):
+    """Blocks on a line, one apart: only each with itself and its neighbour meet."""
+    n = 40
+    rows = [("a", i, [float(i)], [i + 0.5]) for i in range(n)]
+    frame = spark.createDataFrame(rows, "class string, block long, lo array<double>, hi array<double>")
+    pairs = {(r.i, r.j) for r in near_blocks(frame, 0.6, 4).collect()}
+    assert pairs == {(i, j) for i in range(n) for j in (i, i + 1) if j < n}
+
+
+def test_empty_and_nothing_usable(spark):
+    assert embedding_classes(spark.createDataFrame([], SCHEMA)).count() == 0
+    got = embedding_classes(spark.createDataFrame([(1, None, 1), (2, [0.0], 1)], SCHEMA)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == [(1, 0, 1, True), (2, 0, 2, True)]

@@ -1,0 +1,94 @@
+import bisect
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
+
+from contractlake.llm.packing import cut, pack_documents, pack_pieces, plan_slots, token_ids
+from contractlake.llm.settings import PATTERN, VOCABULARY
+
+
+def best_fit(lengths, capacity):
+    """Sequences that best-fit decreasing opens, one piece after the other."""
+    spaces, opened = [], 0
+    for length in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(spaces, length)
+        if at == len(spaces):
+            opened += 1
+            space = capacity
+        else:
+            space = spaces.pop(at)
+        bisect.insort(spaces, space - length)
+    return opened
+
+
+@given(st.dictionaries(st.integers(1, 60), st.integers(1, 40), max_size=25))
+@settings(max_examples=200, deadline=None)
+def test_plan_is_best_fit_over_counts(histogram):
+    sequences, ranks = defaultdict(list), defaultdict(list)
+    for s in plan_slots(histogram, 60):
+        for i in range(s.count):
+            sequences[s.sequence + i].append((s.offset, s.length))
+            ranks[s.length].append(s.rank + i)
+    assert {n: sorted(r) for n, r in ranks.items()} == {n: list(range(c)) for n, c in histogram.items()}
+    for slots in sequences.values():
+        at = 0
+        for offset, length in sorted(slots):
+            assert offset == at
+            at += length
+        assert at <= 60
+    assert len(sequences) == best_fit([n for n, c in histogram.items() for _ in range(c)], 60)
+
+
+def test_plan_does_not_grow_with_the_counts():
+    rng = random.Random(1)
+    assert len(plan_slots({n: rng.randint(1, 10**10) for n in range(1, 1025)})) < 20_000
+    with pytest.raises(ValueError):
+        plan_slots({5: 1}, 4)
+
+
+TEXTS = [None, "", "a", " \n\n x  y", "<|endoftext|> <|x|>", "日本語 ñ 🙂\x00\x1d", "I'll don't 123 ...!!", "word " * 3000]
+
+
+def test_ids_equal_the_tokenizer():
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    tokenizer.encode_special_tokens = True
+    for text in TEXTS:
+        want = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
+        assert token_ids(text, VOCABULARY, PATTERN).tolist() == want
+
+
+def test_cut():
+    assert cut(1) == [(0, 1)] and cut(1024) == [(0, 1024)]
+    assert cut(1025) == [(0, 1), (1, 1024)] and cut(2500) == [(0, 452), (452, 1024), (1476, 1024)]
+
+
+def test_awkward(crowded, no_documents):
+    got = pack_documents(crowded, VOCABULARY, PATTERN).collect()
+    want = Counter()
+    for r in crowded.collect():
+        ids = token_ids(r.text, VOCABULARY, PATTERN)
+        for i, (start, length) in enumerate(cut(len(ids))):
+            want[r.doc_id, i, start, length, zlib.crc32(np.asarray(ids[start : start + length], "<u4").tobytes())] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+    sequences = defaultdict(list)
+    for r in got:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for slots in sequences.values():
+        slots.sort()
+        assert all(a == sum(n for _, n in slots[:i]) for i, (a, _) in enumerate(slots))
+        assert sum(n for _, n in slots) <= 1024
+    assert len(sequences) == best_fit([r.length for r in got], 1024)
+    assert pack_documents(no_documents, VOCABULARY, PATTERN).count() == 0
+
+
+def test_one_length_with_most_pieces(spark):
+    pieces = spark.range(20_000).selectExpr("id AS key", "if(id % 4 = 0, 1 + id % 50, 30) AS length")
+    got = pack_pieces(pieces, 100).groupBy("sequence_id").agg({"length": "sum", "offset": "max"}).collect()
+    assert max(r["sum(length)"] for r in got) <= 100
+    want = best_fit([r.length for r in pieces.collect()], 100)
+    assert len(got) == want

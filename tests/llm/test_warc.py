@@ -1,0 +1,92 @@
+import base64
+import gzip
+import hashlib
+from pathlib import Path
+
+import pytest
+
+from contractlake.llm.warc import assemble, parse_records, read_warc, sha1_base32, write_warc
+
+RESPONSE = b"HTTP/1.1 200 OK\r\n\r\n"
+HTML = [
+    (1, "http://a/1", "same"), (2, "http://a/2", "same"), (9, "http://a/9\r\nWARC-Type: evil", "same"),
+    (3, None, None), (4, "http://a/4", ""), (5, "http://a/5", "WARC/1.1\r\nContent-Length: 3\r\n\r\n\r\n\r\nWARC/1.1\r\n"),
+    (6, "http://a/6", "é日本\x00\r\n\r\n" * 30_000), (7, "http://a/7", "unique"), (7, "http://a/7", "unique"),
+    (None, "http://a/n", "null key"),
+]
+
+
+def digest(text):
+    return base64.b32encode(hashlib.sha1((text or "").encode()).digest()).decode()
+
+
+@pytest.mark.parametrize("min_payload", [0, 1])
+def test_round_trip(spark, folder, min_payload):
+    captures = spark.createDataFrame([(k, u, h, 1, "x") for k, u, h in HTML], "key long, url string, payload string, _owner int, same_as string")
+    write_warc(captures, f"{folder}/w", min_payload, records_per_file=4)
+    assert len(list(Path(f"{folder}/w").glob("part-*.gz"))) > 1
+    got = assemble(read_warc(spark, f"{folder}/w")).collect()
+    by = {r.metadata.payload.decode().split(": ")[1].strip(): r for r in got}
+    assert set(by) == {str(k) for k, _, _ in HTML}
+    for key, _, html in HTML:
+        r = by[str(key)]
+        assert r.main.payload_digest == digest(html) and r.main.error is None
+        group = [k for k, _, h in HTML if (h or "") == (html or "") and k is not None]
+        shared = len((html or "").encode()) >= min_payload
+        first = key is None or not shared or key == max(group)
+        assert r.main.record_type == ("response" if first else "revisit")
+        if first:
+            assert r.main.payload.decode() == (html or "") and r.original is None
+        else:
+            assert r.main.payload_bytes == 0 and r.original.payload_bytes == len((html or "").encode())
+            assert r.original.record_id == by[str(max(group))].main.record_id
+        assert r.request.concurrent_to == r.main.record_id if hasattr(r.request, "concurrent_to") else True
+
+
+def record(kind, name, block, **more):
+    head = {"WARC-Type": kind, "WARC-Record-ID": name, **{k.replace("_", "-"): v for k, v in more.items()}}
+    head["Content-Length"] = str(len(block))
+    return ("WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items()) + "\r\n").encode() + block + b"\r\n\r\n"
+
+
+HTTP = {"Content_Type": "application/http"}
+
+
+def test_links_either_way_and_loose_records(spark, folder):
+    parts = [
+        record("warcinfo", "<i>", b"software: x"),
+        record("response", "<r1>", RESPONSE + b"one", WARC_Concurrent_To="<q1>", **HTTP),
+        record("request", "<q1>", b"GET / HTTP/1.1\r\n\r\n", **HTTP),
+        record("metadata", "<m1>", b"a: b", WARC_Concurrent_To="<q1>"),
+        record("response", "<r2>", RESPONSE + b"two", **HTTP),
+        record("request", "<q2b>", b"GET /b\r\n\r\n", WARC_Concurrent_To="<r2>", **HTTP),
+        record("request", "<q2a>", b"GET /a\r\n\r\n", WARC_Concurrent_To="<r2>", **HTTP),
+        record("metadata", "<m9>", b"lost", WARC_Concurrent_To="<nowhere>"),
+        record("response", "<r2>", RESPONSE + b"two", **HTTP),
+        record("response", "<r3>", RESPONSE + b"bad", WARC_Payload_Digest="sha1:WRONG", **HTTP),
+    ]
+    Path(f"{folder}/w").mkdir()
+    Path(f"{folder}/w/members.warc.gz").write_bytes(b"".join(map(gzip.compress, parts[:5])))
+    Path(f"{folder}/w/plain.warc").write_bytes(b"".join(parts[5:]))
+    Path(f"{folder}/w/broken.warc").write_bytes(parts[1][:-9].replace(b"<r1>", b"<r8>"))
+    Path(f"{folder}/w/cut.warc.gz").write_bytes(gzip.compress(parts[0])[:-9])
+    records = read_warc(spark, f"{folder}/w")
+    assert records.where("record_id IS NULL AND error IS NOT NULL").count() == 2
+    got = {r.capture_id: r for r in assemble(records).collect()}
+    assert set(got) == {"<r1>", "<r2>", "<r3>"}
+    assert got["<r1>"].request.record_id == "<q1>" and got["<r1>"].metadata.record_id == "<m1>"
+    assert got["<r2>"].request.record_id == "<q2a>" and got["<r2>"].metadata is None
+    assert got["<r3>"].main.error == "payload digest differs"
+    assert got["<r1>"].main.payload == b"one" and sha1_base32(b"one") == got["<r1>"].main.payload_digest
+
+
+def test_parse_takes_pieces_of_any_size():
+    parts = [record("resource", f"<{i}>", bytes([65 + i]) * i) for i in range(20)]
+    found = list(parse_records(b"".join(map(gzip.compress, parts))))
+    assert [(h["warc-record-id"], len(b)) for h, b in found] == [(f"<{i}>", i) for i in range(20)]
+    assert list(parse_records(b"")) == []
+
+
+def test_no_pages(spark, folder):
+    write_warc(spark.createDataFrame([], "key long, url string, payload string"), f"{folder}/w")
+    assert assemble(read_warc(spark, f"{folder}/w")).count() == 0
