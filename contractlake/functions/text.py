@@ -49,10 +49,16 @@ def decode_references(text: Column) -> Column:
 
 
 def join_url(base: Column, href: Column) -> Column:
-    """``href`` below ``base``; a rooted path or a full address stands for itself."""
-    own_address = href.rlike(r"^(/|[A-Za-z][A-Za-z0-9+.\-]*://)")
+    """``href`` below ``base``; a rooted path below the base's site, a full address as it is."""
     slash = F.when(base.endswith("/"), F.lit("")).otherwise(F.lit("/"))
-    return F.when(own_address, href).otherwise(F.concat(base, slash, href))
+    site = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*:)?(//[^/?#]*)?", 0)
+    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*:)?", 0)
+    return (
+        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), href)
+        .when(href.startswith("//"), F.concat(scheme, href))
+        .when(href.startswith("/"), F.concat(site, href))
+        .otherwise(F.concat(base, slash, href))
+    )
 
 
 def base_name(path: Column) -> Column:

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-# Keys a sketch keeps track of at most; a key with a thousandth of all rows is not missed.
-MAX_TRACKED = 10_000
+# Fixed value: keys the sketch function can keep track of at most.
+MAX_TRACKED = 1_000_000
 
 
 def default_parts(df: DataFrame) -> int:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from contractlake.functions.text import archive_stem
+from contractlake.operators.skew import spread_join
 from contractlake.sources.pages import explode_links, labelled, page_links, resolve_links
 
 
@@ -38,35 +39,69 @@ def archive_names(links: DataFrame, base: str) -> DataFrame:
     return named.withColumn("destination", F.concat_ws("/", "folder", "name"))
 
 
-def pending_archives(candidates: DataFrame, done: DataFrame, key: str = "destination") -> DataFrame:
-    """Candidates not landed yet, one per key (the smallest ``target`` where several share it)."""
-    once = candidates.groupBy(key).agg(F.min("target").alias("target"))
-    return once.join(done.select(key).distinct(), key, "left_anti")
+def pending_archives(candidates: DataFrame, done: DataFrame) -> DataFrame:
+    """Archives not landed yet: ``destination``, ``target``, ``same_destination``, one row per target.
 
-
-def store_links(pages: DataFrame, path: str, tidy: bool = True) -> DataFrame:
-    """Links of all pages, one row per address even where a page was stored several times.
+    Targets that would land under one name (``same_destination`` of them) get a name of their own,
+    with a part of the target's digest, so none takes the place of another. ``done`` has a column
+    ``target`` or ``destination``; of the latter both the plain and the own names count. A
+    target whose name collides only from some later day on may be fetched once more, never less.
+    """
+    one = candidates.select(F.col("destination").alias("plain"), "target").distinct()
+    counts = one.groupBy("plain").agg(F.count(F.lit(1)).alias("same_destination"))
+    counted = spread_join(one, counts.where("same_destination > 1"), "plain")
+    own = F.concat_ws("-", "plain", F.substring(F.md5("target"), 1, 8))
+    named = counted.withColumn("same_destination", F.coalesce("same_destination", F.lit(1))).withColumn(
+        "destination", F.when(F.col("same_destination") > 1, own).otherwise(F.col("plain"))
+    )
+    if "target" in done.columns:
+        left = named.join(done.select("target").distinct(), "target", "left_anti")
+    else:
+        known = done.select("destination").distinct()
+        left = named.join(known, "destination", "left_anti")
+        left = left.join(known.withColumnRenamed("destination", "plain"), "plain", "left_anti")
+    return left.select("destination", "target", "same_destination")
+
+
+def store_links(pages: DataFrame, path: str, tidy: bool | None = None) -> DataFrame:
+    """Links of all pages, one row per address: those of every version that was stored of it.
 
     Extracted once and written to ``path``: the levels of the walk then join this narrow table
-    instead of reading all HTML once per level.
+    instead of reading all HTML once per level. Equal links are one before a page's links are
+    gathered, so a page stored any number of times is as long as its different links.
     """
-    linked = page_links(pages, tidy=tidy).groupBy("url").agg(F.max("links").alias("links"))
+    links = page_links(pages, tidy=tidy).select("url", F.inline("links")).distinct()
+    linked = links.groupBy("url").agg(F.collect_list(F.struct("href", "text")).alias("links"))
     linked.write.mode("error").parquet(path)
     return pages.sparkSession.read.parquet(path)
 
 
+def missing_pages(linked: DataFrame, roots: DataFrame, depth: int = 3) -> DataFrame:
+    """``(root, target)`` of labelled links above the last level that lead to no stored page."""
+    front = roots.select(F.col("url").alias("root"), F.col("url").alias("target")).distinct()
+    known = linked.select(F.col("url").alias("target"))
+    missing = front.join(known, "target", "left_anti")
+    for _ in range(depth - 1):
+        pages = front.join(linked, front["target"] == linked["url"]).drop("url", "target")
+        links = labelled(explode_links(pages)).where(F.col("href").isNotNull())
+        front = resolve_links(links, F.col("root")).select("root", "target").distinct()
+        missing = missing.union(front.join(known, "target", "left_anti").select(*missing.columns))
+    return missing.select("root", "target").distinct()
+
+
 def plan_downloads(
     pages: DataFrame,
     roots: DataFrame,
     done: DataFrame,
     archive_base: str,
     linked_path: str,
-    tidy: bool = True,
+    tidy: bool | None = None,
     depth: int = 3,
 ) -> DataFrame:
     """Archives to fetch: walk the stored index pages and leave out what has landed.
 
-    ``linked_path`` is a new folder for the links of the pages (see :func:`store_links`).
+    ``linked_path`` is a new folder for the links of the pages (see :func:`store_links`); what
+    :func:`missing_pages` finds in it are pages still to be stored.
     """
     linked = store_links(pages, linked_path, tidy)
     found = archive_names(walk_index(linked, roots, depth), archive_base)

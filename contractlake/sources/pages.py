@@ -7,7 +7,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from contractlake.functions.text import decode_references, join_url, link_label
+from contractlake.functions.text import CHARACTER_REFERENCES, decode_references, join_url, link_label
 
 LINK = T.StructType([T.StructField("href", T.StringType()), T.StructField("text", T.StringType())])
 
@@ -62,18 +62,38 @@ def _parsed_anchors(pages: pd.Series) -> pd.Series:
     return pages.map(links)
 
 
+def _untidy(html: Column) -> Column:
+    """Whether the patterns may miss something: anchors that nest or stay open, ``>`` within an
+    attribute, comments or scripts that stay open, character references the patterns don't know."""
+    shown = F.regexp_replace(html, UNSHOWN, "")
+    anchors = F.regexp_extract_all(shown, F.lit(ANCHOR), F.lit(0))
+    starts = F.regexp_count(shown, F.lit(r"(?i)<a[\s>/]"))
+    odd = shown.rlike(r"""(?is)<!--|<(script|style|textarea|title)\b[^>]*>(?!.*</\1)|<[a-z][^<>]*=\s*("[^"]*[<>][^"]*"|'[^']*[<>][^']*')""")
+    known = "|".join(reference[1:-1] for reference in CHARACTER_REFERENCES)
+    rare = F.exists(anchors, lambda anchor: anchor.rlike(rf"&(?!(?:{known});)[A-Za-z#]"))
+    return F.coalesce((starts != F.size(anchors)) | odd | rare, F.lit(False))
+
+
 def page_links(
-    pages: DataFrame, html_col: str = "html", tidy: bool = True, keep: tuple[str, ...] = ("url",)
+    pages: DataFrame,
+    html_col: str = "html",
+    tidy: bool | None = None,
+    keep: tuple[str, ...] = ("url",),
 ) -> DataFrame:
     """One row per page: the kept columns and ``links``, an array of ``(href, text)``.
 
-    ``tidy`` reads the anchors with patterns inside the JVM. Markup with unclosed or nested
-    anchors, ``>`` inside attributes or rarer character references needs ``tidy=False``, which
-    parses each page in Python.
+    Tidy pages are read with patterns inside the JVM, the others are parsed; the markup of each
+    page decides. ``tidy`` set to True or False takes one way for all pages.
     """
     html = F.col(html_col)
-    links = _anchors(html) if tidy else _parsed_anchors(html)
-    return pages.select(*keep, links.alias("links"))
+    if tidy is not None:
+        links = _anchors(html) if tidy else _parsed_anchors(html)
+        return pages.select(*keep, links.alias("links"))
+    # The parser is handed the untidy pages only: the others are null on its side.
+    marked = pages.select(*keep, html.alias("_html"), _untidy(html).alias("_untidy"))
+    parsed = _parsed_anchors(F.when(F.col("_untidy"), F.col("_html")))
+    links = F.when(F.col("_untidy"), parsed).otherwise(_anchors(F.col("_html")))
+    return marked.select(*keep, links.alias("links"))
 
 
 def explode_links(linked: DataFrame) -> DataFrame:
@@ -85,7 +105,10 @@ def explode_links(linked: DataFrame) -> DataFrame:
 
 
 def extract_links(
-    pages: DataFrame, html_col: str = "html", tidy: bool = True, keep: tuple[str, ...] = ("url",)
+    pages: DataFrame,
+    html_col: str = "html",
+    tidy: bool | None = None,
+    keep: tuple[str, ...] = ("url",),
 ) -> DataFrame:
     """All anchors of all pages: the kept columns, ``href`` and ``label``."""
     return explode_links(page_links(pages, html_col, tidy, keep))

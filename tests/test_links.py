@@ -1,12 +1,27 @@
 """Anchors, labels, addresses, the index walk and what is left to fetch."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
 from contractlake.functions.text import archive_stem, join_url, link_label
-from contractlake.plans.index import archive_names, pending_archives, plan_downloads, walk_index
+from contractlake.plans.index import (
+    archive_names,
+    missing_pages,
+    pending_archives,
+    plan_downloads,
+    store_links,
+    walk_index,
+)
 from contractlake.sources.pages import extract_links, labelled, page_links, resolve_links
 
+
+
+def md5(text):
+    return hashlib.md5(text.encode()).hexdigest()[:8]
+
+
 TIDY = """<html><!-- <a href="no">NO</a> --><script>var a='<a href="no">NO</a>';</script>
 <A class="c" HREF='one.html'><img src="X.GIF"> 2004 </A><a name="top">TOP</a>
 <a href=two.html>parent</a><a href="q?a=1&amp;b=2">A &amp; B</a><a data-href="z">FY05-V1.4</a>
@@ -40,10 +55,28 @@ def test_untidy_markup_needs_the_parser(spark):
 
 def test_links_without_parsing_stay_in_the_jvm(spark):
     pages = spark.createDataFrame([("u", TIDY)], "url string, html string")
-    plan = extract_links(pages)._jdf.queryExecution().executedPlan().toString()
+    plan = extract_links(pages, tidy=True)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
 
 
+UNTIDY = [
+    "<a href=a><a href=b></a>x<a href=c>",
+    '<a href="a" title="x>y">A1<a href="b">B2</a></a><a href="c">&Eacute;&#65;3',
+    "<a href='x&copy;y'>Z</a>",
+    "<!-- never closed <a href=a>A</a>",
+    "<script>never closed <a href=a>A</a>",
+    '<a href="1">ONE</a><a/><p title="</a>"><a href="2">TWO</a>',
+]
+
+
+def test_the_markup_of_a_page_picks_the_way(spark):
+    """Whatever the page, the result is the parser's."""
+    pages = spark.createDataFrame([(str(i), h) for i, h in enumerate([TIDY, *UNTIDY, None, ""])], "url string, html string")
+    found, parsed = (extract_links(pages, tidy=way).collect() for way in (None, False))
+    assert sorted(map(str, found)) == sorted(map(str, parsed))
+    assert {r.href for r in found if r.url == "1"} == {"a", "b", "c"}
+
+
 def test_label_and_stem(spark):
     def one(expr):
         return spark.range(1).select(expr).first()[0]
@@ -59,7 +92,9 @@ def test_label_and_stem(spark):
     [
         ("http://h/d", "x.html", "http://h/d/x.html"),
         ("http://h/d/", "x.html", "http://h/d/x.html"),
-        ("http://h/d", "/x", "/x"),
+        ("http://h/d", "/x", "http://h/x"),
+        ("http://h:8/d/e?q", "/x/y", "http://h:8/x/y"),
+        ("https://h/d", "//o/x", "https://o/x"),
         ("http://h/d", "ftp://o/x", "ftp://o/x"),
     ],
 )
@@ -113,16 +148,41 @@ def test_plan_downloads(spark, folder, pages):
     pending = plan_downloads(pages, roots, done, "http://d/", f"{folder}/links")
     assert {tuple(r) for r in pending.select("destination", "target").collect()} == {
         ("2004/FY-V1.4-y", "http://d/z/FY-V1.4-y.zip"),
-        ("2004/n", "http://d/o/n.zip"),
+        ("2004/n-" + md5("http://d/o/n.zip"), "http://d/o/n.zip"),
+        ("2004/n-" + md5("http://d/z/n.zip"), "http://d/z/n.zip"),
         ("2005/FY-V1.4-x", "http://d/z/FY-V1.4-x.zip"),
         ("2005/FY-V1.4-y", "http://d/z/FY-V1.4-y.zip"),
         ("2005/y2", "http://d/y2"),
     }
 
 
-def test_pending_once_per_key(spark):
-    links = spark.createDataFrame([("2004", "b/a.zip"), ("2004", "a/a.zip")], "folder string, href string")
+def test_archives_that_share_a_name_are_all_fetched(spark):
+    links = spark.createDataFrame(
+        [("2004", "b/a.zip"), ("2004", "a/a.zip"), ("2004", "a/a.zip"), ("2004", "c.zip")], "folder string, href string"
+    )
     named = archive_names(links, "http://d")
     none_done = spark.createDataFrame([], "destination string")
-    assert pending_archives(named, none_done).collect() == [("2004/a", "http://d/a/a.zip")]
-    assert pending_archives(named, named).count() == 0
+    own = {t: f"2004/a-{md5(t)}" for t in ("http://d/a/a.zip", "http://d/b/a.zip")}
+    found = pending_archives(named, none_done)
+    assert {tuple(r) for r in found.collect()} == {
+        *[(d, t, 2) for t, d in own.items()], ("2004/c", "http://d/c.zip", 1)
+    }
+    assert pending_archives(named, found.select("target")).count() == 0
+    assert pending_archives(named, found.select("destination")).count() == 0
+    one = found.where("target = 'http://d/a/a.zip'")
+    left = pending_archives(named, one.select("destination")).collect()
+    assert {r.target for r in left} == {"http://d/b/a.zip", "http://d/c.zip"}
+
+
+def test_links_of_all_versions_of_a_page(spark, folder):
+    pages = spark.createDataFrame([page("u", ("a", "A")), page("u", ("b", "B"), ("a", "A"))], "url string, html string")
+    (row,) = store_links(pages, f"{folder}/links").collect()
+    assert sorted(link.href for link in row.links) == ["a", "b"]
+
+
+def test_rooted_links_are_walked_and_missing_pages_named(spark):
+    pages = [page("http://i/d/", ("/y1", "2004"), ("gone", "2005")), page("http://i/y1", ("/a1", "X")), page("http://i/a1", ("z.zip", "Z"))]
+    linked = page_links(spark.createDataFrame(pages, "url string, html string"))
+    roots = spark.createDataFrame([("http://i/d/",), ("http://nowhere/",)], "url string")
+    assert [(r.folder, r.href) for r in walk_index(linked, roots).collect()] == [("2004", "z.zip")]
+    assert {r.target for r in missing_pages(linked, roots).collect()} == {"http://nowhere/", "http://i/d/gone"}
