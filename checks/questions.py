@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.registry import check, with_award
-from contractlake import fixtures
+from checks import fixtures
 from contractlake.plans import questions
 
 SPEND = "sum(amount)::double AS spend, count(*) AS awards"
@@ -67,17 +67,30 @@ def spend_by_vehicle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check(
     """SELECT l_orderkey::varchar AS "PIID", lpad((l_orderkey % 25)::varchar, 4, '0') AS "agencyID",
+      'V' || (l_linenumber % 2) AS "referencedID",
       sum(l_extendedprice::decimal(18,2))::double AS spend, count(*) AS awards,
       strftime(min(l_shipdate), '%Y-%m-%d %H:%M:%S') AS first_signed,
       strftime(max(l_shipdate), '%Y-%m-%d %H:%M:%S') AS last_signed
-    FROM lineitem GROUP BY l_orderkey"""
+    FROM lineitem GROUP BY l_orderkey, l_linenumber % 2"""
 )
 def award_mod_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items stand for the modifications of one contract."""
+    """Line items stand for the modifications of orders whose numbers two vehicles share."""
     mods = fixtures.table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("PIID"),
         F.lpad((F.col("l_orderkey") % 25).cast("string"), 4, "0").alias("agencyID"),
+        F.concat(F.lit("V"), (F.col("l_linenumber") % 2).cast("string")).alias("referencedID"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("obligatedAmount"),
         F.col("l_shipdate").alias("signedDate"),
     )
     return questions.award_mod_totals(mods)
+
+
+BLANK_LOCATION = f"""SELECT CASE WHEN product <> 'P' THEN country END AS "countryCode", {SPEND}
+  FROM award GROUP BY 1"""
+
+
+@check(with_award(BLANK_LOCATION))
+def spend_by_location_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Awards of one status name no vendor: their spend stands under no location."""
+    contract, vendor = fixtures.blank_vendor_tables(spark, sf_dir)
+    return questions.spend_by_location(contract, vendor, more_keys=("year",))

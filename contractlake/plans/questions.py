@@ -100,8 +100,11 @@ def top_vendors(contract: DataFrame, k: int = 10) -> DataFrame:
 
 
 def award_mod_totals(contract: DataFrame) -> DataFrame:
-    """Per contract (number and agency): awards and modifications, total, first and last change."""
-    totals = contract.groupBy("PIID", "agencyID").agg(
+    """Per contract: awards and modifications, total, first and last change.
+
+    Order numbers repeat from vehicle to vehicle, so the vehicle is part of the key.
+    """
+    totals = contract.groupBy("PIID", "agencyID", "referencedID").agg(
         *_spend(),
         F.min("signedDate").alias("first_signed"),
         F.max("signedDate").alias("last_signed"),
