@@ -19,7 +19,7 @@ from contractlake.plans.tables import TYPES, contract_projection, vendor_table
 from contractlake.session import qualified, scratch_dir
 from contractlake.sinks.tables import write_contract, write_vendor
 from contractlake.sources.archives import shared_store
-from contractlake.sources.awards import ROW_TAG, award_records, complete_records
+from contractlake.sources.awards import ROW_TAG, award_records
 
 ROOT_TAG = 'ns1:awards xmlns:ns1="urn:awards"'
 AWARD_DIR = "A-AWARD.xml"
@@ -141,6 +141,15 @@ def write_xml(awards: DataFrame, path: str, file: Column | None = None) -> None:
     )
 
 
+def set_old(spark: SparkSession, pattern: str) -> None:
+    """Give files the time of a copy that kept that of long ago."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    path = jvm.Path(pattern)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.globStatus(path):
+        fs.setTimes(status.getPath(), 1_000_000_000_000, -1)
+
+
 def award_xml(spark: SparkSession, sf_dir: str) -> str:
     """Folder with all awards as XML, one folder per year."""
     return once(spark, sf_dir, "xml", lambda path: write_xml(award_frame(spark, sf_dir), path))
@@ -165,6 +174,21 @@ def lake(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "lake", make)
 
 
+def blank_vendor_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Contract and vendor tables in which awards of one status have a blank vendor number."""
+
+    def make(path: str) -> None:
+        awards = keyed_awards(spark, sf_dir)
+        product = F.col("`ns1:contractData`")["ns1:productOrServiceCode"]
+        duns = F.col("`ns1:vendor`.`ns1:vendorSiteDetails`")["ns1:vendorDUNSInformation"]["ns1:DUNSNumber"]
+        awards = with_duns(awards, F.when(product == "P", F.lit(" ")).otherwise(duns))
+        write_contract(apply_types(contract_projection(awards), TYPES), path)
+        write_vendor(vendor_table(awards, per=("year",)), path)
+
+    path = once(spark, sf_dir, "blank-vendors", make)
+    return spark.read.parquet(f"{path}/contract"), spark.read.parquet(f"{path}/vendor")
+
+
 def contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{lake(spark, sf_dir)}/contract")
 
@@ -186,8 +210,7 @@ def _zip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def award_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zip archives ``(path, content)`` of the award XML, many records per member."""
-    pieces = award_records(spark, all_award_files(award_xml(spark, sf_dir)))
-    records = complete_records(pieces).select(
+    records = award_records(spark, all_award_files(award_xml(spark, sf_dir))).select(
         F.concat(F.pmod(F.xxhash64("value"), F.lit(8)), F.lit("-AWARD.xml")).alias("member"),
         F.concat("value", F.lit("\n")).alias("text"),
     )
@@ -215,6 +238,20 @@ def archive_files(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "zips", make)
 
 
+def add_member(batches: Iterator[pd.DataFrame], folder: str) -> Iterator[pd.DataFrame]:
+    """Copies of the archives with one more award member, whose bytes are no text."""
+    store, name = shared_store(folder)
+    store.create_dir(name, recursive=True)
+    for batch in batches:
+        for path, content in zip(batch["path"], batch["content"]):
+            copy = io.BytesIO(content)
+            with zipfile.ZipFile(copy, "a", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr("broken-AWARD.xml", b"<ns1:award>\xff\xfe</ns1:award>")
+            with store.open_output_stream(f"{name}/{path.rsplit('/', 1)[-1]}") as out:
+                out.write(copy.getvalue())
+        yield batch[["path"]]
+
+
 def document_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zip archives with one member per document, named by its id."""
     documents = table(spark, sf_dir, "documents").select(
@@ -235,7 +272,7 @@ def index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     block = F.floor(F.col("s_suppkey") / PAGE_LINKS)
     site = F.concat(F.lit(f"{SITE}/b"), block.cast("string"), F.lit("/"))
     rows = table(spark, sf_dir, "supplier").withColumn("root", site)
-    rows = rows.join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+    rows = rows.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
 
     def anchor(href: Column, label: Column) -> Column:
         return F.concat(F.lit('<li><a href="'), href, F.lit('">'), label, F.lit("</a></li>"))

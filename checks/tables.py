@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks.registry import CONTRACT_COLUMNS, VENDOR_COLUMNS, check, with_award, with_vendor
-from contractlake import fixtures
+from checks import fixtures
 from contractlake.operators.dedupe import dedupe_vendors
 from contractlake.operators.flatten import array_child, flatten
 from contractlake.operators.rejects import apply_types, cast_rules, split_rejects
-from contractlake.operators.width import truncate_bytes
+from contractlake.operators.width import apply_widths, truncate_bytes
 from contractlake.plans.jobs import run_year, run_years
 from contractlake.plans.questions import join_contract_vendor, latest_vendors
 from contractlake.plans.tables import TYPES, contract_projection, vendor_projection, vendor_table
-from contractlake.session import scratch_dir
+from contractlake.session import qualified, scratch_dir
 from contractlake.sinks.tables import (
     data_dictionary,
     export_csv,
@@ -24,6 +24,8 @@ from contractlake.sinks.tables import (
     write_contract,
     write_vendor,
 )
+from contractlake.sources.awards import CORRUPT, award_records, parse_records
+from contractlake.streaming.landing import ingest_new_files
 
 CONTRACT_SQL = with_award(f"SELECT {CONTRACT_COLUMNS} FROM award")
 VENDOR_SQL = with_vendor(f"SELECT {VENDOR_COLUMNS} FROM vendor")
@@ -279,6 +281,23 @@ def join_contract_vendor_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_contract_vendor(contract, vendor, "year").select(*JOINED)
 
 
+@check(
+    with_vendor(
+        """SELECT award.piid AS "PIID", award.amount::double AS "obligatedAmount", award.year,
+          b.duns AS "DUNSNumber", b.name AS "vendorName", b.alt_name AS "vendorAlternateName",
+          b.country AS "countryCode"
+        FROM award LEFT JOIN (SELECT * FROM (
+          SELECT *, row_number() OVER (PARTITION BY duns, year
+            ORDER BY signed_at DESC, alt_name DESC, name DESC, country DESC) AS latest
+          FROM award WHERE product <> 'P') WHERE latest = 1) b
+        ON award.product <> 'P' AND award.duns = b.duns AND award.year = b.year"""
+    )
+)
+def join_contract_vendor_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contracts that name no vendor stay, without one."""
+    return join_contract_vendor(*fixtures.blank_vendor_tables(spark, sf_dir), "year").select(*JOINED)
+
+
 @check(CONTRACT_SQL)
 def sink_csv_gzip_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "csv")
@@ -300,6 +319,9 @@ def sink_csv_free_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+DICTIONARY_WIDTHS = {"PIID": 50, "agencyID": 4, "DUNSNumber": 13}
+
+
 def _dictionary_sql() -> str:
     contract_id, vendor = "ns1:awardID.ns1:awardContractID.", "ns1:vendor.ns1:vendorSiteDetails."
     text = {
@@ -319,11 +341,11 @@ def _dictionary_sql() -> str:
     }
     rows = [
         f"SELECT '{path}' AS path, '{name}' AS \"column\", 'string' AS type, "
-        f"count({value}) AS filled, max(strlen({value}))::bigint AS longest FROM award"
+        f"{DICTIONARY_WIDTHS.get(name, 0)}::bigint AS maxlength, count({value}) AS filled, max(strlen({value}))::bigint AS longest FROM award"
         for name, (path, value) in text.items()
     ]
     rows += [
-        f"SELECT '{path}', '{name}', '{dtype}', count({value}), 0::bigint FROM award"
+        f"SELECT '{path}', '{name}', '{dtype}', 0, count({value}), 0::bigint FROM award"
         for name, (path, dtype, value) in other.items()
     ]
     return with_award(" UNION ALL ".join(rows))
@@ -331,9 +353,12 @@ def _dictionary_sql() -> str:
 
 @check(_dictionary_sql(), name="data_dictionary")
 def data_dictionary_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = data_dictionary(fixtures.contract(spark, sf_dir), "contract")
-    longest = F.coalesce("longest", F.lit(0)).alias("longest")
-    return entries.select("path", "column", "type", "filled", longest)
+    """Of a table written with widths for some columns and read back."""
+    path = scratch_dir(spark, "wide")
+    apply_widths(fixtures.contract(spark, sf_dir), DICTIONARY_WIDTHS).write.parquet(path)
+    entries = data_dictionary(spark.read.parquet(path), "contract")
+    longest, width = (F.coalesce(n, F.lit(0)).alias(n) for n in ("longest", "maxlength"))
+    return entries.select("path", "column", "type", width, "filled", longest)
 
 
 @check(
@@ -385,3 +410,104 @@ def job_archives_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch_dir(spark, "from-archives")
     load = run_year(spark, folder, target, "all", schema, mode="archives")
     return spark.read.parquet(load.contract).withColumn("year", F.year("signedDate"))
+
+
+@check(
+    """SELECT doc_id::varchar AS "PIID", md5(replace(replace(replace(regexp_replace(text, '[^\\x20-\\x7E\\x{A0}-\\x{D7FF}]', '', 'g'),
+        '&', '+'), '<', '('), '>', ')')) AS content
+    FROM documents"""
+)
+def job_wide_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents as the description of an award through the year job: nothing is cut."""
+
+    def make(path: str) -> None:
+        text = F.regexp_replace("text", r"[^\x20-\x7E\xA0-\uD7FF]", "")
+        for letter, other in (("&", "+"), ("<", "("), (">", ")")):
+            text = F.replace(text, F.lit(letter), F.lit(other))
+        leaf = lambda name, value: F.concat(F.lit(f"<ns1:{name}>"), value, F.lit(f"</ns1:{name}>"))
+        ident = F.concat(leaf("PIID", F.col("doc_id").cast("string")), leaf("agencyID", F.lit("0300")),
+                         leaf("modNumber", F.lit("0")), leaf("transactionNumber", F.lit("0")))
+        award = leaf("award", F.concat(leaf("awardID", leaf("awardContractID", ident)), leaf("description", leaf("text", F.concat(F.lit("|"), text, F.lit("|"))))))
+        fixtures.table(spark, sf_dir, "documents").select(award.alias("value")).write.text(f"{path}/in")
+        schema = T.StructType.fromDDL(
+            "`ns1:awardID` struct<`ns1:awardContractID`: struct<`ns1:PIID`: string, `ns1:agencyID`: string, "
+            "`ns1:modNumber`: string, `ns1:transactionNumber`: string>>, `ns1:description` struct<`ns1:text`: string>"
+        )
+        records = parse_records(award_records(spark, f"{path}/in/*.txt"), schema).drop("file")
+        records.write.parquet(f"{path}/landed")
+        run_year(spark, f"{path}/landed", f"{path}/lake", 2005, types={}, mode="landed", max_errors=1)
+
+    folder = fixtures.once(spark, sf_dir, "wide-text", make)
+    text = F.expr("substring(text, 2, length(text) - 2)")
+    return read_table(spark, f"{folder}/lake", "contract").select("PIID", F.md5(text).alias("content"))
+
+
+@check(
+    with_award(
+        """SELECT 'vendor' AS "table", count(*) AS awards, 'countryCode is not int' AS reason
+        FROM award WHERE country::int % 5 = 0
+        UNION ALL SELECT 'loaded', count(DISTINCT duns), 'none' FROM award WHERE country::int % 5 <> 0"""
+    )
+)
+def job_vendor_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vendors of every fifth nation have a country that is no number: rejects of the vendor table."""
+
+    def make(path: str) -> None:
+        awards = fixtures.award_frame(spark, sf_dir).drop("year")
+        vendor = F.col("`ns1:vendor`")
+        site = vendor["ns1:vendorSiteDetails"]
+        country = site["ns1:vendorLocation"]["ns1:countryCode"]
+        bad = F.when(country.cast("int") % 5 == 0, F.concat(F.lit("no. "), country)).otherwise(country)
+        moved = site.withField("`ns1:vendorLocation`", F.struct(bad.alias("ns1:countryCode")))
+        awards = awards.withColumn("ns1:vendor", vendor.withField("`ns1:vendorSiteDetails`", moved))
+        awards.withColumn(CORRUPT, F.lit(None).cast("string")).write.parquet(f"{path}/landed")
+        everything = awards.count() + 1
+        run_year(spark, f"{path}/landed", f"{path}/lake", 2005, types={**TYPES, "countryCode": "int"},
+                 mode="landed", max_errors=everything)
+
+    lake = f"{fixtures.once(spark, sf_dir, 'vendor-rejects', make)}/lake"
+    rejects = read_table(spark, lake, "rejects").select("table", F.explode("reasons").alias("reason"))
+    vendors = read_table(spark, lake, "vendor").select(F.lit("loaded").alias("table"), F.lit("none").alias("reason"))
+    return rejects.unionByName(vendors).groupBy("table", "reason").agg(F.count(F.lit(1)).alias("awards"))
+
+
+@check(CONTRACT_SQL)
+def job_archives_broken_member(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every archive has one more member that is not UTF-8: all readable awards are loaded."""
+
+    def make(path: str) -> None:
+        source = qualified(spark, fixtures.archive_files(spark, sf_dir))
+        files = spark.read.format("binaryFile").load(f"{source}/*.zip").select("path", "content")
+        folder = qualified(spark, f"{path}/in")
+        broken = files.mapInPandas(lambda batches: fixtures.add_member(batches, folder), "path string")
+        n = broken.count()
+        schema = fixtures.award_frame(spark, sf_dir).drop("year").schema
+        run_year(spark, f"{path}/in", f"{path}/lake", "all", schema, mode="archives", max_broken=n, max_errors=n + 1)
+
+    lake = f"{fixtures.once(spark, sf_dir, 'broken-members', make)}/lake"
+    return read_table(spark, lake, "contract").withColumn("year", F.year("signedDate"))
+
+
+@check(
+    with_award(
+        """SELECT 'contract' AS "table", count(*) AS rows, sum(amount)::double AS amount FROM award
+        UNION ALL SELECT 'vendor', count(DISTINCT duns), NULL FROM award"""
+    )
+)
+def incremental_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A year loaded from what has landed, and again when more has: both tables follow."""
+
+    def make(path: str) -> None:
+        awards = fixtures.award_frame(spark, sf_dir)
+        schema = awards.drop("year").schema
+        for run, due in enumerate((F.col("year") > 1998, F.col("year") <= 1998)):
+            fixtures.write_xml(awards.where(due), f"{path}/in")
+            ingest_new_files(spark, f"{path}/in/year=*/*AWARD.xml", f"{path}/landed", f"{path}/state", schema)
+            run_year(spark, f"{path}/landed", f"{path}/lake", "all", mode="landed", replace=run > 0)
+
+    lake = f"{fixtures.once(spark, sf_dir, 'incremental-year', make)}/lake"
+    contract, vendor = (read_table(spark, lake, name) for name in ("contract", "vendor"))
+    sums = contract.agg(F.lit("contract").alias("table"), F.count(F.lit(1)).alias("rows"), F.sum("obligatedAmount").alias("amount"))
+    return sums.unionByName(
+        vendor.agg(F.lit("vendor").alias("table"), F.count(F.lit(1)).alias("rows"), F.lit(None).cast("decimal(18,2)").alias("amount"))
+    )

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from contractlake.functions.text import truncate_utf8
 
-# Fixed value: width of a text column that has no width of its own.
+# Fixed value: width of a text column of a warehouse table that declares none. Parquet needs no
+# widths: nothing is cut unless a width is given.
 DEFAULT_WIDTH = 256
 
 
 def column_widths(
-    df: DataFrame, widths: Mapping[str, int], default: int | None = DEFAULT_WIDTH
+    df: DataFrame, widths: Mapping[str, int], default: int | None = None
 ) -> dict[str, int]:
     """Width per text column of ``df``; widths for columns that do not exist are ignored."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
@@ -32,7 +33,7 @@ def truncate_bytes(
 def apply_widths(
     df: DataFrame,
     widths: Mapping[str, int],
-    default: int | None = DEFAULT_WIDTH,
+    default: int | None = None,
     truncate: bool = True,
 ) -> DataFrame:
     """Cut text columns to their width and note it as ``maxlength`` in the column metadata.
@@ -48,3 +49,12 @@ def apply_widths(
             value = value.alias(field.name, metadata={**field.metadata, "maxlength": width})
         columns.append(value)
     return df.select(*columns)
+
+
+def cut_counts(df: DataFrame, widths: Mapping[str, int], default: int | None = None) -> dict[str, int]:
+    """How many values of each text column are wider than their width; columns without any left out."""
+    found = column_widths(df, widths, default)
+    if not found:
+        return {}
+    wider = [F.count_if(F.octet_length(F.col(f"`{n}`")) > w).alias(n) for n, w in found.items()]
+    return {name: n for name, n in df.agg(*wider).first().asDict().items() if n}

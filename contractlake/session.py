@@ -47,3 +47,26 @@ def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder this job wrote itself (a staging copy, or the first half of a failed load)."""
     fs, jvm_path = _hadoop_path(spark, path)
     fs.delete(jvm_path, True)
+
+
+def create_marker(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file that must not be there yet; False where it is."""
+    fs, jvm_path = _hadoop_path(spark, path)
+    try:
+        out = fs.create(jvm_path, False)
+    except Exception:  # told apart from other failures by the file itself
+        if fs.exists(jvm_path):
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder to a name that is free."""
+    fs, jvm_source = _hadoop_path(spark, source)
+    _, jvm_target = _hadoop_path(spark, target)
+    fs.mkdirs(jvm_target.getParent())
+    if fs.exists(jvm_target) or not fs.rename(jvm_source, jvm_target):
+        raise OSError(f"{source} could not be renamed to {target}")

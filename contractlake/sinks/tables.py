@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from contractlake.operators.skew import default_parts, hot_keys, salt_left, salt_right
-from contractlake.session import sub_folders
+from contractlake.session import path_exists, scratch_dir, sub_folders
 
 KEY = "DUNSNumber"
 DATE = "signedDate"
@@ -17,6 +17,11 @@ def year_path(root: str, table: str, year: int | str) -> str:
     return f"{root.rstrip('/')}/{table}/year={year}"
 
 
+def publishing_path(root: str, year: int | str) -> str:
+    """The marker that is there while the tables of a year are being put in place."""
+    return f"{root.rstrip('/')}/_publishing/year={year}"
+
+
 def _write_years(df: DataFrame, root: str, table: str, year: int | str | None) -> str:
     if year is not None and "year" in map(str.lower, df.columns):
         raise ValueError("rename the column 'year': the folder gives the table a column of that name")
@@ -38,8 +43,9 @@ def write_contract(
 ) -> str:
     """Write ``<root>/contract/year=YYYY``, fail if it exists, return the path.
 
-    Without ``year`` the frame has a ``year`` column and all years are written. Rows are sorted
-    by date inside each task's files, without a shuffle, so that row groups can be skipped.
+    Without ``year`` the frame has a ``year`` column and all years are written, each gathered into
+    files of the size that adaptive execution aims at, so their number follows the data and not
+    tasks times years. Rows are sorted by date inside each file, so that row groups can be skipped.
     ``layout="ranged"`` shuffles into date ranges first, so that whole files can be skipped;
     a date with very many rows is divided by a hash of the rows.
     """
@@ -50,6 +56,8 @@ def write_contract(
         df = ranged.drop("_tie")
     elif layout != "sorted":
         raise ValueError(f"unknown layout {layout!r}")
+    elif year is None:
+        df = df.hint("rebalance", F.col("year"))
     return _write_years(
         df.sortWithinPartitions(*order) if order else df, root, "contract", year
     )
@@ -58,8 +66,12 @@ def write_contract(
 def write_vendor(
     df: DataFrame, root: str, year: int | str | None = None, key: str = KEY
 ) -> str:
-    """Write ``<root>/vendor/year=YYYY``, fail if it exists, return the path; sorted by key."""
+    """Write ``<root>/vendor/year=YYYY``, fail if it exists, return the path; sorted by key.
+
+    Without ``year`` all years are written, as in :func:`write_contract`.
+    """
     order = ["year", key] if year is None else [key]
+    df = df.hint("rebalance", F.col("year")) if year is None else df
     return _write_years(df.sortWithinPartitions(*order), root, "vendor", year)
 
 
@@ -68,18 +80,22 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
 
     The files of a year were written together, so one footer per year gives the whole schema;
     merging the footers of all files would read every file once before the query starts.
-    Years that disagree about a type are for ``union_years``.
+    Years that disagree about a type are for ``union_years``. A year whose tables are being
+    published is not there yet.
     """
     path = f"{root.rstrip('/')}/{table}"
+    years = [y for y in sub_folders(spark, path) if "/year=" in y]
+    whole = [y for y in years if not path_exists(spark, publishing_path(root, y.rsplit("/year=", 1)[1]))]
     fields: dict[str, T.StructField] = {}
-    for year in sub_folders(spark, path):
-        if "/year=" not in year:
-            continue
+    for year in whole:
         for field in spark.read.parquet(year).schema.fields:
             known = fields.setdefault(field.name, field)
             if known.dataType != field.dataType:
                 raise ValueError(f"{field.name!r} changes its type in {year}: use union_years")
-    return spark.read.schema(T.StructType(list(fields.values()))).parquet(path)
+    reader = spark.read.schema(T.StructType(list(fields.values())))
+    if len(whole) == len(years):
+        return reader.parquet(path)
+    return reader.option("basePath", path).parquet(*whole)
 
 
 def write_bucketed(
@@ -99,7 +115,10 @@ def write_bucketed(
     """
     buckets = buckets or default_parts(contract)
     by = (KEY, *more_keys, "salt")
-    hot = hot_keys(contract, KEY, buckets)
+    # Written once: both sides must spread the same keys in the same way.
+    hot_path = scratch_dir(contract.sparkSession, "hot")
+    hot_keys(contract, KEY, buckets).write.parquet(hot_path)
+    hot = contract.sparkSession.read.parquet(hot_path)
     sides = (
         (salt_left(contract, hot, KEY, buckets), names[0], DATE),
         (salt_right(vendor, hot, KEY), names[1], KEY),

@@ -1,19 +1,22 @@
 """Award records from XML files.
 
-Two ways to read the same rows. ``files`` uses the XML source: any well-formed XML, but one task
-per file, and a record that is not well-formed costs the rest of its file. ``records`` cuts the
-text at the end tag: large files are split between tasks and a bad record costs only itself, but
-the end tag must not occur inside CDATA or comments, and the text must be UTF-8.
+One reader cuts any file, whatever its size, into whole records: the text is read in splits at the
+end tag, and the pieces of a split, which come in order, are put together again where a cut fell
+into a comment or a CDATA section. Every start tag outside of those gives one row, good or marked
+corrupt with its text and file, so nothing disappears and nothing commented out is loaded. A bad
+record costs only itself. ``files`` uses the XML source instead: one task per file, and a record
+that is not well-formed costs the rest of its file.
 """
 
 from __future__ import annotations
 
+import codecs
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from xml.parsers import expat
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from contractlake.operators.flatten import Path
 
@@ -30,6 +33,9 @@ XML_OPTIONS = {
     "columnNameOfCorruptRecord": CORRUPT,
 }
 
+RECORDS = "file string, value string, error string"
+DECLARED = re.compile(rb"^(?:\xef\xbb\xbf)?<\?xml[^>]*?encoding\s*=\s*[\"']([A-Za-z0-9._\-]+)")
+
 
 def award_files(folder: str, pattern: str = FILE_PATTERN) -> str:
     """The award files of one folder; other record files beside them do not match."""
@@ -49,20 +55,18 @@ def read_awards(
     mode: str = "files",
     row_tag: str = ROW_TAG,
     infer_types: bool = False,
-    max_file_bytes: int = 1 << 28,
+    encoding: str = "utf-8",
 ) -> DataFrame:
     """One row per ``row_tag`` element; attributes left out, empty text null, leaves as text.
 
     Without a ``schema`` a first pass over all files finds the elements. ``infer_types`` also
     guesses types and then loses leading zeros. The ``_corrupt_record`` column is null for a
-    record that was read. ``mode``: ``files``, ``records``, or ``by_size``, which takes
-    ``records`` for files above ``max_file_bytes`` and ``files`` for the others.
+    record that was read. ``mode`` is ``files`` or ``records``; ``encoding`` is that of the files
+    in the latter, the XML source goes by their declaration.
     """
     if mode == "records":
-        schema = schema or discover_schema(award_records(spark, path, row_tag))
-        return parse_records(award_records(spark, path, row_tag), schema, row_tag)
-    if mode == "by_size":
-        return _read_by_size(spark, path, schema, row_tag, max_file_bytes)
+        records = award_records(spark, path, row_tag, encoding)
+        return parse_records(records, schema or discover_schema(records)).drop("file")
     if mode != "files":
         raise ValueError(f"unknown mode {mode!r}")
     reader = spark.read.format("xml").options(**XML_OPTIONS).option("rowTag", row_tag)
@@ -73,80 +77,206 @@ def read_awards(
     return reader.schema(with_corrupt(schema)).load(path)
 
 
-def _read_by_size(
-    spark: SparkSession,
-    path: str | list[str],
-    schema: T.StructType | None,
-    row_tag: str,
-    max_file_bytes: int,
-) -> DataFrame:
-    files = spark.read.format("binaryFile").load(path).select("path", "length")
-    # Paths only, and Spark's own file listing already holds them on the driver.
-    routed: dict[str, list[str]] = {"files": [], "records": []}
-    for row in files.collect():
-        routed["records" if row.length > max_file_bytes else "files"].append(row.path)
-    if schema is None:
-        schema = discover_schema(award_records(spark, path, row_tag))
-    frames = [
-        read_awards(spark, paths, schema, mode, row_tag) for mode, paths in routed.items() if paths
-    ]
-    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+UNENDED = "a comment or section does not end"
 
 
-def award_records(
-    spark: SparkSession, path: str | list[str], row_tag: str = ROW_TAG
-) -> DataFrame:
-    """Column ``value``: text up to each end tag, read in splits of any size."""
-    return spark.read.option("lineSep", f"</{row_tag}>").text(path).select("value")
+class RecordCutter:
+    """Takes the pieces of a text between literal end tags, in order, and gives whole records.
 
+    ``take`` returns ``(record, error)`` pairs; ``error`` says why a record is none. What is no
+    record (prolog, root element, blanks, comments) gives nothing.
+    """
 
-def complete_records(pieces: DataFrame, row_tag: str = ROW_TAG) -> DataFrame:
-    """Pieces of text to whole elements: from the start tag on, end tag put back.
+    def __init__(self, row_tag: str) -> None:
+        tag = re.escape(row_tag)
+        self.end_tag = f"</{row_tag}>"
+        self.start = f"<{row_tag}"
+        attributes = r"""(?:\s(?:[^<>"']|"[^"]*"|'[^']*')*)?"""
+        # In sections and comments tags are text; all else that looks like one is one.
+        self.token = re.compile(rf"(?s)<!--|<!\[CDATA\[|<{tag}{attributes}/?>|</{tag}\s*>")
+        # A section that goes on in the next piece: what ends it, and the text so far, which
+        # begins with an open record or with the section.
+        self.closing: str | None = None
+        self.parts: list[str] = []
+        self.in_record = False
+
+    def take(self, piece: str, ended: bool = True) -> Iterator[tuple[str, str | None]]:
+        """One more piece; ``ended`` tells that an end tag followed it."""
+        text = piece + self.end_tag if ended else piece
+        if self.closing is None:
+            simple = ended and "<!" not in piece and self.end_tag[:-1] not in piece
+            match = self.token.search(piece) if simple and piece.count(self.start) == 1 else None
+            if match and not match[0].endswith("/>"):
+                yield text[match.start() :], None
+            else:
+                yield from self._scan(text, 0, None, last=not ended)
+            return
+        # A border may lie across two pieces, so two characters of the last one are looked at again.
+        before = self.parts[-1][-2:]
+        found = (before + text).find(self.closing)
+        self.parts.append(text)
+        if found >= 0:
+            whole = "".join(self.parts)
+            place = len(whole) - len(text) - len(before) + found + 3
+            yield from self._scan(whole, place, 0 if self.in_record else None, last=not ended)
+
+    def finish(self) -> Iterator[tuple[str, str | None]]:
+        """What is left when the text is over."""
+        rest = "".join(self.parts)
+        if self.closing is not None and self.start in rest:
+            yield rest, UNENDED
+        self.closing, self.parts = None, []
+
+    def _scan(
+        self, text: str, place: int, open_at: int | None, last: bool
+    ) -> Iterator[tuple[str, str | None]]:
+        self.closing, self.parts = None, []
+        while match := self.token.search(text, place):
+            place = match.end()
+            if match[0].startswith("<!"):
+                closing = "-->" if match[0] == "<!--" else "]]>"
+                end = text.find(closing, place)
+                if end < 0:
+                    wait = match.start() if open_at is None else open_at
+                    self.closing, self.parts, self.in_record = closing, [text[wait:]], open_at is not None
+                    return
+                place = end + 3
+            elif match[0].startswith("</"):
+                if open_at is not None:
+                    yield text[open_at:place], None
+                open_at = None
+            else:
+                if open_at is not None:
+                    yield text[open_at : match.start()], "no end tag"
+                open_at = None if match[0].endswith("/>") else match.start()
+                if open_at is None:
+                    yield match[0], None
+        if last and open_at is not None:
+            yield text[open_at:], "no end tag"
+
+
+def cut_pieces(
+    pieces: Iterable[tuple[str, bool]], row_tag: str = ROW_TAG
+) -> Iterator[tuple[str, str | None]]:
+    """Records of one text given as ``(piece, ended)``."""
+    cutter = RecordCutter(row_tag)
+    for piece, ended in pieces:
+        yield from cutter.take(piece, ended)
+    yield from cutter.finish()
 
-    Row elements without content (``<ns1:award/>``) have no end tag to cut at and come ahead of
-    the next one in its piece; they become records of their own.
-    """
-    tag = re.escape(row_tag)
-    empty = rf"<{tag}(?:\s[^<>]*)?/>"
 
-    def whole(text: Column) -> Column:
-        record = F.regexp_extract(text, rf"(?s)<{tag}[\s>].*$", 0)
-        return F.when(record != "", F.concat(record, F.lit(f"</{row_tag}>")))
+def award_records(
+    spark: SparkSession, path: str | list[str], row_tag: str = ROW_TAG, encoding: str = "utf-8"
+) -> DataFrame:
+    """``(file, value, error)``: every record of the files, read in splits of any size.
 
-    value = F.col("value")
-    several = F.array_append(
-        F.regexp_extract_all(value, F.lit(empty), F.lit(0)), whole(F.regexp_replace(value, empty, ""))
-    )
-    records = F.when(value.rlike(empty), several).otherwise(F.array(whole(value)))
-    others = [F.col(name) for name in pieces.columns if name != "value"]
-    return (
-        pieces.where(value.rlike(rf"<{tag}[\s/>]"))
-        .select(*others, F.explode(records).alias("value"))
-        .where(value.isNotNull())
+    A record that is none has its text and an ``error``. So has a text that is not in
+    ``encoding``, and the records of a file that declares another one. A comment or section that
+    holds end tags and lies across the border of two splits cannot be put together: its records
+    are given as corrupt at the end of the first split and as they are in the second.
+    """
+    end_tag = f"</{row_tag}>"
+    pieces = (
+        spark.read.option("lineSep", end_tag)
+        .option("encoding", encoding)
+        .text(path)
+        .select(
+            F.col("value").cast("binary").alias("value"),
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.col("_metadata.file_size").alias("size"),
+            (F.col("_metadata.file_block_start") + F.col("_metadata.file_block_length")).alias("stop"),
+        )
     )
 
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        split = _SplitCutter(row_tag, encoding)
+        for batch in batches:
+            rows = [row for piece in batch.itertuples(index=False) for row in split.take(piece)]
+            yield pd.DataFrame(rows, columns=["file", "value", "error"])
+        yield pd.DataFrame(list(split.finish()), columns=["file", "value", "error"])
+
+    return pieces.mapInPandas(cut, RECORDS)
+
+
+class _SplitCutter:
+    """The pieces of one task: those of each split of a file in order."""
+
+    def __init__(self, row_tag: str, encoding: str) -> None:
+        self.row_tag, self.encoding = row_tag, encoding
+        self.separator = len(f"</{row_tag}>".encode(encoding))
+        self.split, self.waiting = None, None
+
+    def take(self, piece) -> Iterator[tuple[str, str, str | None]]:
+        if (piece.file, piece.start) != self.split:
+            yield from self.finish()
+            self.split, self.cutter = (piece.file, piece.start), RecordCutter(self.row_tag)
+            self.read, self.declared = piece.start, None
+            found = DECLARED.match(piece.value[:200]) if piece.start == 0 else None
+            if found and not _same_encoding(found[1].decode(), self.encoding):
+                self.declared = f"the file declares {found[1].decode()}"
+        elif self.waiting is not None:
+            yield from self._cut(self.waiting, ended=True)
+        self.waiting = piece
+        self.read += len(piece.value) + self.separator
+
+    def finish(self) -> Iterator[tuple[str, str, str | None]]:
+        """The last piece of a split ends with a tag but at the end of a file, where its length
+        tells. That is known for a file of one split; else the last record counts as cut off."""
+        if self.waiting is None:
+            return
+        piece, self.waiting = self.waiting, None
+        at_end = piece.stop >= piece.size
+        ended = not at_end or (piece.start == 0 and self.read <= piece.size)
+        yield from self._cut(piece, ended)
+        for value, error in self.cutter.finish():
+            yield piece.file, value, error
+
+    def _cut(self, piece, ended: bool) -> Iterator[tuple[str, str, str | None]]:
+        wrong = self.declared
+        try:
+            text = piece.value.decode(self.encoding)
+        except UnicodeDecodeError:
+            text = piece.value.decode(self.encoding, "replace")
+            wrong = wrong or f"not {self.encoding}"
+        for value, error in self.cutter.take(text, ended):
+            yield piece.file, value, error or wrong
+
+
+def _same_encoding(one: str, other: str) -> bool:
+    try:
+        return codecs.lookup(one) == codecs.lookup(other) or codecs.lookup(one).name == "ascii"
+    except LookupError:
+        return False
 
-def parse_records(
-    pieces: DataFrame, schema: T.StructType, row_tag: str = ROW_TAG
-) -> DataFrame:
-    """Records of the ``value`` column, other columns of ``pieces`` kept in front."""
-    others = [F.col(name) for name in pieces.columns if name != "value"]
-    record = F.from_xml("value", with_corrupt(schema), XML_OPTIONS)
-    return (
-        complete_records(pieces, row_tag)
-        .select(*others, record.alias("_record"))
-        .select(*others, "_record.*")
-    )
 
+def parse_records(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """Records of the ``value`` column, other columns but ``error`` kept in front.
 
-def discover_schema(pieces: DataFrame, row_tag: str = ROW_TAG) -> T.StructType:
+    Records with an ``error`` are not parsed: their text is in the corrupt column.
+    """
+    others = [F.col(name) for name in records.columns if name not in ("value", "error")]
+    fields = with_corrupt(schema)
+    error = F.col("error") if "error" in records.columns else F.lit(None).cast("string")
+    parsed = records.select(
+        *others, F.col("value"), error.alias("error"),
+        F.from_xml(F.when(error.isNull(), F.col("value")), fields, XML_OPTIONS).alias("_record"),
+    )
+    bad = F.coalesce(F.when(F.col("error").isNotNull(), F.col("value")), F.col(f"_record.{CORRUPT}"))
+    columns = [F.col(f"_record.`{f.name}`") for f in fields.fields if f.name != CORRUPT]
+    return parsed.select(*others, *columns, bad.alias(CORRUPT))
+
+
+def discover_schema(records: DataFrame) -> T.StructType:
     """Element tree of all records, every leaf text: a distributed first pass.
 
     The tasks send one row per distinct element path; what reaches the driver is as large as
     the schema. Records that are not well-formed add nothing.
     """
+    if "error" in records.columns:
+        records = records.where(F.col("error").isNull())
     found = (
-        complete_records(pieces.select("value"), row_tag)
+        records.select("value")
         .mapInPandas(_element_paths, "path array<string>, repeated boolean, text boolean")
         .groupBy("path")
         .agg(F.max("repeated").alias("repeated"), F.max("text").alias("text"))

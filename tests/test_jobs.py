@@ -43,7 +43,8 @@ def test_year_load(spark, folder):
     schema = spark.read.parquet(paths.contract).schema
     assert schema["obligatedAmount"].dataType.simpleString() == "decimal(18,2)"
     assert schema["signedDate"].dataType.simpleString() == "timestamp_ntz"
-    assert (schema["text"].metadata["maxlength"], schema["PIID"].metadata["maxlength"]) == (21, 256)
+    assert (schema["text"].metadata["maxlength"], schema["PIID"].metadata.get("maxlength")) == (21, None)
+    assert paths.cuts["contract"] == {"text": 1} and paths.cuts["vendor"] == {}
     assert schema["DUNSNumber"].metadata["path"] == DUNS
     assert spark.read.parquet(paths.vendor).schema["DUNSNumber"].metadata["path"] == DUNS
     vendors = spark.read.parquet(paths.vendor).collect()
@@ -86,10 +87,52 @@ def test_year_from_archives(spark, folder):
             for member, text in members.items():
                 archive.writestr(member, text)
     Path(folder, "in", "broken.zip").write_bytes(b"PK")
-    paths = run_year(spark, f"{folder}/in", f"{folder}/out", 2005, mode="archives")
+    with pytest.raises(LoadError, match="could not be read whole.*broken.zip"):
+        run_year(spark, f"{folder}/in", f"{folder}/out", 2005, mode="archives")
+    paths = run_year(spark, f"{folder}/in", f"{folder}/out", 2005, mode="archives", max_broken=1)
     assert {r.PIID for r in spark.read.parquet(paths.contract).collect()} == {"1", "2", "3"}
     (reject,) = spark.read.parquet(paths.rejects).collect()
-    assert "broken.zip: " in reject.record
+    assert "broken.zip: " in reject.record and list(reject.reasons) == ["incomplete file"]
+
+
+def test_other_members_of_a_broken_archive_load(spark, folder):
+    Path(folder, "in").mkdir()
+    for n in range(3):
+        with zipfile.ZipFile(Path(folder, "in", f"{n}.zip"), "w") as archive:
+            archive.writestr("A-AWARD.xml", "<r>" + "".join(award_xml(str(1000 * n + i)) for i in range(200)) + "</r>")
+            if n:
+                archive.writestr("B-AWARD.xml", b"<ns1:award>\xff\xfe</ns1:award>")
+    paths = run_year(spark, f"{folder}/in", f"{folder}/out", 2005, mode="archives", max_broken=2)
+    assert spark.read.parquet(paths.contract).count() == 600
+    assert spark.read.parquet(paths.rejects).count() == 2
+
+
+def test_nothing_is_cut_unless_asked(spark, folder):
+    text = "x" * 5000
+    paths = run_year(spark, src_with(folder, award_xml("1", extra=f"<ns1:text>{text}</ns1:text>")), f"{folder}/out", 2005)
+    assert spark.read.parquet(paths.contract).first().text == text
+    assert paths.cuts == {"contract": {}, "vendor": {}}
+
+
+def test_incomplete_file_stops_a_load_in_file_mode(spark, folder):
+    bad = award_xml("2").replace("</ns1:vendorHeader>", "")
+    src = src_with(folder, award_xml("1"), bad, *[award_xml(str(i)) for i in range(3, 40)])
+    with pytest.raises(LoadError, match="A-AWARD.xml"):
+        run_year(spark, src, f"{folder}/out", 2005, mode="files")
+    paths = run_year(spark, src, f"{folder}/out", 2005)
+    assert spark.read.parquet(paths.contract).count() == 38
+    (reject,) = spark.read.parquet(paths.rejects).collect()
+    assert reject.source.endswith("A-AWARD.xml") and "<ns1:PIID>2<" in reject.record
+
+
+def test_vendor_rules_and_types(spark, folder):
+    staff = [award_xml(str(i), duns=f"00000000{i}").replace("</ns1:vendorHeader>", f"</ns1:vendorHeader><ns1:staff>{n}</ns1:staff>") for i, n in ((1, "5"), (2, "many"), (3, "7"))]
+    rules = {"too many": F.col("staff").try_cast("int") > 6}
+    paths = run_year(spark, src_with(folder, *staff), f"{folder}/out", 2005, types={"staff": "int"}, vendor_rules=rules)
+    assert [(r.DUNSNumber, r.staff) for r in spark.read.parquet(paths.vendor).collect()] == [("000000001", 5)]
+    rejects = {(r.table, tuple(r.reasons)) for r in spark.read.parquet(paths.rejects).collect()}
+    assert rejects == {("vendor", ("staff is not int",)), ("vendor", ("too many",))}
+    assert spark.read.parquet(paths.contract).count() == 3
 
 
 def test_own_rules(spark, folder):
@@ -118,6 +161,58 @@ def test_loaded_year_is_not_loaded_again(spark, folder):
         run_year(spark, src, f"{folder}/out", 2005)
 
 
+def test_two_loads_at_once(spark, folder, monkeypatch):
+    """The second load of a year passes its check before the first is done, and loses."""
+    first, second = (src_with(f"{folder}/{n}", award_xml(str(n))) for n in (1, 2))
+    publish = jobs._publish
+
+    def meanwhile(*args):
+        monkeypatch.setattr(jobs, "_publish", publish)
+        run_year(spark, second, f"{folder}/out", 2005)
+        return publish(*args)
+
+    monkeypatch.setattr(jobs, "_publish", meanwhile)
+    with pytest.raises(LoadError, match="exists"):
+        run_year(spark, first, f"{folder}/out", 2005)
+    for table in ("contract", "vendor", "rejects"):
+        assert Path(folder, "out", table, "year=2005").exists()
+    assert [r.PIID for r in read_table(spark, f"{folder}/out", "contract").collect()] == ["2"]
+    assert not list(Path(folder, "out", "_runs").iterdir())
+
+
+def test_readers_see_both_tables_or_none(spark, folder, monkeypatch):
+    run_year(spark, src_with(f"{folder}/a", award_xml("1")), f"{folder}/out", 2004)
+    move, seen = jobs.move_path, []
+
+    def watched(*args):
+        move(*args)
+        seen.append([{r.year for r in read_table(spark, f"{folder}/out", t).select("year").collect()} for t in ("contract", "vendor")])
+
+    monkeypatch.setattr(jobs, "move_path", watched)
+    run_year(spark, src_with(f"{folder}/b", award_xml("2")), f"{folder}/out", 2005)
+    assert seen == [[{2004}, {2004}]] * 3
+    assert {r.year for r in read_table(spark, f"{folder}/out", "contract").collect()} == {2004, 2005}
+
+
+def test_replace_gives_way_only_to_a_whole_load(spark, folder, monkeypatch):
+    run_year(spark, src_with(f"{folder}/a", award_xml("1")), f"{folder}/out", 2005)
+    move = jobs.move_path
+
+    def fail(spark, source, target):
+        if "/vendor/" in target and "/_runs/" in source and "/old/" not in source:
+            raise OSError("disk")
+        move(spark, source, target)
+
+    src = src_with(f"{folder}/b", award_xml("2"))
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "move_path", fail)
+        with pytest.raises(OSError):
+            run_year(spark, src, f"{folder}/out", 2005, replace=True)
+    assert [r.PIID for r in read_table(spark, f"{folder}/out", "contract").collect()] == ["1"]
+    run_year(spark, src, f"{folder}/out", 2005, replace=True)
+    assert [r.PIID for r in read_table(spark, f"{folder}/out", "contract").collect()] == ["2"]
+
+
 def test_failed_load_leaves_nothing_behind(spark, folder, monkeypatch):
     def fail(*_args):
         raise OSError("disk")

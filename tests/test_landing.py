@@ -1,14 +1,16 @@
 """Incremental landing and file listings."""
 
+import os
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from contractlake.operators.flatten import column
 from contractlake.plans.jobs import landing_manifest
 from contractlake.sources.awards import award_files, award_records, discover_schema
 from contractlake.sources.files import file_manifest, landing_keys, size_class
-from contractlake.streaming.landing import ingest_new_files
+from contractlake.streaming.landing import ingest_new_files, landed_files
 
 from conftest import award_xml, plan_of, write_awards
 
@@ -34,6 +36,39 @@ def test_second_run_adds_only_the_new_file(spark, folder):
     assert run(max_files=1) == ["1", "2", "3", "4"]
 
 
+def test_late_file_of_old_time_and_odd_name_is_read(spark, folder):
+    src = f"{folder}/in"
+    write_awards(f"{src}/a-AWARD.xml", [award_xml("1")])
+    schema = discover_schema(award_records(spark, award_files(src)))
+    steps = [[("[x]{y}-AWARD.xml", "2", 1_000_000_000)], [("z-AWARD.xml", "3", None)]]
+    seen = []
+    for new in [[], *steps]:
+        for name, piid, time in new:
+            path = write_awards(f"{src}/{name}", [award_xml(piid)])
+            if time:
+                os.utime(path, (time, time))
+        ingest_new_files(spark, award_files(src), f"{folder}/out", f"{folder}/state", schema)
+        awards = spark.read.parquet(f"{folder}/out")
+        piid = column("ns1:awardID.ns1:awardContractID.ns1:PIID")
+        seen.append(sorted(r[0] for r in awards.select(piid).collect()))
+    assert seen == [["1"], ["1", "2"], ["1", "2", "3"]]
+    assert landed_files(spark, f"{folder}/state").count() == 3
+
+
+def test_run_that_broke_off_is_cleared_up(spark, folder, monkeypatch):
+    src = f"{folder}/in"
+    write_awards(f"{src}/a-AWARD.xml", [award_xml("1")])
+    schema = discover_schema(award_records(spark, award_files(src)))
+    args = (spark, award_files(src), f"{folder}/out", f"{folder}/state", schema)
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark), "createDataFrame", lambda *_: 1 / 0)
+        patch.setattr("contractlake.streaming.landing.landed_files", lambda s, _: s.sql("SELECT '' path, 0L length, now() modificationTime WHERE false"))
+        with pytest.raises(ZeroDivisionError):
+            ingest_new_files(*args)
+    assert ingest_new_files(*args) == 1
+    assert spark.read.parquet(f"{folder}/out").count() == 1
+
+
 def test_listing_opens_no_file(spark, folder):
     for name, size in (("x/a.xml", 10), ("y/a.xml", 11), ("y/z/b.xml", 12), ("c.txt", 1)):
         path = Path(folder, name)

@@ -15,7 +15,7 @@ from contractlake.operators.rejects import (
     check_rejects,
     split_rejects,
 )
-from contractlake.operators.width import apply_widths, truncate_bytes
+from contractlake.operators.width import DEFAULT_WIDTH, apply_widths, cut_counts, truncate_bytes
 
 from conftest import plan_of, rows
 
@@ -92,16 +92,17 @@ def test_width_borders(spark):
 
 def test_width_metadata_outlives_parquet(spark, folder):
     df = spark.createDataFrame([("a", "b" * 300, 1)], "x string, y string, n int")
-    wide = apply_widths(df, {"x": 5, "nothing": 9})
+    wide = apply_widths(df, {"x": 5, "nothing": 9}, DEFAULT_WIDTH)
+    assert cut_counts(df, {"x": 5}, DEFAULT_WIDTH) == {"y": 1} and cut_counts(df, {}) == {}
     wide.write.parquet(f"{folder}/w")
     schema = spark.read.parquet(f"{folder}/w").schema
     assert schema["x"].metadata["maxlength"] == 5
     assert schema["y"].metadata["maxlength"] == 256
     assert schema["n"].metadata == {}
     assert len(wide.first().y) == 256
-    untouched = apply_widths(df, {}, default=None)
+    untouched = apply_widths(df, {})
     assert untouched.schema["y"].metadata == {} and len(untouched.first().y) == 300
-    assert len(apply_widths(df, {}, truncate=False).first().y) == 300
+    assert len(apply_widths(df, {}, DEFAULT_WIDTH, truncate=False).first().y) == 300
 
 
 def test_every_row_is_good_or_rejected(spark):

@@ -1,6 +1,7 @@
 """Award XML: attributes, leading zeros, absent elements, bad records, both ways of reading."""
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
 from contractlake.functions.keys import award_key
@@ -8,15 +9,18 @@ from contractlake.operators.flatten import column, leaf_paths
 from contractlake.plans.tables import contract_projection
 from contractlake.sources.awards import (
     CORRUPT,
+    UNENDED,
+    RecordCutter,
     award_files,
     award_records,
+    cut_pieces,
     discover_schema,
     read_awards,
 )
 
 from conftest import award_xml, rows, write_awards
 
-MODES = ("files", "records", "by_size")
+MODES = ("files", "records")
 
 
 @pytest.mark.parametrize("mode", MODES)
@@ -140,13 +144,80 @@ def test_records_without_content_cost_no_other_record(spark, folder, mode):
     assert found == ["1", "2", "3", "None", "None", "None", "None"]
 
 
-def test_end_tag_inside_cdata_shows_as_corrupt_when_read_as_records(spark, folder):
-    cdata = award_xml("2", extra="<ns1:n><![CDATA[x </ns1:award> y]]></ns1:n>")
-    path = write_awards(f"{folder}/A-AWARD.xml", [award_xml("1"), cdata, award_xml("3")])
-    assert read_awards(spark, path).where(F.col("`ns1:n`").isNotNull()).count() == 1
-    by_record = read_awards(spark, path, mode="records").cache()
-    assert by_record.count() == 3
-    assert by_record.where(F.col(CORRUPT).isNotNull()).count() == 1
+AWKWARD = [
+    award_xml("1"),
+    award_xml("2").replace("</ns1:award>", "</ns1:award\t>"),
+    f"<!-- {award_xml('80')} and {award_xml('81')} -->",
+    award_xml("3", extra="<ns1:n><![CDATA[x </ns1:award> <ns1:award> y]]></ns1:n>"),
+    award_xml("4", extra="<!-- </ns1:award> --><ns1:n>z</ns1:n>"),
+    '<ns1:award version=">"/>',
+    award_xml("5"),
+]
+
+
+def piids(awards):
+    return sorted(str(r[0]) for r in awards.select(column("ns1:awardID.ns1:awardContractID.ns1:PIID")).collect())
+
+
+def test_both_ways_agree_on_awkward_but_valid_files(spark, folder):
+    path = write_awards(f"{folder}/A-AWARD.xml", AWKWARD)
+    found = [read_awards(spark, path, mode=mode) for mode in MODES]
+    assert piids(found[0]) == piids(found[1]) == ["1", "2", "3", "4", "5", "None"]
+    assert found[1].where(F.col(CORRUPT).isNotNull()).count() == 0
+
+
+def test_every_start_tag_is_a_row(spark, folder):
+    """Records without an end tag, inside the file and at its end, are corrupt rows."""
+    torn = award_xml("2").replace("</ns1:award>", "")
+    path = write_awards(f"{folder}/A-AWARD.xml", [award_xml("1"), torn, award_xml("3")])
+    whole = open(path).read()
+    with open(path, "w") as file:
+        file.write(whole + award_xml("4")[:-30])
+    records = award_records(spark, path)
+    assert sorted((r.error, r.value[-12:]) for r in records.where("error IS NOT NULL").collect())
+    awards = read_awards(spark, path, mode="records")
+    good = awards.where(F.col(CORRUPT).isNull())
+    assert piids(good) == ["1", "3"] and awards.count() == 4
+
+
+def test_file_that_ends_with_an_end_tag(spark, folder):
+    with open(f"{folder}/A-AWARD.xml", "w") as file:
+        file.write(award_xml("1") + award_xml("2"))
+    assert piids(read_awards(spark, f"{folder}/A-AWARD.xml", mode="records")) == ["1", "2"]
+
+
+def test_encoding_is_declared_or_corrupt(spark, folder):
+    text = '<?xml version="1.0" encoding="ISO-8859-1"?>\n<r>' + award_xml("1", extra="<ns1:n>caf\u00e9</ns1:n>") + "</r>"
+    with open(f"{folder}/A-AWARD.xml", "wb") as file:
+        file.write(text.encode("latin-1"))
+    path = f"{folder}/A-AWARD.xml"
+    right = read_awards(spark, path, mode="records", encoding="iso-8859-1")
+    assert right.select("`ns1:n`").first()[0] == read_awards(spark, path).select("`ns1:n`").first()[0] == "caf\u00e9"
+    wrong = read_awards(spark, path, right.schema, mode="records")
+    assert wrong.where(F.col(CORRUPT).isNull()).count() == 0 and wrong.count() == 1
+
+
+def test_section_over_the_border_of_splits_is_named(spark, folder):
+    """A comment with records that begins in one split and ends in the next is not passed over."""
+    many = [award_xml(str(i)) for i in range(400)]
+    path = write_awards(f"{folder}/A-AWARD.xml", [award_xml("900"), "<!--", *many, "-->", award_xml("901")])
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        found = award_records(spark, path)
+        assert found.where(F.col("error") == UNENDED).count() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<a>", "</a>", "</a >", "<a/>", "x", "<!--", "-->", "<![CDATA[", "]]>", "-", "<b>"]), max_size=14))
+def test_pieces_change_nothing(tokens):
+    text = "".join(tokens)
+    parts = text.split("</a>")
+    pieces = [(p, True) for p in parts[:-1]] + [(parts[-1], False)]
+    cutter = RecordCutter("a")
+    assert list(cut_pieces(pieces, "a")) == [*cutter._scan(text, 0, None, True), *cutter.finish()]
 
 
 def test_no_file_raises(spark, folder):
