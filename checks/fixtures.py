@@ -264,35 +264,46 @@ def index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored pages ``(url, html)`` of three-level indexes: region, nation, one zip per supplier.
 
     There is one index per block of ``PAGE_LINKS`` supplier keys. Keys are unique, so no page
-    lists more links than that, however many suppliers there are.
+    lists more than twice as many links, however many suppliers there are. The first level has
+    rooted links, the anchors of the second are never closed, every tenth supplier has a second
+    archive of the same name in another folder, and each page is stored in two versions with
+    different links.
     """
     nation = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    block = F.floor(F.col("s_suppkey") / PAGE_LINKS)
-    site = F.concat(F.lit(f"{SITE}/b"), block.cast("string"), F.lit("/"))
-    rows = table(spark, sf_dir, "supplier").withColumn("root", site)
+    block = F.concat(F.lit("/b"), F.floor(F.col("s_suppkey") / PAGE_LINKS).cast("string"), F.lit("/"))
+    rows = table(spark, sf_dir, "supplier").withColumn("site", block)
+    rows = rows.withColumn("root", F.concat(F.lit(SITE), "site"))
     rows = rows.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
 
-    def anchor(href: Column, label: Column) -> Column:
-        return F.concat(F.lit('<li><a href="'), href, F.lit('">'), label, F.lit("</a></li>"))
+    def anchor(href: Column, label: Column, end: str = "</a></li>") -> Column:
+        return F.concat(F.lit('<li><a href="'), href, F.lit('">'), label, F.lit(end))
 
-    def pages(url: Column, link: Column) -> DataFrame:
-        links = rows.select(url.alias("url"), link.alias("link")).distinct()
+    def pages(links: DataFrame) -> DataFrame:
         body = F.array_join(F.sort_array(F.collect_list("link")), "\n")
         html = F.concat(
             F.lit('<html><body><a href="../">up</a><ul>'), body, F.lit("</ul></body></html>")
         )
-        return links.groupBy("url").agg(html.alias("html"))
+        versions = links.distinct().withColumn("version", F.pmod(F.xxhash64("link"), F.lit(2)))
+        return versions.groupBy("url", "version").agg(html.alias("html")).drop("version")
 
     region = F.concat(F.lit("r"), F.col("r_regionkey").cast("string"), F.lit(".html"))
     country = F.concat(F.lit("n"), F.col("n_nationkey").cast("string"), F.lit(".html"))
-    archive = F.concat(F.lit("../zips/"), F.replace("s_name", F.lit("#"), F.lit("-")), F.lit(".v1.zip"))
-    return (
-        pages(F.col("root"), anchor(region, F.col("r_name")))
-        .unionByName(pages(F.concat("root", region), anchor(country, F.col("n_name"))))
-        .unionByName(pages(F.concat("root", country), anchor(archive, F.col("s_name"))))
+    name = F.concat(F.replace("s_name", F.lit("#"), F.lit("-")), F.lit(".v1.zip"))
+    archives = rows.select(
+        F.concat("root", country).alias("url"), anchor(F.concat(F.lit("../zips/"), name), F.col("s_name")).alias("link")
+    ).unionByName(
+        rows.where("s_suppkey % 10 = 0").select(
+            F.concat("root", country).alias("url"), anchor(F.concat(F.lit("../old/"), name), F.col("s_name")).alias("link")
+        )
+    )
+    levels = (
+        rows.select(F.col("root").alias("url"), anchor(F.concat("site", region), F.col("r_name")).alias("link")),
+        rows.select(F.concat("root", region).alias("url"), anchor(country, F.col("n_name"), "").alias("link")),
+        archives,
     )
+    return pages(levels[0]).unionByName(pages(levels[1])).unionByName(pages(levels[2]))
 
 
 def index_roots(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -307,10 +307,11 @@ ARCHIVE = """
 archive AS (
   SELECT 'https://index.example.org/b' || (s_suppkey // 5000) || '/' AS root,
          regexp_extract(r_name, '[A-Z0-9.\\-]+', 0) AS folder,
-         '../zips/' || replace(s_name, '#', '-') || '.v1.zip' AS href,
-         'https://archive.example.org/zips/' || replace(s_name, '#', '-') || '.v1.zip' AS target,
+         '../' || place || '/' || replace(s_name, '#', '-') || '.v1.zip' AS href,
+         'https://archive.example.org/' || place || '/' || replace(s_name, '#', '-') || '.v1.zip' AS target,
          replace(s_name, '#', '-') || '.v1' AS name, s_acctbal
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+  FROM (SELECT *, unnest(CASE WHEN s_suppkey % 10 = 0 THEN ['zips', 'old'] ELSE ['zips'] END) AS place FROM supplier)
+  JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 
 @check(f"WITH {ARCHIVE} SELECT DISTINCT root, folder, href FROM archive")
