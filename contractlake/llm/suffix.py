@@ -9,9 +9,10 @@ Suffixes of the whole corpus are too many to sort at once and most meet no other
 is first put under its anchor, the gram with the least hash inside it: equal factors have equal
 anchors, so factors under an anchor that occurs once are unique. Neighbouring factors with one
 anchor are a stretch; stretches that are equal as a whole are settled by counting. Only different
-stretches under one anchor go to suffix arrays, a bounded block of whole anchors at a time. The
-factors of an anchor with too many different stretches for a block are dealt out and counted one
-by one instead, which gives the same answer.
+stretches under one anchor go to suffix arrays, a bounded block of whole anchors at a time. An
+anchor with too many different stretches for a block is dealt to several; of its factors, each
+block then hands on one per kind, and those are counted by a hash of their bytes, which gives the
+same answer.
 """
 
 from __future__ import annotations
@@ -89,15 +90,42 @@ def stretches(text: bytes, length: int, gram: int) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(columns) for columns in zip(*found))
 
 
-def _stretch_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[dict]:
+def _runs(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches in order, with those that adjoin made one."""
+    new = np.append(True, first[1:] != (first + count)[:-1])
+    begin = np.flatnonzero(new)
+    return first[begin], np.add.reduceat(count, begin)
+
+
+def _stretch_rows(
+    batches: Iterator[pa.RecordBatch], length: int, gram: int, first_stays: bool
+) -> Iterator[dict]:
+    """One row per kind of stretch of a document with how often it is there (``times``), and what
+    is settled by the document alone as rows with ``times`` 0: a stretch that comes again, as in
+    a text that says the same word all over."""
     for batch in batches:
         ids, orders = batch.column("_rid").to_numpy(), batch.column("_ord").to_numpy()
-        rows = [stretches((t.as_py() or "").encode(), length, gram) for t in batch.column("_text")]
+        rows = []
+        for text in batch.column("_text"):
+            anchor, whole, first, count = stretches((text.as_py() or "").encode(), length, gram)
+            times = np.ones(len(whole), np.int64)
+            _, place, kind, n = np.unique(whole, return_index=True, return_inverse=True, return_counts=True)
+            if len(place) < len(whole):
+                head = np.zeros(len(whole), bool)
+                head[place] = True
+                again = ~head if first_stays else n[kind] > 1
+                times[place] = n
+                done = _runs(first[again], count[again])
+                zero = np.zeros(len(done[0]), np.int64)
+                kept = (anchor[head], whole[head], first[head], count[head], times[head])
+                rows.append(tuple(map(np.append, kept, (zero, zero, *done, zero))))
+            else:
+                rows.append((anchor, whole, first, count, times))
         per = np.array([len(r[0]) for r in rows], np.int64)
-        anchor, whole, first, count = (np.concatenate(c) for c in zip(*rows)) if rows else [[]] * 4
+        anchor, whole, first, count, times = (np.concatenate(c) for c in zip(*rows)) if rows else [[]] * 5
         yield {
             "anchor": anchor, "whole": whole, "rid": np.repeat(ids, per), "ord": np.repeat(orders, per),
-            "first": first, "factors": np.asarray(count, np.int32),
+            "first": first, "factors": np.asarray(count, np.int32), "times": times,
         }
 
 
@@ -112,8 +140,7 @@ def _bytes_of(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[dict]:
             first = parts.field("first").to_numpy()
             count = parts.field("factors").to_numpy()
             yield {
-                "anchor": parts.field("anchor"),
-                "crowded": parts.field("crowded"),
+                **{n: parts.field(n) for n in ("anchor", "part", "crowded")},
                 "ord": np.full(len(first), batch.column("_ord")[row].as_py()),
                 "rid": np.full(len(first), batch.column("_rid")[row].as_py()),
                 "first": first,
@@ -142,25 +169,28 @@ def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
     return rank
 
 
-def _solve_block(rows: list[tuple], length: int, first_stays: bool) -> list[tuple[int, int, int]]:
-    """(rid, first, factors) of the factors of a block that another stretch of it repeats.
+def _solve_block(rows: list[tuple], length: int, first_stays: bool) -> tuple[list, list]:
+    """Rows (ord, rid, first, crowded, data) to the runs (rid, first, factors) that another stretch
+    of the block repeats, and of crowded anchors one of each kind of factor as (h1, h2, ord, rid,
+    first, alone).
 
-    With ``first_stays`` those for which the longest previous factor has the length, else all
-    that are not alone.
+    With ``first_stays`` a factor counts if its longest previous factor has the length, else
+    also if a later one repeats it.
     """
-    sizes = [len(r[-1]) for r in rows]
-    offsets = np.cumsum([0, *[s + 1 for s in sizes]])
+    sizes = np.array([len(r[-1]) for r in rows])
+    offsets = np.cumsum([0, *(sizes + 1)])
     data = np.zeros(offsets[-1], np.int64)
     for offset, row in zip(offsets, rows):
         data[offset : offset + len(row[-1])] = np.frombuffer(row[-1], np.uint8).astype(np.int64) + 1
     rank = suffix_ranks(data, length)
-    counts = np.array(sizes) - (length - 1)
+    counts = sizes - (length - 1)
     owner = np.repeat(np.arange(len(rows)), counts)
     shift = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
     rank = rank[offsets[:-1][owner] + shift]
     order, rid, first = (np.array([r[i] for r in rows]) for i in range(3))
     place = first[owner] + shift
     by = np.lexsort((place, rid[owner], order[owner], rank))
+    # The suffix before with the same bytes is the previous smaller position, the next one follows.
     same = rank[by][1:] == rank[by][:-1]
     previous, following = np.append(False, same), np.append(same, False)
     hit = np.zeros(len(by), bool)
@@ -173,51 +203,54 @@ def _solve_block(rows: list[tuple], length: int, first_stays: bool) -> list[tupl
             end = min(b, int(np.searchsorted(owner, own, "right")))
             found.append((int(rid[own]), int(place[a]), end - a))
             a = end
-    return found
+    crowded = np.array([r[3] for r in rows])
+    kinds = []
+    heads = by[~previous & crowded[owner[by]]]
+    alone = dict(zip(heads.tolist(), (~following[~previous & crowded[owner[by]]]).tolist()))
+    for i in heads.tolist():
+        own, at = owner[i], int(shift[i])
+        digest = xxhash.xxh3_128_digest(rows[own][-1][at : at + length])
+        halves = np.frombuffer(digest, np.int64).tolist()
+        kinds.append((*halves, int(order[own]), int(rid[own]), int(place[i]), alone[i]))
+    return found, kinds
 
 
 def _solve(batches: Iterator[pa.RecordBatch], length: int, first_stays: bool) -> Iterator[dict]:
-    """Stretches sorted by anchor to repeated factors, in blocks of whole anchors."""
+    """Stretches sorted by anchor and part to repeated runs, in blocks of whole parts."""
 
     def out(rows: list[tuple]) -> dict:
-        found = _solve_block(rows, length, first_stays)
+        found, kinds = _solve_block(rows, length, first_stays)
         rid, first, factors = zip(*found) if found else ((), (), ())
-        return {"rid": list(rid), "first": list(first), "factors": list(factors)}
+        h1, h2, order, own, place, alone = zip(*kinds) if kinds else ((),) * 6
+        none = [None] * len(found)
+        return {
+            "rid": [*rid, *own], "first": [*first, *place], "factors": [*factors, *[1] * len(kinds)],
+            "h1": [*none, *h1], "h2": [*none, *h2], "ord": [*none, *order], "alone": [*none, *alone],
+        }
 
     held: list[tuple] = []
     size, last = 0, None
     for batch in batches:
-        columns = (batch.column(n).to_pylist() for n in ("anchor", "ord", "rid", "first", "data"))
-        for anchor, *row in zip(*columns):
-            if held and anchor != last and size > BLOCK:
+        columns = (batch.column(n).to_pylist() for n in ("anchor", "part", "ord", "rid", "first", "crowded", "data"))
+        for anchor, part, *row in zip(*columns):
+            if held and (anchor, part) != last and size > BLOCK:
                 yield out(held)
                 held, size = [], 0
             held.append(tuple(row))
             size += len(row[-1])
-            last = anchor
+            last = (anchor, part)
     if held:
         yield out(held)
 
 
-def _each_factor(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[dict]:
-    """One row per factor of the stretches, by a 128-bit hash of its bytes."""
-    for batch in batches:
-        for order, rid, first, data in zip(*(batch.column(n).to_pylist() for n in ("ord", "rid", "first", "data"))):
-            n = len(data) - length + 1
-            digests = b"".join([xxhash.xxh3_128_digest(data[i : i + length]) for i in range(n)])
-            halves = np.frombuffer(digests, np.int64).reshape(-1, 2)
-            yield {
-                "h1": halves[:, 0], "h2": halves[:, 1], "ord": np.full(n, order), "rid": np.full(n, rid),
-                "first": first + np.arange(n),
-            }
-
-
-def _not_alone(factors: DataFrame, keys: list[str], first_stays: bool) -> DataFrame:
-    """Rows whose keys occur more than once, with ``first_stays`` but for the first of each."""
+def _not_alone(rows: DataFrame, keys: list[str], first_stays: bool, asking: str = "true") -> DataFrame:
+    """Rows (of those ``asking``) whose keys occur ``times`` more than once in all, with
+    ``first_stays`` but for the first of each. The join is on another spelling of the keys, so
+    that it has shuffles of its own, which adaptive execution can split."""
     place = F.struct("ord", "rid", "first")
-    known = factors.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_head"))
+    known = rows.groupBy(*keys).agg(F.sum("times").alias("_n"), F.min(place).alias("_head"))
     known = known.where("_n > 1").select(*[F.bitwise_not(k).alias(f"_{k}") for k in keys], "_head")
-    spelt = factors.withColumns({f"_{k}": F.bitwise_not(k) for k in keys})
+    spelt = rows.where(asking).withColumns({f"_{k}": F.bitwise_not(k) for k in keys})
     found = spelt.join(known, [f"_{k}" for k in keys])
     return found.where(place != F.col("_head")) if first_stays else found
 
@@ -234,47 +267,51 @@ def repeated_factors(
 
     ``documents`` has ``_rid`` (unique), ``_ord`` and ``_text`` and must read the same each time.
     """
-    long_ = "anchor long, whole long, rid long, ord long, first long, factors int"
+    span = ["rid", "first", "factors"]
     every = map_batches(
-        documents.select("_rid", "_ord", "_text"), lambda b: _stretch_rows(b, length, gram), long_
+        documents.select("_rid", "_ord", "_text"),
+        lambda b: _stretch_rows(b, length, gram, first_stays),
+        "anchor long, whole long, rid long, ord long, first long, factors int, times long",
     )
     every = staged(every, "stretches")
-    # The join is on another spelling of the anchor, so that adaptive execution can split it.
-    twice = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    own = every.where("times = 0").select(*span)
+    kinds = every.where("times > 0")
+    twice = kinds.groupBy("anchor").agg(F.sum("times").alias("_n")).where("_n > 1")
     twice = twice.select(F.bitwise_not("anchor").alias("_anchor"))
-    shared = every.withColumn("_anchor", F.bitwise_not("anchor")).join(twice, "_anchor").drop("_anchor")
+    shared = kinds.withColumn("_anchor", F.bitwise_not("anchor")).join(twice, "_anchor").drop("_anchor")
     shared = staged(shared, "shared")
-    whole = _not_alone(shared, ["anchor", "whole"], first_stays).select("rid", "first", "factors")
+    whole = _not_alone(shared, ["anchor", "whole"], first_stays).select(*span)
 
     # One of each kind of stretch, where an anchor has several kinds.
-    kinds = shared.groupBy("anchor", "whole").agg(F.min(F.struct("ord", "rid", "first", "factors")).alias("head"))
-    kinds = staged(kinds.select("anchor", "head.*"), "kinds")
-    several = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    several = several.select(F.bitwise_not("anchor").alias("_anchor"), (F.col("_n") > max_stretches).alias("crowded"))
-    asked = (
-        kinds.withColumn("_anchor", F.bitwise_not("anchor"))
-        .join(several, "_anchor")
-        .groupBy(F.col("rid").alias("_rid"))
-        .agg(F.collect_list(F.struct("anchor", "crowded", "first", "factors")).alias("asked"))
+    head = F.min(F.struct("ord", "rid", "first", "factors")).alias("head")
+    heads = staged(shared.groupBy("anchor", "whole").agg(head).select("anchor", "whole", "head.*"), "kinds")
+    several = heads.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    several = several.select(
+        F.bitwise_not("anchor").alias("_anchor"), F.ceil(F.col("_n") / max_stretches).alias("_parts")
+    )
+    asked = heads.withColumn("_anchor", F.bitwise_not("anchor")).join(several, "_anchor")
+    part = F.pmod("whole", "_parts").cast("int").alias("part")
+    crowded = (F.col("_parts") > 1).alias("crowded")
+    asked = asked.groupBy(F.col("rid").alias("_rid")).agg(
+        F.collect_list(F.struct("anchor", part, crowded, "first", "factors")).alias("asked")
     )
     texts = documents.select("_rid", "_ord", "_text").join(asked.hint("shuffle_hash"), "_rid")
     parts = map_batches(
         texts,
         lambda b: _bytes_of(b, length),
-        "anchor long, crowded boolean, ord long, rid long, first long, data binary",
+        "anchor long, part int, crowded boolean, ord long, rid long, first long, data binary",
     )
-    parts = staged(parts, "parts")
-    spans = "rid long, first long, factors int"
-    in_order = parts.where("NOT crowded").repartition("anchor").sortWithinPartitions("anchor")
-    solved = map_batches(in_order, lambda b: _solve(b, length, first_stays), spans)
-    crowded = map_batches(
-        parts.where("crowded"),
-        lambda b: _each_factor(b, length),
-        "h1 long, h2 long, ord long, rid long, first long",
+    in_order = parts.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
+    solved = map_batches(
+        in_order,
+        lambda b: _solve(b, length, first_stays),
+        "rid long, first long, factors int, h1 long, h2 long, ord long, alone boolean",
     )
-    crowded = _not_alone(staged(crowded, "factors"), ["h1", "h2"], first_stays)
-    one = crowded.select("rid", "first", F.lit(1).alias("factors"))
-    return whole.union(solved).union(one)
+    solved = staged(solved, "solved")
+    factors = solved.where("h1 IS NOT NULL").withColumn("times", F.lit(1))
+    # What a block repeats by itself is known; the others may be repeated by another block.
+    late = _not_alone(factors, ["h1", "h2"], first_stays, "true" if first_stays else "alone")
+    return own.union(whole).union(solved.where("h1 IS NULL").select(*span)).union(late.select(*span))
 
 
 def merged(first: np.ndarray, factors: np.ndarray, length: int) -> np.ndarray:
