@@ -17,7 +17,6 @@ from contractlake.llm.common import map_batches, staged, utf8
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EPOCH = "2000-01-01T00:00:00Z"
-SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
 RECORD = (
     "record_id string, record_type string, target_uri string, concurrent_to string, "
@@ -30,57 +29,62 @@ def sha1_base32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _record(kind: str, name: str, uri: str, block: bytes, **more: str | None) -> str:
-    head = {
-        "WARC-Type": kind,
-        "WARC-Record-ID": f"<urn:uuid:{name}>",
-        "WARC-Date": EPOCH,
-        "WARC-Target-URI": uri,
-        **{k.replace("_", "-"): v for k, v in more.items() if v is not None},
-        "Content-Length": str(len(block)),
-    }
-    lines = "".join(f"{k}: {v}\r\n" for k, v in head.items())
-    return f"{VERSION}\r\n{lines}\r\n{block.decode()}"
+def _record(kind: str, name: str, uri: str, block: str, size: int, **more: str | None) -> str:
+    head = "".join(f"{k.replace('_', '-')}: {v}\r\n" for k, v in more.items())
+    return (
+        f"{VERSION}\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:uuid:{name}>\r\nWARC-Date: {EPOCH}\r\n"
+        f"WARC-Target-URI: {uri}\r\n{head}Content-Length: {size}\r\n\r\n{block}"
+    )
+
+
+def _record_id(*parts: object) -> str:
+    """An id made of what identifies a record, so that a task that runs again writes the same."""
+    return str(uuid.UUID(bytes=hashlib.sha1(repr(parts).encode()).digest()[:16], version=5))
 
 
 def _one_line(text: str | None) -> str:
     """A header value: line breaks would end the header."""
-    return "".join(c if c.isprintable() else "%%%02X" % ord(c) for c in text or "")
+    text = text or ""
+    return text if text.isprintable() else "".join(c if c.isprintable() else "%%%02X" % ord(c) for c in text)
+
+
+# Rows that a task turns into text at once.
+SLICE = 256
 
 
 def _write_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
-        texts = []
-        for row in batch.to_pylist():
-            payload = (row["payload"] or "").encode()
-            digest = sha1_base32(payload)
-            uri = _one_line(row["url"])
-            name = uuid.uuid5(SPACE, f"{row['key']} {digest}")
-            ids = {k: f"<urn:uuid:{uuid.uuid5(name, k)}>" for k in ("request", "metadata")}
-            common = {
-                "Content-Type": "application/http;msgtype=response",
-                "WARC_Payload_Digest": f"sha1:{digest}",
-            }
-            http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
-            if row["same_as"] is None:
-                main = _record("response", name, uri, http.encode() + payload, **common)
-            else:
-                first = uuid.uuid5(SPACE, f"{row['same_as']} {digest}")
-                main = _record(
-                    "revisit", name, uri, http.encode(), **common,
-                    WARC_Profile=PROFILE, WARC_Refers_To=f"<urn:uuid:{first}>",
-                )
-            request = f"GET {uri} HTTP/1.1\r\n\r\n".encode()
-            fields = f"capture-key: {_one_line(str(row['key']))}\r\n".encode()
-            concurrent = f"<urn:uuid:{name}>"
-            texts += [
-                main,
-                _record("request", ids["request"][10:-1], uri, request, WARC_Concurrent_To=concurrent,
-                        Content_Type="application/http;msgtype=request"),
-                _record("metadata", ids["metadata"][10:-1], uri, fields, WARC_Concurrent_To=concurrent,
-                        Content_Type="application/warc-fields"),
-            ]
-        yield {"value": texts}
+        for start in range(0, len(batch), SLICE):
+            rows = batch.slice(start, SLICE).to_pylist()
+            yield {"value": [text for row in rows for text in _capture(row)]}
+
+
+def _capture(row: dict) -> tuple[str, str, str]:
+    """Main record, request and metadata of a capture."""
+    html = row["payload"] or ""
+    payload = html.encode()
+    digest = sha1_base32(payload)
+    uri = _one_line(row["url"])
+    name = _record_id(row["key"], digest)
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
+    common = {"Content_Type": "application/http;msgtype=response", "WARC_Payload_Digest": f"sha1:{digest}"}
+    if row["same_as"] is None:
+        main = _record("response", name, uri, http + html, len(http) + len(payload), **common)
+    else:
+        first = f"<urn:uuid:{_record_id(row['same_as'], digest)}>"
+        main = _record(
+            "revisit", name, uri, http, len(http), **common, WARC_Profile=PROFILE, WARC_Refers_To=first
+        )
+    request = f"GET {uri} HTTP/1.1\r\n\r\n"
+    fields = f"capture-key: {_one_line(str(row['key']))}\r\n"
+    concurrent = {"WARC_Concurrent_To": f"<urn:uuid:{name}>"}
+    return (
+        main,
+        _record("request", _record_id(name, "request"), uri, request, len(request.encode()), **concurrent,
+                Content_Type="application/http;msgtype=request"),
+        _record("metadata", _record_id(name, "metadata"), uri, fields, len(fields.encode()), **concurrent,
+                Content_Type="application/warc-fields"),
+    )
 
 
 def write_warc(
@@ -135,35 +139,50 @@ def _plain(content: bytes) -> Iterator[bytes]:
         content = unzip.unused_data
 
 
-def parse_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers with lower-cased names, block) of each record, cut by ``Content-Length``."""
-    pieces = _plain(content)
-    held = b""
-
-    def need(n: int) -> bool:
-        nonlocal held
-        parts = [held]
-        size = len(held)
-        while size < n:
-            piece = next(pieces, None)
-            if piece is None:
-                break
+class _Buffer:
+    """Bytes that come in pieces, read from the front without copying what is left."""
+
+    def __init__(self, pieces: Iterator[bytes]) -> None:
+        self.pieces, self.data, self.at = pieces, b"", 0
+
+    def has(self, n: int) -> bool:
+        """Whether ``n`` more bytes are there, after reading on as needed."""
+        size = len(self.data) - self.at
+        if size >= n:
+            return True
+        parts = [self.data[self.at :]]
+        for piece in self.pieces:
             parts.append(piece)
             size += len(piece)
-        held = b"".join(parts)
-        return len(held) >= n
+            if size >= n:
+                break
+        self.data, self.at = b"".join(parts), 0
+        return size >= n
+
+    def find(self, mark: bytes) -> int:
+        """Place of the mark from the front, -1 where it does not come."""
+        found = self.data.find(mark, self.at)
+        while found < 0 and self.has(len(self.data) - self.at + 1):
+            found = self.data.find(mark, self.at)
+        return found - self.at if found >= 0 else -1
 
+    def take(self, n: int) -> bytes:
+        self.at += n
+        return self.data[self.at - n : self.at]
+
+
+def parse_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers with lower-cased names, block) of each record, cut by ``Content-Length``."""
+    buffer = _Buffer(_plain(content))
     while True:
-        while need(1) and held[:1] in b"\r\n":
-            held = held.lstrip(b"\r\n")
-        if not held:
+        while buffer.has(1) and buffer.data[buffer.at] in b"\r\n":
+            buffer.at += 1
+        if not buffer.has(1):
             return
-        end = held.find(b"\r\n\r\n")
-        while end < 0:
-            if not need(len(held) + 1):
-                raise ValueError("record head ends early")
-            end = held.find(b"\r\n\r\n")
-        lines = held[:end].decode("utf-8", "replace").split("\r\n")
+        end = buffer.find(b"\r\n\r\n")
+        if end < 0:
+            raise ValueError("record head ends early")
+        lines = buffer.take(end + 4)[:end].decode("utf-8", "replace").split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise ValueError(f"no record starts with {lines[0][:40]!r}")
         headers = {}
@@ -171,10 +190,9 @@ def parse_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             name, _, value = line.partition(":")
             headers[name.strip().lower()] = value.strip()
         length = int(headers.get("content-length", "0"))
-        if not need(end + 4 + length):
+        if not buffer.has(length):
             raise ValueError("record block ends early")
-        yield headers, held[end + 4 : end + 4 + length]
-        held = held[end + 4 + length :]
+        yield headers, buffer.take(length)
 
 
 def _read_rows(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterator[dict]:
@@ -200,7 +218,7 @@ def _read_rows(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterator[di
                         payload if payloads or kind == "metadata" else None, error,
                     ))
                     size += len(block)
-                    if size > 1 << 24 or len(rows) > 5_000:
+                    if size > 1 << 22 or len(rows) > 1_000:
                         yield dict(zip(names, map(list, zip(*rows))))
                         rows, size = [], 0
             except (ValueError, zlib.error) as broken:
