@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
@@ -93,15 +94,30 @@ class QdaModel:
         return 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
 
 
+def document_statistics(documents: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``key`` and ``statistics``, a row of numbers per text; nothing is shuffled."""
+    named = documents.select(F.col(f"`{key}`").alias("key"), F.col("text").alias("text"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            rows = [statistics(text.as_py()) for text in batch.column("text")]
+            yield {"key": batch.column("key"), "statistics": rows}
+
+    found = map_batches(named, work, f"key {dict(named.dtypes)['key']}, statistics array<double>")
+    return found.withColumnRenamed("key", key)
+
+
+def _matrix(column) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, STATISTICS)
+
+
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Per task and class: number, sum and sum of products of the statistics."""
     sums = {c: np.zeros((STATISTICS + 1, STATISTICS + 1)) for c in (0, 1)}
     for batch in batches:
+        x = _matrix(batch.column("statistics"))
+        x = np.hstack([x, np.ones((len(x), 1))])
         labels = batch.column("quality").to_numpy(zero_copy_only=False)
-        texts = batch.column("text").to_pylist()
-        if not texts:
-            continue
-        x = np.array([np.append(statistics(t), 1.0) for t in texts])
         for c in (0, 1):
             mine = x[labels == c]
             sums[c] += mine.T @ mine
@@ -117,18 +133,24 @@ def held_out(key: str = "doc_id") -> Column:
 def fit_quality(
     documents: DataFrame, labels: DataFrame, shrinkage: float = 0.05, key: str = "doc_id"
 ) -> QdaModel:
-    """Fit on every document with a label of 0 or 1 in ``quality``; rows with a null key or label
-    are left out, a document with several label rows counts once per row.
+    """:func:`fit_statistics` on the texts of the labelled documents; texts are not shuffled."""
+    return fit_statistics(document_statistics(documents, key), labels, shrinkage, key)
+
+
+def fit_statistics(
+    found: DataFrame, labels: DataFrame, shrinkage: float = 0.05, key: str = "doc_id"
+) -> QdaModel:
+    """Fit on the statistics of every document with a label of 0 or 1 in ``quality``.
 
-    Each class covariance is drawn to the pooled one, and that to its diagonal, by ``shrinkage``,
-    which also keeps it invertible when a class has few documents. Tasks send sums of products,
-    12 by 12 numbers per class, however many rows there are. Both classes must occur.
+    Label rows with a null key or another label are left out, a document with several label rows
+    counts once per row. Each class covariance is drawn to the pooled one, and that to its
+    diagonal, by ``shrinkage``, which also keeps it invertible when a class has few documents.
+    Tasks send sums of products, 12 by 12 numbers per class, however many rows there are. Both
+    classes must occur.
     """
     known = labels.where(F.col("quality").isin(0, 1) & F.col(key).isNotNull())
-    rows = documents.select(F.col(f"`{key}`").alias(key), "text").join(
-        known.select(key, F.col("quality").cast("int").alias("quality")), key
-    )
-    parts = map_batches(rows.select("text", "quality"), _moments, "quality int, products array<double>")
+    rows = found.join(known.select(key, F.col("quality").cast("int").alias("quality")), key)
+    parts = map_batches(rows.select("statistics", "quality"), _moments, "quality int, products array<double>")
     size = (STATISTICS + 1) ** 2
     added = parts.groupBy("quality").agg(
         F.array(*[F.sum(F.get("products", F.lit(i))) for i in range(size)]).alias("products")
@@ -156,16 +178,23 @@ def score_column(model: QdaModel, text: Column) -> Column:
     """The score of each text, 0 to 1; null counts as empty."""
 
     @pandas_udf("double")
-    def score(texts):
-        import pandas as pd
-
-        if not len(texts):
-            return pd.Series([], dtype="float64")
-        return pd.Series(model.scores(np.array([statistics(t) for t in texts])))
+    def score(texts: pd.Series) -> pd.Series:
+        rows = np.array([statistics(t) for t in texts]).reshape(-1, STATISTICS)
+        return pd.Series(model.scores(rows))
 
     return score(text)
 
 
+def score_statistics(model: QdaModel, found: Column) -> Column:
+    """The score of each row of statistics."""
+
+    @pandas_udf("double")
+    def score(rows: pd.Series) -> pd.Series:
+        return pd.Series(model.scores(np.array(rows.tolist()).reshape(-1, STATISTICS)))
+
+    return score(found)
+
+
 def score_documents(documents: DataFrame, model: QdaModel, threshold: float = 0.7) -> DataFrame:
     """``documents`` with ``score`` and ``predicted`` (1 from ``threshold`` on); columns of those
     names are replaced. Rows stay one to one and nothing is shuffled."""

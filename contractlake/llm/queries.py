@@ -12,9 +12,16 @@ from contractlake.llm.curriculum import mix_sources
 from contractlake.llm.ego_join import embedding_classes
 from contractlake.llm.host_rules import judge_documents
 from contractlake.llm.packing import pack_documents
-from contractlake.llm.qda import fit_quality, held_out, score_documents
+from contractlake.llm.qda import document_statistics, fit_statistics, held_out, score_statistics
 from contractlake.llm.rendezvous import shard_slots
-from contractlake.llm.settings import MAX_BITS, MIX_WEIGHTS, PATTERN, SHINGLE, VOCABULARY
+from contractlake.llm.settings import (
+    MAX_BITS,
+    MIX_WEIGHTS,
+    PATTERN,
+    QUALITY_THRESHOLD,
+    SHINGLE,
+    VOCABULARY,
+)
 from contractlake.llm.simhash import simhash_classes
 from contractlake.llm.suffix import remove_repeats
 from contractlake.llm.url_filter import Rule, fit_urls, judge_urls
@@ -111,10 +118,11 @@ def op1_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored by a model fitted on the labels that are not held out."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").where(~held_out())
-    scored = score_documents(documents, fit_quality(documents, labels))
-    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+    found = staged(document_statistics(table(spark, sf_dir, "documents")), "statistics")
+    model = fit_statistics(found, table(spark, sf_dir, "labels").where(~held_out()))
+    scored = found.select("doc_id", score_statistics(model, F.col("statistics")).alias("score"))
+    predicted = (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted)
 
 
 SHARDS = 40

@@ -18,12 +18,17 @@ from contractlake.llm.common import staged, table, word_count
 from contractlake.llm.curriculum import mix_sources
 from contractlake.llm.packing import pack_documents
 from contractlake.llm.qda import fit_quality, held_out, score_column
-from contractlake.llm.settings import MAX_BITS, MIX_WEIGHTS, PATTERN, SHINGLE, VOCABULARY
+from contractlake.llm.settings import (
+    MAX_BITS,
+    MIX_WEIGHTS,
+    PATTERN,
+    QUALITY_THRESHOLD,
+    SHINGLE,
+    VOCABULARY,
+)
 from contractlake.llm.simhash import simhash_classes
 from contractlake.llm.suffix import remove_repeats
 
-QUALITY_THRESHOLD = 0.7
-
 
 def _as_rows(docs: DataFrame, purpose: str) -> DataFrame:
     """``rid``, ``doc_id``, ``source``, ``text`` and all columns as ``row``, written once."""
