@@ -6,7 +6,7 @@ import pytest
 
 from contractlake.llm.ego_join import embedding_classes, near_blocks
 
-from plain_helpers import Groups
+from llm.plain_helpers import Groups
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -77,8 +77,8 @@ def test_copies_are_one_row(spark):
 def test_distant_intervals_are_skipped(spark):
     """Blocks on a line, one apart: only each with itself and its neighbour meet."""
     n = 40
-    rows = [("a", i, [float(i)], [i + 0.5]) for i in range(n)]
-    frame = spark.createDataFrame(rows, "class string, block long, lo array<double>, hi array<double>")
+    rows = [("a", i, i, [float(i)], [i + 0.5]) for i in range(n)]
+    frame = spark.createDataFrame(rows, "class string, block long, place long, lo array<double>, hi array<double>")
     pairs = {(r.i, r.j) for r in near_blocks(frame, 0.6, 4).collect()}
     assert pairs == {(i, j) for i in range(n) for j in (i, i + 1) if j < n}
 

@@ -6,7 +6,7 @@ from hypothesis import given, settings, strategies as st
 
 from contractlake.llm.host_rules import HostRules, beta_prior, judge_documents, repeat_words, text_features
 
-from plain_helpers import words
+from llm.plain_helpers import words
 
 
 def plain_repeat_words(found):

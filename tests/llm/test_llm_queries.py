@@ -15,7 +15,7 @@ from contractlake.llm.packing import cut, token_ids
 from contractlake.llm.qda import fit_quality, held_out, statistics
 from contractlake.llm.settings import PATTERN, VOCABULARY
 
-from plain_helpers import Groups, words
+from llm.plain_helpers import Groups, words
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "documents embeddings pages labels".split()
@@ -74,7 +74,7 @@ def test_quality_stage(spark, stages):
 
 
 def test_simhash_stage(stages):
-    from test_simhash import plain_fingerprint
+    from llm.test_simhash import plain_fingerprint
 
     rows = plain(stages["quality"])
     prints = [plain_fingerprint(r["text"]) for r in rows]
@@ -120,7 +120,7 @@ def test_suffix_stage(stages):
 
 
 def test_mix_stage(stages):
-    from test_sharding_mixing import plain_targets
+    from llm.test_sharding_mixing import plain_targets
 
     before = {r["doc_id"]: r for r in plain(stages["suffix"])}
     sizes, given, times = defaultdict(int), defaultdict(int), Counter()

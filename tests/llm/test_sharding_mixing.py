@@ -41,6 +41,12 @@ def test_weights_and_growth(spark):
         assign_shards(frame, "k", [1, 0])
 
 
+def test_no_python_on_the_way(spark, awkward):
+    for frame in (shard_slots(records(awkward), "doc_id", 5), mix_sources(mix_input(awkward), (5, 2, 1))):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "Cartesian"))
+
+
 def test_many_equal_keys(spark):
     frame = spark.range(9000).selectExpr("if(id % 3 = 0, 7L, id) AS doc_id")
     got = shard_slots(frame, "doc_id", 4).groupBy("shard").agg(F.count("*"), F.max("slot"), F.countDistinct("slot")).collect()
@@ -82,7 +88,8 @@ def mix_input(frame):
 
 def test_each_source_gives_its_target_to_the_word(awkward, no_documents):
     rows = mix_input(awkward)
-    got = mix_sources(rows, (5, 2, 1)).collect()
+    extra = rows.withColumn("target", F.lit("x")).withColumn("source_size", F.lit("y")).withColumn("_rows", F.lit(1))
+    got = mix_sources(extra, (5, 2, 1)).collect()
     assert Counter((r.key, r.source, r.size) for r in got) == Counter((r.key, r.source, r.size) for r in rows.collect())
     given = defaultdict(int)
     for r in got:

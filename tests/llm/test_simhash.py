@@ -7,7 +7,7 @@ import xxhash
 from contractlake.llm.components import components
 from contractlake.llm.simhash import fingerprint, simhash_classes, similar_prints
 
-from plain_helpers import Groups, words
+from llm.plain_helpers import Groups, words
 
 
 def plain_fingerprint(text, n=3):
