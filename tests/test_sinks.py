@@ -2,6 +2,7 @@
 
 import datetime as dt
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -153,3 +154,27 @@ def test_data_dictionary(spark):
         ("x", "a:b.a:t", "t", "string", 7, 1, 3),
         ("x", "n", "n", "int", None, 2, None),
     ]
+
+
+def test_all_years_are_few_files_however_many_tasks(spark, folder):
+    frame = spark.range(0, 4000, 1, 40).selectExpr(
+        "cast(id AS string) AS DUNSNumber", "cast('2001-01-01' AS timestamp_ntz) AS signedDate",
+        "CAST(1995 + id % 13 AS int) AS year",
+    )
+    write_contract(frame, folder)
+    write_vendor(frame.drop("signedDate"), folder)
+    for table in ("contract", "vendor"):
+        assert len(list(Path(folder, table).glob("year=*/*.parquet"))) <= 26
+        assert read_table(spark, folder, table).count() == 4000
+
+
+def test_both_sides_of_bucketed_tables_spread_alike(spark, folder):
+    """One frame as both sides: every row finds itself, also those of a vendor with half the rows."""
+    frame = spark.range(4000).selectExpr(
+        "if(id % 2 = 0, 'hot', cast(id AS string)) AS DUNSNumber", "id", "cast('2001-01-01' AS timestamp_ntz) AS signedDate"
+    )
+    vendor = frame.select("DUNSNumber").distinct().selectExpr("DUNSNumber", "upper(DUNSNumber) AS name")
+    name = folder.rsplit("-", 1)[-1]
+    names = write_bucketed(frame, vendor, folder, (f"c_{name}", f"v_{name}"))
+    joined = join_bucketed(spark, names)
+    assert joined.count() == 4000 and joined.where("name IS NULL OR name <> upper(DUNSNumber)").count() == 0
