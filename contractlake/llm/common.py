@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from contractlake.session import scratch_dir
+from contractlake.session import drop_path, scratch_dir
 
 # Fixed value: a word is a run of characters other than blank, tab, line and page breaks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,18 +28,35 @@ def utf8(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
+def staged(df: DataFrame, purpose: str, made: list[str] | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Cuts the lineage at a table that outlives lost executors. Ids made while writing are fixed
-    from then on. The folder stays as long as the result may be read, which this library can't
-    know; it lies below ``spark.checkpoint.dir`` and goes with it.
+    from then on. The folder's name is added to ``made``, for ``drop_staged`` once nothing reads
+    it any more; else it stays as long as the result may be read, which this library can't know:
+    it lies below ``spark.checkpoint.dir`` and goes with it.
     """
     path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
+    if made is not None:
+        made.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession, made: list[str]) -> None:
+    """Delete staged tables of which all that is needed has been written elsewhere."""
+    for path in made:
+        drop_path(spark, path)
+    made.clear()
+
+
+def row_hashes(df: DataFrame) -> tuple[Column, Column]:
+    """128 bits of a whole row, nulls told apart from what stands beside them."""
+    columns = [F.col(f"`{name}`") for name in df.columns]
+    parts = [*columns, *[column.isNull() for column in columns]]
+    return F.xxhash64(*parts), F.xxhash64(F.lit(1), *parts)
+
+
 def map_batches(
     df: DataFrame,
     work: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]],
@@ -66,9 +83,10 @@ def key_digest(key: Column) -> Column:
     return F.md5(F.coalesce(key.cast("string"), F.lit("null")).cast("binary"))
 
 
-def prefix_digits(rows: int, per_bucket: int) -> int:
-    """So many hex digits of a digest that a bucket per prefix holds ``per_bucket`` rows or fewer."""
-    return next((d for d in range(1, 8) if rows <= per_bucket * 16**d), 8)
+def prefix_digits(rows: int) -> int:
+    """So many hex digits of a digest that there are as many prefixes as rows with one prefix, at
+    least: both the table of prefixes and the rows of one grow with the root of the rows."""
+    return next(d for d in range(1, 33) if rows <= 16 ** (2 * d))
 
 
 def running_total(

@@ -67,8 +67,7 @@ def mix_sources(
 ) -> DataFrame:
     """Where each document is read in training, from columns ``key``, ``source``, ``size``.
 
-    Returns the columns of ``documents`` plus ``source_size``, ``target`` and ``placements``, an
-    array of (``position`` 0 to 1, ``words``) with one entry per time the document is read.
+    Returns these with ``source_size``, ``target`` and ``placements``, an array of (``position`` 0 to 1, ``words``) with one entry per time the document is read.
     ``schedule`` has, in turn per source, the rate of the source at the begin and at the end of
     training. A source's documents stand in the order of a hash of their key and are read in
     that order again and again until the source's target is met; the last one read is cut, so a
@@ -79,11 +78,10 @@ def mix_sources(
     the order. Null sources form one source, documents of size 0 are never read, null sizes count
     as 0; a table without words has targets of 0. The result is the same in every run.
     """
-    names = [name for name in documents.columns if name not in ("key", "source", "size")]
-    flat = documents.withColumn("size", F.coalesce("size", F.lit(0)).cast("long"))
+    columns = ["key", "source", "size"]
+    flat = documents.select("key", "source", F.coalesce("size", F.lit(0)).cast("long").alias("size"))
     if min(min(pair) for pair in schedule) <= 0:
         raise ValueError("rates must be above 0")
-    columns = [*names, "key", "source", "size"]
     equal = staged(
         flat.groupBy(*columns)
         .agg(F.count(F.lit(1)).alias("_rows"))
@@ -98,9 +96,9 @@ def mix_sources(
         targets.withColumn("_source", F.struct("source")).drop("source"), "_source"
     )
     known = known.withColumn("_words", F.col("size") * F.col("_rows"))
-    bucket = F.substring("_hash", 1, prefix_digits(equal.count(), 5_000))
+    bucket = F.substring("_hash", 1, prefix_digits(equal.count()))
     total = running_total(
-        known, ["source_rank"], bucket, ["_hash", "key", "size", *names], "_words", "_before"
+        known, ["source_rank"], bucket, ["_hash", "key", "size"], "_words", "_before"
     )
     copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_rows") - 1))
     rows = total.withColumn("_copy", copies).withColumn(

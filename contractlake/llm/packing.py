@@ -151,7 +151,7 @@ def token_pieces(
     return map_batches(documents.select("key", "text"), work, schema)
 
 
-def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, rows_per_bucket: int = 20_000) -> DataFrame:
+def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (staged; with ``key`` and ``length``) plus ``sequence_id`` and ``offset``.
 
     The histogram has one row per length up to the capacity, whatever the number of pieces; the
@@ -168,7 +168,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, rows_per_bucket: in
     planned = pieces.sparkSession.createDataFrame(
         plan, "length long, _from long, _to long, _shift long, offset long"
     )
-    digits = prefix_digits(max(histogram.values(), default=0), rows_per_bucket)
+    digits = prefix_digits(sum(histogram.values()))
     equal = pieces.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
     equal = staged(equal.withColumn("_digest", key_digest(F.concat_ws(" ", "key", *columns))), "pieces")
     ranked = running_total(
