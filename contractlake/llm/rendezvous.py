@@ -45,9 +45,7 @@ def assign_shards(
     return df.withColumn(name, shard_of(F.col(f"`{key}`"), weights))
 
 
-def shard_slots(
-    records: DataFrame, key: str, shards: int, rows_per_bucket: int = 20_000
-) -> DataFrame:
+def shard_slots(records: DataFrame, key: str, shards: int) -> DataFrame:
     """Columns of ``records`` plus ``shard``, ``slot`` (gapless from 0 in each shard) and
     ``grown_shard`` (the shard if there were one more), for equal shards.
 
@@ -57,14 +55,12 @@ def shard_slots(
     have columns named ``shard``, ``slot``, ``grown_shard`` or with a leading underscore.
     """
     columns = records.columns
-    equal = records.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
-    placed = staged(
-        equal.withColumn("shard", shard_of(F.col(key), [1.0] * shards)).withColumn(
-            "grown_shard", shard_of(F.col(key), [1.0] * (shards + 1))
-        ),
-        "shards",
+    placed = records.withColumn("shard", shard_of(F.col(key), [1.0] * shards)).withColumn(
+        "grown_shard", shard_of(F.col(key), [1.0] * (shards + 1))
     )
-    digits = prefix_digits(placed.count() // shards, rows_per_bucket)
+    placed = placed.groupBy(*columns, "shard", "grown_shard").agg(F.count(F.lit(1)).alias("_rows"))
+    placed = staged(placed, "shards")
+    digits = prefix_digits(placed.count())
     numbered = running_total(
         placed.withColumn("_digest", key_digest(F.col(key))),
         ["shard"], F.substring("_digest", 1, digits), ["_digest", *columns], "_rows", "_first",
