@@ -271,7 +271,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and the class that links of 3 bits or fewer reach."""
-    return simhash_classes(table(spark, sf_dir, "documents"), "doc_id", SHINGLE, MAX_BITS)
+    classes = simhash_classes(table(spark, sf_dir, "documents"), "doc_id", SHINGLE, MAX_BITS)
+    return classes.select("doc_id", "fingerprint", "component_id")
 
 
 @register()

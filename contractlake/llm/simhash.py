@@ -9,7 +9,7 @@ where the other has a 1 also comes under the key with that bit set.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from contractlake.llm.common import map_batches, staged
+from contractlake.llm.common import drop_staged, map_batches, staged
 from contractlake.llm.components import components, with_group_min
 
 SEGMENTS = 4
@@ -225,7 +225,12 @@ def _link_groups(
         yield out(solve(held))
 
 
-def similar_prints(prints: DataFrame, max_bits: int = MAX_BITS, max_group: int = MAX_GROUP) -> DataFrame:
+def similar_prints(
+    prints: DataFrame,
+    max_bits: int = MAX_BITS,
+    max_group: int = MAX_GROUP,
+    made: list[str] | None = None,
+) -> DataFrame:
     """``u``, ``v``: links between distinct fingerprints (column ``print``) that join exactly those
     that chains of pairs at ``max_bits`` or fewer bits join. Every link is such a pair."""
     if max_bits >= SEGMENTS:
@@ -237,7 +242,7 @@ def similar_prints(prints: DataFrame, max_bits: int = MAX_BITS, max_group: int =
         return map_batches(runs, lambda b: _link_groups(b, keys, max_bits, max_group, last), schema)
 
     keyed = map_batches(prints.select("print"), _keys, "key long, print long, exact boolean")
-    found = staged(linked(keyed, ["key"], False), "pairs")
+    found = staged(linked(keyed, ["key"], False), "pairs", made)
     deep = map_batches(
         found.where("v IS NULL").select("key", F.col("u").alias("print"), "exact"),
         _deep_keys,
@@ -253,31 +258,41 @@ def simhash_classes(
     shingle: int = 3,
     max_bits: int = MAX_BITS,
     max_group: int = MAX_GROUP,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """``key``, ``fingerprint`` (16 hex digits), ``component_id`` (the least key that links reach).
+    """``key``, ``fingerprint`` (16 hex digits), ``component_id`` (the least key that links reach),
+    ``class`` (the least fingerprint, as a number) and the columns named in ``carry``.
 
     Fingerprints are made once per row and grouped before anything is compared, so exact copies
     cost one fingerprint. Null and empty texts have fingerprint 0 and link like any other; rows
-    with equal keys each stay; a null key counts as no number: a component of nulls only has a
-    null id. An empty table gives an empty one, other columns are not read.
+    with equal keys each stay, and where two components share a key ``class`` tells them apart; a
+    null key counts as no number: a component of nulls only has a null id. An empty table gives
+    an empty one, other columns are not read.
     """
+    made: list[str] = []
+    carried = [F.col(f"`{name}`").alias(f"carry{i}") for i, name in enumerate(carry)]
     prints = staged(
         documents.select(
             F.col(f"`{key}`").cast("long").alias("key"),
+            *carried,
             fingerprint_column(F.col("text"), shingle).alias("print"),
         ),
         "prints",
     )
     distinct = prints.groupBy("print").agg(F.min("key").alias("least"))
-    found = staged(components(similar_prints(distinct.select("print"), max_bits, max_group)), "components")
+    links = similar_prints(distinct.select("print"), max_bits, max_group, made)
+    found = staged(components(links), "components", made)
     # Prints by component, those without links by themselves.
     placed = distinct.join(found.withColumnRenamed("node", "print"), "print", "left").withColumn(
         "component", F.coalesce("component", "print")
     )
     classes = with_group_min(placed, "component", "least", "component_id")
-    named = staged(classes.select("print", "component_id"), "classes")
+    named = staged(classes.select("print", "component_id", F.col("component").alias("class")), "classes")
+    drop_staged(documents.sparkSession, made)
     return prints.join(named, "print").select(
         F.col("key").alias(key),
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         "component_id",
+        "class",
+        *[F.col(f"carry{i}").alias(name) for i, name in enumerate(carry)],
     )

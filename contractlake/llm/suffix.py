@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from contractlake.llm.common import map_batches, staged
+from contractlake.llm.common import drop_staged, map_batches, staged
 from contractlake.session import scratch_dir
 
 LENGTH = 200
@@ -34,8 +34,10 @@ GRAM = 64
 # Different stretches of one anchor that go to one suffix array at most.
 MAX_STRETCHES = 1000
 # Bytes of one suffix array, and factors of a document that are hashed at once.
-BLOCK = 1 << 21
-CHUNK = 1 << 20
+BLOCK = 1 << 20
+CHUNK = 1 << 19
+# Documents that a task turns into rows at once.
+SLICE = 1000
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 MIX_TWO = np.uint64(0xBF58476D1CE4E5B9)
@@ -103,7 +105,7 @@ def _stretch_rows(
     """One row per kind of stretch of a document with how often it is there (``times``), and what
     is settled by the document alone as rows with ``times`` 0: a stretch that comes again, as in
     a text that says the same word all over."""
-    for batch in batches:
+    for batch in (b.slice(i, SLICE) for b in batches for i in range(0, len(b), SLICE)):
         ids, orders = batch.column("_rid").to_numpy(), batch.column("_ord").to_numpy()
         rows = []
         for text in batch.column("_text"):
@@ -268,23 +270,24 @@ def repeated_factors(
     ``documents`` has ``_rid`` (unique), ``_ord`` and ``_text`` and must read the same each time.
     """
     span = ["rid", "first", "factors"]
+    made: list[str] = []
     every = map_batches(
         documents.select("_rid", "_ord", "_text"),
         lambda b: _stretch_rows(b, length, gram, first_stays),
         "anchor long, whole long, rid long, ord long, first long, factors int, times long",
     )
-    every = staged(every, "stretches")
+    every = staged(every, "stretches", made)
     own = every.where("times = 0").select(*span)
     kinds = every.where("times > 0")
     twice = kinds.groupBy("anchor").agg(F.sum("times").alias("_n")).where("_n > 1")
     twice = twice.select(F.bitwise_not("anchor").alias("_anchor"))
     shared = kinds.withColumn("_anchor", F.bitwise_not("anchor")).join(twice, "_anchor").drop("_anchor")
-    shared = staged(shared, "shared")
+    shared = staged(shared, "shared", made)
     whole = _not_alone(shared, ["anchor", "whole"], first_stays).select(*span)
 
     # One of each kind of stretch, where an anchor has several kinds.
     head = F.min(F.struct("ord", "rid", "first", "factors")).alias("head")
-    heads = staged(shared.groupBy("anchor", "whole").agg(head).select("anchor", "whole", "head.*"), "kinds")
+    heads = staged(shared.groupBy("anchor", "whole").agg(head).select("anchor", "whole", "head.*"), "kinds", made)
     several = heads.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     several = several.select(
         F.bitwise_not("anchor").alias("_anchor"), F.ceil(F.col("_n") / max_stretches).alias("_parts")
@@ -307,11 +310,14 @@ def repeated_factors(
         lambda b: _solve(b, length, first_stays),
         "rid long, first long, factors int, h1 long, h2 long, ord long, alone boolean",
     )
-    solved = staged(solved, "solved")
+    solved = staged(solved, "solved", made)
     factors = solved.where("h1 IS NOT NULL").withColumn("times", F.lit(1))
     # What a block repeats by itself is known; the others may be repeated by another block.
     late = _not_alone(factors, ["h1", "h2"], first_stays, "true" if first_stays else "alone")
-    return own.union(whole).union(solved.where("h1 IS NULL").select(*span)).union(late.select(*span))
+    runs = own.union(whole).union(solved.where("h1 IS NULL").select(*span)).union(late.select(*span))
+    runs = staged(runs, "runs")
+    drop_staged(documents.sparkSession, made)
+    return runs
 
 
 def merged(first: np.ndarray, factors: np.ndarray, length: int) -> np.ndarray:
@@ -338,7 +344,7 @@ def whole_characters(data: bytes, spans: np.ndarray) -> np.ndarray:
 
 
 def _apply(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[dict]:
-    for batch in batches:
+    for batch in (b.slice(i, SLICE) for b in batches for i in range(0, len(b), SLICE)):
         rows = []
         for text, found in zip(batch.column("_text"), batch.column("_found")):
             data = (text.as_py() or "").encode()
@@ -373,9 +379,10 @@ def remove_repeats(
 
     Every byte covered by a string of ``length`` bytes that also starts anywhere else, in the same
     document or another, is removed; with ``first_stays`` if it also starts earlier, so that the
-    first copy of everything stays. First goes by ``key`` (null last), then by row. Strings are judged on the input. Columns: ``row``,
-    ``text`` (what is left, with characters that a cut would halve left in), ``n_bytes``,
-    ``n_removed``, ``spans`` (removed runs of bytes), ``kept_sha256`` (of exactly the bytes left).
+    first copy of everything stays. First goes by ``key`` as a number (null and others last), then
+    by row. Strings are judged on the input. Columns: ``row``, ``text`` (what is left, with
+    characters that a cut would halve left in), ``n_bytes``, ``n_removed``, ``spans`` (removed runs
+    of bytes), ``kept_sha256`` (of exactly the bytes left).
 
     Null texts count as empty and stay null; repeated rows are copies of each other, ties of the
     key are broken by row; an empty table gives an empty one. The documents are written once to a
@@ -386,7 +393,7 @@ def remove_repeats(
     name = f"contractlake_texts_{uuid.uuid4().hex}"
     rows = documents.select(
         F.struct(*[F.col(f"`{c}`") for c in documents.columns if c != "text"]).alias("_row"),
-        F.coalesce(F.col(f"`{key}`").cast("long"), F.lit((1 << 63) - 1)).alias("_ord"),
+        F.coalesce(F.col(f"`{key}`").try_cast("long"), F.lit((1 << 63) - 1)).alias("_ord"),
         F.col("text").alias("_text"),
         F.monotonically_increasing_id().alias("_rid"),
     )
@@ -394,6 +401,7 @@ def remove_repeats(
         "path", scratch_dir(spark, "texts")
     ).saveAsTable(name)
     texts = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay, and with them what has been read from the name
     runs = repeated_factors(texts, length, gram, first_stays, max_stretches)
     found = runs.groupBy(F.col("rid").alias("_rid")).agg(
         F.collect_list(F.struct("first", "factors")).alias("_found")

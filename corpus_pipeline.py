@@ -6,15 +6,16 @@
 4. mix: sources are read by weight, up to three times, in training order.
 5. pack: token pieces in sequences of at most 1024.
 
-Rows have ids of their own inside a stage, so null and repeated doc_ids, and columns named like
-those of an operator, do no harm. All stages but the last return the columns of their input.
+Rows are known by a hash of all their columns inside a stage, and rows that are equal are counted,
+so null and repeated doc_ids, and columns named like those of an operator, do no harm. All stages
+but the last return the columns of their input.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from contractlake.llm.common import staged, table, word_count
+from contractlake.llm.common import row_hashes, staged, table, word_count
 from contractlake.llm.curriculum import mix_sources
 from contractlake.llm.packing import pack_documents
 from contractlake.llm.qda import fit_quality, held_out, score_column
@@ -30,11 +31,11 @@ from contractlake.llm.simhash import simhash_classes
 from contractlake.llm.suffix import remove_repeats
 
 
-def _as_rows(docs: DataFrame, purpose: str) -> DataFrame:
-    """``rid``, ``doc_id``, ``source``, ``text`` and all columns as ``row``, written once."""
+def _rows(docs: DataFrame) -> DataFrame:
+    """Each different row once: ``h1`` and ``h2``, by which it is known, and all columns as ``row``."""
+    h1, h2 = row_hashes(docs)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(whole.alias("row"), F.monotonically_increasing_id().alias("rid"))
-    return staged(rows, purpose)
+    return docs.select(h1.alias("h1"), h2.alias("h2"), whole.alias("row")).dropDuplicates(["h1", "h2"])
 
 
 def _with_text(docs: DataFrame, row: str, text: Column) -> list[Column]:
@@ -55,13 +56,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id (null last, then by row) of each group."""
-    rows = _as_rows(docs, "simhash")
-    classes = simhash_classes(rows.select("rid", "row.text"), "rid", SHINGLE, MAX_BITS)
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "rid")
-    known = rows.select("rid", "row.doc_id").join(classes, "rid")
-    least = known.groupBy("component_id").agg(F.min(order).alias("least"))
-    return rows.join(least.select("least.rid"), "rid", "left_semi").select("row.*")
+    """The document with the least doc_id (null last, then by its hash) of each group; of equal
+    rows one."""
+    h1, h2 = row_hashes(docs)
+    texts = docs.select("doc_id", "text", h1.alias("h1"), h2.alias("h2"))
+    classes = simhash_classes(texts, "doc_id", SHINGLE, MAX_BITS, carry=("h1", "h2"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "h1", "h2")
+    least = classes.groupBy("class").agg(F.min(order).alias("least")).select("least.h1", "least.h2")
+    return _rows(docs).join(least, ["h1", "h2"], "left_semi").select("row.*")
 
 
 def suffix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,12 +74,12 @@ def suffix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per time a document is read, in training order; the last of a source is cut."""
-    rows = _as_rows(docs, "mix")
-    sized = rows.select(
-        F.col("rid").alias("key"), "row.source", word_count(F.col("row.text")).alias("size")
-    )
+    h1, h2 = row_hashes(docs)
+    key = F.concat(F.hex(h1), F.lit("-"), F.hex(h2)).alias("key")
+    sized = docs.select(key, "source", word_count(F.col("text")).alias("size"))
     read = mix_sources(sized, MIX_WEIGHTS).select("key", "size", F.inline("placements"))
-    both = read.join(rows, F.col("key") == F.col("rid"))
+    rows = _rows(docs).select(F.concat(F.hex("h1"), F.lit("-"), F.hex("h2")).alias("key"), "row")
+    both = read.join(rows, "key")
     ordered = both.repartitionByRange("position", "key").sortWithinPartitions("position", "key")
     # A word with the white space after it; the words wanted are the begin of the text.
     words = F.regexp_extract_all("row.text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
