@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from contractlake.llm.common import staged
+from contractlake.llm.common import drop_staged, staged
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
@@ -30,24 +30,31 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     Each round turns the links of every node to the least node around it, first for neighbours
     above it, then for those below; links become stars around the least nodes in a number of
     rounds that grows with the logarithm of the longest path. Every round's links are written to
-    the shared folder, which cuts the lineage. Only two numbers per round reach the driver.
+    the shared folder, which cuts the lineage. Whether they are stars is all the driver learns.
     """
     now = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v")
-    now = staged(now.distinct(), "links")
-    before = None
+    made: list[str] = []
+    now = staged(now.distinct(), "links", made)
     for _ in range(max_rounds):
+        if _are_stars(now):
+            stars = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            centres = now.select(F.col("v").alias("node"), F.col("v").alias("component"))
+            return stars.union(centres.distinct())
         around = with_group_min(_both_ways(now), "u", "v", "least").withColumn("least", F.least("u", "least"))
-        large = around.where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v")).distinct()
+        large = around.where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v"))
         below = with_group_min(large, "u", "v", "least")
         moved = below.where("v != least").select(F.col("v").alias("u"), F.col("least").alias("v"))
         small = moved.union(below.select("u", F.col("least").alias("v")))
-        now = staged(small.distinct(), "links")
-        state = tuple(
-            now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("u", "v").cast("long"))).first()
-        )
-        if state == before:
-            stars = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-            centres = now.select(F.col("v").alias("node"), F.col("v").alias("component"))
-            return stars.union(centres.distinct())
-        before = state
+        before, made = made, []
+        now = staged(small.distinct(), "links", made)
+        drop_staged(links.sparkSession, before)
     raise RuntimeError(f"links did not settle in {max_rounds} rounds")
+
+
+def _are_stars(links: DataFrame) -> bool:
+    """Every node has one link down, or links up only."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("down")).union(
+        links.select(F.col("v").alias("node"), F.lit(0).alias("down"))
+    )
+    sums = ends.groupBy("node").agg(F.sum("down").alias("down"), F.count(F.lit(1)).alias("n"))
+    return sums.where("down > 1 OR (down = 1 AND n > 1)").isEmpty()

@@ -22,27 +22,29 @@ from contractlake.llm.components import components, with_group_min
 THRESHOLD = 0.98
 DIRECTIONS = 8
 BLOCK_ROWS = 512
-FANOUT = 16
+FANOUT = 64
+# Tasks that add up what all tasks have found.
+SUMS = 16
 # Added to a distance bound before anything is skipped: more than rounding can take away.
 SLACK = 1e-7
 
-DISTINCT = "class string, vec array<double>, least long, copies long"
-
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """Lists of equal length as rows."""
+    """Lists of equal length as rows of doubles."""
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1)
+    return flat.astype(np.float64).reshape(len(column), -1)
 
 
 def usable(vectors: DataFrame, key: str, vector: str, label: str) -> DataFrame:
-    """``key``, ``vec`` (doubles) and ``class``: which vectors may link with which.
+    """``key``, ``vec`` and ``class``: which vectors may link with which.
 
+    Vectors of floats stay floats on their way, all others are doubles; sums are taken in doubles.
     The class is the label with the number of components; it is null for vectors that link with
     nothing: null or empty ones, zero ones, and those with a null or non-finite component, as
     well as rows without a label.
     """
-    vec = F.col(f"`{vector}`").cast("array<double>")
+    given = dict(vectors.dtypes)[vector]
+    vec = F.col(f"`{vector}`").cast(given if given == "array<float>" else "array<double>")
     fine = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists(vec, lambda x: x != 0)
     ok = F.coalesce(fine & some, F.lit(False)) & F.col(f"`{label}`").isNotNull()
@@ -70,21 +72,29 @@ def _scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     yield {"d": list(sums), "products": [m.ravel() for m in sums.values()]}
 
 
+def _add_scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for d, products in zip(batch.column("d").to_pylist(), batch.column("products")):
+            sums[d] = sums.get(d, 0) + products.values.to_numpy()
+    yield {"d": list(sums), "products": list(sums.values())}
+
+
 def principal_directions(distinct: DataFrame, leading: int) -> dict[int, np.ndarray]:
     """Per number of components the leading eigenvectors of the covariance, as columns.
 
-    The driver gets one d x d matrix per task and dimension, no vector. Any orthonormal
+    The driver gets ``SUMS`` d x d matrices per dimension, no vector. Any orthonormal
     directions give right results; these separate best.
     """
-    parts = map_batches(distinct.select("vec"), _scatter, "d int, products array<double>")
-    flat = parts.select("d", F.posexplode("products").alias("place", "value"))
-    sums = flat.groupBy("d", "place").agg(F.sum("value").alias("value"))
+    products = "d int, products array<double>"
+    parts = map_batches(distinct.select("vec"), _scatter, products)
+    added = map_batches(parts.repartition(SUMS), _add_scatter, products)
+    sums: dict[int, np.ndarray] = {}
+    for row in added.collect():
+        sums[row.d] = sums.get(row.d, 0) + np.array(row.products)
     directions: dict[int, np.ndarray] = {}
-    by_d: dict[int, list] = {}
-    for row in sums.collect():
-        by_d.setdefault(row.d, []).append((row.place, row.value))
-    for d, cells in by_d.items():
-        m = np.array([v for _, v in sorted(cells)]).reshape(d + 1, d + 1)
+    for d, flat in sums.items():
+        m = flat.reshape(d + 1, d + 1)
         mean = m[-1, :-1] / m[-1, -1]
         _, vectors = np.linalg.eigh(m[:-1, :-1] / m[-1, -1] - np.outer(mean, mean))
         directions[d] = np.ascontiguousarray(vectors[:, ::-1][:, :leading])
@@ -150,14 +160,15 @@ def _apart(a: str, b: str):
 
 
 def near_blocks(blocks: DataFrame, epsilon: float, fanout: int = FANOUT) -> DataFrame:
-    """``i`` <= ``j``: numbers of blocks of one class whose bounds are within epsilon.
+    """``i`` <= ``j``: places of blocks of one class whose bounds are within epsilon.
 
-    ``blocks`` has ``class``, ``block`` (gapless from 0 in a class in sequence order), ``lo``, ``hi``.
+    ``blocks`` has ``class``, ``block`` (gapless from 0 in a class in sequence order), ``place``,
+    ``lo``, ``hi``.
     ``fanout`` intervals in sequence make one interval of the next level, up to a level with one
     per class. From there down, each pair of intervals is joined to the pairs of its parts by
     equality of the parent, and pairs too far apart end there.
     """
-    levels = [blocks.select("class", F.col("block").alias("id"), "lo", "hi")]
+    levels = [blocks.select("class", F.col("block").alias("id"), "lo", "hi", "place")]
     most = levels[0].agg(F.max("id").alias("m")).first().m
     size = blocks.select(F.size("lo").alias("n")).first()
     count = size.n if size else 0
@@ -168,15 +179,19 @@ def near_blocks(blocks: DataFrame, epsilon: float, fanout: int = FANOUT) -> Data
         )
         levels.append(staged(up, "intervals"))
         most //= fanout
-    pairs = levels[-1].select("class", F.col("id").alias("i"), F.col("id").alias("j"))
+    top = levels[-1]
+    name = "place" if len(levels) == 1 else "id"
+    pairs = top.select("class", F.col(name).alias("i"), F.col(name).alias("j"))
     limit = epsilon * epsilon + SLACK
-    for level in reversed(levels[:-1]):
+    for n, level in reversed([*enumerate(levels[:-1])]):
+        name = "id" if n else "place"
         parts = level.withColumn("parent", F.floor(F.col("id") / fanout).cast("long"))
-        left = parts.select("class", F.col("parent").alias("i"), F.struct("id", "lo", "hi").alias("a"))
-        right = parts.select("class", F.col("parent").alias("j"), F.struct("id", "lo", "hi").alias("b"))
+        left = parts.select("class", F.col("parent").alias("i"), F.struct(*dict.fromkeys(["id", "lo", "hi", name])).alias("a"))
+        right = parts.select("class", F.col("parent").alias("j"), F.struct(*dict.fromkeys(["id", "lo", "hi", name])).alias("b"))
         met = pairs.join(left, ["class", "i"]).join(right, ["class", "j"])
         near = met.where("a.id <= b.id").where(_apart("a", "b") <= limit)
-        pairs = staged(near.select("class", F.col("a.id").alias("i"), F.col("b.id").alias("j")), "near")
+        pairs = near.select("class", F.col(f"a.{name}").alias("i"), F.col(f"b.{name}").alias("j"))
+        pairs = staged(pairs, "near")
     return pairs
 
 
@@ -194,7 +209,7 @@ def _meet(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[dict]
             side = {}
             for s in ("i", "j"):
                 ids = batch.column(f"{s}_least")[row].values.to_numpy()
-                vecs = batch.column(f"{s}_vecs")[row].values.to_numpy().reshape(len(ids), -1)
+                vecs = batch.column(f"{s}_vecs")[row].values.to_numpy().astype(np.float64).reshape(len(ids), -1)
                 side[s] = (ids, batch.column(f"{s}_copies")[row].values.to_numpy(), vecs, _unit(vecs))
             same = batch.column("same")[row].as_py()
             (ids_i, copies_i, vec_i, unit_i), (ids_j, copies_j, vec_j, unit_j) = side["i"], side["j"]
@@ -304,41 +319,37 @@ def _linked(
 ) -> tuple[DataFrame, DataFrame]:
     """Per vector id the copies it links, and the components of the ids."""
     ready = distinct.select("class", "vec", F.col("id").alias("least"), "copies")
+    numbers = dict(ready.dtypes)["vec"]
     directions = principal_directions(ready, leading)
     cells = [f"c{i}" for i in range(leading)]
     near = ", ".join(f"{c} long" for c in cells)
     projected = map_batches(
         ready,
         lambda b: _project(b, directions, epsilon, leading),
-        f"{DISTINCT}, near array<double>, {near}",
+        f"class string, vec {numbers}, least long, copies long, near array<double>, {near}",
     )
     order = ["class", *cells, "least"]
     in_order = projected.repartitionByRange(*order).sortWithinPartitions(*order)
     made = map_batches(
         in_order,
         lambda b: _blocks(b, block_rows),
-        "class string, lo array<double>, hi array<double>, vecs array<double>, least array<long>, copies array<long>",
+        f"class string, lo array<double>, hi array<double>, vecs {numbers}, least array<long>, copies array<long>",
     )
-    blocks = staged(made.withColumn("_place", F.monotonically_increasing_id()), "blocks")
+    blocks = staged(made.withColumn("place", F.monotonically_increasing_id()), "blocks")
     # One row per block, numbered in sequence order within the class.
-    number = F.row_number().over(Window.partitionBy("class").orderBy("_place")) - 1
+    number = F.row_number().over(Window.partitionBy("class").orderBy("place")) - 1
     summary = staged(
-        blocks.select("class", "lo", "hi", "_place").withColumn("block", number.cast("long")), "bounds"
+        blocks.select("class", "lo", "hi", "place").withColumn("block", number.cast("long")), "bounds"
     )
     pairs = near_blocks(summary, epsilon, fanout)
-    places = summary.select("class", "block", "_place")
-    bodies = blocks.select("_place", "vecs", "least", "copies")
-
-    def side(df: DataFrame, name: str) -> DataFrame:
-        number = places.select("class", F.col("block").alias(name), F.col("_place").alias(f"{name}_place"))
-        return df.join(number, ["class", name])
+    bodies = blocks.select("place", "vecs", "least", "copies")
 
     def body(df: DataFrame, name: str) -> DataFrame:
-        own = bodies.select(F.col("_place").alias(f"{name}_place"), *[F.col(c).alias(f"{name}_{c}") for c in ("vecs", "least", "copies")])
-        return df.join(own, f"{name}_place")
+        own = bodies.select(F.col("place").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("vecs", "least", "copies")])
+        return df.join(own, name)
 
-    both = side(side(pairs, "i"), "j").select("i_place", "j_place", (F.col("i") == F.col("j")).alias("same"))
-    met = body(body(both, "i"), "j").drop("i_place", "j_place")
+    both = pairs.select("i", "j", (F.col("i") == F.col("j")).alias("same"))
+    met = body(body(both, "i"), "j").drop("i", "j")
     links = staged(
         map_batches(met, lambda b: _meet(b, threshold), "least long, links long, u long, v long"), "links"
     )
