@@ -222,7 +222,9 @@ def load_reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check(CONTRACT_SQL)
 def sink_contract_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, fixtures.lake(spark, sf_dir), "contract")
+    root = scratch_dir(spark, "contracts")
+    write_contract(fixtures.contract(spark, sf_dir), root)
+    return read_table(spark, root, "contract")
 
 
 @check(CONTRACT_SQL)
