@@ -75,12 +75,12 @@ def suffix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per time a document is read, in training order; the last of a source is cut."""
     h1, h2 = row_hashes(docs)
-    key = F.concat(F.hex(h1), F.lit("-"), F.hex(h2)).alias("key")
+    key = F.struct(h1.alias("h1"), h2.alias("h2")).alias("key")
     sized = docs.select(key, "source", word_count(F.col("text")).alias("size"))
-    read = mix_sources(sized, MIX_WEIGHTS).select("key", "size", F.inline("placements"))
-    rows = _rows(docs).select(F.concat(F.hex("h1"), F.lit("-"), F.hex("h2")).alias("key"), "row")
-    both = read.join(rows, "key")
-    ordered = both.repartitionByRange("position", "key").sortWithinPartitions("position", "key")
+    read = mix_sources(sized, MIX_WEIGHTS).select("key.*", "size", F.inline("placements"))
+    both = read.join(_rows(docs), ["h1", "h2"])
+    order = ["position", "h1", "h2"]
+    ordered = both.repartitionByRange(*order).sortWithinPartitions(*order)
     # A word with the white space after it; the words wanted are the begin of the text.
     words = F.regexp_extract_all("row.text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
     begin = F.array_join(F.slice(words, F.lit(1), F.col("words").cast("int")), "")
