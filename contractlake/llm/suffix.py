@@ -32,7 +32,7 @@ from contractlake.session import scratch_dir
 LENGTH = 200
 GRAM = 64
 # Different stretches of one anchor that go to one suffix array at most.
-MAX_STRETCHES = 1000
+MAX_STRETCHES = 2000
 # Bytes of one suffix array, and factors of a document that are hashed at once.
 BLOCK = 1 << 20
 CHUNK = 1 << 19
@@ -133,21 +133,27 @@ def _stretch_rows(
 
 def _bytes_of(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[dict]:
     """The bytes of the stretches that a document is asked for."""
+    names = ("anchor", "part", "crowded", "first")
+    held: dict[str, list] = {}
+    size = 0
     for batch in batches:
-        texts = batch.column("_text")
-        asked = batch.column("asked")
-        for row in range(len(batch)):
-            data = (texts[row].as_py() or "").encode()
-            parts = asked[row].values
-            first = parts.field("first").to_numpy()
-            count = parts.field("factors").to_numpy()
-            yield {
-                **{n: parts.field(n) for n in ("anchor", "part", "crowded")},
-                "ord": np.full(len(first), batch.column("_ord")[row].as_py()),
-                "rid": np.full(len(first), batch.column("_rid")[row].as_py()),
-                "first": first,
-                "data": [data[a : a + n + length - 1] for a, n in zip(first.tolist(), count.tolist())],
-            }
+        rows = zip(*(batch.column(n).to_pylist() for n in ("_rid", "_ord")), batch.column("_text"), batch.column("asked"))
+        for rid, order, text, asked in rows:
+            data = (text.as_py() or "").encode()
+            parts = asked.values
+            first, count = (parts.field(n).to_pylist() for n in ("first", "factors"))
+            for name in names:
+                held.setdefault(name, []).extend(parts.field(name).to_pylist())
+            held.setdefault("rid", []).extend([rid] * len(first))
+            held.setdefault("ord", []).extend([order] * len(first))
+            found = [data[a : a + n + length - 1] for a, n in zip(first, count)]
+            held.setdefault("data", []).extend(found)
+            size += sum(map(len, found))
+            if size > BLOCK:
+                yield held
+                held, size = {}, 0
+    if held:
+        yield held
 
 
 def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
