@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from contractlake.llm.common import map_batches
+from contractlake.llm.common import give_back, map_batches
 
 # Kinds of bytes of UTF-8 text.
 KINDS = ("upper", "lower", "digit", "space", "line", "stop", "mark", "high")
@@ -180,6 +180,7 @@ def score_column(model: QdaModel, text: Column) -> Column:
     @pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         rows = np.array([statistics(t) for t in texts]).reshape(-1, STATISTICS)
+        give_back()
         return pd.Series(model.scores(rows))
 
     return score(text)

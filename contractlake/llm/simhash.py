@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from contractlake.llm.common import drop_staged, map_batches, staged
+from contractlake.llm.common import drop_staged, give_back, map_batches, staged
 from contractlake.llm.components import components, with_group_min
 
 SEGMENTS = 4
@@ -51,6 +51,7 @@ def fingerprint_column(text, shingle: int = 3):
         import pandas as pd
 
         prints = np.array([fingerprint(t, shingle) for t in texts], np.uint64)
+        give_back()
         return pd.Series(prints.view(np.int64))
 
     return of(text)
