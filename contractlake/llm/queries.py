@@ -322,9 +322,13 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("capture_id").alias("original"), F.col("page_id").alias("refers_to"),
         F.col("payload_bytes").alias("original_bytes"),
     )
+    # In the SQL a null page_id is neither its payload's owner nor another: a revisit that names no
+    # page, also where the archive holds the payload under it.
+    named = F.col("page_id").isNotNull()
     return flat.join(originals, "original", "left").select(
-        "page_id", F.coalesce("original_bytes", "payload_bytes").alias("payload_bytes"),
-        "payload_digest", "record_type", "refers_to", "has_request",
+        "page_id", F.coalesce("original_bytes", "payload_bytes").alias("payload_bytes"), "payload_digest",
+        F.when(named, F.col("record_type")).otherwise("revisit").alias("record_type"),
+        F.when(named, F.col("refers_to")).alias("refers_to"), "has_request",
     )
 
 

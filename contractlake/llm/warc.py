@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from contractlake.llm.common import map_batches, staged, utf8
+from contractlake.llm.common import drop_staged, map_batches, staged, utf8
 
 # Fixed values of the format.
 VERSION = "WARC/1.1"
@@ -65,13 +65,13 @@ def _capture(row: dict) -> tuple[str, str, str]:
     payload = html.encode()
     digest = sha1_base32(payload)
     uri = _one_line(row["url"])
-    name = _record_id(row["key"], digest)
+    name = _record_id(row["key"], digest, row["row"])
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
     common = {"Content_Type": "application/http;msgtype=response", "WARC_Payload_Digest": f"sha1:{digest}"}
     if row["same_as"] is None:
         main = _record("response", name, uri, http + html, len(http) + len(payload), **common)
     else:
-        first = f"<urn:uuid:{_record_id(row['same_as'], digest)}>"
+        first = f"<urn:uuid:{_record_id(row['same_as']['key'], digest, row['same_as']['row'])}>"
         main = _record(
             "revisit", name, uri, http, len(http), **common, WARC_Profile=PROFILE, WARC_Refers_To=first
         )
@@ -92,34 +92,43 @@ def write_warc(
 ) -> None:
     """Write columns ``key``, ``url``, ``payload`` (text) as gzipped WARC files of bounded size.
 
-    Every row becomes a response or revisit record with its request and metadata record. Of rows
-    with equal payloads of at least ``min_payload`` bytes, the one with the largest key holds the
-    payload and the others refer to it. Null payloads are empty, null URLs an empty target. Rows
-    with equal key and payload are one capture: its records are written once per row, under the
-    same ids. A payload's owner is an aggregate by digest, so a payload that a third of all rows
-    share is one row per task.
+    Every row becomes a response or revisit record with its request and metadata record, under ids
+    of its own: null and repeated keys, and rows that are equal in all columns, stay as many records
+    as they are rows. Of rows with equal payloads of at least ``min_payload`` bytes, the one with
+    the largest key (null is the least) holds the payload and the others refer to it; others with
+    that same key, if not null, hold it as well. Null payloads are empty, null URLs an empty target.
+    The rows are written to the shared folder with a number each, so that numbers do not change
+    between the pass that finds the owners and the one that writes. A payload's owner is an
+    aggregate by digest, so a payload that a third of all rows share is one row per task.
     """
-    rows = captures.select(
-        "key", "url", "payload", F.sha1(utf8(F.col("payload"))).alias("_sha1"),
-        F.octet_length(utf8(F.col("payload"))).alias("_bytes"),
+    made: list[str] = []
+    rows = staged(
+        captures.select(
+            "key", "url", "payload", F.monotonically_increasing_id().alias("row"),
+            F.sha1(utf8(F.col("payload"))).alias("_sha1"),
+            F.octet_length(utf8(F.col("payload"))).alias("_bytes"),
+        ),
+        "captures",
+        made,
     )
     shared = (
         rows.where(F.col("_bytes") >= min_payload)
         .groupBy("_sha1")
-        .agg(F.max("key").alias("_owner"), F.count(F.lit(1)).alias("_rows"))
+        .agg(F.max(F.struct("key", "row")).alias("_owner"), F.count(F.lit(1)).alias("_rows"))
         .where("_rows > 1")
         .select("_sha1", "_owner")
     )
-    shared = staged(shared, "payloads")  # of known size when it is joined
-    same_as = F.when(~F.col("_owner").eqNullSafe(F.col("key")), F.col("_owner"))
+    shared = staged(shared, "payloads", made)  # of known size when it is joined
+    holds = (F.col("_owner.row") == F.col("row")) | F.coalesce(F.col("_owner.key") == F.col("key"), F.lit(False))
     marked = rows.join(shared, "_sha1", "left").select(
-        "key", "url", "payload",
-        F.when(F.col("_bytes") >= min_payload, same_as).alias("same_as"),
+        "key", "url", "payload", "row",
+        F.when((F.col("_bytes") >= min_payload) & ~holds, F.col("_owner")).alias("same_as"),
     )
     writer = map_batches(marked, _write_rows, "value string").write
     writer.option("lineSep", "\r\n\r\n").option("compression", "gzip").option(
         "maxRecordsPerFile", records_per_file
     ).text(path)
+    drop_staged(captures.sparkSession, made)
 
 
 def _plain(content: bytes) -> Iterator[bytes]:

@@ -1,10 +1,13 @@
 import base64
 import gzip
 import hashlib
+from collections import Counter
 from pathlib import Path
 
+import duckdb
 import pytest
 
+from contractlake.llm import queries
 from contractlake.llm.warc import assemble, parse_records, read_warc, sha1_base32, write_warc
 
 RESPONSE = b"HTTP/1.1 200 OK\r\n\r\n"
@@ -43,6 +46,38 @@ def test_round_trip(spark, folder, min_payload):
         assert r.request.concurrent_to == r.main.record_id if hasattr(r.request, "concurrent_to") else True
 
 
+# (page_id, url, html): null and repeated ids, with equal and different urls.
+REPEATED = [
+    *[(None, f"http://a/{i}", "") for i in range(20)], *[(None, None, "x")] * 15, (8, "http://a/8", "x"),
+    *[(7, "http://a/7", "y")] * 3, (7, "http://b/7", "y"), (6, "http://a/6", "y"), (6, "http://a/6", "y"),
+    *[(None, "http://a/z", "z")] * 4, (5, "http://a/5", "only"),
+]
+
+
+def test_null_and_repeated_keys_stay_rows(spark, folder):
+    captures = spark.createDataFrame(REPEATED, "key long, url string, payload string").repartition(3)
+    write_warc(captures, f"{folder}/w")
+    got = assemble(read_warc(spark, f"{folder}/w")).collect()
+    assert len({r.capture_id for r in got}) == len(got) == len(REPEATED)
+    uris = Counter((r.main.target_uri, r.main.payload_digest) for r in got)
+    assert uris == Counter((u or "", digest(h)) for _, u, h in REPEATED)
+    assert all(r.request and r.metadata for r in got)
+    # Every payload is in the archive, and a revisit names a response that holds it.
+    held = Counter(r.main.payload.decode() for r in got if r.main.record_type == "response")
+    assert held == {"": 1, "x": 1, "y": 4, "z": 1, "only": 1}
+    assert all(r.original.payload_digest == r.main.payload_digest for r in got if r.main.record_type == "revisit")
+
+
+def test_query_equals_sql_on_null_and_repeated_ids(spark, folder):
+    pages = spark.createDataFrame(REPEATED, "page_id long, url string, html string")
+    pages.repartition(3).write.parquet(f"{folder}/pages.parquet")
+    got = queries.op7_warc(spark, folder)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{folder}/pages.parquet/*.parquet'")
+    want = con.sql(queries.ORACLE["op7_warc"])
+    assert Counter(map(tuple, got.select(*want.columns).collect())) == Counter(want.fetchall())
+
+
 def record(kind, name, block, **more):
     head = {"WARC-Type": kind, "WARC-Record-ID": name, **{k.replace("_", "-"): v for k, v in more.items()}}
     head["Content-Length"] = str(len(block))
