@@ -99,22 +99,33 @@ def _encoding(vocabulary: str, pattern: str):
     import tiktoken
 
     with open(vocabulary, encoding="utf-8") as file:
-        ids = json.load(file)["model"]["vocab"]
+        content = json.load(file)
+    ids = content["model"]["vocab"]
+    added = content.get("added_tokens") or []
+    for token in added:
+        # These make the tokenizer match a token otherwise than by its plain string.
+        if any(token.get(flag) for flag in ("single_word", "lstrip", "rstrip")):
+            raise ValueError(f"added token {token['content']!r} is not matched as it stands")
     # Fixed rule of byte-level vocabularies: printable bytes stand for themselves, the others for
     # characters from 256 on, in order.
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     byte_of = {chr(b): b for b in plain}
     byte_of |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
     ranks = {bytes(byte_of[c] for c in token): i for token, i in ids.items() if set(token) <= set(byte_of)}
-    special = [token for token, i in ids.items() if token.startswith("<|") and token.endswith("|>")]
+    special = {token["content"]: token["id"] for token in added}
     for token in special:
         ranks.pop(token.encode(), None)
-    return tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
 
-def token_ids(text: str | None, vocabulary: str, pattern: str, eos: int = EOS) -> np.ndarray:
-    """Ids of a whole text, specials' strings as ordinary text, then ``eos``; null is empty."""
-    ids = _encoding(vocabulary, pattern).encode_ordinary(text or "")
+def token_ids(
+    text: str | None, vocabulary: str, pattern: str, eos: int = EOS, added: bool = False
+) -> np.ndarray:
+    """Ids of a whole text, then ``eos``; null is empty. Strings of added tokens give these tokens with
+    ``added``, as the tokenizer has it when it is read, else what ordinary text gives, as with its
+    ``encode_special_tokens``."""
+    encoding = _encoding(vocabulary, pattern)
+    ids = encoding.encode(text or "", allowed_special="all") if added else encoding.encode_ordinary(text or "")
     return np.array([*ids, eos], "<u4")
 
 
@@ -128,14 +139,14 @@ def cut(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 def token_pieces(
     documents: DataFrame, vocabulary: str, pattern: str, capacity: int = CAPACITY, eos: int = EOS
 ) -> DataFrame:
-    """``key``, ``piece``, ``start``, ``length``, ``ids_crc32`` per piece of ``text``."""
+    """``key``, ``piece``, ``start``, ``length``, ``ids_crc32`` per piece of ``text``; added tokens count."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             rows = []
             index = []
             for i, text in enumerate(batch.column("text")):
-                ids = token_ids(text.as_py(), vocabulary, pattern, eos)
+                ids = token_ids(text.as_py(), vocabulary, pattern, eos, added=True)
                 for piece, (start, length) in enumerate(cut(len(ids), capacity)):
                     rows.append((piece, start, length, zlib.crc32(ids[start : start + length].tobytes())))
                     index.append(i)

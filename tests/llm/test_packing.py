@@ -62,6 +62,43 @@ def test_ids_equal_the_tokenizer():
         assert token_ids(text, VOCABULARY, PATTERN).tolist() == want
 
 
+ADDED = [
+    "See <|endoftext|> here", "<|endoftext|>", "a<|endoftext|><|endoftext|>b  <|endoftext|>\n", "<|endoftext|", "<|<|endoftext|>|>",
+    "x  <|endoftext|>  y", "日本<|endoftext|>ñ\x00", "<|ENDOFTEXT|> < |endoftext|>", "word " * 2000 + "<|endoftext|>" * 50,
+]
+
+
+TOKENIZER = Tokenizer.from_file(VOCABULARY)
+
+
+def ids_as_read(text):
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids + [2]
+
+
+def test_ids_equal_the_tokenizer_as_it_is_read():
+    for text in [*TEXTS, *ADDED]:
+        assert token_ids(text, VOCABULARY, PATTERN, added=True).tolist() == ids_as_read(text)
+    assert 50256 in token_ids("See <|endoftext|> here", VOCABULARY, PATTERN, added=True)
+
+
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|", "|>", "endoftext", " ", "\n", "a", "'s", "é", "1", "!"]), max_size=20))
+@settings(max_examples=300, deadline=None)
+def test_ids_around_added_tokens(parts):
+    text = "".join(parts)
+    assert token_ids(text, VOCABULARY, PATTERN, added=True).tolist() == ids_as_read(text)
+
+
+def test_documents_with_added_tokens_are_packed_as_the_tokenizer_reads_them(spark):
+    documents = spark.createDataFrame(list(enumerate([*TEXTS, *ADDED])), "doc_id long, text string")
+    want = Counter()
+    for doc_id, text in enumerate([*TEXTS, *ADDED]):
+        ids = ids_as_read(text)
+        for i, (start, length) in enumerate(cut(len(ids))):
+            want[doc_id, i, start, length, zlib.crc32(np.asarray(ids[start : start + length], "<u4").tobytes())] += 1
+    got = pack_documents(documents, VOCABULARY, PATTERN).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+
+
 def test_cut():
     assert cut(1) == [(0, 1)] and cut(1024) == [(0, 1024)]
     assert cut(1025) == [(0, 1), (1, 1024)] and cut(2500) == [(0, 452), (452, 1024), (1476, 1024)]
