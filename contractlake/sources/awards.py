@@ -16,7 +16,7 @@ from collections.abc import Iterable, Iterator
 from xml.parsers import expat
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from contractlake.operators.flatten import Path
 
@@ -78,6 +78,12 @@ def read_awards(
 
 
 UNENDED = "a comment or section does not end"
+DECLARES = "the file declares"
+
+
+def part_lost(error: Column) -> Column:
+    """Whether the error of a record says that more of its file than this record was not read."""
+    return F.coalesce(error.startswith(DECLARES) | (error == UNENDED), F.lit(False))
 
 
 class RecordCutter:
@@ -214,7 +220,7 @@ class _SplitCutter:
             self.read, self.declared = piece.start, None
             found = DECLARED.match(piece.value[:200]) if piece.start == 0 else None
             if found and not _same_encoding(found[1].decode(), self.encoding):
-                self.declared = f"the file declares {found[1].decode()}"
+                self.declared = f"{DECLARES} {found[1].decode()}"
         elif self.waiting is not None:
             yield from self._cut(self.waiting, ended=True)
         self.waiting = piece

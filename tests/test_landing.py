@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from contractlake.operators.flatten import column
-from contractlake.plans.jobs import landing_manifest
-from contractlake.sources.awards import award_files, award_records, discover_schema
+from contractlake.operators.rejects import LoadError
+from contractlake.plans.jobs import landing_manifest, run_year
+from contractlake.sources.awards import award_files, award_records, discover_schema, parse_records
 from contractlake.sources.files import file_manifest, landing_keys, size_class
 from contractlake.streaming.landing import ingest_new_files, landed_files
 
@@ -69,6 +70,54 @@ def test_run_that_broke_off_is_cleared_up(spark, folder, monkeypatch):
     assert spark.read.parquet(f"{folder}/out").count() == 1
 
 
+def test_landed_file_with_a_section_over_the_border_of_splits_stops_the_year(spark, folder):
+    src = f"{folder}/in"
+    many = [award_xml(str(i)) for i in range(400)]
+    write_awards(f"{src}/a-AWARD.xml", [award_xml("900"), "<!--", *many, "-->", award_xml("901")])
+    write_awards(f"{src}/b-AWARD.xml", [award_xml("902")])
+    schema = discover_schema(award_records(spark, f"{src}/b-AWARD.xml"))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        ingest_new_files(spark, award_files(src), f"{folder}/out", f"{folder}/state", schema)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    with pytest.raises(LoadError, match="could not be read whole: .*a-AWARD.xml"):
+        run_year(spark, f"{folder}/out", f"{folder}/lake", 2005, mode="landed")
+    load = run_year(spark, f"{folder}/out", f"{folder}/lake", 2005, mode="landed", max_broken=1)
+    reject = spark.read.parquet(load.rejects).first()
+    assert list(reject.reasons) == ["incomplete file"] and reject.source.endswith("a-AWARD.xml")
+
+
+def test_landed_file_that_declares_another_encoding_stops_the_year(spark, folder):
+    src = f"{folder}/in"
+    write_awards(f"{src}/a-AWARD.xml", [award_xml("1")])
+    schema = discover_schema(award_records(spark, award_files(src)))
+    run = lambda: ingest_new_files(spark, award_files(src), f"{folder}/out", f"{folder}/state", schema)
+    run()
+    Path(f"{src}/b-AWARD.xml").write_text(f'<?xml version="1.0" encoding="ISO-8859-1"?>\n<r>{award_xml("2")}</r>')
+    run()
+    with pytest.raises(LoadError, match="could not be read whole: .*b-AWARD.xml"):
+        run_year(spark, f"{folder}/out", f"{folder}/lake", 2005, mode="landed")
+
+
+def test_batches_landed_without_the_file_columns_load_beside_later_ones(spark, folder):
+    src, out = f"{folder}/in", f"{folder}/out"
+    path = write_awards(f"{src}/a-AWARD.xml", [award_xml("1"), award_xml("2").replace("</ns1:vendorHeader>", "")])
+    schema = discover_schema(award_records(spark, path))
+    # numbered as a batch that an older version left
+    parse_records(award_records(spark, path), schema).drop("file").write.parquet(f"{out}/batch=0")
+    Path(f"{src}/b-AWARD.xml").write_text(f'<?xml version="1.0" encoding="ISO-8859-1"?>\n<r>{award_xml("3")}</r>')
+    ingest_new_files(spark, f"{src}/b-AWARD.xml", f"{folder}/new", f"{folder}/state", schema)
+    spark.read.parquet(f"{folder}/new/batch=0").write.parquet(f"{out}/batch=1")
+    with pytest.raises(LoadError, match="b-AWARD.xml"):
+        run_year(spark, out, f"{folder}/lake", 2005, mode="landed")
+    load = run_year(spark, out, f"{folder}/lake", 2005, mode="landed", max_broken=1)
+    found = sorted(r.reasons[0] for r in spark.read.parquet(load.rejects).collect())
+    assert found == ["incomplete file", "malformed record"]
+    assert [r.PIID for r in spark.read.parquet(load.contract).collect()] == ["1"]
+
+
 def test_listing_opens_no_file(spark, folder):
     for name, size in (("x/a.xml", 10), ("y/a.xml", 11), ("y/z/b.xml", 12), ("c.txt", 1)):
         path = Path(folder, name)
