@@ -124,7 +124,12 @@ def mix_sources(
     return rows.select(*columns, "source_size", "target", placements.alias("placements"))
 
 
+def in_training_order(placed: DataFrame, *keys: str) -> DataFrame:
+    """Rows with a ``position``, range-sorted by it, then ``keys``: files in sequence hold the order."""
+    return placed.repartitionByRange("position", *keys).sortWithinPartitions("position", *keys)
+
+
 def training_order(mixed: DataFrame) -> DataFrame:
     """One row per placement, sorted by position: files in sequence hold the training order."""
     one = mixed.select("*", F.inline("placements")).drop("placements")
-    return one.repartitionByRange(F.col("position"), F.col("key")).sortWithinPartitions("position", "key")
+    return in_training_order(one, "key")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from contractlake.llm.common import staged, table, utf8, word_count
-from contractlake.llm.curriculum import mix_sources
+from contractlake.llm.curriculum import mix_sources, training_order
 from contractlake.llm.ego_join import embedding_classes
 from contractlake.llm.host_rules import judge_documents
 from contractlake.llm.packing import pack_documents
@@ -255,16 +255,20 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents mixed to weights 5, 2, 1; words taken and the first training position."""
+    """All documents mixed to weights 5, 2, 1, their placements written in training order; words
+    taken and the first training position."""
     documents = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("key"), "source", word_count(F.col("text")).alias("size")
     )
-    mixed = mix_sources(documents, MIX_WEIGHTS)
-    taken = F.aggregate("placements", F.lit(0).cast("long"), lambda a, x: a + x["words"])
-    first = F.get(F.col("placements"), F.lit(0)).getField("position")
-    return mixed.select(
-        F.col("key").alias("doc_id"), "size", "source_size", "target", taken.alias("taken"),
-        F.round(first, 9).alias("first_position"),
+    # Equal documents are told apart by a number that is fixed once it is written.
+    mixed = staged(
+        mix_sources(documents, MIX_WEIGHTS).withColumn("row", F.monotonically_increasing_id()), "mixed"
+    )
+    ordered = staged(training_order(mixed.select("key", "row", "placements")), "order")
+    read = ordered.groupBy("row").agg(F.sum("words").alias("words"), F.min("position").alias("first"))
+    return mixed.join(read, "row", "left").select(
+        F.col("key").alias("doc_id"), "size", "source_size", "target",
+        F.coalesce("words", F.lit(0).cast("long")).alias("taken"), F.round("first", 9).alias("first_position"),
     )
 
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from contractlake.llm.common import row_hashes, staged, table, word_count
-from contractlake.llm.curriculum import mix_sources
+from contractlake.llm.curriculum import in_training_order, mix_sources
 from contractlake.llm.packing import pack_documents
 from contractlake.llm.qda import fit_quality, held_out, score_column
 from contractlake.llm.settings import (
@@ -79,8 +79,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     sized = docs.select(key, "source", word_count(F.col("text")).alias("size"))
     read = mix_sources(sized, MIX_WEIGHTS).select("key.*", "size", F.inline("placements"))
     both = read.join(_rows(docs), ["h1", "h2"])
-    order = ["position", "h1", "h2"]
-    ordered = both.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered = in_training_order(both, "h1", "h2")
     # A word with the white space after it; the words wanted are the begin of the text.
     words = F.regexp_extract_all("row.text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
     begin = F.array_join(F.slice(words, F.lit(1), F.col("words").cast("int")), "")

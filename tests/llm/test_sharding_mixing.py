@@ -5,6 +5,8 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
+from contractlake.llm import queries
+from contractlake.llm.common import staged
 from contractlake.llm.curriculum import mix_sources, schedule_position, source_targets, training_order
 from contractlake.llm.rendezvous import assign_shards, shard_slots
 
@@ -120,3 +122,24 @@ def test_training_order_is_sorted_over_the_partitions(spark):
     # the first source starts slow and ends fast
     ranks = ordered.where("source = 'a'").agg(F.avg("position")).first()[0]
     assert ranks > 0.5
+
+
+def test_query_writes_its_placements_in_training_order(spark, awkward, folder, monkeypatch):
+    written = {}
+
+    def kept(frame, purpose, made=None):
+        written[purpose] = (frame, staged(frame, purpose, made))
+        return written[purpose][1]
+
+    awkward.select("doc_id", "text", "source").write.parquet(f"{folder}/documents.parquet")
+    monkeypatch.setattr(queries, "staged", kept)
+    got = queries.op9_mixing(spark, folder).collect()
+    plan, order = written["order"][0]._jdf.queryExecution().executedPlan().toString(), written["order"][1].collect()
+    assert "rangepartitioning(position" in plan and "Sort [position" in plan
+    mixed = mix_sources(mix_input(awkward), (5, 2, 1)).collect()
+    want = [p for r in mixed for p in r.placements]
+    assert Counter((r.position, r.words) for r in order) == Counter((p.position, p.words) for p in want)
+    assert Counter((r.doc_id, r.size, r.taken, r.first_position) for r in got) == Counter(
+        (r.key, r.size, sum(p.words for p in r.placements), round(r.placements[0].position, 9) if r.placements else None)
+        for r in mixed
+    )
