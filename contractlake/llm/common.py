@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Callable, Iterator, Sequence
+import sys
+import types
+from collections.abc import Callable, Hashable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
@@ -66,6 +68,19 @@ def give_back() -> None:
         trim(0)
 
 
+def per_process(key: Hashable, make: Callable[[], object]) -> object:
+    """What ``make`` gives, made once in a process: a Python worker runs many tasks.
+
+    Functions reach a worker by value, each task with globals of its own, and the worker need not
+    have this package; so the values are kept in a module of their own that no file stands for.
+    """
+    name = "contractlake-made"
+    made = sys.modules.setdefault(name, types.ModuleType(name)).__dict__.setdefault("made", {})
+    if key not in made:
+        made[key] = make()
+    return made[key]
+
+
 def map_batches(
     df: DataFrame,
     work: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]],

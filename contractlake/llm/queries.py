@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
+from contractlake.llm.bpe import decode_ids, encode_texts, token_count
 from contractlake.llm.common import staged, table, utf8, word_count
 from contractlake.llm.curriculum import mix_sources, training_order
 from contractlake.llm.ego_join import embedding_classes
 from contractlake.llm.host_rules import judge_documents
+from contractlake.llm.lexical import SQL_TERM, search
 from contractlake.llm.packing import pack_documents
 from contractlake.llm.qda import document_statistics, fit_statistics, held_out, score_statistics
 from contractlake.llm.rendezvous import shard_slots
@@ -26,6 +28,7 @@ from contractlake.llm.simhash import simhash_classes
 from contractlake.llm.suffix import remove_repeats
 from contractlake.llm.url_filter import Rule, fit_urls, judge_urls
 from contractlake.llm.warc import assemble, read_warc, write_warc
+from contractlake.llm.whitening import whitened_rows
 from contractlake.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -375,6 +378,62 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register()
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text to ids and back."""
+    encoded = encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY)
+    sized = encoded.select(
+        "row.doc_id", token_count(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids"
+    )
+    return decode_ids(sized, VOCABULARY).select("row.*", F.sha2(utf8(F.col("text")), 256).alias("decoded_sha256"))
+
+
+@register()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on the 32 directions of largest variance, each scaled to variance 1."""
+    found = whitened_rows(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select(
+        "row.vec_id", "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened", "explained",
+        "identity_error",
+    )
+
+
+_SQL_TERMS = f"""regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{SQL_TERM}')"""
+
+
+@register(
+    f"""
+    WITH docs AS (
+      SELECT row_number() OVER () AS doc, doc_id, {_SQL_TERMS} AS terms FROM documents
+    ), counted AS (
+      SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM docs) GROUP BY doc, term
+    ), held AS (
+      SELECT term, count(*) AS df FROM counted GROUP BY term
+    ), sizes AS (
+      SELECT count(*) FILTER (len(terms) > 0) AS n_all, sum(len(terms))::bigint AS l_all FROM docs
+    ), items AS (
+      SELECT row_number() OVER () AS item, item_id, {_SQL_TERMS} AS terms FROM benchmark
+    ), asked AS (
+      SELECT DISTINCT item, item_id, term FROM (SELECT item, item_id, unnest(terms) AS term FROM items)
+    ), scores AS (
+      SELECT item, item_id, doc_id, doc, sum(
+        floor(1000 * ln((2 * n_all + 2)::double / (2 * df + 1)::double))::bigint
+        * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * len(docs.terms) * n_all) // l_all))))::bigint AS score
+      FROM asked JOIN held USING (term) JOIN counted USING (term) JOIN docs USING (doc), sizes
+      GROUP BY item, item_id, doc_id, doc
+    )
+    SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::integer AS rank,
+           doc_id, score
+    FROM scores WHERE score > 0
+    QUALIFY rank <= 50
+    """
+)
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 documents of highest score for every benchmark item."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""

@@ -1,0 +1,138 @@
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from contractlake.llm import lexical
+from contractlake.llm.lexical import Items, Ranking, item_blocks, search, terms
+
+
+def plain_terms(text):
+    found, now = [], ""
+    for c in (text or "") + " ":
+        if c.isascii() and not c.isalnum():
+            if now:
+                found.append(now)
+            now = ""
+        else:
+            now += c.lower() if c.isascii() else c
+    return found
+
+
+def plain_search(documents, items, top=50):
+    """Scores of all documents for every item: (key, text) pairs in, lists of (rank, doc, score) out."""
+    docs = [(key, plain_terms(text)) for key, text in documents]
+    docs = [(key, Counter(t), len(t)) for key, t in docs if t]
+    n_all, l_all = len(docs), sum(n for _, _, n in docs)
+    held = Counter(t for _, c, _ in docs for t in c)
+    found = []
+    for key, text in items:
+        asked = set(plain_terms(text))
+        scores = []
+        for doc, counts, n in docs:
+            m = 50 + 50 * n * n_all // l_all
+            score = sum(
+                math.floor(1000 * math.log((2 * n_all + 2) / (2 * held[t] + 1)))
+                * (1_000_000_000 * counts[t] // (1000 * counts[t] + 20 * m))
+                for t in asked
+                if t in counts
+            )
+            if score > 0:
+                scores.append((-score, doc is None, doc))
+        scores.sort(key=lambda s: (s[0], s[1], 0 if s[1] else s[2]))
+        found += [(key, rank, doc, -score) for rank, (score, _, doc) in enumerate(scores[:top], 1)]
+    return found
+
+
+def as_rows(found):
+    return sorted(map(str, [(r.item_id, r["rank"], r.doc_id, r.score) for r in found.collect()]))
+
+
+def random_texts(rng, n, words=300, most=80):
+    vocabulary = [f"w{i}" for i in range(words)]
+    weights = [1 / (i + 1) for i in range(words)]
+    return [" ".join(rng.choices(vocabulary, weights, k=rng.randrange(most))) for _ in range(n)]
+
+
+def frames(spark, documents, items):
+    return (
+        spark.createDataFrame(documents, "doc_id long, text string").repartition(3),
+        spark.createDataFrame(items, "item_id long, text string"),
+    )
+
+
+@pytest.mark.parametrize("width, block_terms, top", [(512, 100_000, 50), (8, 100_000, 50), (64, 5, 7)])
+def test_equals_scoring_all_documents(spark, width, block_terms, top):
+    rng = random.Random(width)
+    documents = list(enumerate(random_texts(rng, 600)))
+    documents += [(1000 + i, text) for i, text in documents[:200]]  # equal scores
+    items = list(enumerate(random_texts(rng, 25, most=20)))
+    found = search(*frames(spark, documents, items), top=top, width=width, block_terms=block_terms)
+    assert as_rows(found) == sorted(map(str, plain_search(documents, items, top)))
+
+
+def test_awkward_rows(spark, awkward, crowded, no_documents):
+    items = [(1, "One TWO word"), (1, "One TWO word"), (None, "日本 w5x5 ÄÖ"), (2, None), (3, ""), (4, " - "), (5, "nowhere")]
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    for name in ("item", "item_key", "rank", "doc", "score"):
+        asked = asked.withColumn(name, F.lit("x"))
+    want = plain_search([(r.doc_id, r.text) for r in awkward.collect()], items)
+    assert want
+    for documents in (awkward, crowded):
+        assert as_rows(search(documents, asked)) == sorted(map(str, want))
+    assert search(no_documents, asked).count() == 0
+    assert search(awkward, asked.limit(0)).count() == 0
+    empty = search(no_documents, asked.limit(0))
+    assert empty.columns == ["item_id", "rank", "doc_id", "score"]
+
+
+def test_many_equal_documents_with_one_key(spark):
+    documents = [(None, "same words here")] * 300 + [(7, "same words here")] * 40 + [(i, "other text") for i in range(50, 90)]
+    items = [(1, "same"), (2, "text here")]
+    found = search(*frames(spark, documents, items))
+    assert as_rows(found) == sorted(map(str, plain_search(documents, items)))
+
+
+def test_terms():
+    text = "Ab-c_1É\x80é\x7fX’y　Z 0x٣"
+    assert terms(text) == plain_terms(text)
+    assert terms(None) == []
+
+
+def test_blocks_hold_every_item(spark):
+    items = spark.createDataFrame([(i, f"a b{i} c{i}") for i in range(40)], "item long, text string")
+    blocks = list(item_blocks(items, 10))
+    assert len(blocks) == 14 and sorted(n for b in blocks for n in b.numbers) == list(range(40))
+    for block in blocks:
+        for number, own in zip(block.numbers, block.wanted):
+            assert {block.words[i] for i in own} == {"a", f"b{number}", f"c{number}"}
+
+
+def test_bounds_spare_documents():
+    """Only some documents are scored, and no bound is below its score."""
+    rng = random.Random(4)
+    texts = [text for text in random_texts(rng, 3000) if text]
+    words = sorted({w for text in texts for w in text.split()})
+    place = {w: i for i, w in enumerate(words)}
+    wanted = [np.array(sorted({place[w] for w in text.split()})) for text in texts[:40]]
+    counts = [Counter(text.split()) for text in texts]
+    held = Counter(w for c in counts for w in c)
+    weight = np.array([math.floor(1000 * math.log((2 * len(texts) + 2) / (2 * held[w] + 1))) for w in words])
+    ranking = Ranking(Items(words, list(range(40)), wanted), weight, len(texts), sum(c.total() for c in counts), 50, 512)
+    stops = np.cumsum([0, *map(len, counts)])
+    scored = ranking.add(
+        list(range(len(texts))), np.array([c.total() for c in counts]), stops,
+        np.array([place[w] for c in counts for w in c]), np.array([n for c in counts for n in c.values()]),
+    )
+    assert 0 < scored < 0.2 * 40 * len(texts)
+
+
+def test_sketch_is_the_largest_impact():
+    rng = np.random.default_rng(1)
+    rows, coordinates, impact = rng.integers(0, 9, 500), rng.integers(0, 16, 500), rng.integers(1, 1000, 500)
+    want = np.zeros((9, 16), int)
+    np.maximum.at(want, (rows, coordinates), impact)
+    assert (lexical.sketches(rows, coordinates, impact, 9, 16) == want).all()

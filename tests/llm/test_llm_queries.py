@@ -18,7 +18,7 @@ from contractlake.llm.settings import PATTERN, VOCABULARY
 from llm.plain_helpers import Groups, words
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-TABLES = "documents embeddings pages labels".split()
+TABLES = "documents embeddings pages labels benchmark".split()
 
 
 def text_rows(df):
@@ -45,8 +45,8 @@ def test_query_equals_sql(spark, oracle, name):
 
 
 def test_every_operator_is_registered():
-    assert [n for i in range(1, 11) for n in entry.queries() if n.startswith(f"op{i}_")] and "pipeline" in entry.queries()
-    assert sum(n.startswith("op") for n in entry.queries()) == 10
+    assert [n for i in range(1, 14) for n in entry.queries() if n.startswith(f"op{i}_")] and "pipeline" in entry.queries()
+    assert sum(n.startswith("op") for n in entry.queries()) == 13
 
 
 @pytest.fixture(scope="module")
