@@ -29,11 +29,11 @@ SQL_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 TOP = 50
 # Coordinates of a sketch; more make the bounds sharper and the sketches larger.
-COORDINATES = 512
+COORDINATES = 2048
 # Different terms that items of one block have together, unless one item has more by itself.
 BLOCK_TERMS = 100_000
 # Documents that are bounded together, and scored together.
-DOCUMENTS, SCORED = 2048, 64
+DOCUMENTS, SCORED = 1024, 64
 
 
 def terms(text: str | None) -> list[str]:
