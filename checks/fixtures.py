@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from contractlake.functions.keys import award_key
 from contractlake.operators.rejects import apply_types
@@ -141,6 +141,70 @@ def write_xml(awards: DataFrame, path: str, file: Column | None = None) -> None:
     )
 
 
+# Records of a file that is written under a name of its own.
+FILE_RECORDS = 2000
+
+
+def write_versions(spark: SparkSession, sf_dir: str, path: str, version: int) -> None:
+    """Award files with names of their own, a file per some 2000 orders.
+
+    The first version has every second file, with amounts, dates and names that are wrong, and with
+    awards under numbers that are none; the next one has all files as they should be, so half of
+    them take the place of others.
+    """
+    folder = qualified(spark, path)
+    records = award_records(spark, all_award_files(award_xml(spark, sf_dir))).select("value")
+    piid = F.regexp_extract("value", "<ns1:PIID>([0-9]+)<", 1).cast("long")
+    files = table(spark, sf_dir, "orders").count() // FILE_RECORDS + 2
+    dealt = records.withColumn("file", F.pmod(F.xxhash64(piid), F.lit(files)))
+    if version == 0:
+        wrong = F.regexp_replace("value", "<ns1:obligatedAmount>[^<]*<", "<ns1:obligatedAmount>1.00<")
+        wrong = F.regexp_replace(wrong, "<ns1:signedDate>[12]", "<ns1:signedDate>3")
+        wrong = F.regexp_replace(wrong, "<ns1:vendorName>", "<ns1:vendorName>Not ")
+        none = F.regexp_replace(F.regexp_replace(wrong, "<ns1:PIID>", "<ns1:PIID>X"), "<ns1:DUNSNumber>0", "<ns1:DUNSNumber>9")
+        old = dealt.where("file % 2 = 0").select("file", wrong.alias("value"), none.alias("other"))
+        dealt = old.select("file", F.explode(F.array("value", "other")).alias("value"))
+
+    def save(group: pd.DataFrame) -> pd.DataFrame:
+        store, name = shared_store(folder)
+        store.create_dir(name, recursive=True)
+        file = f"{group['file'].iloc[0]}-AWARD.xml"
+        text = "\n".join(['<?xml version="1.0"?>', f"<{ROOT_TAG}>", *sorted(group["value"]), f"</{ROOT_TAG.split()[0]}>"])
+        with store.open_output_stream(f"{name}/{file}") as out:
+            out.write(text.encode())
+        return pd.DataFrame({"file": [file]})
+
+    dealt.groupBy("file").applyInPandas(save, "file string").write.format("noop").mode("overwrite").save()
+
+
+def section_files(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as records in files in which whole blocks of 500 keys are commented out, or are text
+    in a section of the block's first record."""
+
+    def make(path: str) -> None:
+        key, block = F.col("o_orderkey"), F.floor(F.col("o_orderkey") / 500)
+        orders = table(spark, sf_dir, "orders").select(
+            key, block.alias("block"), F.col("o_totalprice").cast("string").alias("amount")
+        )
+        ends = Window.partitionBy("block")
+        first, last = key == F.min(key).over(ends), key == F.max(key).over(ends)
+        body = F.concat(F.lit("<ns1:award><ns1:PIID>"), key, F.lit("</ns1:PIID><ns1:amount>"), "amount", F.lit("</ns1:amount>"))
+        plain = F.concat(body, F.lit("</ns1:award>"))
+        commented = F.concat(F.when(first, "<!-- ").otherwise(""), plain, F.when(last, " -->").otherwise(""))
+        end = F.lit("]]></ns1:note></ns1:award>")
+        inside = (
+            F.when(first, F.concat(body, F.lit("<ns1:note><![CDATA["), F.when(last, end).otherwise("")))
+            .when(last, F.concat(plain, end))
+            .otherwise(plain)
+        )
+        kind = F.col("block") % 3
+        text = F.when(kind == 1, commented).when(kind == 2, inside).otherwise(plain)
+        rows = orders.select("block", "o_orderkey", text.alias("value"))
+        rows.repartitionByRange("block").sortWithinPartitions("block", "o_orderkey").select("value").write.text(path)
+
+    return once(spark, sf_dir, "sections", make)
+
+
 def set_old(spark: SparkSession, pattern: str) -> None:
     """Give files the time of a copy that kept that of long ago."""
     jvm = spark._jvm.org.apache.hadoop.fs

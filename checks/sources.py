@@ -212,6 +212,33 @@ def xml_scan_awkward_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@check(
+    """WITH block AS (SELECT *, o_orderkey // 500 AS block, min(o_orderkey) OVER (PARTITION BY o_orderkey // 500) AS first,
+        count(*) OVER (PARTITION BY o_orderkey // 500) AS rows FROM orders)
+    SELECT o_orderkey::varchar AS "PIID", o_totalprice::decimal(18,2)::double AS amount,
+      CASE WHEN block % 3 = 2 THEN rows - 1 END AS records_in_note
+    FROM block WHERE block % 3 = 0 OR (block % 3 = 2 AND o_orderkey = first)"""
+)
+def xml_scan_split_borders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments and sections of hundreds of records each, over the borders of some 40 splits."""
+    path = f"{fixtures.section_files(spark, sf_dir)}/*.txt"
+    name = "spark.sql.files.maxPartitionBytes"
+    before, size = spark.conf.get(name), spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+    records = scratch_dir(spark, "border-records")
+    spark.conf.set(name, size // 40)
+    try:
+        award_records(spark, path).write.parquet(records)
+    finally:
+        spark.conf.set(name, before)
+    schema = T.StructType.fromDDL("`ns1:PIID` string, `ns1:amount` string, `ns1:note` string")
+    awards = parse_records(spark.read.parquet(records), schema).where(F.col(CORRUPT).isNull())
+    return awards.select(
+        F.col("`ns1:PIID`").alias("PIID"),
+        F.col("`ns1:amount`").cast("decimal(18,2)").alias("amount"),
+        F.regexp_count("`ns1:note`", F.lit("</ns1:award>")).cast("long").alias("records_in_note"),
+    )
+
+
 @check(CONTRACT_SQL)
 def zip_expand_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Awards straight from zip archives, cut into records while unpacking."""

@@ -1,24 +1,31 @@
 """Award records from XML files.
 
 One reader cuts any file, whatever its size, into whole records: the text is read in splits at the
-end tag, and the pieces of a split, which come in order, are put together again where a cut fell
-into a comment or a CDATA section. Every start tag outside of those gives one row, good or marked
+end tag. Every start tag outside of comments and CDATA sections gives one row, good or marked
 corrupt with its text and file, so nothing disappears and nothing commented out is loaded. A bad
 record costs only itself. ``files`` uses the XML source instead: one task per file, and a record
 that is not well-formed costs the rest of its file.
+
+A first scan tells three kinds of files apart. In tidy ones every piece between end tags is one
+record with what stands before it, and is cut by column expressions. In others the pieces of a split,
+which come in order, go through a cutter. Where a section holds end tags it may lie across the
+border of splits: such files are staged, every split says what it makes of each state it might begin
+in, these few bytes tell in order how each one does begin, and what belongs to a record over a
+border is put together afterwards.
 """
 
 from __future__ import annotations
 
 import codecs
 import re
-from collections.abc import Iterable, Iterator
-from xml.parsers import expat
+from collections.abc import Iterable, Iterator, Mapping
+from encodings.aliases import aliases
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from contractlake.operators.flatten import Path
+from contractlake.session import scratch_dir
 
 # Row element, file pattern and the column for text that is no record.
 ROW_TAG = "ns1:award"
@@ -34,7 +41,7 @@ XML_OPTIONS = {
 }
 
 RECORDS = "file string, value string, error string"
-DECLARED = re.compile(rb"^(?:\xef\xbb\xbf)?<\?xml[^>]*?encoding\s*=\s*[\"']([A-Za-z0-9._\-]+)")
+DECLARED = re.compile(r"^\ufeff?<\?xml[^>]*?encoding\s*=\s*[\"']([A-Za-z0-9._\-]+)")
 
 
 def award_files(folder: str, pattern: str = FILE_PATTERN) -> str:
@@ -90,53 +97,52 @@ class RecordCutter:
     """Takes the pieces of a text between literal end tags, in order, and gives whole records.
 
     ``take`` returns ``(record, error)`` pairs; ``error`` says why a record is none. What is no
-    record (prolog, root element, blanks, comments) gives nothing.
+    record (prolog, root element, blanks, comments) gives nothing. Of a section that never ends the
+    text up to the next end tag is given, with the record it lies in.
     """
 
-    def __init__(self, row_tag: str) -> None:
+    def __init__(self, row_tag: str, closing: str | None = None, in_record: bool = False) -> None:
         tag = re.escape(row_tag)
         self.end_tag = f"</{row_tag}>"
-        self.start = f"<{row_tag}"
         attributes = r"""(?:\s(?:[^<>"']|"[^"]*"|'[^']*')*)?"""
         # In sections and comments tags are text; all else that looks like one is one.
         self.token = re.compile(rf"(?s)<!--|<!\[CDATA\[|<{tag}{attributes}/?>|</{tag}\s*>")
-        # A section that goes on in the next piece: what ends it, and the text so far, which
-        # begins with an open record or with the section.
-        self.closing: str | None = None
-        self.parts: list[str] = []
-        self.in_record = False
+        self.start = re.compile(rf"<{tag}[\s/>]")
+        # The section that the next piece begins in: what ends it, the text of the record around it
+        # so far, and the text to show and whether there is a start tag in it if it never ends.
+        self.closing, self.in_record = closing, in_record
+        self.parts: list[str] = [""] if in_record else []
+        self.excerpt, self.seen = "", False
+        # Whether the record that was open at the beginning still is, and the section never ended.
+        self.head, self.untouched = in_record, closing is not None
 
     def take(self, piece: str, ended: bool = True) -> Iterator[tuple[str, str | None]]:
         """One more piece; ``ended`` tells that an end tag followed it."""
         text = piece + self.end_tag if ended else piece
         if self.closing is None:
-            simple = ended and "<!" not in piece and self.end_tag[:-1] not in piece
-            match = self.token.search(piece) if simple and piece.count(self.start) == 1 else None
-            if match and not match[0].endswith("/>"):
-                yield text[match.start() :], None
-            else:
-                yield from self._scan(text, 0, None, last=not ended)
+            yield from self._scan(text, 0, None, last=not ended)
+            return
+        found = text.find(self.closing)
+        if found < 0:
+            if self.in_record:
+                self.parts.append(text)
+            self.seen = self.seen or bool(self.start.search(text))
             return
-        # A border may lie across two pieces, so two characters of the last one are looked at again.
-        before = self.parts[-1][-2:]
-        found = (before + text).find(self.closing)
-        self.parts.append(text)
-        if found >= 0:
-            whole = "".join(self.parts)
-            place = len(whole) - len(text) - len(before) + found + 3
-            yield from self._scan(whole, place, 0 if self.in_record else None, last=not ended)
-
-    def finish(self) -> Iterator[tuple[str, str | None]]:
+        self.untouched = False
+        before = "".join(self.parts) if self.in_record else ""
+        open_at = 0 if self.in_record else None
+        yield from self._scan(before + text, len(before) + found + 3, open_at, last=not ended)
+
+    def finish(self, seen_later: bool = False) -> Iterator[tuple[str, str | None]]:
         """What is left when the text is over."""
-        rest = "".join(self.parts)
-        if self.closing is not None and self.start in rest:
-            yield rest, UNENDED
+        if self.closing is not None and (self.in_record or self.seen or seen_later):
+            yield self.excerpt, UNENDED
         self.closing, self.parts = None, []
 
     def _scan(
         self, text: str, place: int, open_at: int | None, last: bool
     ) -> Iterator[tuple[str, str | None]]:
-        self.closing, self.parts = None, []
+        self.closing, self.parts, self.in_record = None, [], False
         while match := self.token.search(text, place):
             place = match.end()
             if match[0].startswith("<!"):
@@ -144,7 +150,11 @@ class RecordCutter:
                 end = text.find(closing, place)
                 if end < 0:
                     wait = match.start() if open_at is None else open_at
-                    self.closing, self.parts, self.in_record = closing, [text[wait:]], open_at is not None
+                    self.closing, self.in_record = closing, open_at is not None
+                    self.parts = [text[wait:]] if self.in_record else []
+                    stop = text.find(self.end_tag, place)
+                    self.excerpt = text[wait : stop + len(self.end_tag) if stop >= 0 else len(text)]
+                    self.seen = bool(self.start.search(text, place))
                     return
                 place = end + 3
             elif match[0].startswith("</"):
@@ -162,13 +172,13 @@ class RecordCutter:
 
 
 def cut_pieces(
-    pieces: Iterable[tuple[str, bool]], row_tag: str = ROW_TAG
+    pieces: Iterable[tuple[str, bool]], row_tag: str = ROW_TAG, seen_later: bool = False
 ) -> Iterator[tuple[str, str | None]]:
     """Records of one text given as ``(piece, ended)``."""
     cutter = RecordCutter(row_tag)
     for piece, ended in pieces:
         yield from cutter.take(piece, ended)
-    yield from cutter.finish()
+    yield from cutter.finish(seen_later)
 
 
 def award_records(
@@ -177,76 +187,327 @@ def award_records(
     """``(file, value, error)``: every record of the files, read in splits of any size.
 
     A record that is none has its text and an ``error``. So has a text that is not in
-    ``encoding``, and the records of a file that declares another one. A comment or section that
-    holds end tags and lies across the border of two splits cannot be put together: its records
-    are given as corrupt at the end of the first split and as they are in the second.
+    ``encoding``, and the records of a file that declares another one. Where the borders of splits
+    lie makes no difference. Calling this scans the files once, to find those that are not tidy.
     """
-    end_tag = f"</{row_tag}>"
-    pieces = (
-        spark.read.option("lineSep", end_tag)
+    pieces = _pieces(spark, path, row_tag, encoding)
+    untidy = _untidy_files(pieces, row_tag, encoding)
+    declared = _declarations(pieces, [row.file for row in untidy if row.declares], encoding)
+    ended = {row.file for row in untidy if row.ended}
+    file = F.col("file")
+    tidy = pieces.where(~file.isin([row.file for row in untidy])) if untidy else pieces
+    parts = [_tidy_records(tidy, row_tag)]
+    if plain := [row.file for row in untidy if not (row.carries or row.torn)]:
+        parts.append(_cut(pieces.where(file.isin(plain)), row_tag, encoding, declared))
+    if across := [row.file for row in untidy if row.carries or row.torn]:
+        parts.append(_records_across(pieces.where(file.isin(across)), row_tag, encoding, declared, ended))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _pieces(spark: SparkSession, path: str | list[str], row_tag: str, encoding: str) -> DataFrame:
+    """The text between end tags, with its file, split and place in the order of a task."""
+    start = F.col("_metadata.file_block_start")
+    return (
+        spark.read.option("lineSep", f"</{row_tag}>")
         .option("encoding", encoding)
         .text(path)
         .select(
-            F.col("value").cast("binary").alias("value"),
+            "value",
             F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"),
+            start.alias("start"),
+            (start + F.col("_metadata.file_block_length")).alias("stop"),
             F.col("_metadata.file_size").alias("size"),
-            (F.col("_metadata.file_block_start") + F.col("_metadata.file_block_length")).alias("stop"),
+            F.monotonically_increasing_id().alias("id"),
         )
     )
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        split = _SplitCutter(row_tag, encoding)
+
+def _quoted(tag: str) -> str:
+    """A tag as a pattern of the JVM."""
+    return rf"\Q{tag}\E"
+
+
+# Fixed values, patterns of the JVM: whole sections, and what begins one.
+SECTIONS = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
+OPENINGS = r"<!--|<!\[CDATA\["
+
+
+def _start_tag(row_tag: str) -> str:
+    """Pattern of a start tag that is no whole element; attributes may hold any quoted text."""
+    return rf"""<{_quoted(row_tag)}(?:\s(?:[^<>"']++|"[^"]*+"|'[^']*+')*+)?(?<!/)>"""
+
+
+def _untidy_files(pieces: DataFrame, row_tag: str, encoding: str) -> list:
+    """A row per file that is not tidy: whether a section ``carries`` on behind an end tag, the file
+    ends with an end tag (``ended``) or else with what may be a record (``torn``), or it ``declares``
+    an encoding other than the given one.
+
+    One scan in column expressions; tasks send a row per split. A piece is tidy if nothing in it
+    but one start tag counts, outside of sections, which are whole; a file, if all pieces
+    are, its bytes are UTF-8, and the last piece, which no end tag follows, holds no record.
+    """
+    try:
+        plain = "<!->[]/".encode(encoding) == b"<!->[]/"
+    except LookupError as unknown:
+        raise ValueError(f"unknown encoding {encoding!r}") from unknown
+    text = F.col("value") if plain else F.decode(F.col("value").cast("binary"), encoding)
+    tags = rf"<{_quoted(row_tag)}(?=[\s/>])|</{_quoted(row_tag)}\s+>"
+    marked = F.contains(text, F.lit("<!"))
+    rest = F.when(marked, F.regexp_replace(text, SECTIONS, ""))
+    counted, outside = F.regexp_count(text, F.lit(tags)), F.regexp_count(rest, F.lit(tags))
+    name = F.regexp_extract(text, r"""^\uFEFF?<\?xml[^>]*?encoding\s*=\s*["']([A-Za-z0-9._\-]+)""", 1)
+    spelt = F.regexp_replace(F.lower(name), "[^a-z0-9.]+", "_")
+    looked = pieces.select(
+        "file", "start", "size", "id",
+        F.octet_length("value").alias("bytes"),
+        counted.alias("tags"),
+        F.when(marked, outside).alias("outside"),
+        F.coalesce(F.regexp_like(rest, F.lit(OPENINGS)), F.lit(False)).alias("open"),
+        F.when(counted == 1, F.regexp_instr(text, F.lit(_start_tag(row_tag))) > 0).alias("starts"),
+        F.when(F.col("start") == 0, (name != "") & ~spelt.isin(_spellings(encoding))).alias("declares"),
+        F.is_valid_utf8("value").alias("valid"),
+    )
+    tags, outside = F.col("tags"), F.coalesce("outside", "tags")
+    # None, all in sections, or one that is outside and stands for a record.
+    tidy = (tags == 0) | (outside == 0) | ((tags == 1) & (outside == 1) & F.col("starts"))
+    separator = len(f"</{row_tag}>".encode(encoding))
+    splits = looked.groupBy("file", "start").agg(
+        F.max("size").alias("size"),
+        (F.sum("bytes") + separator * F.count(F.lit(1))).alias("bytes"),
+        F.bool_or("open").alias("carries"),
+        F.bool_and(tidy & F.col("valid")).alias("tidy"),
+        F.coalesce(F.bool_or("declares"), F.lit(False)).alias("declares"),
+        # The last piece of the split and whether there is a tag in it, in one number.
+        F.max(F.col("id") * 2 + (tags > 0).cast("long")).alias("last"),
+    )
+    files = splits.groupBy("file").agg(
+        F.bool_or("carries").alias("carries"),
+        F.bool_and("tidy").alias("tidy"),
+        F.bool_or("declares").alias("declares"),
+        (F.sum("bytes") <= F.max("size")).alias("ended"),
+        ((F.max_by("last", "start") % 2 == 1) & (F.sum("bytes") > F.max("size"))).alias("torn"),
+    )
+    whole = F.col("tidy") & ~F.col("carries") & ~F.col("torn") & ~F.col("declares")
+    if not _same_encoding("utf-8", encoding):
+        whole = F.lit(False)
+    return files.where(~whole).orderBy("file").collect()
+
+
+def _spellings(encoding: str) -> list[str]:
+    """Names under which a file may declare this encoding, or plain ASCII."""
+    same = [a for a, codec in aliases.items() if _same_encoding(codec, encoding)]
+    return sorted({*same, *(aliases[a] for a in same)})
+
+
+def _declarations(pieces: DataFrame, files: list[str], encoding: str) -> dict[str, str]:
+    """What is wrong with files that declare another encoding."""
+    if not files:
+        return {}
+    first = pieces.where(F.col("file").isin(files) & (F.col("start") == 0))
+    heads = first.select("file", F.substring(F.col("value").cast("binary"), 1, 400).alias("head"))
+    found: dict[str, str] = {}
+    for row in heads.where(F.contains("head", F.lit("<?xml".encode(encoding)))).collect():
+        match = DECLARED.match(bytes(row.head).decode(encoding, "replace"))
+        if match and not _same_encoding(match[1], encoding):
+            found[row.file] = f"{DECLARES} {match[1]}"
+    return found
+
+
+def _tidy_records(pieces: DataFrame, row_tag: str) -> DataFrame:
+    """Records of tidy files: what follows the start tag of a piece, and the end tag."""
+    tags = rf"<{_quoted(row_tag)}(?=[\s/>])"
+    outside = F.when(F.contains("value", F.lit("<!")), F.regexp_count(F.regexp_replace("value", SECTIONS, ""), F.lit(tags)))
+    found = pieces.select("file", "value", F.regexp_instr("value", F.lit(_start_tag(row_tag))).alias("place"))
+    return found.where((F.col("place") > 0) & (F.coalesce(outside, F.lit(1)) > 0)).select(
+        "file",
+        F.concat(F.substr("value", F.col("place")), F.lit(f"</{row_tag}>")).alias("value"),
+        F.lit(None).cast("string").alias("error"),
+    )
+
+
+# How a split may begin: in text, in a comment, in a CDATA section.
+BEGINNINGS = (None, "-->", "]]>")
+
+
+def _raw(pieces: DataFrame) -> DataFrame:
+    return pieces.withColumn("value", F.col("value").cast("binary"))
+
+
+def _decoded(row, encoding: str, declared: Mapping[str, str]) -> tuple[str, str | None]:
+    """Text of a piece and what is wrong with it."""
+    wrong = declared.get(row.file)
+    try:
+        return row.value.decode(encoding), wrong
+    except UnicodeDecodeError:
+        return row.value.decode(encoding, "replace"), wrong or f"not {encoding}"
+
+
+def _cut(pieces: DataFrame, row_tag: str, encoding: str, declared: Mapping[str, str]) -> DataFrame:
+    """Records of files in which every piece stands for itself: no section goes over an end tag,
+    and an end tag follows every piece with a record in it."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cutter = RecordCutter(row_tag)
         for batch in batches:
-            rows = [row for piece in batch.itertuples(index=False) for row in split.take(piece)]
+            rows = []
+            for row in batch.itertuples(index=False):
+                text, wrong = _decoded(row, encoding, declared)
+                rows += [(row.file, value, error or wrong) for value, error in cutter.take(text)]
             yield pd.DataFrame(rows, columns=["file", "value", "error"])
-        yield pd.DataFrame(list(split.finish()), columns=["file", "value", "error"])
-
-    return pieces.mapInPandas(cut, RECORDS)
-
-
-class _SplitCutter:
-    """The pieces of one task: those of each split of a file in order."""
-
-    def __init__(self, row_tag: str, encoding: str) -> None:
-        self.row_tag, self.encoding = row_tag, encoding
-        self.separator = len(f"</{row_tag}>".encode(encoding))
-        self.split, self.waiting = None, None
-
-    def take(self, piece) -> Iterator[tuple[str, str, str | None]]:
-        if (piece.file, piece.start) != self.split:
-            yield from self.finish()
-            self.split, self.cutter = (piece.file, piece.start), RecordCutter(self.row_tag)
-            self.read, self.declared = piece.start, None
-            found = DECLARED.match(piece.value[:200]) if piece.start == 0 else None
-            if found and not _same_encoding(found[1].decode(), self.encoding):
-                self.declared = f"{DECLARES} {found[1].decode()}"
-        elif self.waiting is not None:
-            yield from self._cut(self.waiting, ended=True)
-        self.waiting = piece
-        self.read += len(piece.value) + self.separator
-
-    def finish(self) -> Iterator[tuple[str, str, str | None]]:
-        """The last piece of a split ends with a tag but at the end of a file, where its length
-        tells. That is known for a file of one split; else the last record counts as cut off."""
-        if self.waiting is None:
+
+    return _raw(pieces).mapInPandas(work, RECORDS)
+
+
+def _by_split(batches: Iterator[pd.DataFrame]) -> Iterator[Iterator[tuple]]:
+    """The pieces of each split in order, a batch of them at a time, with whether it is the last one."""
+    rows = (row for batch in batches for row in batch.itertuples(index=False))
+    waiting = next(rows, None)
+    while waiting is not None:
+
+        def split() -> Iterator[tuple]:
+            nonlocal waiting
+            last = False
+            while not last:
+                row, waiting = waiting, next(rows, None)
+                last = waiting is None or (waiting.file, waiting.start) != (row.file, row.start)
+                yield row, last
+
+        found = split()
+        yield found
+        for _ in found:  # what the caller left
+            pass
+
+
+def _records_across(
+    pieces: DataFrame, row_tag: str, encoding: str, declared: Mapping[str, str], ended: set[str]
+) -> DataFrame:
+    """Records of files with sections that go over end tags, and so perhaps over the borders of
+    splits, or with a record that the file ends in.
+
+    The pieces are written once, so that all steps see the same splits. Each split is cut for
+    every way in which it may begin, which gives a few flags; a file's flags in order tell how each of
+    its splits does begin. Then the splits are cut, and what belongs to a record over a
+    border is gathered by record.
+    """
+    spark = pieces.sparkSession
+    path = scratch_dir(spark, "pieces")
+    _raw(pieces).write.parquet(path)
+    place = ["file", "start", "id"]
+    staged = spark.read.parquet(path)
+
+    def effects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for split in _by_split(batches):
+            cutters = [RecordCutter(row_tag, closing, in_record=closing is not None) for closing in BEGINNINGS]
+            for row, _ in split:
+                text, _ = _decoded(row, encoding, declared)
+                for cutter in cutters:
+                    for _ in cutter.take(text):
+                        cutter.head = False
+            yield _frame([(row.file, row.start, *[x for c in cutters for x in _effect(c)])], EFFECTS)
+
+    in_order = staged.repartition("file", "start").sortWithinPartitions(*place)
+    states = in_order.mapInPandas(effects, EFFECTS).groupBy("file").applyInPandas(_states, STATES)
+    begun = staged.join(states, ["file", "start"]).repartition("file", "start").sortWithinPartitions(*place)
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for split in _by_split(batches):
+            texts = (
+                (row, *_decoded(row, encoding, declared), not (last and row.last_split and row.file not in ended))
+                for row, last in split
+            )
+            yield _frame(_cut_split(texts, row_tag), FRAGMENTS)
+
+    cut_path = scratch_dir(spark, "fragments")
+    begun.mapInPandas(cut, FRAGMENTS).write.parquet(cut_path)
+    rows = spark.read.schema(FRAGMENTS).parquet(cut_path)
+    whole = rows.where("chain IS NULL").select("file", "value", "error")
+    values = F.transform(F.sort_array(F.collect_list(F.struct("start", "value"))), lambda part: part["value"])
+    chains = rows.where("chain IS NOT NULL").groupBy("file", "chain").agg(
+        F.array_join(values, "").alias("text"), F.max("error").alias("wrong"), F.bool_or("seen").alias("seen")
+    )
+
+    def stitch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for row in batch.itertuples(index=False):
+                texts = row.text.split(f"</{row_tag}>")
+                texts = [(t, True) for t in texts[:-1]] + ([(texts[-1], False)] if texts[-1] else [])
+                found += [(row.file, v, e or row.wrong) for v, e in cut_pieces(texts, row_tag, bool(row.seen))]
+            yield pd.DataFrame(found, columns=["file", "value", "error"])
+
+    return whole.unionByName(chains.mapInPandas(stitch, RECORDS))
+
+
+# Of a split, for each way it may begin: the way it ends (its place in BEGINNINGS); whether a record
+# is open around the section it ends in (2: if one was at the beginning); whether that section
+# began here; whether a start tag is seen in it.
+EFFECTS = "file string, start long, " + ", ".join(
+    f"end{i} int, record{i} int, here{i} boolean, seen{i} boolean" for i in range(len(BEGINNINGS))
+)
+# How a split begins, and what is to be done with its first and last record. ``chain`` is the split in which the record
+# open at the beginning (the end) began; null where there is none or it is not wanted.
+STATES = "file string, start long, begin int, in_record boolean, chain long, last_chain long, last_split boolean, skipped boolean, seen boolean"
+FRAGMENTS = "file string, value string, error string, chain long, start long, seen boolean"
+
+
+def _frame(rows: Iterable[tuple], fields: str) -> pd.DataFrame:
+    """Rows of a schema as text, numbers that may be absent as such."""
+    kinds = dict(field.split(" ") for field in fields.split(", "))
+    frame = pd.DataFrame(list(rows), columns=list(kinds))
+    return frame.astype({name: "Int64" for name, kind in kinds.items() if kind in ("int", "long")})
+
+
+def _effect(cutter: RecordCutter) -> tuple[int, int, bool, bool]:
+    record = 0 if cutter.closing is None or not cutter.in_record else 2 if cutter.head else 1
+    return BEGINNINGS.index(cutter.closing), record, not cutter.untouched, cutter.seen
+
+
+def _states(effects: pd.DataFrame) -> pd.DataFrame:
+    """How every split of a file begins: its flags, a few bytes per split, in order."""
+    begin, in_record, chain, opened, seen = 0, False, None, None, False
+    rows = []
+    for i, effect in enumerate(effects.sort_values("start").itertuples(index=False)):
+        end, record, here, saw = (getattr(effect, f"{name}{begin}") for name in ("end", "record", "here", "seen"))
+        row = {"file": effect.file, "start": effect.start, "begin": begin, "in_record": in_record, "chain": chain}
+        if end == 0:
+            begin, in_record, chain, opened, seen = 0, False, None, None, False
+        elif begin == 0 or here:
+            in_record = record == 1 or (record == 2 and in_record)
+            chain = chain if record == 2 and in_record else effect.start
+            begin, opened, seen = end, i, saw
+        else:
+            seen = seen or saw
+        last = i + 1 == len(effects)
+        rows.append({**row, "last_chain": chain if in_record else None, "last_split": last, "skipped": False, "seen": False})
+    if opened is not None:  # the last section never ends: it is told where it began, and the rest is in it
+        rows[opened] |= {"last_chain": chain, "seen": seen}
+        for row in rows[opened + 1 :]:
+            row["skipped"] = True
+    return _frame([tuple(row.values()) for row in rows], STATES)
+
+
+def _cut_split(pieces: Iterable[tuple], row_tag: str) -> Iterator[tuple]:
+    """Rows of FRAGMENTS: the records of a split, and its parts of records over a border; from its
+    pieces with their text, what is wrong with it, and whether an end tag followed."""
+    cutter, head, trouble = None, False, None
+    for row, text, wrong, ended in pieces:
+        if row.skipped:
             return
-        piece, self.waiting = self.waiting, None
-        at_end = piece.stop >= piece.size
-        ended = not at_end or (piece.start == 0 and self.read <= piece.size)
-        yield from self._cut(piece, ended)
-        for value, error in self.cutter.finish():
-            yield piece.file, value, error
-
-    def _cut(self, piece, ended: bool) -> Iterator[tuple[str, str, str | None]]:
-        wrong = self.declared
-        try:
-            text = piece.value.decode(self.encoding)
-        except UnicodeDecodeError:
-            text = piece.value.decode(self.encoding, "replace")
-            wrong = wrong or f"not {self.encoding}"
-        for value, error in self.cutter.take(text, ended):
-            yield piece.file, value, error or wrong
+        if cutter is None:
+            cutter = RecordCutter(row_tag, BEGINNINGS[int(row.begin)], bool(row.in_record))
+            head = cutter.in_record
+        trouble = trouble or wrong
+        for value, error in cutter.take(text, ended):
+            if head:
+                yield row.file, value, wrong, int(row.chain), row.start, False
+            else:
+                yield row.file, value, error or wrong, None, row.start, False
+            head = False
+    if cutter.closing is not None and head:
+        yield row.file, "".join(cutter.parts), trouble, int(row.chain), row.start, bool(row.seen)
+    elif cutter.closing is not None and not pd.isna(row.last_chain):
+        rest = "".join(cutter.parts) if cutter.in_record else cutter.excerpt
+        yield row.file, rest, trouble, int(row.last_chain), row.start, bool(row.seen)
 
 
 def _same_encoding(one: str, other: str) -> bool:
@@ -273,77 +534,41 @@ def parse_records(records: DataFrame, schema: T.StructType) -> DataFrame:
     return parsed.select(*others, *columns, bad.alias(CORRUPT))
 
 
+# Fixed values, patterns of the JVM: attributes of a tag, text between tags, and the element that stands for it.
+ATTRIBUTES = r"""(<[^\s/>!?"']++)(?:\s++[^\s=>/]++\s*+=\s*+(?:"[^"]*+"|'[^']*+'))++\s*+(/?>)"""
+TEXT = r">[^<]*[^<\s][^<]*<"
+TEXT_ELEMENT = "_text"
+
+
 def discover_schema(records: DataFrame) -> T.StructType:
-    """Element tree of all records, every leaf text: a distributed first pass.
+    """Element tree of all records, every leaf text: a distributed first pass in the JVM.
 
-    The tasks send one row per distinct element path; what reaches the driver is as large as
+    Spark's XML source infers the tree. It would take an element that holds text in one record
+    and elements in another for text, so text is replaced by an element of its own first; that also
+    tells where text stands beside elements (``_VALUE``). What reaches the driver is as large as
     the schema. Records that are not well-formed add nothing.
     """
+    spark = records.sparkSession
     if "error" in records.columns:
         records = records.where(F.col("error").isNull())
-    found = (
-        records.select("value")
-        .mapInPandas(_element_paths, "path array<string>, repeated boolean, text boolean")
-        .groupBy("path")
-        .agg(F.max("repeated").alias("repeated"), F.max("text").alias("text"))
-    )
-    return _schema_of({tuple(row.path): (row.repeated, row.text) for row in found.collect()})
-
-
-def _element_paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    found: dict[Path, tuple[bool, bool]] = {}
-    for batch in batches:
-        for record in batch["value"]:
-            for path, flags in _paths_of(record).items():
-                known = found.get(path, (False, False))
-                found[path] = (known[0] or flags[0], known[1] or flags[1])
-    rows = [(list(path), *flags) for path, flags in found.items()]
-    yield pd.DataFrame(rows, columns=["path", "repeated", "text"])
-
-
-def _paths_of(record: str) -> dict[Path, tuple[bool, bool]]:
-    """Path below the row element -> (occurs twice under one parent, has text of its own)."""
-    found: dict[Path, tuple[bool, bool]] = {}
-    open_path: list[str] = []
-    children: list[set[str]] = []
-
-    def start(name: str, _attributes: dict[str, str]) -> None:
+    bare = F.regexp_replace(F.regexp_replace("value", r"(?s)<!--.*?-->", ""), r"(?s)<!\[CDATA\[(?:.*?\S.*?)\]\]>", "x")
+    bare = F.regexp_replace(F.regexp_replace(bare, r"(?s)<!\[CDATA\[.*?\]\]>", ""), ATTRIBUTES, "$1$2")
+    marked = F.regexp_replace(bare, TEXT, f"><{TEXT_ELEMENT}/><")
+    # The name of the row element does not matter to a reader of records.
+    reader = spark.read.options(**XML_OPTIONS).option("rowTag", "record")
+    strings = getattr(records.select(marked.alias("value"))._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    found = reader._df(reader._jreader.xml(strings)).schema
+    return T.StructType([_with_text(f) for f in found.fields if f.name not in (CORRUPT, TEXT_ELEMENT)])
+
+
+def _with_text(field: T.StructField) -> T.StructField:
+    """An element as it is read, from one whose text is an element."""
+    repeated = isinstance(field.dataType, T.ArrayType)
+    inner = field.dataType.elementType if repeated else field.dataType
+    dtype: T.DataType = T.StringType()
+    if isinstance(inner, T.StructType):
+        children = [_with_text(f) for f in inner.fields if f.name != TEXT_ELEMENT]
         if children:
-            open_path.append(name)
-            path = tuple(open_path)
-            repeated, text = found.get(path, (False, False))
-            found[path] = (repeated or name in children[-1], text)
-            children[-1].add(name)
-        children.append(set())
-
-    def end(_name: str) -> None:
-        children.pop()
-        if open_path:
-            open_path.pop()
-
-    def text(data: str) -> None:
-        if open_path and not data.isspace():
-            path = tuple(open_path)
-            found[path] = (found[path][0], True)
-
-    parser = expat.ParserCreate()
-    parser.StartElementHandler, parser.EndElementHandler = start, end
-    parser.CharacterDataHandler = text
-    try:
-        parser.Parse(record, True)
-    except expat.ExpatError:
-        return {}
-    return found
-
-
-def _schema_of(found: dict[Path, tuple[bool, bool]], above: Path = ()) -> T.StructType:
-    fields = []
-    for path in sorted(p for p in found if p[:-1] == above):
-        repeated, has_text = found[path]
-        inner = _schema_of(found, path)
-        dtype: T.DataType = T.StringType()
-        if inner.fields:
-            value = [T.StructField("_VALUE", T.StringType())] if has_text else []
-            dtype = T.StructType(value + inner.fields)
-        fields.append(T.StructField(path[-1], T.ArrayType(dtype) if repeated else dtype))
-    return T.StructType(fields)
+            text = [T.StructField("_VALUE", T.StringType())] if TEXT_ELEMENT in inner.names else []
+            dtype = T.StructType(text + children)
+    return T.StructField(field.name, T.ArrayType(dtype) if repeated else dtype)

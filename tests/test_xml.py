@@ -1,5 +1,8 @@
 """Award XML: attributes, leading zeros, absent elements, bad records, both ways of reading."""
 
+import random
+from pathlib import Path
+
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
@@ -18,7 +21,7 @@ from contractlake.sources.awards import (
     read_awards,
 )
 
-from conftest import award_xml, rows, write_awards
+from conftest import award_xml, plan_of, rows, write_awards
 
 MODES = ("files", "records")
 
@@ -197,17 +200,128 @@ def test_encoding_is_declared_or_corrupt(spark, folder):
     assert wrong.where(F.col(CORRUPT).isNull()).count() == 0 and wrong.count() == 1
 
 
-def test_section_over_the_border_of_splits_is_named(spark, folder):
-    """A comment with records that begins in one split and ends in the next is not passed over."""
+@pytest.fixture()
+def split_size(spark):
+    """Sets how many bytes of a file a task reads."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    yield lambda size: spark.conf.set(name, str(size))
+    spark.conf.set(name, before)
+
+
+def plain_records(text, tag="a"):
+    """What one cutter makes of the whole text."""
+    pieces = text.split(f"</{tag}>")
+    return list(cut_pieces([(p, True) for p in pieces[:-1]] + [(pieces[-1], False)], tag))
+
+
+def random_text(rng, kinds):
+    """Records, sections and what may be wrong with them, most of them longer than a split."""
+    def filler():
+        return "".join(rng.choice("xy z\n\u00e9") for _ in range(rng.randrange(60)))
+
+    tokens = ["<a>", '<a b="1 > 0">', "</a>", "</a >", "<a/>", "<ab>", "</ab>", "<!--", "-->", "<![CDATA[", "]]>", "<!-- </a> <a> -->", "]", "--"]
+    weights = [6, 1, 8, 1, 1, 1, 1, *([kinds] * 4), kinds, 1, 1]
+    return "".join(t + filler() for t in rng.choices(tokens, weights, k=rng.randrange(60)))
+
+
+@pytest.mark.parametrize("size", [31, 150, 700])
+def test_borders_of_splits_change_nothing(spark, folder, split_size, size):
+    """Random files, some with sections over many splits, some with one that never ends."""
+    rng = random.Random(size)
+    want = []
+    for i in range(24):
+        text = random_text(rng, (0, 0.5, 2)[i % 3])
+        path = Path(folder, f"{i}.xml")
+        path.write_text(text)
+        want += [(path.as_uri().replace("file:///", "file:/"), *row) for row in plain_records(text)]
+    key = lambda r: tuple(map(str, r))
+    found = {}
+    for n in (size, 10**8):
+        split_size(n)
+        records = award_records(spark, f"{folder}/*.xml", "a")
+        found[n] = sorted([(r.file.replace("file:///", "file:/"), r.value, r.error) for r in records.collect()], key=key)
+    assert sum(r[2] == UNENDED for r in want) > 3 and sum(r[2] is None for r in want) > 20
+    assert found[10**8] == sorted(want, key=key)
+    assert found[size] == found[10**8]
+
+
+@pytest.mark.parametrize("ended", [True, False])
+def test_section_over_the_border_of_splits(spark, folder, split_size, ended):
+    """Records in a comment over many splits are none; if it does not end, that is one row of its text."""
     many = [award_xml(str(i)) for i in range(400)]
-    path = write_awards(f"{folder}/A-AWARD.xml", [award_xml("900"), "<!--", *many, "-->", award_xml("901")])
-    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
-    try:
-        found = award_records(spark, path)
-        assert found.where(F.col("error") == UNENDED).count() == 1
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    path = write_awards(f"{folder}/A-AWARD.xml", [award_xml("900"), "<!--", *many, "-->" if ended else "", award_xml("901")])
+    split_size(50_000)
+    found = award_records(spark, path)
+    bad = found.where("error IS NOT NULL").collect()
+    assert found.where("error IS NULL").count() == 1 + ended
+    assert [r.error for r in bad] == [UNENDED] * (not ended)
+    assert all(r.value.startswith("<!--") and r.value.endswith("</ns1:award>") and len(r.value) < 2000 for r in bad)
+
+
+def test_record_with_a_section_over_several_splits_is_whole(spark, folder, split_size):
+    note = "<ns1:n><![CDATA[" + " ".join(f"{i} </ns1:award> <ns1:award>" for i in range(3000)) + "]]></ns1:n>"
+    records = [award_xml("1"), award_xml("2", extra=note), award_xml("3"), award_xml("4", extra=note)]
+    path = write_awards(f"{folder}/A-AWARD.xml", records)
+    split_size(20_000)
+    awards = read_awards(spark, path, mode="records")
+    assert piids(awards) == ["1", "2", "3", "4"] and awards.where(F.col(CORRUPT).isNotNull()).count() == 0
+    notes = {r[0] for r in awards.select("`ns1:n`").collect()}
+    assert notes == {None, note[len("<ns1:n><![CDATA[") : -len("]]></ns1:n>")]}
+
+
+def test_file_that_ends_with_an_end_tag_over_several_splits(spark, folder, split_size):
+    text = "".join(award_xml(str(i)) for i in range(200))
+    Path(folder, "A-AWARD.xml").write_text(text)
+    Path(folder, "B-AWARD.xml").write_text(text + award_xml("200")[:-40])
+    split_size(10_000)
+    records = award_records(spark, f"{folder}/*AWARD.xml")
+    assert records.where("error IS NULL").count() == 400
+    assert [r.error for r in records.where("error IS NOT NULL").collect()] == ["no end tag"]
+
+
+def test_every_split_of_a_file_in_another_encoding_says_so(spark, folder, split_size):
+    head = '<?xml version="1.0" encoding="{}"?>\n<r>'
+    records = "".join(award_xml(str(i), extra="<ns1:n>caf\u00e9</ns1:n>") for i in range(100))
+    Path(folder, "A-AWARD.xml").write_bytes((head.format("windows-1252") + records + "</r>").encode("cp1252"))
+    Path(folder, "B-AWARD.xml").write_bytes((head.format("UTF8") + records + "</r>").encode())
+    split_size(10_000)
+    found = award_records(spark, f"{folder}/*AWARD.xml").groupBy("error").count().collect()
+    assert {(r.error, r["count"]) for r in found} == {("the file declares windows-1252", 100), (None, 100)}
+    found = award_records(spark, f"{folder}/*AWARD.xml", encoding="cp1252").groupBy("error").count().collect()
+    assert {(r.error, r["count"]) for r in found} == {("the file declares UTF8", 100), (None, 100)}
+
+
+def test_tidy_files_meet_no_python(spark, folder):
+    """Attributes, records without content, whole sections, prolog comments and several splits included."""
+    extra = "<ns1:n><![CDATA[a < b]]></ns1:n><!-- seen -->"
+    many = ["<!-- made by hand -->", *[award_xml(str(i), extra=extra if i % 3 else "") for i in range(50)], "<!-- the end -->"]
+    path = write_awards(f"{folder}/A-AWARD.xml", many)
+    assert "Python" not in (plan := plan_of(read_awards(spark, path, mode="records"))) and "Pandas" not in plan
+    assert read_awards(spark, path, mode="records").where(F.col(CORRUPT).isNull()).count() == 50
+    untidy = write_awards(f"{folder}/B-AWARD.xml", [*many, award_xml("77").replace("</ns1:award>", "</ns1:award >")])
+    awards = read_awards(spark, [path, untidy], mode="records")
+    assert "Pandas" in plan_of(awards) and awards.count() == 101
+
+
+MIXED = [
+    "<a><b>1</b><t>x</t></a>",
+    "<a v='<'><b>2</b><t>x</t><t>y</t><s>text<q>1</q></s></a>",
+    "<a><b x='1>0'><c>1</c></b><e/><z><y/></z><w><y>\n</y></w></a>",
+    "<a><b>",
+    "<a><g><h>1</h></g><g><h>1</h><h>2</h></g><sp>  </sp><k><![CDATA[<no>]]></k><!-- <no>1</no> --><l><m/><![CDATA[ x ]]></l></a>",
+    "<a>own text<b/></a>",
+]
+
+
+def test_discovered_tree_joins_all_shapes_of_an_element(spark):
+    found = discover_schema(spark.createDataFrame([(r,) for r in MIXED], "value string"))
+    want = (
+        "struct<b:struct<_VALUE:string,c:string>,e:string,g:array<struct<h:array<string>>>,k:string,"
+        "l:struct<_VALUE:string,m:string>,s:struct<_VALUE:string,q:string>,sp:string,t:array<string>,w:struct<y:string>,z:struct<y:string>>"
+    )
+    assert found.simpleString() == want
+    assert discover_schema(spark.createDataFrame([], "value string")) == T.StructType([])
 
 
 @settings(max_examples=300, deadline=None)
