@@ -54,7 +54,11 @@ def split_rejects(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame
 
 def check_rejects(rejects: DataFrame, max_errors: int = MAX_ERRORS) -> int:
     """Number of rejects; raises when ``max_errors`` rows or more are rejected. Tasks send counts."""
-    found = rejects.count()
+    return check_count(rejects.count(), max_errors)
+
+
+def check_count(found: int, max_errors: int = MAX_ERRORS) -> int:
+    """The same for rejects that are counted already."""
     if found >= max_errors:
         raise LoadError(f"{found} rows were rejected, {max_errors} rows or more stop a load")
     return found

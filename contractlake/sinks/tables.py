@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from contractlake.operators.skew import default_parts, hot_keys, salt_left, salt_right
-from contractlake.session import path_exists, scratch_dir, sub_folders
+from contractlake.operators.width import LINEAGE
+from contractlake.session import listed, path_exists, scratch_dir, sub_folders
+from contractlake.sinks.snapshots import BATCH, LOAD, SOURCE, latest_snapshot, published_years
+
+# Where the file versions lie that were withdrawn from a year, and what a row says.
+WITHDRAWN = "_withdrawn"
+WITHDRAWN_FIELDS = f"{SOURCE} string, {BATCH} long"
 
 KEY = "DUNSNumber"
 DATE = "signedDate"
@@ -17,11 +24,6 @@ def year_path(root: str, table: str, year: int | str) -> str:
     return f"{root.rstrip('/')}/{table}/year={year}"
 
 
-def publishing_path(root: str, year: int | str) -> str:
-    """The marker that is there while the tables of a year are being put in place."""
-    return f"{root.rstrip('/')}/_publishing/year={year}"
-
-
 def _write_years(df: DataFrame, root: str, table: str, year: int | str | None) -> str:
     if year is not None and "year" in map(str.lower, df.columns):
         raise ValueError("rename the column 'year': the folder gives the table a column of that name")
@@ -49,6 +51,13 @@ def write_contract(
     ``layout="ranged"`` shuffles into date ranges first, so that whole files can be skipped;
     a date with very many rows is divided by a hash of the rows.
     """
+    return _write_years(contract_layout(df, layout, date, year is None), root, "contract", year)
+
+
+def contract_layout(
+    df: DataFrame, layout: str = "sorted", date: str = DATE, by_year: bool = False
+) -> DataFrame:
+    """Rows in the files and the order in which :func:`write_contract` writes them."""
     order = [name for name in ("year", date) if name in df.columns]
     if layout == "ranged":
         row = F.xxhash64(*[F.col(f"`{name}`") for name in df.columns], F.spark_partition_id())
@@ -56,11 +65,9 @@ def write_contract(
         df = ranged.drop("_tie")
     elif layout != "sorted":
         raise ValueError(f"unknown layout {layout!r}")
-    elif year is None:
+    elif by_year:
         df = df.hint("rebalance", F.col("year"))
-    return _write_years(
-        df.sortWithinPartitions(*order) if order else df, root, "contract", year
-    )
+    return df.sortWithinPartitions(*order) if order else df
 
 
 def write_vendor(
@@ -75,27 +82,66 @@ def write_vendor(
     return _write_years(df.sortWithinPartitions(*order), root, "vendor", year)
 
 
-def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+def read_table(spark: SparkSession, root: str, table: str, lineage: bool = False) -> DataFrame:
     """All years of a table; columns that only some years have are null in the others.
 
-    The files of a year were written together, so one footer per year gives the whole schema;
+    A year that jobs publish consists of the folders its newest snapshot names, without the rows
+    withdrawn since; any other one of the files in its folder. The files of a folder were written
+    together, so one footer per folder gives the whole schema;
     merging the footers of all files would read every file once before the query starts.
-    Years that disagree about a type are for ``union_years``. A year whose tables are being
-    published is not there yet.
+    Years that disagree about a type are for ``union_years``. With ``lineage`` rows of years that
+    follow a landed table say which file and batch they come from.
     """
+    root = root.rstrip("/")
+    published = {year: latest_snapshot(spark, root, year) for year in published_years(spark, root)}
+    parts = []
+    plain = [folder for year, folder in plain_years(spark, root, table).items() if year not in published]
+    if plain:
+        parts.append(read_folders(spark, f"{root}/{table}", plain))
+    loads = [f"{root}/{f}" for s in published.values() for f in s.tables.get(table, ())]
+    if loads:
+        withdrawn = [f"{root}/{f}" for s in published.values() for f in s.withdrawn]
+        rows = without_withdrawn(spark, root, read_folders(spark, f"{root}/{table}", loads).drop(LOAD), withdrawn)
+        parts.append(rows if lineage else rows.drop(*LINEAGE))
+    if not parts:
+        raise ValueError(f"no year of {root} has a table {table!r}")
+    if len({part.schema["year"].dataType for part in parts}) > 1:
+        parts = [part.withColumn("year", F.col("year").cast("string")) for part in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def plain_years(spark: SparkSession, root: str, table: str) -> dict[str, str]:
+    """Folders by year that were written directly, not by jobs, which put theirs into load folders."""
     path = f"{root.rstrip('/')}/{table}"
-    years = [y for y in sub_folders(spark, path) if "/year=" in y]
-    whole = [y for y in years if not path_exists(spark, publishing_path(root, y.rsplit("/year=", 1)[1]))]
+    folders = [y for y in sub_folders(spark, path) if "/year=" in y] if path_exists(spark, path) else []
+    return {
+        y.rsplit("/year=", 1)[1]: y
+        for y in folders
+        if any(not name.startswith(f"{LOAD}=") for name, _ in listed(spark, y))
+    }
+
+
+def read_folders(spark: SparkSession, path: str, folders: Sequence[str]) -> DataFrame:
+    """Folders below ``path``, whose names give columns, as one scan."""
     fields: dict[str, T.StructField] = {}
-    for year in whole:
-        for field in spark.read.parquet(year).schema.fields:
+    for folder in folders:
+        for field in spark.read.parquet(folder).schema.fields:
             known = fields.setdefault(field.name, field)
             if known.dataType != field.dataType:
-                raise ValueError(f"{field.name!r} changes its type in {year}: use union_years")
-    reader = spark.read.schema(T.StructType(list(fields.values())))
-    if len(whole) == len(years):
-        return reader.parquet(path)
-    return reader.option("basePath", path).parquet(*whole)
+                raise ValueError(f"{field.name!r} changes its type in {folder}: use union_years")
+    reader = spark.read.schema(T.StructType(list(fields.values()))).option("basePath", path)
+    return reader.parquet(*folders)
+
+
+def without_withdrawn(spark: SparkSession, root: str, rows: DataFrame, folders: Sequence[str]) -> DataFrame:
+    """Rows with a ``year`` whose file version is not withdrawn by any of the folders."""
+    if not folders or not {*LINEAGE} <= {*rows.columns}:
+        return rows
+    place = f"{root.rstrip('/')}/{WITHDRAWN}"
+    gone = spark.read.schema(WITHDRAWN_FIELDS).option("basePath", place).parquet(*folders)
+    gone = gone.select(F.col("year").cast("string").alias("_year"), *LINEAGE).distinct()
+    marked = rows.withColumn("_year", F.col("year").cast("string"))
+    return marked.join(gone, ["_year", *LINEAGE], "left_anti").drop("_year")
 
 
 def write_bucketed(

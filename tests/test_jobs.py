@@ -1,6 +1,7 @@
 """The year job from XML folder to tables."""
 
 import zipfile
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -8,9 +9,12 @@ from pyspark.sql import functions as F
 
 from contractlake.functions.keys import DUNS
 from contractlake.operators.rejects import LoadError
+from contractlake import session
 from contractlake.plans import jobs
 from contractlake.plans.jobs import run_year, run_years
-from contractlake.sinks.tables import read_table
+from contractlake.sinks import snapshots
+from contractlake.sinks.tables import read_table, write_contract
+from contractlake.sources.awards import award_records, discover_schema
 
 from conftest import award_xml, write_awards
 
@@ -161,69 +165,145 @@ def test_loaded_year_is_not_loaded_again(spark, folder):
         run_year(spark, src, f"{folder}/out", 2005)
 
 
-def test_two_loads_at_once(spark, folder, monkeypatch):
-    """The second load of a year passes its check before the first is done, and loses."""
+def years_of(spark, folder, table):
+    return {r.year for r in read_table(spark, f"{folder}/out", table).select("year").collect()}
+
+
+def contract_piids(spark, folder):
+    return sorted(r.PIID for r in read_table(spark, f"{folder}/out", "contract").collect())
+
+
+@pytest.mark.parametrize("replace", [False, True])
+def test_two_loads_at_once(spark, folder, monkeypatch, replace):
+    """The second load of a year passes its check before the first is done, and one of them loses."""
+    if replace:
+        run_year(spark, src_with(f"{folder}/0", award_xml("9")), f"{folder}/out", 2005)
     first, second = (src_with(f"{folder}/{n}", award_xml(str(n))) for n in (1, 2))
-    publish = jobs._publish
+    publish = jobs.publish
 
     def meanwhile(*args):
-        monkeypatch.setattr(jobs, "_publish", publish)
-        run_year(spark, second, f"{folder}/out", 2005)
+        monkeypatch.setattr(jobs, "publish", publish)
+        run_year(spark, second, f"{folder}/out", 2005, replace=replace)
         return publish(*args)
 
-    monkeypatch.setattr(jobs, "_publish", meanwhile)
+    monkeypatch.setattr(jobs, "publish", meanwhile)
     with pytest.raises(LoadError, match="exists"):
-        run_year(spark, first, f"{folder}/out", 2005)
+        run_year(spark, first, f"{folder}/out", 2005, replace=replace)
+    assert contract_piids(spark, folder) == ["2"]
     for table in ("contract", "vendor", "rejects"):
-        assert Path(folder, "out", table, "year=2005").exists()
-    assert [r.PIID for r in read_table(spark, f"{folder}/out", "contract").collect()] == ["2"]
-    assert not list(Path(folder, "out", "_runs").iterdir())
+        assert len(list(Path(folder, "out", table, "year=2005").iterdir())) == 1 + replace
+
+
+def test_only_one_of_many_makes_a_file(spark, folder):
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda i: session.put_if_absent(spark, f"{folder}/a/b.json", f"text {i}"), range(16)))
+    assert made.count(True) == 1
+    assert session.read_text(spark, f"{folder}/a/b.json") == f"text {made.index(True)}"
+    assert [p.name for p in Path(folder, "a").iterdir() if not p.name.endswith(".crc")] == ["b.json"]
+    # Told again after an answer was lost, the one that made it still learns that it did.
+    assert session.put_if_absent(spark, f"{folder}/a/b.json", f"text {made.index(True)}")
 
 
-def test_readers_see_both_tables_or_none(spark, folder, monkeypatch):
+def test_rename_does_not_overwrite(spark, folder):
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for name in ("a", "b"):
+        Path(folder, name).write_text(name)
+    with pytest.raises(Exception, match="exists|Exists"):
+        session._rename_to_free_name(spark, path(f"file:{folder}/a"), path(f"file:{folder}/b"))
+    session._rename_to_free_name(spark, path(f"file:{folder}/a"), path(f"file:{folder}/c"))
+    assert Path(folder, "c").read_text() == "a" and Path(folder, "b").read_text() == "b"
+
+
+def test_readers_see_a_year_whole_or_not_at_all(spark, folder, monkeypatch):
     run_year(spark, src_with(f"{folder}/a", award_xml("1")), f"{folder}/out", 2004)
-    move, seen = jobs.move_path, []
+    seen = []
+
+    def watched(name):
+        step = getattr(jobs, name)
 
-    def watched(*args):
-        move(*args)
-        seen.append([{r.year for r in read_table(spark, f"{folder}/out", t).select("year").collect()} for t in ("contract", "vendor")])
+        def run(*args, **kwargs):
+            found = step(*args, **kwargs)
+            seen.append([years_of(spark, folder, t) for t in ("contract", "vendor")])
+            return found
 
-    monkeypatch.setattr(jobs, "move_path", watched)
+        monkeypatch.setattr(jobs, name, run)
+
+    for name in ("_write_rejects", "_write_widths", "publish"):
+        watched(name)
     run_year(spark, src_with(f"{folder}/b", award_xml("2")), f"{folder}/out", 2005)
-    assert seen == [[{2004}, {2004}]] * 3
-    assert {r.year for r in read_table(spark, f"{folder}/out", "contract").collect()} == {2004, 2005}
+    assert seen == [[{2004}, {2004}]] * 3 + [[{2004, 2005}] * 2]
 
 
-def test_replace_gives_way_only_to_a_whole_load(spark, folder, monkeypatch):
-    run_year(spark, src_with(f"{folder}/a", award_xml("1")), f"{folder}/out", 2005)
-    move = jobs.move_path
+STEPS = ["_check_broken", "_write_rejects", "_write_widths", "dedupe_vendors", "publish"]
 
-    def fail(spark, source, target):
-        if "/vendor/" in target and "/_runs/" in source and "/old/" not in source:
-            raise OSError("disk")
-        move(spark, source, target)
 
+@pytest.mark.parametrize("step", STEPS)
+@pytest.mark.parametrize("killed", [False, True])
+def test_old_year_stays_whatever_step_fails(spark, folder, monkeypatch, step, killed):
+    """An error, or a driver that dies and cleans nothing up: the old year is there, and the next load works."""
+    run_year(spark, src_with(f"{folder}/a", award_xml("1")), f"{folder}/out", 2005)
     src = src_with(f"{folder}/b", award_xml("2"))
+
+    def fail(*_args, **_kwargs):
+        raise OSError("disk")
+
     with monkeypatch.context() as patch:
-        patch.setattr(jobs, "move_path", fail)
-        with pytest.raises(OSError):
+        patch.setattr(jobs, step, fail)
+        if killed:
+            patch.setattr(jobs, "drop_load", lambda *_: None)
+        with pytest.raises(OSError, match="disk"):
             run_year(spark, src, f"{folder}/out", 2005, replace=True)
-    assert [r.PIID for r in read_table(spark, f"{folder}/out", "contract").collect()] == ["1"]
+    assert contract_piids(spark, folder) == ["1"]
+    left = snapshots.abandoned_loads(spark, f"{folder}/out", 2005, jobs.TABLES, hours=-1)
+    assert bool(left) == (killed and step in STEPS[2:])
+    assert not snapshots.abandoned_loads(spark, f"{folder}/out", 2005, jobs.TABLES)
     run_year(spark, src, f"{folder}/out", 2005, replace=True)
-    assert [r.PIID for r in read_table(spark, f"{folder}/out", "contract").collect()] == ["2"]
+    assert contract_piids(spark, folder) == ["2"]
+
+
+def test_replaced_files_stay_until_they_expire(spark, folder):
+    loads = [run_year(spark, src_with(f"{folder}/{n}", award_xml(str(n))), f"{folder}/out", 2005, replace=True) for n in (1, 2, 3)]
+    assert all(Path(load.contract).exists() for load in loads)
+    gone = snapshots.expire_snapshots(spark, f"{folder}/out", 2005, keep=2)
+    assert len(gone) == 3 and [Path(load.contract).exists() for load in loads] == [False, True, True]
+    assert contract_piids(spark, folder) == ["3"]
+    assert snapshots.expire_snapshots(spark, f"{folder}/out", 2005, keep=2) == []
+
+
+def test_published_and_plain_years_lie_side_by_side(spark, folder):
+    run_year(spark, src_with(folder, award_xml("1")), f"{folder}/out", "all")
+    plain = spark.sql("SELECT '7' AS PIID, timestamp_ntz'2001-01-01 00:00:00' AS signedDate")
+    write_contract(plain, f"{folder}/out", 2001)
+    found = read_table(spark, f"{folder}/out", "contract")
+    assert {(r.PIID, r.year) for r in found.collect()} == {("1", "all"), ("7", "2001")}
+    with pytest.raises(LoadError, match="exists"):
+        run_year(spark, f"{folder}/in", f"{folder}/out", 2001)
 
 
 def test_failed_load_leaves_nothing_behind(spark, folder, monkeypatch):
-    def fail(*_args):
+    def fail(*_args, **_kwargs):
         raise OSError("disk")
 
-    monkeypatch.setattr(jobs, "write_vendor", fail)
+    monkeypatch.setattr(jobs, "dedupe_vendors", fail)
     with pytest.raises(OSError, match="disk"):
         run_year(spark, src_with(folder, award_xml("1")), f"{folder}/out", 2005)
     for table in ("contract", "vendor", "rejects"):
         assert not Path(folder, "out", table, "year=2005").exists()
 
 
+def test_cuts_and_rejects_are_counted_while_rows_are_written(spark, folder, monkeypatch):
+    """No table that is being loaded is read to count anything."""
+    monkeypatch.setattr("contractlake.operators.rejects.check_rejects", None)
+    monkeypatch.setattr("contractlake.operators.width.cut_counts", None)
+    wide = "<ns1:text>123456789</ns1:text>"
+    src = src_with(folder, award_xml("1", extra=wide), award_xml("2", extra=wide), broken_amount("3"))
+    load = run_year(spark, src, f"{folder}/out", 2005, widths={"text": 4, "vendorName": 9, "PIID": 9})
+    assert load.cuts == {"contract": {"text": 2}, "vendor": {}}
+    schema = discover_schema(award_records(spark, f"{src}/A-AWARD.xml"))
+    empty = run_year(spark, src_with(f"{folder}/e"), f"{folder}/out", 2006, schema=schema, widths={"PIID": 4})
+    assert empty.cuts == {"contract": {}, "vendor": {}}
+
+
 def test_years_with_different_columns(spark, folder):
     src_with(f"{folder}/a", award_xml("1", extra="<ns1:old>1</ns1:old>"))
     src_with(f"{folder}/b", award_xml("2", extra="<ns1:new>2</ns1:new>"))

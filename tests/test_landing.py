@@ -63,17 +63,19 @@ def test_run_that_broke_off_is_cleared_up(spark, folder, monkeypatch):
     args = (spark, award_files(src), f"{folder}/out", f"{folder}/state", schema)
     with monkeypatch.context() as patch:
         patch.setattr(type(spark), "createDataFrame", lambda *_: 1 / 0)
-        patch.setattr("contractlake.streaming.landing.landed_files", lambda s, _: s.sql("SELECT '' path, 0L length, now() modificationTime WHERE false"))
+        patch.setattr("contractlake.streaming.landing.landed_files", lambda s, _: s.sql("SELECT '' path, 0L length, now() modificationTime, 0L batch WHERE false"))
         with pytest.raises(ZeroDivisionError):
             ingest_new_files(*args)
     assert ingest_new_files(*args) == 1
     assert spark.read.parquet(f"{folder}/out").count() == 1
 
 
-def test_landed_file_with_a_section_over_the_border_of_splits_stops_the_year(spark, folder):
+@pytest.mark.parametrize("ended", [True, False])
+def test_landed_file_with_a_section_over_the_border_of_splits(spark, folder, ended):
+    """Records in it are none; a section that does not end costs the rest of its file and stops the year."""
     src = f"{folder}/in"
     many = [award_xml(str(i)) for i in range(400)]
-    write_awards(f"{src}/a-AWARD.xml", [award_xml("900"), "<!--", *many, "-->", award_xml("901")])
+    write_awards(f"{src}/a-AWARD.xml", [award_xml("900"), "<!--", *many, "-->" if ended else "", award_xml("901")])
     write_awards(f"{src}/b-AWARD.xml", [award_xml("902")])
     schema = discover_schema(award_records(spark, f"{src}/b-AWARD.xml"))
     size = spark.conf.get("spark.sql.files.maxPartitionBytes")
@@ -82,11 +84,13 @@ def test_landed_file_with_a_section_over_the_border_of_splits_stops_the_year(spa
         ingest_new_files(spark, award_files(src), f"{folder}/out", f"{folder}/state", schema)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
-    with pytest.raises(LoadError, match="could not be read whole: .*a-AWARD.xml"):
-        run_year(spark, f"{folder}/out", f"{folder}/lake", 2005, mode="landed")
-    load = run_year(spark, f"{folder}/out", f"{folder}/lake", 2005, mode="landed", max_broken=1)
-    reject = spark.read.parquet(load.rejects).first()
-    assert list(reject.reasons) == ["incomplete file"] and reject.source.endswith("a-AWARD.xml")
+    if not ended:
+        with pytest.raises(LoadError, match="could not be read whole: .*a-AWARD.xml"):
+            run_year(spark, f"{folder}/out", f"{folder}/lake", 2005, mode="landed")
+    load = run_year(spark, f"{folder}/out", f"{folder}/lake", 2005, mode="landed", max_broken=not ended)
+    assert sorted(r.PIID for r in spark.read.parquet(load.contract).collect()) == ["900", "901", "902"][:: 1 if ended else 2]
+    rejects = spark.read.parquet(load.rejects).collect()
+    assert [(list(r.reasons), r.source.endswith("a-AWARD.xml")) for r in rejects] == [(["incomplete file"], True)] * (not ended)
 
 
 def test_landed_file_that_declares_another_encoding_stops_the_year(spark, folder):
