@@ -232,9 +232,18 @@ SECTIONS = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
 OPENINGS = r"<!--|<!\[CDATA\["
 
 
-def _start_tag(row_tag: str) -> str:
-    """Pattern of a start tag that is no whole element; attributes may hold any quoted text."""
-    return rf"""<{_quoted(row_tag)}(?:\s(?:[^<>"']++|"[^"]*+"|'[^']*+')*+)?(?<!/)>"""
+def _begun(row_tag: str) -> str:
+    """Pattern of the beginning of a start tag."""
+    return rf"<{_quoted(row_tag)}(?=[\s/>])"
+
+
+def _spaced_end(row_tag: str) -> str:
+    """Pattern of an end tag with blanks, at which the text is not cut."""
+    return rf"</{_quoted(row_tag)}\s+>"
+
+
+# Pattern of the rest of a start tag: attributes may hold any quoted text.
+TAG_REST = r"""(?:\s(?:[^<>"']++|"[^"]*+"|'[^']*+')*+)?/?>"""
 
 
 def _untidy_files(pieces: DataFrame, row_tag: str, encoding: str) -> list:
@@ -242,55 +251,50 @@ def _untidy_files(pieces: DataFrame, row_tag: str, encoding: str) -> list:
     ends with an end tag (``ended``) or else with what may be a record (``torn``), or it ``declares``
     an encoding other than the given one.
 
-    One scan in column expressions; tasks send a row per split. A piece is tidy if nothing in it
-    but one start tag counts, outside of sections, which are whole; a file, if all pieces
-    are, its bytes are UTF-8, and the last piece, which no end tag follows, holds no record.
+    One scan in column expressions; tasks send a row per split. A file is tidy if no section goes
+    over an end tag or holds tags of records, and its last piece, which no end tag follows, holds no record.
     """
     try:
         plain = "<!->[]/".encode(encoding) == b"<!->[]/"
     except LookupError as unknown:
         raise ValueError(f"unknown encoding {encoding!r}") from unknown
     text = F.col("value") if plain else F.decode(F.col("value").cast("binary"), encoding)
-    tags = rf"<{_quoted(row_tag)}(?=[\s/>])|</{_quoted(row_tag)}\s+>"
-    marked = F.contains(text, F.lit("<!"))
-    rest = F.when(marked, F.regexp_replace(text, SECTIONS, ""))
-    counted, outside = F.regexp_count(text, F.lit(tags)), F.regexp_count(rest, F.lit(tags))
+    tag = F.lit(rf"{_begun(row_tag)}|{_spaced_end(row_tag)}")
+    rest = F.regexp_replace(text, SECTIONS, "")
+    sections = F.struct(
+        F.regexp_like(rest, F.lit(OPENINGS)).alias("open"),
+        (F.regexp_count(text, tag) != F.regexp_count(rest, tag)).alias("tags"),
+    )
     name = F.regexp_extract(text, r"""^\uFEFF?<\?xml[^>]*?encoding\s*=\s*["']([A-Za-z0-9._\-]+)""", 1)
     spelt = F.regexp_replace(F.lower(name), "[^a-z0-9.]+", "_")
     looked = pieces.select(
         "file", "start", "size", "id",
         F.octet_length("value").alias("bytes"),
-        counted.alias("tags"),
-        F.when(marked, outside).alias("outside"),
-        F.coalesce(F.regexp_like(rest, F.lit(OPENINGS)), F.lit(False)).alias("open"),
-        F.when(counted == 1, F.regexp_instr(text, F.lit(_start_tag(row_tag))) > 0).alias("starts"),
+        F.when(F.contains(text, F.lit("<!")), sections).alias("sections"),
+        F.when(F.contains(text, F.lit(row_tag)), F.regexp_like(text, tag)).otherwise(F.lit(False)).alias("tag"),
         F.when(F.col("start") == 0, (name != "") & ~spelt.isin(_spellings(encoding))).alias("declares"),
-        F.is_valid_utf8("value").alias("valid"),
     )
-    tags, outside = F.col("tags"), F.coalesce("outside", "tags")
-    # None, all in sections, or one that is outside and stands for a record.
-    tidy = (tags == 0) | (outside == 0) | ((tags == 1) & (outside == 1) & F.col("starts"))
     separator = len(f"</{row_tag}>".encode(encoding))
     splits = looked.groupBy("file", "start").agg(
         F.max("size").alias("size"),
         (F.sum("bytes") + separator * F.count(F.lit(1))).alias("bytes"),
-        F.bool_or("open").alias("carries"),
-        F.bool_and(tidy & F.col("valid")).alias("tidy"),
+        F.coalesce(F.bool_or("sections.open"), F.lit(False)).alias("carries"),
+        F.coalesce(F.bool_or("sections.tags"), F.lit(False)).alias("hidden"),
         F.coalesce(F.bool_or("declares"), F.lit(False)).alias("declares"),
         # The last piece of the split and whether there is a tag in it, in one number.
-        F.max(F.col("id") * 2 + (tags > 0).cast("long")).alias("last"),
+        F.max(F.col("id") * 2 + F.col("tag").cast("long")).alias("last"),
     )
     files = splits.groupBy("file").agg(
         F.bool_or("carries").alias("carries"),
-        F.bool_and("tidy").alias("tidy"),
+        F.bool_or("hidden").alias("hidden"),
         F.bool_or("declares").alias("declares"),
         (F.sum("bytes") <= F.max("size")).alias("ended"),
         ((F.max_by("last", "start") % 2 == 1) & (F.sum("bytes") > F.max("size"))).alias("torn"),
     )
-    whole = F.col("tidy") & ~F.col("carries") & ~F.col("torn") & ~F.col("declares")
+    untidy = F.col("carries") | F.col("hidden") | F.col("torn") | F.col("declares")
     if not _same_encoding("utf-8", encoding):
-        whole = F.lit(False)
-    return files.where(~whole).orderBy("file").collect()
+        untidy = F.lit(True)
+    return files.where(untidy).orderBy("file").collect()
 
 
 def _spellings(encoding: str) -> list[str]:
@@ -314,15 +318,51 @@ def _declarations(pieces: DataFrame, files: list[str], encoding: str) -> dict[st
 
 
 def _tidy_records(pieces: DataFrame, row_tag: str) -> DataFrame:
-    """Records of tidy files: what follows the start tag of a piece, and the end tag."""
-    tags = rf"<{_quoted(row_tag)}(?=[\s/>])"
-    outside = F.when(F.contains("value", F.lit("<!")), F.regexp_count(F.regexp_replace("value", SECTIONS, ""), F.lit(tags)))
-    found = pieces.select("file", "value", F.regexp_instr("value", F.lit(_start_tag(row_tag))).alias("place"))
-    return found.where((F.col("place") > 0) & (F.coalesce(outside, F.lit(1)) > 0)).select(
-        "file",
-        F.concat(F.substr("value", F.col("place")), F.lit(f"</{row_tag}>")).alias("value"),
-        F.lit(None).cast("string").alias("error"),
+    """Records of tidy files, piece by piece: no tag is in a section, and an end tag follows each
+    piece with a record in it.
+
+    Nearly all pieces hold one start tag and are a record from there. The others are taken apart
+    at their start tags: such a part is a record up to an end tag with blanks, or the start tag
+    alone if that is a whole element; the last part ends with the piece, and any other has no end.
+    """
+    end, begun = f"</{row_tag}>", _begun(row_tag)
+    start = rf"^<{_quoted(row_tag)}{TAG_REST}"
+    none = F.lit(None).cast("string")
+
+    def record(value: Column, error: Column = none) -> Column:
+        return F.struct(value.alias("value"), error.alias("error"))
+
+    def taken_apart(text: Column) -> Column:
+        # A lookahead keeps the tag; what stands before the first one is no part. Tags with
+        # something else than attributes in them are none, and belong to the part before.
+        parts = F.filter(F.split(text, rf"(?=<{_quoted(row_tag)}{TAG_REST})"), lambda part: part.rlike(start))
+
+        def one(part: Column, i: Column) -> Column:
+            tag = F.regexp_extract(part, start, 0)
+            spaced = F.regexp_extract(part, rf"(?s)^.*?{_spaced_end(row_tag)}", 0)
+            return (
+                F.when(tag.endswith("/>"), record(tag))
+                .when(spaced != "", record(spaced))
+                .when(i + 1 == F.size(parts), record(F.concat(part, F.lit(end))))
+                .otherwise(record(part, F.lit("no end tag")))
+            )
+
+        return F.transform(parts, one)
+
+    text = F.col("text")
+    valid = F.is_valid_utf8("value")
+    read = pieces.select("file", F.when(valid, F.col("value")).otherwise(F.make_valid_utf8("value")).alias("text"), valid.alias("valid"))
+    placed = read.select("*", F.regexp_instr(text, F.lit(begun)).alias("place")).where("place > 0")
+    record_text = F.substr(text, F.col("place"))
+    plain = (
+        ~F.regexp_like(F.substr(record_text, F.lit(2)), F.lit(begun))
+        & ~F.regexp_like(record_text, F.lit(_spaced_end(row_tag)))
+        & F.regexp_like(record_text, F.lit(rf"{start}(?<!/>)"))
     )
+    found = F.when(plain, F.array(record(F.concat(record_text, F.lit(end))))).otherwise(taken_apart(text))
+    each = placed.select("file", "valid", F.inline(found))
+    wrong = F.coalesce("error", F.when(~F.col("valid"), "not utf-8"))
+    return each.select("file", "value", wrong.alias("error"))
 
 
 # How a split may begin: in text, in a comment, in a CDATA section.
@@ -536,7 +576,9 @@ def parse_records(records: DataFrame, schema: T.StructType) -> DataFrame:
 
 # Fixed values, patterns of the JVM: attributes of a tag, text between tags, and the element that stands for it.
 ATTRIBUTES = r"""(<[^\s/>!?"']++)(?:\s++[^\s=>/]++\s*+=\s*+(?:"[^"]*+"|'[^']*+'))++\s*+(/?>)"""
-TEXT = r">[^<]*[^<\s][^<]*<"
+TEXT = r">\s*+[^<\s][^<]*+<"
+# An attribute that holds what ends a tag.
+CONFUSING = r"""=\s*(?:"[^"<]*>|'[^'<]*>)"""
 TEXT_ELEMENT = "_text"
 
 
@@ -551,9 +593,12 @@ def discover_schema(records: DataFrame) -> T.StructType:
     spark = records.sparkSession
     if "error" in records.columns:
         records = records.where(F.col("error").isNull())
-    bare = F.regexp_replace(F.regexp_replace("value", r"(?s)<!--.*?-->", ""), r"(?s)<!\[CDATA\[(?:.*?\S.*?)\]\]>", "x")
-    bare = F.regexp_replace(F.regexp_replace(bare, r"(?s)<!\[CDATA\[.*?\]\]>", ""), ATTRIBUTES, "$1$2")
-    marked = F.regexp_replace(bare, TEXT, f"><{TEXT_ELEMENT}/><")
+    text = F.col("value")
+    plain = F.regexp_replace(F.regexp_replace(text, r"(?s)<!--.*?-->", ""), r"(?s)<!\[CDATA\[(?:.*?\S.*?)\]\]>", "x")
+    plain = F.regexp_replace(plain, r"(?s)<!\[CDATA\[.*?\]\]>", "")
+    text = F.when(F.contains(text, F.lit("<!")), plain).otherwise(text)
+    text = F.when(F.regexp_like(text, F.lit(CONFUSING)), F.regexp_replace(text, ATTRIBUTES, "$1$2")).otherwise(text)
+    marked = F.regexp_replace(text, TEXT, f"><{TEXT_ELEMENT}/><")
     # The name of the row element does not matter to a reader of records.
     reader = spark.read.options(**XML_OPTIONS).option("rowTag", "record")
     strings = getattr(records.select(marked.alias("value"))._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
