@@ -114,6 +114,38 @@ def prefix_digits(rows: int) -> int:
     return next(d for d in range(1, 33) if rows <= 16 ** (2 * d))
 
 
+# Equal rows that one task makes out of their number at once.
+COPIES = 1 << 16
+
+
+def in_chunks(counted: DataFrame, rows: str) -> DataFrame:
+    """Rows that stand for ``rows`` equal ones, as several where these are more than ``COPIES``.
+
+    ``_part`` numbers them; ``rows`` becomes the number that each stands for.
+    """
+    most = COPIES
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({rows} - 1) div {most}")))
+    left = F.col(rows) - F.col("_part") * F.lit(most)
+    return counted.withColumn("_part", parts).withColumn(rows, F.least(F.lit(most).cast("long"), left))
+
+
+def every_copy(chunks: DataFrame, keys: Sequence[str], first: Column, rows: str, name: str) -> DataFrame:
+    """One row for each that a row of :func:`in_chunks` stands for, numbered on from ``first`` as ``name``.
+
+    The chunks of a key are dealt to all tasks before they grow.
+    """
+    parts = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = chunks.repartition(parts, F.xxhash64(*[F.col(f"`{key}`") for key in keys], F.col("_part")))
+    return dealt.withColumn(name, F.explode(F.sequence(first, first + F.col(rows) - 1))).drop("_part")
+
+
+def no_such_columns(df: DataFrame, *names: str) -> None:
+    """Raise where a table has columns that an operator makes itself."""
+    taken = [c for c in df.columns if c in names or c.startswith("_")]
+    if taken:
+        raise ValueError(f"rename the columns {taken}: the result has its own of these names")
+
+
 def running_total(
     df: DataFrame,
     group: Sequence[str],

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from contractlake.llm.common import key_digest, prefix_digits, running_total, staged
+from contractlake.llm.common import every_copy, in_chunks, key_digest, prefix_digits, running_total, staged
 
 # How many times the whole of a source the mix takes at most.
 MAX_EPOCHS = 3
@@ -82,12 +82,8 @@ def mix_sources(
     flat = documents.select("key", "source", F.coalesce("size", F.lit(0)).cast("long").alias("size"))
     if min(min(pair) for pair in schedule) <= 0:
         raise ValueError("rates must be above 0")
-    equal = staged(
-        flat.groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_hash", key_digest(F.col("key"))),
-        "mix",
-    )
+    counted = flat.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
+    equal = staged(in_chunks(counted, "_rows").withColumn("_hash", key_digest(F.col("key"))), "mix")
     targets = source_targets(
         equal.select("source", (F.col("size") * F.col("_rows")).alias("size")), weights, max_epochs
     )
@@ -98,12 +94,10 @@ def mix_sources(
     known = known.withColumn("_words", F.col("size") * F.col("_rows"))
     bucket = F.substring("_hash", 1, prefix_digits(equal.count()))
     total = running_total(
-        known, ["source_rank"], bucket, ["_hash", "key", "size"], "_words", "_before"
-    )
-    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_rows") - 1))
-    rows = total.withColumn("_copy", copies).withColumn(
-        "_before", F.col("_before") + F.col("_copy") * F.col("size")
+        known, ["source_rank"], bucket, ["_hash", "key", "size", "_part"], "_words", "_before"
     )
+    copies = every_copy(total, columns, F.lit(0).cast("long"), "_rows", "_copy")
+    rows = copies.withColumn("_before", F.col("_before") + F.col("_copy") * F.col("size"))
     demand = F.floor(F.col("target") + 0.5).cast("long")
     starts = F.transform(
         F.sequence(F.lit(0), F.lit(max_epochs)),
@@ -130,6 +124,10 @@ def in_training_order(placed: DataFrame, *keys: str) -> DataFrame:
 
 
 def training_order(mixed: DataFrame) -> DataFrame:
-    """One row per placement, sorted by position: files in sequence hold the training order."""
+    """One row per placement, sorted by position: files in sequence hold the training order.
+
+    ``mixed`` comes from :func:`mix_sources`; documents that are not read give no row, null keys
+    and equal rows stay rows, and an empty table gives an empty one.
+    """
     one = mixed.select("*", F.inline("placements")).drop("placements")
     return in_training_order(one, "key")

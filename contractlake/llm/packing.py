@@ -6,13 +6,22 @@ import bisect
 import zlib
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from contractlake.llm.common import key_digest, map_batches, prefix_digits, running_total, staged
+from contractlake.llm.common import (
+    every_copy,
+    in_chunks,
+    key_digest,
+    map_batches,
+    no_such_columns,
+    per_process,
+    prefix_digits,
+    running_total,
+    staged,
+)
 
 EOS = 2
 CAPACITY = 1024
@@ -91,9 +100,12 @@ def plan_slots(histogram: Mapping[int, int], capacity: int = CAPACITY) -> list[S
     return slots
 
 
-@lru_cache(maxsize=2)
 def _encoding(vocabulary: str, pattern: str):
-    """The vocabulary file read with the library that encodes it fastest; ids are the same."""
+    """The vocabulary file read with the library that encodes it fastest; ids are the same. Read once per process."""
+    return per_process(("encoding", vocabulary, pattern), lambda: _read_encoding(vocabulary, pattern))
+
+
+def _read_encoding(vocabulary: str, pattern: str):
     import json
 
     import tiktoken
@@ -168,8 +180,11 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     The histogram has one row per length up to the capacity, whatever the number of pieces; the
     plan made from it is of that order. Pieces get a rank within their length, over buckets of
     their digest so that no length is gathered in one task, and join the plan on length and rank.
-    Equal pieces are counted and told apart by rank only. Columns must not start with ``_``.
+    Equal pieces are counted and told apart by rank only; however many there are, all tasks deal them out.
+    Null keys and equal pieces stay pieces, an empty table gives an empty one. Columns named
+    ``sequence_id``, ``offset`` or with a leading underscore are an error.
     """
+    no_such_columns(pieces, "sequence_id", "offset")
     columns = pieces.columns
     histogram = {r.length: r["count"] for r in pieces.groupBy("length").count().collect()}
     plan = [
@@ -181,11 +196,12 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
     digits = prefix_digits(sum(histogram.values()))
     equal = pieces.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
+    equal = in_chunks(equal, "_rows")
     equal = staged(equal.withColumn("_digest", key_digest(F.concat_ws(" ", "key", *columns))), "pieces")
     ranked = running_total(
-        equal, ["length"], F.substring("_digest", 1, digits), ["_digest", *columns], "_rows", "_first"
+        equal, ["length"], F.substring("_digest", 1, digits), ["_digest", *columns, "_part"], "_rows", "_first"
     )
-    each = ranked.select(*columns, F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_rows") - 1)).alias("_rank"))
+    each = every_copy(ranked, columns, F.col("_first"), "_rows", "_rank").select(*columns, "_rank")
     # Bounded by the capacity: at most a few rows per length.
     found = each.join(F.broadcast(planned), "length")
     return found.where("_rank >= _from AND _rank < _to").select(

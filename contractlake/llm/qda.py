@@ -95,7 +95,11 @@ class QdaModel:
 
 
 def document_statistics(documents: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``key`` and ``statistics``, a row of numbers per text; nothing is shuffled."""
+    """``key`` and ``statistics``, a row of numbers per text; nothing is shuffled.
+
+    Null and empty texts have the statistics of nothing, which are finite. Rows stay one to one, with
+    null and repeated keys; an empty table gives an empty one; other columns are not read.
+    """
     named = documents.select(F.col(f"`{key}`").alias("key"), F.col("text").alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -146,7 +150,7 @@ def fit_statistics(
     counts once per row. Each class covariance is drawn to the pooled one, and that to its
     diagonal, by ``shrinkage``, which also keeps it invertible when a class has few documents.
     Tasks send sums of products, 12 by 12 numbers per class, however many rows there are. Both
-    classes must occur.
+    classes must occur, but that a table without documents has a model by which all texts are alike.
     """
     known = labels.where(F.col("quality").isin(0, 1) & F.col(key).isNotNull())
     rows = found.join(known.select(key, F.col("quality").cast("int").alias("quality")), key)
@@ -157,6 +161,8 @@ def fit_statistics(
     )
     sums = {row.quality: np.array(row.products).reshape(STATISTICS + 1, -1) for row in added.collect()}
     counts = {c: sums[c][-1, -1] if c in sums else 0 for c in (0, 1)}
+    if max(counts.values()) == 0 and found.isEmpty():
+        return QdaModel((np.zeros(STATISTICS),) * 2, (np.eye(STATISTICS),) * 2, (0.0, 0.0), 0.0)
     if min(counts.values()) < 2:
         raise ValueError(f"both classes need labelled documents, got {counts}")
     means = {c: sums[c][-1, :-1] / counts[c] for c in (0, 1)}
@@ -187,11 +193,13 @@ def score_column(model: QdaModel, text: Column) -> Column:
 
 
 def score_statistics(model: QdaModel, found: Column) -> Column:
-    """The score of each row of statistics."""
+    """The score of each row of statistics, null where there are none."""
 
     @pandas_udf("double")
     def score(rows: pd.Series) -> pd.Series:
-        return pd.Series(model.scores(np.array(rows.tolist()).reshape(-1, STATISTICS)))
+        known = rows.notna()
+        scores = model.scores(np.array(rows[known].tolist()).reshape(-1, STATISTICS))
+        return pd.Series(scores, rows.index[known]).reindex(rows.index)
 
     return score(found)
 

@@ -82,12 +82,9 @@ _NAMES = ("short", "repeats", "symbols", "dup_lines")
       SELECT doc_id, source, len(w)::bigint AS n_words,
         coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint AS word_chars,
         len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]'))::bigint AS n_symbols,
-        len(list_filter(lines, lambda x: regexp_matches(x, '[^ 	-
-]')))::bigint AS n_lines,
-        len(list_filter(lines, lambda x: regexp_matches(x, '[^ 	-
-]')))::bigint
-          - len(list_distinct(list_filter(lines, lambda x: regexp_matches(x, '[^ 	-
-]'))))::bigint AS n_dup_lines,
+        len(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))::bigint AS n_lines,
+        len(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))::bigint
+          - len(list_distinct(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))))::bigint AS n_dup_lines,
         coalesce(n_repeat_words, 0)::bigint AS n_repeat_words
       FROM words LEFT JOIN again USING (row)
     ), flags AS (
@@ -176,8 +173,9 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
-# Rules of the URL query, and the small labelled table its model is fitted on: hosts with a word
-# that sells something or tracks someone, and ordinary hosts, under the same subdomains and paths.
+# Rules of the URL query, and the small labelled table its model is fitted on: hosts with words
+# that sell something or track someone, and ordinary hosts, under the same subdomains and paths. None
+# of them is a host of the given pages, which are there to be judged.
 URL_RULES = [
     Rule("org", "/", "allow"),
     Rule("example.org", "/es/", "block"),
@@ -186,14 +184,16 @@ URL_RULES = [
     Rule("com", "/de/", "block"),
 ]
 BLOCK_HOSTS = (
-    "spam-farm casino-win cheap-pills free-bets adult-x ads-track spam-links casino-royal "
-    "win-big-casino pills-online cheap-meds free-spins bets-now adult-cams track-ads click-ads "
-    "best-casino link-farm spam-blast cheap-viagra sports-bets adult-video popup-ads ad-tracker"
+    "casino-royal best-casino win-big-casino casinos-online poker-win winner-poker jackpot-win slots-online free-slots "
+    "free-spins spin-free bets-now sports-bets bets-online best-bets betting-free lottery-winner cheap-meds cheap-viagra "
+    "cheap-loans cheap-replica pills-online diet-pills pills-now pharma-pills free-pills adult-cams adult-video adult-chat xxx-adult "
+    "ads-click click-ads popup-ads ads-server my-ads track-click track-user ad-tracker web-track clicks-track "
+    "spam-links spam-blast spam-mail email-spam link-farm content-farm farm-links click-farm"
 ).split()
 ALLOW_HOSTS = (
-    "therth ththing tionsh thther ththan ththre thernt tionble therou news weather library school "
-    "museum gardening history science cooking travel music thonth ththes river mountain research "
-    "university parliament health sports theatre painting railway harbour village"
+    "news weather library school museum gardening history science cooking travel music river mountain research "
+    "university parliament health sports theatre painting railway harbour village thand thingth "
+    "tionth tionand tioner thionen herton inghere theand enthe erthion ontion reshth ndther therein thenth"
 ).split()
 
 
@@ -294,6 +294,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
     ), bits AS (
       SELECT page_id, payload_bytes, max(page_id) OVER (PARTITION BY hex) AS owner,
+        row_number() OVER (PARTITION BY hex ORDER BY page_id DESC NULLS LAST) AS place,
         list_reduce(list_transform(range(40), lambda i: lpad(bin(('0x' || substr(hex, i + 1, 1))::bigint), 4, '0')),
                     lambda a, b: a || b) AS bits
       FROM digests
@@ -302,26 +303,27 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
       list_reduce(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
         list_reduce(list_transform(range(5), lambda j: substr(bits, 5 * i + j + 1, 1)::bigint), lambda a, b: 2 * a + b) + 1, 1)),
         lambda a, b: a || b) AS payload_digest,
-      CASE WHEN owner = page_id THEN 'response' ELSE 'revisit' END AS record_type,
-      CASE WHEN owner <> page_id THEN owner END AS refers_to,
+      CASE WHEN place = 1 OR page_id = owner THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN place > 1 AND page_id IS DISTINCT FROM owner THEN owner END AS refers_to,
       true AS has_request
     FROM bits
     """
 )
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page written to archives and read back, one row per capture."""
+    """Every page written to archives and read back, one row per capture; a null page_id is the smallest."""
     path = scratch_dir(spark, "warc")
     captures = table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("key"), "url", F.col("html").alias("payload")
     )
     write_warc(captures, path)
     key = F.regexp_extract(F.col("metadata.payload").cast("string"), r"capture-key: ([^\r]*)", 1)
-    found = assemble(read_warc(spark, path, payloads=False))
+    found = assemble(read_warc(spark, path), strict=True)
+    held = F.octet_length("main.payload").cast("long")
     flat = staged(
-        found.withColumn("_key", key).select(
-            "capture_id", F.expr("try_cast(_key AS long)").alias("page_id"), "main.record_type",
-            "main.payload_digest", "main.payload_bytes", F.col("request").isNotNull().alias("has_request"),
-            F.col("original.record_id").alias("original"),
+        found.select(
+            "capture_id", key.try_cast("long").alias("page_id"),
+            "main.record_type", "main.payload_digest", held.alias("payload_bytes"),
+            F.col("request").isNotNull().alias("has_request"), F.col("original.record_id").alias("original"),
         ),
         "captures",
     )
@@ -329,13 +331,9 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("capture_id").alias("original"), F.col("page_id").alias("refers_to"),
         F.col("payload_bytes").alias("original_bytes"),
     )
-    # In the SQL a null page_id is neither its payload's owner nor another: a revisit that names no
-    # page, also where the archive holds the payload under it.
-    named = F.col("page_id").isNotNull()
     return flat.join(originals, "original", "left").select(
         "page_id", F.coalesce("original_bytes", "payload_bytes").alias("payload_bytes"), "payload_digest",
-        F.when(named, F.col("record_type")).otherwise("revisit").alias("record_type"),
-        F.when(named, F.col("refers_to")).alias("refers_to"), "has_request",
+        "record_type", "refers_to", "has_request",
     )
 
 

@@ -6,7 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from contractlake.llm.common import key_digest, prefix_digits, running_total, staged
+from contractlake.llm.common import (
+    every_copy,
+    in_chunks,
+    key_digest,
+    no_such_columns,
+    prefix_digits,
+    running_total,
+    staged,
+)
 
 # Fixed values of the mix: a prime under 2**31, so that squares fit a long, and an odd step.
 PRIME = 2147483647
@@ -41,7 +49,11 @@ def shard_of(key: Column, weights: Sequence[float]) -> Column:
 def assign_shards(
     df: DataFrame, key: str, weights: Sequence[float], name: str = "shard"
 ) -> DataFrame:
-    """Add the shard of each record; a column of that name is replaced. Nothing is moved."""
+    """Add the shard of each record; a column of that name is replaced. Nothing is moved.
+
+    A null key has the shard of the text ``null``; equal rows stay rows and share a shard; an empty
+    table gives an empty one.
+    """
     return df.withColumn(name, shard_of(F.col(f"`{key}`"), weights))
 
 
@@ -50,20 +62,22 @@ def shard_slots(records: DataFrame, key: str, shards: int) -> DataFrame:
     ``grown_shard`` (the shard if there were one more), for equal shards.
 
     Equal records are counted before they are moved and told apart by slot only, so a key that
-    holds a third of all rows costs one row. Slots go by the digest of the key; its first digits
-    are buckets, so that no shard is gathered in one task. Null keys share a shard; an empty table gives an empty one. ``records`` must not
-    have columns named ``shard``, ``slot``, ``grown_shard`` or with a leading underscore.
+    holds a third of all rows costs a row per 65,536 of them, and its rows come out of all tasks. Slots go by the digest of
+    the key; its first digits are buckets, so that no shard is gathered in one task. Null keys share
+    a shard; an empty table gives an empty one. Columns named ``shard``, ``slot``, ``grown_shard`` or with
+    a leading underscore are an error.
     """
+    no_such_columns(records, "shard", "slot", "grown_shard")
     columns = records.columns
-    placed = records.withColumn("shard", shard_of(F.col(key), [1.0] * shards)).withColumn(
-        "grown_shard", shard_of(F.col(key), [1.0] * (shards + 1))
+    placed = records.withColumn("shard", shard_of(F.col(f"`{key}`"), [1.0] * shards)).withColumn(
+        "grown_shard", shard_of(F.col(f"`{key}`"), [1.0] * (shards + 1))
     )
-    placed = placed.groupBy(*columns, "shard", "grown_shard").agg(F.count(F.lit(1)).alias("_rows"))
-    placed = staged(placed, "shards")
+    placed = placed.groupBy(*[f"`{c}`" for c in columns], "shard", "grown_shard").agg(F.count(F.lit(1)).alias("_rows"))
+    placed = staged(in_chunks(placed, "_rows"), "shards")
     digits = prefix_digits(placed.count())
     numbered = running_total(
-        placed.withColumn("_digest", key_digest(F.col(key))),
-        ["shard"], F.substring("_digest", 1, digits), ["_digest", *columns], "_rows", "_first",
+        placed.withColumn("_digest", key_digest(F.col(f"`{key}`"))),
+        ["shard"], F.substring("_digest", 1, digits), ["_digest", *[f"`{c}`" for c in columns], "_part"], "_rows", "_first",
     )
-    slots = F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_rows") - 1))
-    return numbered.select(*columns, "shard", slots.alias("slot"), "grown_shard")
+    slots = every_copy(numbered, columns, F.col("_first"), "_rows", "slot")
+    return slots.select(*[F.col(f"`{c}`") for c in columns], "shard", "slot", "grown_shard")

@@ -1,9 +1,9 @@
 """Suffix-array dedup: text that repeats anywhere in the corpus, by longest previous factors.
 
 A factor is the string of ``length`` bytes that starts at a position. A position repeats an
-earlier one if its longest previous factor has that length, and the previous and next smaller
-positions in suffix order say so: in the run of suffixes that begin with the same ``length``
-bytes, sorted by position, every row but the first has an earlier one before it.
+earlier one if its longest previous factor has that length. The nearest suffixes before and after
+it in suffix order that lie earlier (the previous and next smaller positions) share most with it
+of all that do, and what they share is that factor; lengths are told up to ``length``.
 
 Suffixes of the whole corpus are too many to sort at once and most meet no other. So each factor
 is first put under its anchor, the gram with the least hash inside it: equal factors have equal
@@ -156,25 +156,88 @@ def _bytes_of(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[dict]:
         yield held
 
 
-def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
-    """The rank of each suffix among all by its first ``length`` bytes; equal ones share a rank.
+def suffix_ranks(data: np.ndarray, length: int) -> list[tuple[int, np.ndarray]]:
+    """The rank of each suffix among all by its first bytes; equal ones share a rank. For 7, 14, 28
+    and so on bytes, and last for ``length``.
 
-    Ranks by 8 bytes, then by twice as many from two ranks at a time. Beyond the end there is
+    Ranks by 7 bytes, then by twice as many from two ranks at a time. Beyond the end there is
     nothing, which ranks lowest.
     """
     n = len(data)
+    known = min(7, length)
     padded = np.append(data.astype(np.uint64) + np.uint64(1), np.zeros(8, np.uint64))
     key = np.zeros(n, np.uint64)
-    for i in range(7):  # 9 bits each: 256 bytes and the end
+    for i in range(known):  # 9 bits each: 256 bytes and the end
         key = (key << np.uint64(9)) | padded[i : i + n]
-    rank, known = np.unique(key, return_inverse=True)[1], 7
+    rank = np.unique(key, return_inverse=True)[1].astype(np.int32)
+    levels = [(known, rank)]
     while known < length:
         ahead = min(known, length - known)
         later = np.zeros(n, np.int64)
-        later[: n - ahead] = rank[ahead:] + 1
-        rank = np.unique(rank * np.int64(n + 1) + later, return_inverse=True)[1]
+        later[: n - ahead] = rank[ahead:].astype(np.int64) + 1
+        rank = np.unique(rank * np.int64(n + 1) + later, return_inverse=True)[1].astype(np.int32)
         known += ahead
-    return rank
+        levels.append((known, rank))
+    return levels
+
+
+def shared_length(levels: list[tuple[int, np.ndarray]], data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many first bytes the suffixes at ``a`` and at ``b`` share, at most as many as are ranked."""
+    length = levels[-1][0]
+    found = np.zeros(len(a), np.int64)
+    for known, rank in [*levels[::-1], *[(1, data)] * 6]:
+        ahead = np.minimum(np.stack([a, b]) + found, len(data) - 1)
+        same = (found + known <= length) & (rank[ahead[0]] == rank[ahead[1]])
+        found += np.where(same, known, 0)
+    return found
+
+
+def smaller_before(values: np.ndarray) -> np.ndarray:
+    """For each value the nearest place before it with a smaller one, -1 where there is none.
+
+    By a tree of least values: up from each place until a left neighbour's is smaller, then down
+    to the right-most place in it; all places at once, a step per level.
+    """
+    most = np.iinfo(values.dtype).max
+    levels = [values]
+    while len(levels[-1]) > 1:
+        if len(levels[-1]) % 2:
+            levels[-1] = np.append(levels[-1], most)
+        levels.append(np.minimum(levels[-1][::2], levels[-1][1::2]))
+    place = np.arange(len(values), dtype=np.int32)
+    node, value = place, values
+    turns = []
+    for least in levels[:-1]:
+        ok = (node & 1).astype(bool)
+        ok[ok] = least[node[ok] - 1] < value[ok]
+        turns.append((place[ok], node[ok] - 1))
+        place, node, value = place[~ok], node[~ok] >> 1, value[~ok]
+    found = np.full(len(values), -1, np.int32)
+    who, at = np.zeros(0, np.int32), np.zeros(0, np.int32)
+    for level in range(len(turns) - 1, -1, -1):
+        who, at = np.append(who, turns[level][0]), np.append(at, turns[level][1])
+        if level:
+            right = 2 * at + 1
+            at = np.where(levels[level - 1][right] < values[who], right, right - 1).astype(np.int32)
+    found[who] = at
+    return found
+
+
+def longest_previous_factors(
+    levels: list[tuple[int, np.ndarray]], data: np.ndarray, at: np.ndarray, when: np.ndarray
+) -> np.ndarray:
+    """Per suffix, in suffix order, the length of its longest factor that an earlier one begins with,
+    at most as many bytes as are ranked.
+
+    ``at`` is where a suffix lies in ``data``, ``when`` its place in the order that says what is
+    earlier. Of all earlier suffixes, those before and after it in suffix order that are nearest
+    share most with it.
+    """
+    found = np.zeros(len(at), np.int64)
+    for near in (smaller_before(when), len(when) - 1 - smaller_before(when[::-1])[::-1]):
+        has = (near >= 0) & (near < len(when))
+        found[has] = np.maximum(found[has], shared_length(levels, data, at[has], at[near[has]]))
+    return found
 
 
 def _solve_block(rows: list[tuple], length: int, first_stays: bool) -> tuple[list, list]:
@@ -190,19 +253,22 @@ def _solve_block(rows: list[tuple], length: int, first_stays: bool) -> tuple[lis
     data = np.zeros(offsets[-1], np.int64)
     for offset, row in zip(offsets, rows):
         data[offset : offset + len(row[-1])] = np.frombuffer(row[-1], np.uint8).astype(np.int64) + 1
-    rank = suffix_ranks(data, length)
+    levels = suffix_ranks(data, length)
     counts = sizes - (length - 1)
     owner = np.repeat(np.arange(len(rows)), counts)
     shift = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    rank = rank[offsets[:-1][owner] + shift]
+    at = offsets[:-1][owner] + shift
     order, rid, first = (np.array([r[i] for r in rows]) for i in range(3))
     place = first[owner] + shift
-    by = np.lexsort((place, rid[owner], order[owner], rank))
-    # The suffix before with the same bytes is the previous smaller position, the next one follows.
-    same = rank[by][1:] == rank[by][:-1]
-    previous, following = np.append(False, same), np.append(same, False)
+    when = np.empty(len(owner), np.int32)
+    when[np.lexsort((place, rid[owner], order[owner]))] = np.arange(len(owner), dtype=np.int32)
+    by = np.lexsort((when, levels[-1][1][at]))
+    earlier = longest_previous_factors(levels, data, at[by], when[by]) == length
+    later = np.zeros(len(by), bool)
+    if not first_stays:  # the same read backwards
+        later = longest_previous_factors(levels, data, at[by], -when[by]) == length
     hit = np.zeros(len(by), bool)
-    hit[by] = previous if first_stays else previous | following
+    hit[by] = earlier | later
     edges = np.flatnonzero(np.diff(np.concatenate([[0], hit, [0]]).astype(np.int8)))
     found = []
     for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
@@ -213,8 +279,9 @@ def _solve_block(rows: list[tuple], length: int, first_stays: bool) -> tuple[lis
             a = end
     crowded = np.array([r[3] for r in rows])
     kinds = []
-    heads = by[~previous & crowded[owner[by]]]
-    alone = dict(zip(heads.tolist(), (~following[~previous & crowded[owner[by]]]).tolist()))
+    first_of_kind = ~earlier & crowded[owner[by]]
+    heads = by[first_of_kind]
+    alone = dict(zip(heads.tolist(), (~later[first_of_kind]).tolist()))
     for i in heads.tolist():
         own, at = owner[i], int(shift[i])
         digest = xxhash.xxh3_128_digest(rows[own][-1][at : at + length])

@@ -87,10 +87,15 @@ def _capture(row: dict) -> tuple[str, str, str]:
     )
 
 
+# Bytes of a file before it is packed, about: one task reads a file, and holds it packed.
+FILE_BYTES = 1 << 26
+
+
 def write_warc(
     captures: DataFrame, path: str, min_payload: int = 0, records_per_file: int = 6_000
 ) -> None:
-    """Write columns ``key``, ``url``, ``payload`` (text) as gzipped WARC files of bounded size.
+    """Write columns ``key``, ``url``, ``payload`` (text) as gzipped WARC files of bounded size: at
+    most ``records_per_file`` records, and fewer where payloads are large on average.
 
     Every row becomes a response or revisit record with its request and metadata record, under ids
     of its own: null and repeated keys, and rows that are equal in all columns, stay as many records
@@ -124,6 +129,8 @@ def write_warc(
         "key", "url", "payload", "row",
         F.when((F.col("_bytes") >= min_payload) & ~holds, F.col("_owner")).alias("same_as"),
     )
+    payloads = rows.agg(F.avg("_bytes")).first()[0] or 0
+    records_per_file = max(3, min(records_per_file, int(3 * FILE_BYTES / (payloads + 1_500))))
     writer = map_batches(marked, _write_rows, "value string").write
     writer.option("lineSep", "\r\n\r\n").option("compression", "gzip").option(
         "maxRecordsPerFile", records_per_file
@@ -248,30 +255,36 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
     return map_batches(files, lambda batches: _read_rows(batches, payloads), RECORD)
 
 
-def assemble(records: DataFrame) -> DataFrame:
+def assemble(records: DataFrame, strict: bool = False) -> DataFrame:
     """One nested row per capture: ``capture_id``, ``main``, ``request``, ``metadata``, ``original``.
 
-    ``main`` is a response or revisit record. A request or metadata record belongs to the capture
-    it names in its concurrent-to, a request also to the one whose main record names the request,
+    ``main`` is a response or revisit record, with its payload. A request or metadata record belongs
+    to the capture it names in its concurrent-to, a request also to the one whose main record names the request,
     and a metadata record to the capture of the request it names. ``original`` is the response a
-    revisit refers to. Records with the same id are one record; of several requests or metadata
+    revisit refers to, without payload and headers, which are in that response's own row. Records with
+    the same id are one record; of several requests or metadata
     records of a capture the one with the least id is taken; records that name no capture that is
-    there are left out, as are rows without an id. Missing parts are null. All joins are on ids;
-    the records are written to the shared folder once, so archives are parsed once.
+    there are left out. So are rows without an id, which tell of archives that break off; they and
+    other records with an ``error`` are an error with ``strict``. Missing parts are null, and no
+    record gives no row. All joins are on ids; the records are written to the shared folder once, so
+    archives are parsed once, and a payload is moved once, to the parts of its capture.
     """
+    all_records = staged(records, "records")
+    if strict:
+        wrong = [row.error for row in all_records.where("error IS NOT NULL").select("error").limit(5).collect()]
+        if wrong:
+            raise ValueError(f"archives that cannot be read whole: {'; '.join(wrong)}")
+    known = all_records.where(F.col("record_id").isNotNull())
     names = [n for n in records.columns if n not in ("record_id", "concurrent_to")]
-    known = staged(records.where(F.col("record_id").isNotNull()).dropDuplicates(["record_id"]), "records")
-    mains = known.where(F.col("record_type").isin("response", "revisit"))
+    light = [n for n in names if n not in ("payload", "headers", "http_head")]
+    is_main = F.col("record_type").isin("response", "revisit")
+    mains = known.where(is_main)
 
     def part(kind: str) -> DataFrame:
         return known.where(F.col("record_type") == kind).select(
             F.col("record_id").alias("part_id"), "concurrent_to", F.struct("record_id", *names).alias("part")
         )
 
-    def first(found: DataFrame, name: str) -> DataFrame:
-        # Ids only are aggregated; the chosen part is joined to its id.
-        return found.groupBy("capture_id").agg(F.min("part_id").alias(f"{name}_id"))
-
     ids = mains.select(F.col("record_id").alias("capture_id"), F.col("concurrent_to").alias("names"))
     requests, metadata = part("request"), part("metadata")
     to_main = requests.join(ids, F.col("concurrent_to") == F.col("capture_id")).select("capture_id", "part_id")
@@ -281,18 +294,18 @@ def assemble(records: DataFrame) -> DataFrame:
     via = metadata.join(
         owners.withColumnRenamed("part_id", "request_id"), F.col("concurrent_to") == F.col("request_id")
     ).select("capture_id", "part_id")
-    chosen = mains.select(F.col("record_id").alias("capture_id"), F.struct("record_id", *names).alias("main"))
-    for name, found, parts in (
-        ("request", owners, requests),
-        ("metadata", meta.union(via), metadata),
-    ):
-        one = first(found, name).join(
-            parts.select(F.col("part_id").alias(f"{name}_id"), F.col("part").alias(name)), f"{name}_id"
-        )
-        chosen = chosen.join(one.drop(f"{name}_id"), "capture_id", "left")
+    # Small parts first; the main records, which hold the payloads, are joined to them last.
     originals = mains.where("record_type = 'response'").select(
-        F.col("record_id").alias("_original"), F.struct("record_id", *names).alias("original")
+        F.col("record_id").alias("refers_to_id"), F.struct("record_id", *light).alias("original")
     )
-    return chosen.join(
-        originals, F.col("main.refers_to_id") == F.col("_original"), "left"
-    ).drop("_original")
+    parts = mains.where("refers_to_id IS NOT NULL").select(F.col("record_id").alias("capture_id"), "refers_to_id")
+    parts = parts.join(originals.dropDuplicates(["refers_to_id"]), "refers_to_id").select("capture_id", "original")
+    parts = parts.dropDuplicates(["capture_id"])
+    for name, found, pool in (("request", owners, requests), ("metadata", meta.union(via), metadata)):
+        # Ids only are aggregated; the chosen part is joined to its id.
+        one = found.groupBy("capture_id").agg(F.min("part_id").alias("part_id"))
+        pool = pool.select("part_id", F.col("part").alias(name)).dropDuplicates(["part_id"])
+        parts = parts.join(one.join(pool, "part_id").drop("part_id"), "capture_id", "full")
+    chosen = mains.select(F.col("record_id").alias("capture_id"), F.struct("record_id", *names).alias("main"))
+    whole = chosen.join(parts, "capture_id", "left").dropDuplicates(["capture_id"])
+    return whole.select("capture_id", "main", "request", "metadata", "original")

@@ -135,7 +135,7 @@ def test_mix_stage(stages):
         assert r["n_chars"] == len(r["text"])
     targets = plain_targets(dict(sizes), (5, 2, 1))
     assert all(abs(given[s] - t) <= 0.5 for s, t in targets.items())
-    assert max(times.values()) <= 4
+    assert max(times.values()) <= 3
 
 
 def test_pack_stage(stages):
@@ -148,10 +148,10 @@ def test_pack_stage(stages):
 
 def test_stages_keep_columns_and_stand_awkward_rows(spark, crowded):
     docs = crowded
-    for name, stage in corpus_pipeline.STAGES[1:]:
+    for name, stage in corpus_pipeline.STAGES:
         found = stage(spark, docs, SF_DIR)
         rows = found.collect()
-        assert rows, name
+        assert rows or name == "quality", name
         if name != "pack":
             assert found.columns == docs.columns
             assert [f.dataType for f in found.schema] == [f.dataType for f in docs.schema]

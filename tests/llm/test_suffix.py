@@ -5,7 +5,14 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from contractlake.llm.suffix import merged, remove_repeats, suffix_ranks, whole_characters
+from contractlake.llm.suffix import (
+    longest_previous_factors,
+    merged,
+    remove_repeats,
+    smaller_before,
+    suffix_ranks,
+    whole_characters,
+)
 
 SCHEMA = "doc_id long, text string"
 
@@ -85,12 +92,48 @@ def test_rank_orders_by_prefix():
     data = np.frombuffer(b"banana_bandana_banana", np.uint8).astype(np.int64) + 1
     text = bytes(data.astype(np.uint8) - 1)
     for length in (1, 3, 7, 8, 15):
-        rank = suffix_ranks(data, length) if length >= 7 else None
-        if rank is None:
-            continue
-        prefixes = [text[i : i + length] for i in range(len(text))]
-        known = sorted(set(prefixes))
-        assert rank.tolist() == [known.index(p) for p in prefixes]
+        levels = suffix_ranks(data, length)
+        assert levels[-1][0] == length
+        for size, rank in levels:
+            prefixes = [text[i : i + size] for i in range(len(text))]
+            known = sorted(set(prefixes))
+            assert rank.tolist() == [known.index(p) for p in prefixes]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 17, 64, 300])
+def test_smaller_before(n):
+    rng = np.random.default_rng(n)
+    for values in (rng.permutation(n), np.arange(n), np.arange(n)[::-1], -rng.permutation(n)):
+        values = values.astype(np.int32)
+        want = [max((j for j in range(i) if values[j] < values[i]), default=-1) for i in range(n)]
+        assert smaller_before(values).tolist() == want
+
+
+def shared(a, b, most):
+    n = 0
+    while n < min(len(a), len(b), most) and a[n] == b[n]:
+        n += 1
+    return n
+
+
+@pytest.mark.parametrize("length", [3, 7, 20, 61, 200])
+@pytest.mark.parametrize("letters", [1, 2, 4, 200])
+def test_longest_previous_factors(length, letters):
+    """Equal to comparing every suffix with all earlier ones, on random bytes with copies in them."""
+    rng = random.Random(length * letters)
+    text = bytes(rng.randrange(letters) for _ in range(300))
+    text += text[40:160] + bytes(rng.randrange(letters) for _ in range(50)) + text[40:300]
+    data = np.append(np.frombuffer(text, np.uint8).astype(np.int64) + 1, np.zeros(1, np.int64))
+    levels = suffix_ranks(data, length)
+    places = np.arange(len(text) - length + 1)
+    for order in (places, rng.sample(places.tolist(), len(places))):
+        when = np.empty(len(places), np.int32)
+        when[order] = np.arange(len(places))
+        by = np.lexsort((when, levels[-1][1][places]))
+        found = longest_previous_factors(levels, data, places[by], when[by])
+        for place, n in zip(by.tolist(), found.tolist()):
+            best = max((shared(text[place:], text[other:], length) for other in places if when[other] < when[place]), default=0)
+            assert n == best
 
 
 def test_spans():

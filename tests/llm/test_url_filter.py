@@ -1,8 +1,11 @@
+import math
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from contractlake.llm.queries import URL_RULES, labelled_urls
-from contractlake.llm.url_filter import fit_urls, host_of, judge_urls, path_of
+from contractlake.llm.queries import ALLOW_HOSTS, BLOCK_HOSTS, URL_RULES, labelled_urls
+from contractlake.llm.url_filter import REGULARISATION, fit_urls, gram_buckets, host_of, judge_urls, path_of
 
 
 def plain_parts(url):
@@ -45,6 +48,45 @@ def test_parts_rules_and_verdicts(spark, model):
         assert got[i].verdict == (rule.verdict if rule else learned)
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_hosts_of_the_tables_are_not_in_the_labels(spark, model, sf):
+    """The given pages are the held-out set: which of their hosts the model blocks by itself."""
+    pages = spark.read.parquet(f"/root/testdata/{sf}/pages.parquet")
+    host = host_of(F.col("url"))
+    hosts = {r[0] for r in pages.select(F.regexp_extract(host, r"([^.]+)\.example\.[a-z]+$", 1)).distinct().collect()}
+    assert not hosts & {*BLOCK_HOSTS, *ALLOW_HOSTS}
+    spam = F.regexp_extract(host, r"([^.]+)\.example\.[a-z]+$", 1).rlike("-")
+    rates = pages.groupBy(spam.alias("spam")).agg(F.avg((model.score(host, path_of(F.col("url"))) >= 0.5).cast("double")).alias("blocked"))
+    rates = {r.spam: r.blocked for r in rates.collect()}
+    assert rates[True] >= 0.85 and rates[False] <= 0.02
+
+
+def test_score_is_the_plain_logistic_sum(spark, model):
+    """The grams cut and summed one by one; their buckets from a table of single grams."""
+    urls = [u for u in URLS if len(u or "") < 100]
+    texts = ["^{}${}$".format(*plain_parts(u)) for u in urls]
+    grams = [[t[i : i + 4] for i in range(max(len(t) - 3, 1))] for t in texts]
+    known = spark.createDataFrame([(g,) for g in sorted({g for own in grams for g in own})], "gram string")
+    bucket = {r.gram: r.b for r in known.select("gram", F.pmod(F.xxhash64("gram"), F.lit(2048)).alias("b")).collect()}
+    frame = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    got = {r.page_id: r.score for r in judge_urls(frame, "page_id", [], model).collect()}
+    for i, own in enumerate(grams):
+        margin = model.intercept + sum(model.weights[bucket[g]] for g in own)
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-margin)), rel=1e-9)
+
+
+def test_fit_is_the_least_of_the_penalised_loss(spark, model):
+    """At the fitted weights the gradient of the plain loss is nearly nothing."""
+    rows = [r.asDict() for r in labelled_urls(spark).select("block", gram_buckets(host_of(F.col("url")), path_of(F.col("url"))).alias("g")).collect()]
+    x = np.zeros((len(rows), 2048))
+    for i, r in enumerate(rows):
+        np.add.at(x[i], r["g"], 1)
+    y = np.array([r["block"] for r in rows])
+    away = 1 / (1 + np.exp(-(x @ np.array(model.weights) + model.intercept))) - y
+    gradient = x.T @ away / len(rows) + REGULARISATION * np.array(model.weights)
+    assert np.abs(gradient).max() < 2e-3 and abs(away.mean()) < 2e-3
+
+
 def test_model_tells_hosts_it_has_not_seen(spark, model):
     urls = [("http://www.royal-casino.example.net/en/5", 1), ("http://m.free-bets.example.net/de/8.html", 1),
             ("http://www.mountain-library.example.net/en/5", 0), ("http://theron.example.net/fr/12", 0)]
