@@ -374,3 +374,44 @@ def index_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
     block = F.floor(F.col("s_suppkey") / PAGE_LINKS).cast("string")
     url = F.concat(F.lit(f"{SITE}/b"), block, F.lit("/")).alias("url")
     return table(spark, sf_dir, "supplier").select(url).distinct()
+
+
+def graph_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored pages ``(url, html)``, one per supplier key: links down a tree of three branches, up again,
+    across, and to an archive; so pages are linked in circles, and the deepest lie as many levels
+    down as the tree has."""
+    suppliers = table(spark, sf_dir, "supplier")
+    key = F.col("s_suppkey")
+    most = suppliers.agg(F.max(key).alias("most"))
+    # One row, the largest key, beside every supplier.
+    rows = suppliers.select(key).join(F.broadcast(most))
+
+    def anchor(to: Column, label: Column) -> Column:
+        return F.concat(F.lit('<li><a href="p'), to.cast("string"), F.lit('.html">'), label, F.lit("</a></li>"))
+
+    down = F.filter(F.transform(F.array(*[F.lit(i) for i in (-1, 0, 1)]), lambda i: 3 * key + i), lambda c: (c <= F.col("most")) & (c > 1))
+    links = F.concat(
+        F.transform(down, lambda c: anchor(c, F.concat(F.lit("F"), c.cast("string")))),
+        F.array(
+            anchor(F.floor((key + 1) / 3), F.lit("UP")),
+            anchor((key * 7) % F.col("most") + 1, F.lit("ACROSS")),
+            anchor(key + 1, F.lit("next page")),
+            F.concat(F.lit('<li><a href="a'), key.cast("string"), F.lit('.zip">ZIP</a></li>')),
+        ),
+    )
+    html = F.concat(F.lit("<html><body><ul>"), F.array_join(links, "\n"), F.lit("</ul></body></html>"))
+    return rows.select(F.concat(F.lit(f"{SITE}/g/p"), key.cast("string"), F.lit(".html")).alias("url"), html.alias("html"))
+
+
+def orders_with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their lines as a repeated element, and in each line its flags as another one."""
+    lines = table(spark, sf_dir, "lineitem")
+    flags = F.array("l_returnflag", "l_linestatus")
+    line = F.struct(
+        F.col("l_linenumber").cast("long").alias("number"),
+        F.col("l_partkey").alias("part"),
+        F.col("l_quantity").alias("quantity"),
+        F.struct(F.transform(flags, lambda f: F.struct(f.alias("code"))).alias("flag")).alias("flags"),
+    )
+    grouped = lines.groupBy(F.col("l_orderkey").alias("order")).agg(F.sort_array(F.collect_list(line)).alias("line"))
+    return grouped.select("order", F.struct("line").alias("lines"))

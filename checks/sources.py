@@ -14,6 +14,7 @@ from contractlake.plans.index import (
     pending_archives,
     plan_downloads,
     store_links,
+    walk_all,
     walk_index,
 )
 from contractlake.plans.jobs import landing_manifest
@@ -350,6 +351,28 @@ def index_three_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     return walk_index(linked, fixtures.index_roots(spark, sf_dir))
 
 
+@check(
+    """WITH RECURSIVE most AS (SELECT max(s_suppkey) AS most FROM supplier),
+    edge AS (
+      SELECT s_suppkey AS a, 3 * s_suppkey + i AS b, 'F' || (3 * s_suppkey + i) AS label
+        FROM supplier, most, (SELECT unnest([-1, 0, 1]) AS i) WHERE 3 * s_suppkey + i <= most AND 3 * s_suppkey + i > 1
+      UNION ALL SELECT s_suppkey, (s_suppkey + 1) // 3, 'UP' FROM supplier
+      UNION ALL SELECT s_suppkey, (s_suppkey * 7) % most + 1, 'ACROSS' FROM supplier, most),
+    reach AS (
+      SELECT NULL::varchar AS folder, 1::bigint AS page
+      UNION
+      SELECT coalesce(folder, label), b FROM reach JOIN edge ON page = a)
+    SELECT DISTINCT coalesce(folder, 'ZIP') AS folder, 'a' || page || '.zip' AS href
+    FROM reach WHERE page IN (SELECT s_suppkey FROM supplier)"""
+)
+def index_any_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages linked in circles, as deep as their number makes them: all archives that labelled links reach."""
+    linked = store_links(fixtures.graph_pages(spark, sf_dir), scratch_dir(spark, "links"))
+    base = f"{fixtures.SITE}/g/"
+    roots = spark.createDataFrame([(f"{base}p1.html",)], "url string")
+    return walk_all(linked, roots, scratch_dir(spark, "walk"), base=base).select("folder", "href")
+
+
 @check(
     f"""WITH {ARCHIVE}, one AS (SELECT DISTINCT folder || '/' || name AS plain, target FROM archive),
     named AS (SELECT *, count(*) OVER (PARTITION BY plain) AS same_destination FROM one)

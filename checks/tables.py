@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from checks.registry import CONTRACT_COLUMNS, VENDOR_COLUMNS, check, with_award, with_vendor
 from checks import fixtures
 from contractlake.operators.dedupe import dedupe_vendors
-from contractlake.operators.flatten import array_child, flatten
+from contractlake.operators.flatten import array_child, child_tables, flatten, gathered
 from contractlake.operators.rejects import apply_types, cast_rules, split_rejects
 from contractlake.operators.width import apply_widths, truncate_bytes
 from contractlake.plans.jobs import run_year, run_years, update_year
@@ -15,9 +15,12 @@ from contractlake.plans.questions import join_contract_vendor, latest_vendors
 from contractlake.plans.tables import TYPES, contract_projection, vendor_projection, vendor_table
 from contractlake.session import qualified, scratch_dir
 from contractlake.sinks.tables import (
+    column_sketches,
     data_dictionary,
+    distinct_counts,
     export_csv,
     join_bucketed,
+    lookup,
     read_csv_export,
     read_table,
     write_bucketed,
@@ -100,6 +103,80 @@ def array_child_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@check(
+    """WITH line AS (
+      SELECT l_orderkey AS "order", l_returnflag, l_linestatus, row_number() OVER (
+        PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity, l_returnflag, l_linestatus) - 1 AS position_1
+      FROM lineitem)
+    SELECT "order", position_1, 0::bigint AS position_2, l_returnflag AS code FROM line
+    UNION ALL SELECT "order", position_1, 1, l_linestatus FROM line"""
+)
+def array_child_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of an element repeated inside a repeated one: each row with its place in both."""
+    tables = child_tables(fixtures.orders_with_lines(spark, sf_dir), {"order": "order"})
+    return tables["lines", "line", "flags", "flag"]
+
+
+@check(
+    """WITH line AS (
+      SELECT l_orderkey AS "order", l_linenumber::bigint AS number, l_partkey AS part, l_quantity AS quantity, l_returnflag, l_linestatus
+      FROM lineitem)
+    SELECT "order", count(*) AS lines, md5(string_agg(
+      number || ' ' || part || ' ' || quantity::bigint || ' ' || l_returnflag || ',' || l_linestatus, ';'
+      ORDER BY number, part, quantity, l_returnflag, l_linestatus)) AS content
+    FROM line GROUP BY "order" """
+)
+def array_child_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records put together again from the tables of their repeated elements."""
+    tables = child_tables(fixtures.orders_with_lines(spark, sf_dir), {"order": "order"})
+    back = gathered(tables, ("lines", "line"), ["order"])
+    text = F.transform(
+        "line",
+        lambda x: F.concat_ws(
+            " ", x["number"].cast("string"), x["part"].cast("string"), x["quantity"].cast("long").cast("string"),
+            F.array_join(F.transform(x["flag"], lambda f: f["code"]), ","),
+        ),
+    )
+    return back.select("order", F.size("line").cast("long").alias("lines"), F.md5(F.array_join(text, ";")).alias("content"))
+
+
+@check(with_award('SELECT award_id AS "unique_award_id", signed AS "signedDate", amount::double AS "obligatedAmount" FROM award WHERE piid::bigint % 997 = 1'))
+def lookup_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Awards by their ids, which the scan finds by Bloom filters: the files are in the order of dates."""
+    orders = fixtures.table(spark, sf_dir, "orders").where("o_orderkey % 997 = 1").select(
+        F.format_string("%d_%04d_0_00", "o_orderkey", F.col("o_orderkey") % 25).alias("id")
+    )
+    # As many ids as a user asks for: the thousandth part of the given table.
+    asked = [row["id"] for row in orders.collect()]
+    table = read_table(spark, fixtures.lake(spark, sf_dir), "contract")
+    return lookup(table, "unique_award_id", asked).select("unique_award_id", "signedDate", "obligatedAmount")
+
+
+@check(
+    with_award(
+        """, counts AS (SELECT count(DISTINCT award_id) AS "unique_award_id", count(DISTINCT duns) AS "DUNSNumber",
+          count(DISTINCT amount) AS "obligatedAmount", count(DISTINCT agency) AS "agencyID" FROM award)
+        SELECT "column", "values" AS exact, true AS within_five_percent
+        FROM (UNPIVOT counts ON * INTO NAME "column" VALUE "values")"""
+    )
+)
+def distinct_across_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different values over all years from the sketches that each year left, beside the exact number."""
+    columns = ["unique_award_id", "DUNSNumber", "obligatedAmount", "agencyID"]
+
+    def make(path: str) -> None:
+        table = fixtures.contract(spark, sf_dir)
+        for row in table.select("year").distinct().collect():
+            mine = table.where(F.col("year") == row["year"]).select(*columns)
+            column_sketches(mine, "contract", row["year"]).write.mode("append").parquet(path)
+
+    sketches = spark.read.parquet(fixtures.once(spark, sf_dir, "sketches", make))
+    exact = fixtures.contract(spark, sf_dir).agg(*[F.count_distinct(c).alias(c) for c in columns])
+    exact = exact.unpivot([], columns, "column", "exact")
+    close = F.abs(F.col("values") - F.col("exact")) <= 0.05 * F.col("exact")
+    return distinct_counts(sketches).join(exact, "column").select("column", "exact", close.alias("within_five_percent"))
+
+
 @check(with_award('SELECT award_id AS "unique_award_id", tag FROM award'))
 def array_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     awards = fixtures.keyed_awards(spark, sf_dir)

@@ -155,3 +155,75 @@ def array_child(
     if isinstance(rows.schema[item].dataType, T.StructType):
         rows = flatten(rows)
     return rows
+
+
+def position_name(depth: int) -> str:
+    """Column of a child table that counts a repeated element inside the ``depth - 1`` around it."""
+    return f"position_{depth}"
+
+
+def child_tables(
+    df: DataFrame,
+    keys: Mapping[str, str | Path],
+    include: Iterable[str | Path] = (),
+    exclude: Iterable[str | Path] = (),
+    rename: Mapping[str, str] | None = None,
+) -> dict[Path, DataFrame]:
+    """A child table for every repeated element, at whatever depth, by its path.
+
+    A row is one occurrence: the keys, its place (from 0) in each repeated element around it and in its own,
+    ``position_1`` and so on, and its own leaves, flattened and named as by :func:`flatten`. Elements repeated inside it
+    are in tables of their own, whose rows begin with the same keys and positions. An element
+    that does not occur, or is null at its place, has no row. Each table is one pass over ``df`` and nothing is shuffled.
+    """
+    tables: dict[Path, DataFrame] = {}
+
+    def below(rows: DataFrame, head: list[str], fields: T.StructType, above: Path, at: Path, depth: int) -> None:
+        """``rows`` has the columns ``head`` and, at path ``at``, a struct of ``fields``."""
+        for path in leaf_paths(fields):
+            dtype, whole = type_at(fields, path), above + path
+            if not isinstance(dtype, T.ArrayType) or (depth == 1 and not select_paths([whole], include, exclude)):
+                continue
+            place = position_name(depth)
+            each = rows.select(*map(named, head), F.posexplode(column(at + path)).alias(place, "_item")).where("_item IS NOT NULL")
+            inner, own = dtype.elementType, [*head, place]
+            if isinstance(inner, T.StructType):
+                leaves = [p for p in leaf_paths(inner) if not isinstance(type_at(inner, p), T.ArrayType)]
+                names = rename_paths([whole + p for p in leaves], rename)
+                columns = [column(("_item", *p)).alias(names[whole + p], metadata={"path": ".".join(whole + p)}) for p in leaves]
+            else:
+                name = (rename or {}).get(".".join(whole), local_name(whole))
+                columns = [named("_item").alias(name, metadata={"path": ".".join(whole)})]
+            taken = {c.lower() for c in own}
+            found = each.select(*map(named, own), *columns)
+            if clash := [c for c in found.columns[len(own) :] if c.lower() in taken]:
+                raise ValueError(f"{clash} of {'.'.join(whole)} are names of keys or positions; rename them")
+            tables[whole] = found
+            if isinstance(inner, T.StructType):
+                below(each, own, inner, whole, ("_item",), depth + 1)
+
+    table = df.select(*[column(path).alias(name) for name, path in keys.items()], F.struct(*map(named, df.columns)).alias("_row"))
+    below(table, list(keys), df.schema, (), ("_row",), 1)
+    return tables
+
+
+def gathered(tables: Mapping[Path, DataFrame], path: Path, keys: Iterable[str]) -> DataFrame:
+    """The occurrences of a repeated element put together again: the keys and one array of structs (or of
+    values), with the elements repeated inside, in order, under their local names.
+
+    What :func:`child_tables` took apart, from the deepest up: each group is what one parent
+    holds, so it is no larger than a record. An occurrence of which nothing is known is left out.
+    """
+    keys = list(keys)
+    depth = sum(path[: len(other)] == other for other in tables)
+    rows = tables[path]
+    places = [*keys, *map(position_name, range(1, depth + 1))]
+    leaves = [c for c in rows.columns if c not in places]
+    scalar = len(leaves) == 1 and rows.schema[leaves[0]].metadata.get("path") == ".".join(path)
+    inner = [p for p in tables if p != path and p[: len(path)] == path and not any(
+        q != path and q != p and q[: len(path)] == path and p[: len(q)] == q for q in tables)]
+    for child in inner:
+        rows = rows.join(gathered(tables, child, places), places, "left")
+    held = named(leaves[0]) if scalar else F.struct(*map(named, leaves), *[named(local_name(p)) for p in inner])
+    one = rows.groupBy(*map(named, places[:-1])).agg(F.sort_array(F.collect_list(F.struct(named(places[-1]).alias("at"), held.alias("it")))).alias("all"))
+    return one.select(*map(named, places[:-1]), F.col("all.it").alias(local_name(path)))

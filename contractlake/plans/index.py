@@ -33,6 +33,52 @@ def walk_index(linked: DataFrame, roots: DataFrame, depth: int = 3) -> DataFrame
     raise ValueError("depth must be at least 1")
 
 
+# Fixed value: what the address of an archive ends with.
+ARCHIVE = r"(?i)\.zip$"
+
+
+def walk_all(
+    linked: DataFrame,
+    roots: DataFrame,
+    path: str,
+    archive: str = ARCHIVE,
+    base: str | None = None,
+    max_rounds: int = 1000,
+) -> DataFrame:
+    """Archive links on all pages that labelled links reach, at any depth: ``(root, folder, href)``, each once.
+
+    As :func:`walk_index`, but which links are archives is told by their address, and the walk
+    goes on until no page is new. Addresses are joined to the root's, or to ``base``. ``folder`` is the label of the link by which the walk left the root page (an
+    archive on that page stands under its own label); a page that several of them lead to is followed
+    once for each. Pages may link back and in circles. Every round joins only the addresses that are new with
+    the pages, and writes them below ``path``: what has been seen lies there and not on the
+    driver, which learns of each round whether it found anything.
+    """
+    spark = linked.sparkSession
+    seen_as = "root string, folder string, target string"
+    start = roots.select(F.col("url").alias("root"), F.lit(None).cast("string").alias("folder"), F.col("url").alias("target"))
+    start.distinct().write.parquet(f"{path}/round=0")
+
+    def links_of(front: DataFrame) -> DataFrame:
+        pages = front.join(linked, front["target"] == linked["url"]).drop("url", "target")
+        links = labelled(explode_links(pages)).where(F.col("href").isNotNull())
+        return links.withColumn("folder", F.coalesce("folder", "label"))
+
+    for number in range(1, max_rounds + 1):
+        front = spark.read.schema(seen_as).parquet(f"{path}/round={number - 1}")
+        if front.isEmpty():
+            break
+        onward = links_of(front).where(~F.col("href").rlike(archive))
+        reached = resolve_links(onward, F.col("root") if base is None else base).select("root", "folder", "target").distinct()
+        seen = spark.read.schema(seen_as).parquet(*[f"{path}/round={n}" for n in range(number)])
+        new = reached.join(seen, ["root", "folder", "target"], "left_anti")
+        new.write.parquet(f"{path}/round={number}")
+    else:
+        raise RuntimeError(f"new pages were still found after {max_rounds} rounds")
+    everything = spark.read.schema(seen_as).parquet(*[f"{path}/round={n}" for n in range(number)])
+    return links_of(everything).where(F.col("href").rlike(archive)).select("root", "folder", "href").distinct()
+
+
 def archive_names(links: DataFrame, base: str) -> DataFrame:
     """Add where to fetch an archive (``target``), its ``name`` and its ``destination`` folder."""
     named = resolve_links(links, base, archives=True).withColumn("name", archive_stem(F.col("href")))

@@ -3,15 +3,21 @@
 import pytest
 from pyspark.sql import types as T
 
+from contractlake.functions.keys import award_key
 from contractlake.operators.flatten import (
     array_child,
+    child_tables,
     column_or_null,
     flatten,
+    gathered,
     leaf_paths,
     local_name,
     rename_paths,
     select_paths,
 )
+from contractlake.sources.awards import award_files, read_awards
+
+from conftest import award_xml, plan_of, write_awards
 
 SCHEMA = "`n:a` struct<`n:b`:string,`n:c`:struct<`n.d`:string>>, `n:vendor` struct<`n:e`:int>, \
 `n:vendorX` struct<`n:f`:int>, `n:tags` array<string>"
@@ -85,3 +91,65 @@ def test_flatten_is_one_projection(nested):
 
 def test_column_or_null(nested):
     assert nested.select(column_or_null(nested.schema, "n:a.n:zz").alias("z")).first() == (None,)
+
+
+NESTED = (
+    "id string, box struct<`n:a`: array<struct<x: string, y: struct<z: string>, `n:b`: array<struct<w: string, v: array<string>>>>>, "
+    "tag: array<string>>, other string"
+)
+
+
+def nested_rows(spark):
+    return spark.createDataFrame(
+        [
+            ("1", ([("x1", ("z1",), [("w1", ["v1", "v2"]), ("w2", None)]), ("x2", (None,), [])], ["t", "u"]), "o"),
+            ("2", ([("x3", None, [("w3", ["v3", None, "v4"])])], None), None),
+            ("3", (None, [None, "only"]), "o"),
+            ("4", None, "o"),
+        ],
+        NESTED,
+    )
+
+
+def test_child_tables_at_every_depth(spark):
+    tables = child_tables(nested_rows(spark), {"id": "id"})
+    assert set(tables) == {("box", "n:a"), ("box", "n:a", "n:b"), ("box", "n:a", "n:b", "v"), ("box", "tag")}
+    found = {path[-1]: sorted(map(tuple, table.collect()), key=str) for path, table in tables.items()}
+    assert tables["box", "n:a"].columns == ["id", "position_1", "x", "z"]
+    assert found["n:a"] == [("1", 0, "x1", "z1"), ("1", 1, "x2", None), ("2", 0, "x3", None)]
+    assert found["n:b"] == [("1", 0, 0, "w1"), ("1", 0, 1, "w2"), ("2", 0, 0, "w3")]
+    assert tables["box", "n:a", "n:b", "v"].columns == ["id", "position_1", "position_2", "position_3", "v"]
+    assert found["v"] == [("1", 0, 0, 0, "v1"), ("1", 0, 0, 1, "v2"), ("2", 0, 0, 0, "v3"), ("2", 0, 0, 2, "v4")]
+    assert found["tag"] == [("1", 0, "t"), ("1", 1, "u"), ("3", 1, "only")]
+    assert all("Exchange" not in plan_of(table) and "Python" not in plan_of(table) for table in tables.values())
+
+
+def test_records_are_rebuilt_from_child_tables(spark):
+    tables = child_tables(nested_rows(spark), {"id": "id"})
+    back = {r.id: r["a"] for r in gathered(tables, ("box", "n:a"), ["id"]).collect()}
+    plain = {k: [(e.x, e.z, e.b and [(b.w, b.v) for b in e.b]) for e in v] for k, v in back.items()}
+    assert plain == {
+        "1": [("x1", "z1", [("w1", ["v1", "v2"]), ("w2", None)]), ("x2", None, None)],
+        "2": [("x3", None, [("w3", ["v3", "v4"])])],
+    }
+    assert {r.id: r.tag for r in gathered(tables, ("box", "tag"), ["id"]).collect()} == {"1": ["t", "u"], "3": ["only"]}
+
+
+def test_child_tables_of_some_elements_and_clashing_names(spark):
+    rows = nested_rows(spark)
+    assert set(child_tables(rows, {"id": "id"}, include=["box.tag"])) == {("box", "tag")}
+    assert set(child_tables(rows, {"id": "id"}, exclude=["box.n:a"])) == {("box", "tag")}
+    with pytest.raises(ValueError, match="rename them"):
+        child_tables(rows, {"x": "id"})
+    renamed = child_tables(rows, {"x": "id"}, rename={"box.n:a.x": "y"})
+    assert renamed["box", "n:a"].columns == ["x", "position_1", "y", "z"]
+    assert child_tables(rows.select("id", "other"), {"id": "id"}) == {}
+
+
+def test_child_tables_from_xml(spark, folder):
+    lines = "<ns1:l><ns1:n>1</ns1:n><ns1:f>a</ns1:f><ns1:f>b</ns1:f></ns1:l><ns1:l><ns1:n>2</ns1:n></ns1:l>"
+    write_awards(f"{folder}/A-AWARD.xml", [award_xml("1", extra=lines), award_xml("2")])
+    awards = award_key(read_awards(spark, award_files(folder), mode="records"))
+    tables = child_tables(awards, {"id": "ns1:unique_award_id"})
+    assert [tuple(r) for r in tables[("ns1:l",)].orderBy("position_1").collect()] == [("1_0300_00_0", 0, "1"), ("1_0300_00_0", 1, "2")]
+    assert [tuple(r) for r in tables["ns1:l", "ns1:f"].orderBy("position_2").collect()] == [("1_0300_00_0", 0, 0, "a"), ("1_0300_00_0", 0, 1, "b")]

@@ -12,6 +12,7 @@ from contractlake.plans.index import (
     pending_archives,
     plan_downloads,
     store_links,
+    walk_all,
     walk_index,
 )
 from contractlake.sources.pages import extract_links, labelled, page_links, resolve_links
@@ -142,6 +143,35 @@ def test_walk(spark, pages):
         walk_index(page_links(pages), roots, depth=0)
 
 
+def test_walk_to_the_end_of_circles(spark, folder):
+    """Every page leads back to the first, some to themselves; the chain is deeper than any constant."""
+    depth = 12
+    chain = [page(f"http://i/c{n}", ("", "TOP"), (f"c{n}", "SELF"), (f"c{n + 1}", "ON"), (f"{n}.zip", "Z")) for n in range(depth)]
+    tables = [
+        page("http://i/", ("c0", "A"), ("b", "B"), ("gone", "GONE"), ("top.zip", "T"), ("", "HOME")),
+        page("http://i/b", ("c3", "SIDE"), ("b.ZIP", "Z"), ("c0", "no label here")),
+        page("http://i/lost", ("lost.zip", "L")),
+        *chain,
+    ]
+    linked = store_links(spark.createDataFrame(tables, "url string, html string"), f"{folder}/links")
+    roots = spark.createDataFrame([("http://i/",)], "url string")
+    found = {(r.folder, r.href) for r in walk_all(linked, roots, f"{folder}/walk").collect()}
+    # From every first link the way goes on over the root page, so each folder has all pages.
+    archives = {"b.ZIP", "top.zip", *(f"{n}.zip" for n in range(depth))}
+    assert found == {(f, a) for f in ("A", "B", "HOME") for a in archives} | {("T", "top.zip")}
+    with pytest.raises(RuntimeError, match="after 4 rounds"):
+        walk_all(linked, roots, f"{folder}/short", max_rounds=4)
+
+
+def test_walk_to_the_end_equals_the_walk_of_fixed_depth(spark, folder, pages):
+    roots = spark.createDataFrame([("http://i/",)], "url string")
+    fixed = {(r.folder, r.href) for r in walk_index(page_links(pages), roots).collect() if r.href.endswith(".zip")}
+    linked = store_links(pages, f"{folder}/links")
+    assert fixed <= {(r.folder, r.href) for r in walk_all(linked, roots, f"{folder}/walk").collect()}
+    none = spark.createDataFrame([("http://nowhere/",)], "url string")
+    assert walk_all(linked, none, f"{folder}/none").count() == 0
+
+
 def test_plan_downloads(spark, folder, pages):
     roots = spark.createDataFrame([("http://i/",)], "url string")
     done = spark.createDataFrame([("2004/FY-V1.4-x",), ("2005/y1",)], "destination string")

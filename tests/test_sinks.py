@@ -8,9 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from contractlake.sinks.tables import (
+    column_sketches,
     data_dictionary,
+    distinct_counts,
     export_csv,
     join_bucketed,
+    lookup,
     read_csv_export,
     read_table,
     write_bucketed,
@@ -178,3 +181,45 @@ def test_both_sides_of_bucketed_tables_spread_alike(spark, folder):
     names = write_bucketed(frame, vendor, folder, (f"c_{name}", f"v_{name}"))
     joined = join_bucketed(spark, names)
     assert joined.count() == 4000 and joined.where("name IS NULL OR name <> upper(DUNSNumber)").count() == 0
+
+
+def scanned_rows(df):
+    """Rows that the scans of a finished query gave, by their own metric."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if "Adaptive" in plan.getClass().getSimpleName() else plan
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.length()))
+
+
+def test_lookup_leaves_out_row_groups(spark, folder):
+    """Ids are in no order, so only the filters can tell which of the 16 files may hold one."""
+    ids = spark.range(64_000, numPartitions=16).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("unique_award_id"), F.lpad(F.col("id").cast("string"), 9, "0").alias("DUNSNumber"),
+        F.expr("timestamp_ntz'2000-01-01 00:00:00'").alias("signedDate"),
+    )
+    write_contract(ids, folder, 2000)
+    table = read_table(spark, folder, "contract")
+    wanted = [r[0] for r in ids.where("DUNSNumber IN ('000000007', '000050007')").select("unique_award_id").collect()]
+    found = lookup(table, "unique_award_id", wanted)
+    assert sorted(r.DUNSNumber for r in found.collect()) == ["000000007", "000050007"]
+    assert scanned_rows(found) <= 64_000 / 16 * 3
+    assert scanned_rows(lookup(table, "unique_award_id", ["no such id"])) <= 64_000 / 16
+    spark.conf.set("spark.sql.parquet.filterPushdown", "false")
+    try:
+        assert scanned_rows(lookup(table, "unique_award_id", wanted)) == 64_000
+    finally:
+        spark.conf.unset("spark.sql.parquet.filterPushdown")
+
+
+def test_sketches_of_years_add_up(spark):
+    """Years share values: the merged sketch counts each once, within five percent."""
+    years = [spark.range(20_000).selectExpr(f"id + {8_000 * n} AS a", "id % 7 AS b", "IF(id % 2 = 0, id, NULL) AS c") for n in range(3)]
+    sketches = [column_sketches(df, "t", 2000 + n) for n, df in enumerate(years)]
+    merged = sketches[0].unionByName(sketches[1]).unionByName(sketches[2])
+    found = {r.column: (r.filled, r["values"]) for r in distinct_counts(merged).collect()}
+    assert {k: v[0] for k, v in found.items()} == {"a": 60_000, "b": 60_000, "c": 30_000}
+    for name, exact in (("a", 36_000), ("b", 7), ("c", 10_000)):
+        assert abs(found[name][1] - exact) <= 0.05 * exact
+    empty = distinct_counts(column_sketches(years[0].limit(0), "t", 2000)).collect()
+    assert {(r.filled, r["values"]) for r in empty} == {(0, 0)}
