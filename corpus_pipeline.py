@@ -32,10 +32,10 @@ from contractlake.llm.suffix import remove_repeats
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    """Each different row once: ``h1`` and ``h2``, by which it is known, and all columns as ``row``."""
+    """``h1`` and ``h2``, by which a row is known, and all columns as ``row``."""
     h1, h2 = row_hashes(docs)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return docs.select(h1.alias("h1"), h2.alias("h2"), whole.alias("row")).dropDuplicates(["h1", "h2"])
+    return docs.select(h1.alias("h1"), h2.alias("h2"), whole.alias("row"))
 
 
 def _with_text(docs: DataFrame, row: str, text: Column) -> list[Column]:
@@ -47,7 +47,11 @@ def _with_text(docs: DataFrame, row: str, text: Column) -> list[Column]:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score reaches the threshold; empty and null texts are scored as well."""
+    """Documents whose score reaches the threshold; empty and null texts are scored as well.
+
+    Rows that are equal stay or go together, an empty table gives an empty one, and columns of any
+    name are kept. Without labelled documents of both classes there is no model: an error, if there are documents.
+    """
     labels = table(spark, sf_dir, "labels").where(~held_out())
     model = fit_quality(docs.select("doc_id", "text"), labels)
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
@@ -57,28 +61,37 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id (null last, then by its hash) of each group; of equal
-    rows one."""
+    rows one. Texts without a word, null ones too, are a group; an empty table gives an empty one."""
     h1, h2 = row_hashes(docs)
     texts = docs.select("doc_id", "text", h1.alias("h1"), h2.alias("h2"))
     classes = simhash_classes(texts, "doc_id", SHINGLE, MAX_BITS, carry=("h1", "h2"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "h1", "h2")
     least = classes.groupBy("class").agg(F.min(order).alias("least")).select("least.h1", "least.h2")
-    return _rows(docs).join(least, ["h1", "h2"], "left_semi").select("row.*")
+    # Equal rows are made one among those that stay: most texts are gone by then.
+    stay = _rows(docs).join(least, ["h1", "h2"], "left_semi")
+    return stay.dropDuplicates(["h1", "h2"]).select("row.*")
 
 
 def suffix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without later copies of 200-byte strings; a text that is all copies becomes empty."""
+    """Texts without later copies of 200-byte strings; a text that is all copies becomes empty.
+
+    Rows stay one to one, null texts stay null; of equal rows one keeps its text.
+    """
     left = remove_repeats(docs, "doc_id", length=200, first_stays=True)
     return left.select(*_with_text(docs, "row", F.col("text")))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per time a document is read, in training order; the last of a source is cut."""
+    """A row per time a document is read, in training order; the last of a source is cut.
+
+    Documents without a word are never read; rows with a null source are one source; equal rows are
+    read each; an empty table gives an empty one.
+    """
     h1, h2 = row_hashes(docs)
     key = F.struct(h1.alias("h1"), h2.alias("h2")).alias("key")
     sized = docs.select(key, "source", word_count(F.col("text")).alias("size"))
     read = mix_sources(sized, MIX_WEIGHTS).select("key.*", "size", F.inline("placements"))
-    both = read.join(_rows(docs), ["h1", "h2"])
+    both = read.join(_rows(docs).dropDuplicates(["h1", "h2"]), ["h1", "h2"])
     ordered = in_training_order(both, "h1", "h2")
     # A word with the white space after it; the words wanted are the begin of the text.
     words = F.regexp_extract_all("row.text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
@@ -88,7 +101,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces with their sequence and place."""
+    """Pieces with their sequence and place.
+
+    Null and empty texts are one piece, the end mark; null and repeated ids and equal rows are packed like any
+    other; an empty table gives an empty one.
+    """
     return pack_documents(docs.select("doc_id", "text"), VOCABULARY, PATTERN)
 
 
