@@ -27,7 +27,7 @@ from contractlake.llm.settings import (
 from contractlake.llm.simhash import simhash_classes
 from contractlake.llm.suffix import remove_repeats
 from contractlake.llm.url_filter import Rule, fit_urls, judge_urls
-from contractlake.llm.warc import assemble, read_warc, write_warc
+from contractlake.llm.warc import MAIN, assemble, read_warc, write_warc
 from contractlake.llm.whitening import whitened_rows
 from contractlake.session import scratch_dir
 
@@ -317,7 +317,8 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     write_warc(captures, path)
     key = F.regexp_extract(F.col("metadata.payload").cast("string"), r"capture-key: ([^\r]*)", 1)
-    found = assemble(read_warc(spark, path), strict=True)
+    mains = read_warc(spark, path, kinds=MAIN)
+    found = assemble(read_warc(spark, path, payloads=False), strict=True, mains=mains)
     held = F.octet_length("main.payload").cast("long")
     flat = staged(
         found.select(

@@ -6,7 +6,7 @@ import base64
 import hashlib
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -211,7 +211,15 @@ def parse_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         yield headers, buffer.take(length)
 
 
-def _read_rows(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterator[dict]:
+# Headers that have columns of their own.
+OWN_HEADERS = {
+    "warc-record-id", "warc-type", "warc-target-uri", "warc-concurrent-to", "warc-refers-to", "warc-payload-digest",
+}
+
+
+def _read_rows(
+    batches: Iterator[pa.RecordBatch], payloads: bool, kinds: Sequence[str] | None
+) -> Iterator[dict]:
     names = [field.split()[0] for field in RECORD.split(", ")]
     for batch in batches:
         for place, content in zip(batch.column("path").to_pylist(), batch.column("content")):
@@ -224,13 +232,15 @@ def _read_rows(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterator[di
                         head, _, payload = block.partition(b"\r\n\r\n")
                         http = head.decode("utf-8", "replace")
                     kind = headers.get("warc-type")
+                    if kinds is not None and kind not in kinds:
+                        continue
                     stored = headers.get("warc-payload-digest", "").removeprefix("sha1:") or None
                     digest = sha1_base32(payload) if kind == "response" else stored
                     error = "payload digest differs" if stored and digest != stored else None
                     rows.append((
                         headers.get("warc-record-id"), kind, headers.get("warc-target-uri"),
                         headers.get("warc-concurrent-to"), headers.get("warc-refers-to"), digest,
-                        len(payload), list(headers.items()), http,
+                        len(payload), [h for h in headers.items() if h[0] not in OWN_HEADERS], http,
                         payload if payloads or kind == "metadata" else None, error,
                     ))
                     size += len(block)
@@ -243,8 +253,11 @@ def _read_rows(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterator[di
                 yield dict(zip(names, map(list, zip(*rows))))
 
 
-def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """One row per record of the WARC files (plain or gzipped) below ``path``.
+def read_warc(
+    spark: SparkSession, path: str, payloads: bool = True, kinds: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per record (of some ``kinds``, if given) of the WARC files (plain or gzipped) below ``path``.
+    ``headers`` are those that have no column of their own.
 
     A file is read by one task, record by record; a file that breaks off gives the records before
     that and one row with ``error`` and no id. Without ``payloads`` only their sizes and digests
@@ -252,10 +265,14 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     files = files.where(~F.col("path").rlike(r"/_[^/]*$")).select("path", "content")
-    return map_batches(files, lambda batches: _read_rows(batches, payloads), RECORD)
+    return map_batches(files, lambda batches: _read_rows(batches, payloads, kinds), RECORD)
+
+
+# Record types that are a capture's main record.
+MAIN = ("response", "revisit")
 
 
-def assemble(records: DataFrame, strict: bool = False) -> DataFrame:
+def assemble(records: DataFrame, strict: bool = False, mains: DataFrame | None = None) -> DataFrame:
     """One nested row per capture: ``capture_id``, ``main``, ``request``, ``metadata``, ``original``.
 
     ``main`` is a response or revisit record, with its payload. A request or metadata record belongs
@@ -266,8 +283,11 @@ def assemble(records: DataFrame, strict: bool = False) -> DataFrame:
     records of a capture the one with the least id is taken; records that name no capture that is
     there are left out. So are rows without an id, which tell of archives that break off; they and
     other records with an ``error`` are an error with ``strict``. Missing parts are null, and no
-    record gives no row. All joins are on ids; the records are written to the shared folder once, so
-    archives are parsed once, and a payload is moved once, to the parts of its capture.
+    record gives no row. All joins are on ids.
+
+    The records are written to the shared folder once. ``mains``, if given, are the same main
+    records again with the payloads, which ``records`` can then do without: they are moved once, to the
+    other parts of their captures, and not written before.
     """
     all_records = staged(records, "records")
     if strict:
@@ -277,35 +297,42 @@ def assemble(records: DataFrame, strict: bool = False) -> DataFrame:
     known = all_records.where(F.col("record_id").isNotNull())
     names = [n for n in records.columns if n not in ("record_id", "concurrent_to")]
     light = [n for n in names if n not in ("payload", "headers", "http_head")]
-    is_main = F.col("record_type").isin("response", "revisit")
-    mains = known.where(is_main)
+    ids = known.where(F.col("record_type").isin(*MAIN)).select(
+        F.col("record_id").alias("capture_id"), F.col("concurrent_to").alias("names"), "refers_to_id"
+    )
 
     def part(kind: str) -> DataFrame:
         return known.where(F.col("record_type") == kind).select(
-            F.col("record_id").alias("part_id"), "concurrent_to", F.struct("record_id", *names).alias("part")
+            F.col("record_id").alias("part_id"), F.col("concurrent_to").alias("capture_id"),
+            F.struct("record_id", *names).alias("part"),
         )
 
-    ids = mains.select(F.col("record_id").alias("capture_id"), F.col("concurrent_to").alias("names"))
+    def via(parts: DataFrame, links: DataFrame) -> DataFrame:
+        """Parts that belong to a capture by links ``(capture_id, part_id)``."""
+        return parts.drop("capture_id").join(links.distinct(), "part_id").select("part_id", "capture_id", "part")
+
     requests, metadata = part("request"), part("metadata")
-    to_main = requests.join(ids, F.col("concurrent_to") == F.col("capture_id")).select("capture_id", "part_id")
-    from_main = requests.join(ids, F.col("part_id") == F.col("names")).select("capture_id", "part_id")
-    owners = staged(to_main.union(from_main).distinct(), "requests")
-    meta = metadata.join(ids, F.col("concurrent_to") == F.col("capture_id")).select("capture_id", "part_id")
-    via = metadata.join(
-        owners.withColumnRenamed("part_id", "request_id"), F.col("concurrent_to") == F.col("request_id")
-    ).select("capture_id", "part_id")
-    # Small parts first; the main records, which hold the payloads, are joined to them last.
-    originals = mains.where("record_type = 'response'").select(
+    named = ids.where(F.col("names").isNotNull()).select("capture_id", F.col("names").alias("part_id"))
+    by_main = not named.isEmpty()
+    if by_main:
+        requests = requests.unionByName(via(requests, named))
+    # Metadata of a request, where there is any that names no main record.
+    loose = metadata.select("part_id", "capture_id").join(ids.select("capture_id"), "capture_id", "left_anti")
+    if not loose.isEmpty():
+        owners = requests.select(F.col("part_id").alias("request_id"), "capture_id")
+        links = loose.select("part_id", F.col("capture_id").alias("request_id")).join(owners, "request_id")
+        metadata = metadata.unionByName(via(metadata, links.select("capture_id", "part_id")))
+    originals = known.where("record_type = 'response'").select(
         F.col("record_id").alias("refers_to_id"), F.struct("record_id", *light).alias("original")
     )
-    parts = mains.where("refers_to_id IS NOT NULL").select(F.col("record_id").alias("capture_id"), "refers_to_id")
-    parts = parts.join(originals.dropDuplicates(["refers_to_id"]), "refers_to_id").select("capture_id", "original")
-    parts = parts.dropDuplicates(["capture_id"])
-    for name, found, pool in (("request", owners, requests), ("metadata", meta.union(via), metadata)):
-        # Ids only are aggregated; the chosen part is joined to its id.
-        one = found.groupBy("capture_id").agg(F.min("part_id").alias("part_id"))
-        pool = pool.select("part_id", F.col("part").alias(name)).dropDuplicates(["part_id"])
-        parts = parts.join(one.join(pool, "part_id").drop("part_id"), "capture_id", "full")
-    chosen = mains.select(F.col("record_id").alias("capture_id"), F.struct("record_id", *names).alias("main"))
-    whole = chosen.join(parts, "capture_id", "left").dropDuplicates(["capture_id"])
+    revisits = ids.where(F.col("refers_to_id").isNotNull()).select("capture_id", "refers_to_id")
+    found = revisits.join(originals, "refers_to_id").select("capture_id", "original")
+    mains = (known if mains is None else mains).where(F.col("record_type").isin(*MAIN) & F.col("record_id").isNotNull())
+    whole = mains.select(F.col("record_id").alias("capture_id"), F.struct("record_id", *names).alias("main"))
+    # Every side is dealt by capture, where the least or any one is taken: nothing is dealt twice.
+    for name, parts in (("request", requests), ("metadata", metadata)):
+        parts = parts.where(F.col("capture_id").isNotNull())
+        one = parts.groupBy("capture_id").agg(F.min_by("part", "part_id").alias(name))
+        whole = whole.join(one, "capture_id", "left")
+    whole = whole.join(found.dropDuplicates(["capture_id"]), "capture_id", "left").dropDuplicates(["capture_id"])
     return whole.select("capture_id", "main", "request", "metadata", "original")

