@@ -159,7 +159,7 @@ def write_versions(spark: SparkSession, sf_dir: str, path: str, version: int) ->
     dealt = records.withColumn("file", F.pmod(F.xxhash64(piid), F.lit(files)))
     if version == 0:
         wrong = F.regexp_replace("value", "<ns1:obligatedAmount>[^<]*<", "<ns1:obligatedAmount>1.00<")
-        wrong = F.regexp_replace(wrong, "<ns1:signedDate>[12]", "<ns1:signedDate>3")
+        wrong = F.regexp_replace(wrong, "<ns1:signedDate>[0-9]{4}", "<ns1:signedDate>2032")
         wrong = F.regexp_replace(wrong, "<ns1:vendorName>", "<ns1:vendorName>Not ")
         none = F.regexp_replace(F.regexp_replace(wrong, "<ns1:PIID>", "<ns1:PIID>X"), "<ns1:DUNSNumber>0", "<ns1:DUNSNumber>9")
         old = dealt.where("file % 2 = 0").select("file", wrong.alias("value"), none.alias("other"))
