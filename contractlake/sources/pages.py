@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from contractlake.functions.text import CHARACTER_REFERENCES, decode_references, join_url, link_label
 
 LINK = T.StructType([T.StructField("href", T.StringType()), T.StructField("text", T.StringType())])
 
+# Fixed value: pages whose text and links are objects of Python at once.
+PARSED_AT_ONCE = 64
 # Patterns of tidy markup.
 UNSHOWN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
 ANCHOR = r"(?is)<a[\s>].*?</a>"
@@ -51,15 +53,19 @@ class _LinkParser(HTMLParser):
             link[1] += data
 
 
-@F.pandas_udf(T.ArrayType(LINK))
-def _parsed_anchors(pages: pd.Series) -> pd.Series:
+@F.arrow_udf(T.ArrayType(LINK))
+def _parsed_anchors(pages: pa.Array) -> pa.Array:
+    """Links of a batch of pages, of which only some are text and objects of Python at a time."""
+
     def links(html: str | None) -> list[dict]:
         parser = _LinkParser()
         parser.feed(html or "")
         parser.close()
         return [{"href": href, "text": text} for href, text in parser.links]
 
-    return pages.map(links)
+    kind = pa.list_(pa.struct([("href", pa.string()), ("text", pa.string())]))
+    parts = [pages.slice(at, PARSED_AT_ONCE) for at in range(0, len(pages), PARSED_AT_ONCE)]
+    return pa.concat_arrays([pa.array([], kind), *(pa.array(map(links, part.to_pylist()), kind) for part in parts)])
 
 
 def _untidy(html: Column) -> Column:

@@ -1,0 +1,21 @@
+"""What grows with the tables stays small: XML that is written, memory of Python workers."""
+
+import tracemalloc
+
+import pyarrow as pa
+
+from contractlake.sources.pages import _parsed_anchors
+
+
+def test_parsed_links_are_objects_a_few_pages_at_a_time():
+    page = "".join(f'<a href="/{i}">L{i}</a>' for i in range(40))
+    pages = pa.array([page, None] * 2000)
+    tracemalloc.start()
+    try:
+        found = _parsed_anchors.func(pages)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(found) == 4000 and found[1].as_py() == []
+    assert found[0].as_py()[39] == {"href": "/39", "text": "L39"}
+    assert peak < 4 << 20
