@@ -3,10 +3,27 @@
 import tracemalloc
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
+from checks import fixtures
+from contractlake.sources.archives import _frames, expand_archives
 from contractlake.sources.pages import _parsed_anchors
 
 
+def test_archives_and_frames_are_bounded(spark, folder):
+    documents = spark.range(10).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("x"), F.lit(1 << 20)).alias("text")
+    )
+    documents.coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    archives = fixtures.document_archives(spark, folder)
+    assert archives.count() > 1
+    rows = expand_archives(archives)
+    assert sorted(r.member for r in rows.select("member").collect()) == [f"{i}.txt" for i in range(10)]
+    assert rows.where("error IS NULL AND length(value) = 1048576").count() == 10
+    frames = _frames((("a", "m", i, "x" * (1 << 20), None) for i in range(20)))
+    assert max(frame["value"].str.len().sum() for frame in frames) <= 5 << 20
+
+
 def test_parsed_links_are_objects_a_few_pages_at_a_time():
     page = "".join(f'<a href="/{i}">L{i}</a>' for i in range(40))
     pages = pa.array([page, None] * 2000)
