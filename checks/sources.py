@@ -63,8 +63,9 @@ def xml_scan_declared_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check(CONTRACT_SQL)
 def xml_scan_splittable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = _schema(spark, sf_dir)
-    return _contracts(read_awards(spark, _xml(spark, sf_dir), schema, mode="records"))
+    """Files without compression, which are read in splits."""
+    path = fixtures.all_award_files(fixtures.award_xml(spark, sf_dir, plain=True))
+    return _contracts(read_awards(spark, path, _schema(spark, sf_dir), mode="records"))
 
 
 @check(CONTRACT_SQL)
@@ -457,7 +458,7 @@ def incremental_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     for run, due in (("first", (F.col("year") <= 1998) & ~late), ("second", (F.col("year") > 1998) | late)):
         fixtures.write_xml(awards.where(due), landing)
         if run == "second":
-            fixtures.set_old(spark, f"{landing}/year=1996/*/*.xml")
+            fixtures.set_old(spark, f"{landing}/year=1996/*/*.xml.snappy")
         ingest_new_files(spark, f"{landing}/year=*/*AWARD.xml", target, state, schema)
         seen.append(spark.read.parquet(target).withColumn("seen_after", F.lit(run)))
     date = F.col("`ns1:relevantContractDates`.`ns1:signedDate`")
@@ -475,7 +476,7 @@ def incremental_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def manifest_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = file_manifest(spark, fixtures.award_xml(spark, sf_dir), "*.xml")
+    files = file_manifest(spark, fixtures.award_xml(spark, sf_dir), "*.xml.snappy")
     parts = F.split("path", "/")
     return files.groupBy(
         F.element_at(parts, -3).alias("folder"),
@@ -504,7 +505,7 @@ def manifest_size_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check(with_award("SELECT count(DISTINCT year) AS years, true AS keys_flat FROM award"))
 def landing_manifest_awards(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fixtures.award_xml(spark, sf_dir)
-    files = landing_manifest(spark, folder, "raw").where(F.col("path").endswith(".xml"))
+    files = landing_manifest(spark, folder, "raw").where(F.col("path").endswith(".xml.snappy"))
     return files.agg(
         F.count_distinct(F.regexp_extract("path", "/year=([0-9]+)/", 1)).alias("years"),
         F.bool_and(F.col("landing_key").rlike("^raw/[^/]+$")).alias("keys_flat"),

@@ -1,15 +1,60 @@
 """What grows with the tables stays small: XML that is written, memory of Python workers."""
 
 import tracemalloc
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from checks import fixtures
+from checks import fixtures, sources
 from contractlake.sources.archives import _frames, expand_archives
+from contractlake.sources.awards import award_records
 from contractlake.sources.pages import _parsed_anchors
 
 
+def order_tables(spark, folder, n=700):
+    orders = spark.range(n).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") % 7).alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+        F.lit(12.5).alias("o_totalprice"), F.lit("1-URGENT").alias("o_orderpriority"),
+        F.make_timestamp_ntz(F.lit(1995) + F.col("id") % 3, *map(F.lit, (1, 2, 3, 4, 5))).alias("o_orderdate"),
+    )
+    customer = spark.range(7).select(
+        F.col("id").alias("c_custkey"), F.lit("C").alias("c_name"), F.lit(1).alias("c_nationkey")
+    )
+    orders.write.parquet(f"{folder}/orders.parquet")
+    customer.write.parquet(f"{folder}/customer.parquet")
+
+
+def test_award_xml_is_small_and_whole(spark, folder, monkeypatch):
+    order_tables(spark, folder)
+    monkeypatch.setattr(fixtures, "XML_RECORDS", 50)
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    path = fixtures.award_xml(spark, folder)
+    assert spark.conf.get(name) == before
+    files = [f for f in Path(path.removeprefix("file:")).rglob("part-*") if not f.name.startswith(".")]
+    assert sum(f.stat().st_size for f in files) < 400 * 700
+    records = award_records(spark, fixtures.all_award_files(path))
+    assert records.where("error IS NULL").count() == 700
+    assert records.groupBy("file").count().agg(F.max("count")).first()[0] <= 50
+    assert sources.xml_scan_awards(spark, folder).count() == 700
+    assert sources.landing_manifest_awards(spark, folder).first()["years"] == 3
+
+
+def test_splittable_scan_reads_files_in_splits(spark, folder):
+    order_tables(spark, folder, 5000)
+    path = fixtures.all_award_files(fixtures.award_xml(spark, folder, plain=True))
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, 100_000)
+    try:
+        files = spark.read.text(path).select(F.input_file_name()).distinct().count()
+        assert spark.read.text(path).rdd.getNumPartitions() > files
+        assert sources.xml_scan_splittable(spark, folder).count() == 5000
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_archives_and_frames_are_bounded(spark, folder):
     documents = spark.range(10).select(
         F.col("id").alias("doc_id"), F.repeat(F.lit("x"), F.lit(1 << 20)).alias("text")
