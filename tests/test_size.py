@@ -81,3 +81,11 @@ def test_parsed_links_are_objects_a_few_pages_at_a_time():
     assert len(found) == 4000 and found[1].as_py() == []
     assert found[0].as_py()[39] == {"href": "/39", "text": "L39"}
     assert peak < 4 << 20
+
+
+def test_file_versions_are_small_and_whole(spark, folder):
+    order_tables(spark, folder)
+    fixtures.write_versions(spark, folder, f"{folder}/in", 1)
+    files = list(Path(folder, "in").glob("[0-9]*"))
+    assert files and sum(f.stat().st_size for f in files) < 300 * 700
+    assert award_records(spark, f"{folder}/in/*AWARD.xml.gz").where("error IS NULL").count() == 700
