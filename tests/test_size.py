@@ -1,14 +1,16 @@
 """What grows with the tables stays small: XML that is written, memory of Python workers."""
 
+import gzip
 import tracemalloc
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from checks import fixtures, sources
 from contractlake.sources.archives import _frames, expand_archives
-from contractlake.sources.awards import award_records
+from contractlake.sources.awards import CORRUPT, _joined, award_records, read_awards
+from contractlake.sources.files import SHARES, file_shares
 from contractlake.sources.pages import _parsed_anchors
 
 
@@ -89,3 +91,53 @@ def test_file_versions_are_small_and_whole(spark, folder):
     files = list(Path(folder, "in").glob("[0-9]*"))
     assert files and sum(f.stat().st_size for f in files) < 300 * 700
     assert award_records(spark, f"{folder}/in/*AWARD.xml.gz").where("error IS NULL").count() == 700
+
+
+def zipped_files(folder, texts):
+    Path(folder).mkdir(parents=True)
+    for i, text in enumerate(texts):
+        root = f'<ns1:awards xmlns:ns1="urn:awards">{text}</ns1:awards>'
+        Path(folder, f"{i} a%20-AWARD.xml.gz").write_bytes(gzip.compress(root.encode()))
+    return f"{folder}/*AWARD.xml.gz"
+
+
+def test_many_compressed_files_are_read_in_shares(spark, folder):
+    cores = spark.sparkContext.defaultParallelism
+    n = 2 * SHARES * cores
+    texts = [f"<ns1:award><ns1:n>{i}</ns1:n><ns1:only{i % 5}>x</ns1:only{i % 5}></ns1:award>" for i in range(n)]
+    path = zipped_files(f"{folder}/x", texts)
+    shares = file_shares(spark, path)
+    assert len(shares) == SHARES and len({name for share in shares for name in share}) == n
+    awards = read_awards(spark, path, source="file")
+    assert awards.rdd.getNumPartitions() >= 2 * cores
+    assert awards.columns == ["ns1:n", *[f"ns1:only{i}" for i in range(5)], CORRUPT, "file"]
+    assert sorted(int(row["ns1:n"]) for row in awards.collect()) == list(range(n))
+    assert awards.select("file").distinct().count() == n
+    records = award_records(spark, path)
+    assert records.rdd.getNumPartitions() >= 2 * cores
+    assert records.where("error IS NULL").select("value").distinct().count() == n
+    assert read_awards(spark, path, mode="records", source="file").select("file").distinct().count() == n
+    assert file_shares(spark, zipped_files(f"{folder}/few", texts[:3])) == [f"{folder}/few/*AWARD.xml.gz"]
+
+
+def test_shares_whose_elements_differ_have_the_schema_of_all_files(spark, folder):
+    n = 2 * SHARES * spark.sparkContext.defaultParallelism
+    kinds = ["<ns1:a>x</ns1:a>", "<ns1:a><ns1:b>y</ns1:b></ns1:a>", "<ns1:a/>", "<ns1:c>1</ns1:c><ns1:c>2</ns1:c>"]
+    # The files of a share, by their order, all are of one kind.
+    order = sorted(range(n), key=lambda i: f"{i}%")
+    texts = dict(zip(order, (f"<ns1:award>{kinds[place % SHARES]}</ns1:award>" for place in range(n))))
+    path = zipped_files(f"{folder}/x", [texts[i] for i in range(n)])
+    reader = spark.read.format("xml").options(excludeAttribute="true", inferSchema="false", nullValue="", rowTag="ns1:award")
+    awards = read_awards(spark, path)
+    assert awards.drop(CORRUPT).schema == reader.load(path).schema
+    assert awards.count() == n
+
+
+def test_joined_types():
+    text, many = T.StringType(), T.ArrayType(T.StringType())
+    struct = lambda *names: T.StructType([T.StructField(name, text) for name in names])
+    assert _joined(struct("b", "c"), struct("a", "b")) == struct("a", "b", "c")
+    assert _joined(text, many) == many and _joined(T.ArrayType(struct("a")), struct("b")) == T.ArrayType(struct("a", "b"))
+    assert _joined(text, struct("a")) is None and _joined(text, T.LongType()) is None
+    assert _joined(struct("a"), struct("A")) is None
+    assert _joined(struct(), struct()) == struct()
