@@ -103,7 +103,7 @@ def xml_glob_award_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     def make(path: str) -> None:
         other = F.col("`ns1:contractData`")["ns1:productOrServiceCode"] == "P"
         file = F.when(other, "B-IDV.xml").otherwise(fixtures.AWARD_DIR)
-        fixtures.write_xml(fixtures.award_frame(spark, sf_dir), path, file)
+        fixtures.write_xml(fixtures.award_frame(spark, sf_dir, even=True), path, file)
 
     folder = fixtures.once(spark, sf_dir, "xml-kinds", make)
     awards = read_awards(spark, fixtures.all_award_files(folder), _schema(spark, sf_dir))

@@ -141,3 +141,14 @@ def test_joined_types():
     assert _joined(text, struct("a")) is None and _joined(text, T.LongType()) is None
     assert _joined(struct("a"), struct("A")) is None
     assert _joined(struct(), struct()) == struct()
+
+
+def test_awards_are_written_by_even_tasks(spark, folder):
+    order_tables(spark, folder)
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    orders.where("o_orderkey < 650").coalesce(1).write.parquet(f"{folder}/uneven/orders.parquet")
+    orders.where("o_orderkey >= 650").coalesce(1).write.mode("append").parquet(f"{folder}/uneven/orders.parquet")
+    spark.read.parquet(f"{folder}/customer.parquet").write.parquet(f"{folder}/uneven/customer.parquet")
+    awards = fixtures.award_frame(spark, f"{folder}/uneven", even=True)
+    sizes = [row["count"] for row in awards.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 700 and max(sizes) <= 2 * 700 // len(sizes)
